@@ -180,3 +180,262 @@ def on_missing_modes(spark, sf_dir):
 def image_validation(spark, sf_dir):
     """U2 level 1: format, problem and validity per image file."""
     return index_of(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- step 4: ordering at scale
+from ..operators import order as O  # noqa: E402
+from ..sinks import files as K  # noqa: E402
+from ..sinks import shards as SH  # noqa: E402
+from ..sources.footers import parquet_footers  # noqa: E402
+
+SPLIT_SEED = 42
+SPLIT_RATIO = 0.9
+SHUFFLE_EPOCH = 1
+SAMPLES_PER_FILE = 100
+
+
+def orders(spark, sf_dir) -> DataFrame:
+    return X.table(spark, sf_dir, "orders")
+
+
+@query("global_index")
+def global_index_q(spark, sf_dir):
+    """0-based position of every order in key order."""
+    return O.global_index(orders(spark, sf_dir).select("o_orderkey"), ["o_orderkey"]).select("o_orderkey", "gi")
+
+
+@query("shuffle_epoch")
+def shuffle_epoch(spark, sf_dir):
+    """O2: seeded permutation for one epoch."""
+    out = O.shuffle(orders(spark, sf_dir).select("o_orderkey"), "o_orderkey", SPLIT_SEED, SHUFFLE_EPOCH)
+    return out.select("o_orderkey", F.lit(SHUFFLE_EPOCH).cast("long").alias("epoch"), "gi")
+
+
+def _split(spark, sf_dir):
+    return O.train_test_split(orders(spark, sf_dir).select("o_orderkey"), "o_orderkey", SPLIT_RATIO, SPLIT_SEED)
+
+
+@query("train_test_split")
+def train_test_split_q(spark, sf_dir):
+    """90:10 split of the seeded permutation; index restarts per split."""
+    return _split(spark, sf_dir).select("o_orderkey", "perm_idx", "split", "split_idx")
+
+
+@query("split_counts")
+def split_counts(spark, sf_dir):
+    """A4: rows per split."""
+    return _split(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("num_samples"))
+
+
+@query("split_integrity")
+def split_integrity_q(spark, sf_dir):
+    """Disjoint and complete."""
+    return O.split_integrity(_split(spark, sf_dir), orders(spark, sf_dir), "o_orderkey")
+
+
+def _shards(spark, sf_dir):
+    return SH.assign_shards(orders(spark, sf_dir).select("o_orderkey"), ["o_orderkey"], SAMPLES_PER_FILE)
+
+
+@query("shard_manifest")
+def shard_manifest_q(spark, sf_dir):
+    """Consecutive 100-row shards and their index ranges."""
+    return SH.shard_manifest(_shards(spark, sf_dir))
+
+
+@query("shard_totals")
+def shard_totals(spark, sf_dir):
+    """K2 totals."""
+    return SH.manifest_totals(SH.shard_manifest(_shards(spark, sf_dir)))
+
+
+TABLE_NAMES = ("region nation customer supplier part orders lineitem events documents embeddings "
+               "pages benchmark labels conversations").split()
+
+
+@query("footer_info")
+def footer_info(spark, sf_dir):
+    """Footer facts of the given parquet tables (read on executors)."""
+    paths = [f"{sf_dir}/{t}.parquet" for t in TABLE_NAMES]
+    return parquet_footers(spark, paths).select(
+        F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("table_name"), "num_row_groups", "num_rows"
+    )
+
+
+# ---------------------------------------------------------------- step 5: training input
+from ..operators import sequence as S  # noqa: E402
+from ..operators import tokens as TK  # noqa: E402
+
+BATCH_SIZE = 4
+TOKEN_BUDGET = 512
+
+
+def layout_a_rows(spark, sf_dir, on_missing: str = "skip") -> DataFrame:
+    return I.to_layout_a(records(spark, sf_dir), X.image_blobs(spark, sf_dir), index_of(spark, sf_dir), on_missing)
+
+
+def layout_b_rows(spark, sf_dir) -> DataFrame:
+    return I.to_layout_b(records(spark, sf_dir), X.image_blobs(spark, sf_dir), index_of(spark, sf_dir),
+                         X.task_option_maps(spark, sf_dir))
+
+
+def unified(spark, sf_dir) -> DataFrame:
+    return S.unify_layouts(layout_a_rows(spark, sf_dir), layout_b_rows(spark, sf_dir))
+
+
+@query("dataset_info")
+def dataset_info_q(spark, sf_dir):
+    """K4: info document of the layout-B dataset."""
+    info = K.dataset_info(layout_b_rows(spark, sf_dir), "train.parquet")
+    return info.select("num_samples", "file_path", F.array_join("columns", ",").alias("columns"))
+
+
+@query("interleave_roundtrip")
+def interleave_roundtrip(spark, sf_dir):
+    """Layout-A JSON strings parse back to the entries they were written from."""
+    u = S.unify_layout_a(layout_a_rows(spark, sf_dir))
+    parts = [_section_items(F.col(f"{s}_interleave"), s) for s in ("question", "solution")]
+    return u.select("key", F.inline(F.concat(*parts)))
+
+
+@query("unified_layouts")
+def unified_layouts(spark, sf_dir):
+    """Both layouts in one shape."""
+    return unified(spark, sf_dir).select(
+        "layout", "key", "answer",
+        F.size("question_interleave").cast("long").alias("n_question"),
+        F.size("solution_interleave").cast("long").alias("n_solution"),
+        F.size("question_images").cast("long").alias("n_question_images"),
+        F.size("solution_images").cast("long").alias("n_solution_images"),
+    )
+
+
+@query("reject_reasons")
+def reject_reasons(spark, sf_dir):
+    """Rows per layout and reason."""
+    return S.with_reject_reason(unified(spark, sf_dir)).groupBy("layout", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sequence_plan")
+def sequence_plan_q(spark, sf_dir):
+    """Labelled sequence items of every accepted row."""
+    return S.sequence_items(unified(spark, sf_dir)).select(
+        "layout", "key", "pos", "section", "type", "content", "image_index", "image_ordinal",
+        F.md5("image").alias("image_md5"), "need_loss", "need_vae", "need_vit", "enable_cfg", "special_token",
+    )
+
+
+def _text_rows(spark, sf_dir) -> DataFrame:
+    b = layout_b_rows(spark, sf_dir)
+    return b.select("task_id", TK.training_text(F.col("question_interleave"), F.col("solution_interleave")).alias("text"))
+
+
+@query("training_text")
+def training_text_q(spark, sf_dir):
+    """One training string per layout-B row."""
+    return _text_rows(spark, sf_dir)
+
+
+def _token_rows(spark, sf_dir) -> DataFrame:
+    t = _text_rows(spark, sf_dir).withColumn("tokens", TK.hash_tokenize(F.col("text")))
+    ids, labels = TK.next_token_pairs(F.col("tokens"))
+    return t.select("task_id", "tokens", ids.alias("input_ids"), labels.alias("labels"))
+
+
+@query("token_pairs")
+def token_pairs(spark, sf_dir):
+    """Tokens (truncated to 4096) shifted into ids and labels."""
+    return _token_rows(spark, sf_dir).select(
+        "task_id",
+        F.size("tokens").cast("long").alias("n_tokens"),
+        F.array_join("input_ids", ",").alias("input_ids"),
+        F.array_join("labels", ",").alias("labels"),
+    )
+
+
+@query("padded_batches")
+def padded_batches(spark, sf_dir):
+    """Batches of 4 in task order, padded to the batch maximum."""
+    out = TK.pad_batches(_token_rows(spark, sf_dir), ["task_id"], BATCH_SIZE)
+    return out.select(
+        "task_id", "batch_id", "row_in_batch", F.col("batch_max_len").cast("long").alias("batch_max_len"),
+        F.array_join("input_ids", ",").alias("input_ids"),
+        F.array_join("labels", ",").alias("labels"),
+        F.array_join(F.transform("attention_mask", lambda x: x.cast("int")), ",").alias("attention_mask"),
+    )
+
+
+@query("token_budget")
+def token_budget(spark, sf_dir):
+    """Rows over the token budget are flagged (and counted), not lost."""
+    t = _token_rows(spark, sf_dir)
+    return t.select("task_id", F.size("tokens").cast("long").alias("n_tokens"),
+                    (F.size("tokens") <= TOKEN_BUDGET).alias("kept"))
+
+
+# ---------------------------------------------------------------- step 6: registry and report
+from ..sources.registry import Registry  # noqa: E402
+
+
+@query("registry_lookup")
+def registry_lookup(spark, sf_dir):
+    """Registry entry of the prepared dataset, with counts taken from the data."""
+    a = layout_a_rows(spark, sf_dir)
+    stats = a.agg(F.count(F.lit(1)).alias("num_total_samples")).withColumn(
+        "num_files", F.ceil(F.col("num_total_samples") / F.lit(SAMPLES_PER_FILE)).cast("long")
+    )
+    reg = Registry()
+    reg.register("blockmoving_cot", "blockmoving_train", data_dir="train", parquet_info_path="train/_manifest")
+    info = reg.get_dataset_info("blockmoving_cot", "blockmoving_train")
+    return stats.select(
+        F.lit("blockmoving_cot").alias("type"), F.lit("blockmoving_train").alias("name"),
+        F.lit(info["data_dir"]).alias("data_dir"), F.lit(info["parquet_info_path"]).alias("parquet_info_path"),
+        "num_total_samples", "num_files",
+    )
+
+
+@query("preview")
+def preview(spark, sf_dir):
+    """The first layout-B row, summarised (a top-1 report)."""
+    b = layout_b_rows(spark, sf_dir).orderBy("task_id").limit(1)
+    show = F.transform(
+        F.col("question_interleave"),
+        lambda e: F.when(e["type"] == "text", F.concat(F.substring(e["content"], 1, 50), F.lit("...")))
+        .otherwise(F.concat(F.lit("index="), e["index"].cast("string"))),
+    )
+    return b.select(
+        "task_id", "answer",
+        F.size("question_interleave").cast("long").alias("n_question"),
+        F.size("solution_interleave").cast("long").alias("n_solution"),
+        F.size("question_images").cast("long").alias("n_question_images"),
+        F.size("solution_images").cast("long").alias("n_solution_images"),
+        F.array_join(show, " | ").alias("question_preview"),
+    )
+
+
+def _lengths(spark, sf_dir) -> DataFrame:
+    return layout_b_rows(spark, sf_dir).select(
+        "task_id",
+        F.size("question_interleave").cast("long").alias("n_question"),
+        F.size("solution_interleave").cast("long").alias("n_solution"),
+        F.size("question_images").cast("long").alias("n_question_images"),
+        F.size("solution_images").cast("long").alias("n_solution_images"),
+    )
+
+
+@query("length_profile")
+def length_profile(spark, sf_dir):
+    """List lengths per row."""
+    return _lengths(spark, sf_dir)
+
+
+@query("length_summary")
+def length_summary(spark, sf_dir):
+    """A6 for the whole dataset (exact min / max / sum / count)."""
+    return _lengths(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("n_solution").alias("min_solution"),
+        F.max("n_solution").alias("max_solution"),
+        F.sum("n_solution").alias("sum_solution"),
+        F.sum("n_solution_images").alias("sum_solution_images"),
+    )

@@ -191,18 +191,214 @@ FROM ok_img QUALIFY found"""
 SQL["image_validation"] = "SELECT path, length, format, problem, md5, valid FROM image_index"
 
 
-def oracle_sql() -> dict[str, str]:
-    out = {}
-    for name, body in SQL.items():
-        body = body.strip()
-        if body.startswith(","):
-            out[name] = PREFIX.rstrip() + body + "\n"
-        else:
-            out[name] = PREFIX + body + "\n"
-    return out
-
 SQL["flagship"] = """
 SELECT e.task_id, e.pos, e.type, e.content, e.index AS image_index,
        CASE WHEN e.type = 'image' THEN i.length END AS image_length
 FROM b_entries e JOIN status_b s USING (task_id) LEFT JOIN image_index i ON i.path = e.content
 WHERE s.status = 'ok' AND e.section = 'solution'"""
+
+# ---------------------------------------------------------------- ordering (plain SQL on orders)
+SPLIT = """
+WITH p AS (
+  SELECT o_orderkey, (row_number() OVER (ORDER BY md5(concat('42:', o_orderkey)), o_orderkey) - 1)::BIGINT AS perm_idx,
+         count(*) OVER () AS n FROM orders),
+s AS (SELECT o_orderkey, perm_idx, floor(n::DOUBLE * 0.9::DOUBLE)::BIGINT AS n_train FROM p),
+sp AS (
+  SELECT o_orderkey, perm_idx, CASE WHEN perm_idx < n_train THEN 'train' ELSE 'test' END AS split,
+         CASE WHEN perm_idx < n_train THEN perm_idx ELSE perm_idx - n_train END AS split_idx FROM s)
+"""
+MANIFEST = """
+WITH g AS (SELECT (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS gi FROM orders),
+m AS (SELECT gi // 100 AS shard_id, concat('shard_id=', gi // 100) AS path, count(*) AS num_samples,
+             min(gi) AS start_idx, max(gi) + 1 AS end_idx FROM g GROUP BY gi // 100)
+"""
+PLAIN: dict[str, str] = {
+    "global_index": "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS gi FROM orders",
+    "shuffle_epoch": """SELECT o_orderkey, 1::BIGINT AS epoch,
+        (row_number() OVER (ORDER BY md5(concat('42:1:', o_orderkey)), o_orderkey) - 1)::BIGINT AS gi FROM orders""",
+    "train_test_split": SPLIT + "SELECT o_orderkey, perm_idx, split, split_idx FROM sp",
+    "split_counts": SPLIT + "SELECT split, count(*) AS num_samples FROM sp GROUP BY split",
+    "split_integrity": SPLIT + """
+SELECT 'n_total' AS metric, count(*) AS value FROM orders
+UNION ALL SELECT 'n_train', count(*) FROM sp WHERE split = 'train'
+UNION ALL SELECT 'n_test', count(*) FROM sp WHERE split = 'test'
+UNION ALL SELECT 'n_overlap', count(*) FROM (SELECT o_orderkey FROM sp WHERE split = 'train'
+                                            INTERSECT ALL SELECT o_orderkey FROM sp WHERE split = 'test')
+UNION ALL SELECT 'n_missing', count(*) FROM (SELECT o_orderkey FROM orders EXCEPT ALL SELECT o_orderkey FROM sp)
+UNION ALL SELECT 'n_extra', count(*) FROM (SELECT o_orderkey FROM sp EXCEPT ALL SELECT o_orderkey FROM orders)""",
+    "shard_manifest": MANIFEST + "SELECT shard_id, path, num_samples, start_idx, end_idx FROM m",
+    "shard_totals": MANIFEST + "SELECT sum(num_samples)::BIGINT AS total_samples, count(*)::BIGINT AS num_files FROM m",
+}
+
+# ---------------------------------------------------------------- prepared rows and training input
+
+ROWS = f"""
+, a_ok AS (SELECT task_id FROM status_a WHERE status = 'ok'),
+a_found AS (
+  SELECT r.task_id, r.section, r.pos, i.valid, i.md5,
+         row_number() OVER (PARTITION BY r.task_id, r.section ORDER BY r.pos) - 1 AS fpos
+  FROM a_refs r JOIN a_ok USING (task_id) JOIN image_index i ON i.path = r.path),
+a_nimg AS (SELECT task_id, section, count(*) AS n FROM a_found GROUP BY task_id, section),
+a_ent_ok AS (SELECT e.* FROM a_entries e JOIN a_ok USING (task_id)),
+a_prob AS (
+  SELECT e.task_id, e.section, e.pos,
+         CASE WHEN e.index >= coalesce(n.n, 0) THEN 'index_out_of_bounds'
+              WHEN NOT f.valid THEN 'undecodable_image' END AS problem
+  FROM a_ent_ok e
+  LEFT JOIN a_nimg n ON n.task_id = e.task_id AND n.section = e.section
+  LEFT JOIN a_found f ON f.task_id = e.task_id AND f.section = e.section AND f.fpos = e.index
+  WHERE e.type = 'image'),
+a_first AS (
+  SELECT task_id, arg_min(problem, CASE WHEN section = 'question' THEN 0 ELSE 1 END * 1000000000 + pos) AS problem
+  FROM a_prob WHERE problem IS NOT NULL GROUP BY task_id),
+a_sizes AS (
+  SELECT task_id, count(*) FILTER (WHERE section = 'question') AS nq, count(*) FILTER (WHERE section = 'solution') AS ns
+  FROM a_ent_ok GROUP BY task_id),
+a_isizes AS (
+  SELECT task_id, count(*) FILTER (WHERE section = 'question') AS nqi, count(*) FILTER (WHERE section = 'solution') AS nsi
+  FROM a_found GROUP BY task_id),
+a_reason AS (
+  SELECT o.task_id, CASE WHEN coalesce(z.nq, 0) = 0 OR coalesce(z.ns, 0) = 0 THEN 'untrainable'
+                         ELSE coalesce(f.problem, 'ok') END AS reason
+  FROM a_ok o LEFT JOIN a_sizes z USING (task_id) LEFT JOIN a_first f USING (task_id)),
+b_ok AS (SELECT task_id FROM status_b WHERE status = 'ok'),
+b_sizes AS (
+  SELECT task_id, count(*) AS ns, count(*) FILTER (WHERE type = 'image') AS nsi
+  FROM b_entries WHERE section = 'solution' GROUP BY task_id),
+b_reason AS (
+  SELECT o.task_id, CASE WHEN coalesce(z.ns, 0) > 0 THEN 'ok' ELSE 'untrainable' END AS reason
+  FROM b_ok o LEFT JOIN b_sizes z USING (task_id)),
+b_qtext AS (
+  SELECT b.task_id, {PROMPT_SQL} AS question_text FROM b_ok b LEFT JOIN option_text o ON o.task_id = b.task_id),
+b_text AS (
+  SELECT q.task_id, concat_ws(' ', q.question_text,
+         (SELECT string_agg(e.content, ' ' ORDER BY e.pos) FROM b_entries e
+          WHERE e.task_id = q.task_id AND e.section = 'solution' AND e.type = 'text')) AS text
+  FROM b_qtext q),
+b_tok AS (
+  SELECT task_id, list_slice(list_transform(
+           list_filter(string_split_regex(text, '[\\s\\x0b\\x1c-\\x1f]+'), lambda w: w <> ''),
+           lambda w: (('0x' || substr(md5(w), 1, 8))::BIGINT % 65536)::INT), 1, 4096) AS tokens
+  FROM b_text),
+b_pairs AS (
+  SELECT task_id, tokens,
+         CASE WHEN len(tokens) <= 1 THEN []::INT[] ELSE list_slice(tokens, 1, len(tokens) - 1) END AS ids,
+         CASE WHEN len(tokens) <= 1 THEN []::INT[] ELSE list_slice(tokens, 2, len(tokens)) END AS labels
+  FROM b_tok)"""
+
+ROWS_SQL: dict[str, str] = {}
+
+ROWS_SQL["dataset_info"] = """
+SELECT count(*) AS num_samples, 'train.parquet' AS file_path,
+       'task_id,answer,question_interleave,solution_interleave,question_images,solution_images' AS columns
+FROM b_ok"""
+
+ROWS_SQL["interleave_roundtrip"] = """
+SELECT concat('task_', task_id) AS key, section, pos, type, content, index FROM a_ent_ok"""
+
+ROWS_SQL["unified_layouts"] = """
+SELECT 'a' AS layout, concat('task_', o.task_id) AS key, c.gt AS answer,
+       coalesce(z.nq, 0) AS n_question, coalesce(z.ns, 0) AS n_solution,
+       coalesce(zi.nqi, 0) AS n_question_images, coalesce(zi.nsi, 0) AS n_solution_images
+FROM a_ok o JOIN cot_source c USING (task_id) LEFT JOIN a_sizes z USING (task_id) LEFT JOIN a_isizes zi USING (task_id)
+UNION ALL
+SELECT 'b', concat('task_', o.task_id), c.gt, 2, coalesce(z.ns, 0), 1, coalesce(z.nsi, 0)
+FROM b_ok o JOIN cot_source c USING (task_id) LEFT JOIN b_sizes z USING (task_id)"""
+
+ROWS_SQL["reject_reasons"] = """
+SELECT 'a' AS layout, reason, count(*) AS n FROM a_reason GROUP BY reason
+UNION ALL SELECT 'b', reason, count(*) FROM b_reason GROUP BY reason"""
+
+ROWS_SQL["sequence_plan"] = """
+, items AS (
+  SELECT 'a' AS layout, concat('task_', e.task_id) AS key, e.section, e.pos AS epos, e.type,
+         CASE WHEN e.type = 'text' THEN e.content END AS content,
+         CASE WHEN e.type = 'image' THEN e.index END AS image_index,
+         CASE WHEN e.type = 'image' THEN e.index END AS image_ordinal,
+         CASE WHEN e.type = 'image' THEN f.md5 END AS image_md5,
+         e.section = 'solution' AS need_loss, e.type = 'image' AS need_vae, e.type = 'image' AS need_vit,
+         TRUE AS enable_cfg,
+         CASE WHEN e.section = 'solution' AND e.type = 'text' THEN
+              CASE WHEN lead(e.type) OVER w = 'image' THEN '<|vision_start|>'
+                   WHEN lead(e.type) OVER w IS NULL THEN '<|endoftext|>' ELSE '<|im_start|>' END END AS special_token
+  FROM a_ent_ok e JOIN a_reason r USING (task_id)
+  LEFT JOIN a_found f ON f.task_id = e.task_id AND f.section = e.section AND f.fpos = e.index
+  WHERE r.reason = 'ok'
+  WINDOW w AS (PARTITION BY e.task_id, e.section ORDER BY e.pos)
+  UNION ALL
+  SELECT 'b', concat('task_', q.task_id), 'question', 0, 'text', q.question_text, NULL, NULL, NULL,
+         FALSE, FALSE, FALSE, TRUE, NULL
+  FROM b_qtext q JOIN b_reason r USING (task_id) WHERE r.reason = 'ok'
+  UNION ALL
+  SELECT 'b', concat('task_', e.task_id), e.section, CASE WHEN e.section = 'question' THEN 1 ELSE e.pos END, e.type,
+         CASE WHEN e.type = 'text' THEN e.content END,
+         CASE WHEN e.type = 'image' THEN e.index END, CASE WHEN e.type = 'image' THEN e.index END,
+         CASE WHEN e.type = 'image' THEN i.md5 END,
+         e.section = 'solution', e.type = 'image', e.type = 'image', TRUE,
+         CASE WHEN e.section = 'solution' AND e.type = 'text' THEN
+              CASE WHEN lead(e.type) OVER w2 = 'image' THEN '<|vision_start|>'
+                   WHEN lead(e.type) OVER w2 IS NULL THEN '<|endoftext|>' ELSE '<|im_start|>' END END
+  FROM b_entries e JOIN b_reason r USING (task_id)
+  LEFT JOIN b_refs br ON br.task_id = e.task_id AND br.section = e.section AND br.pos = e.index AND e.type = 'image'
+  LEFT JOIN image_index i ON i.path = br.path
+  WHERE r.reason = 'ok'
+  WINDOW w2 AS (PARTITION BY e.task_id, e.section ORDER BY e.pos))
+SELECT layout, key,
+       (row_number() OVER (PARTITION BY layout, key ORDER BY CASE WHEN section = 'question' THEN 0 ELSE 1 END, epos) - 1)::BIGINT AS pos,
+       section, type, content, image_index::BIGINT AS image_index, image_ordinal::BIGINT AS image_ordinal, image_md5,
+       need_loss, need_vae, need_vit, enable_cfg, special_token
+FROM items"""
+
+ROWS_SQL["training_text"] = "SELECT task_id, text FROM b_text"
+
+ROWS_SQL["token_pairs"] = """
+SELECT task_id, len(tokens)::BIGINT AS n_tokens, array_to_string(ids, ',') AS input_ids,
+       array_to_string(labels, ',') AS labels FROM b_pairs"""
+
+ROWS_SQL["padded_batches"] = """
+, g AS (SELECT *, (row_number() OVER (ORDER BY task_id) - 1)::BIGINT AS gi FROM b_pairs),
+m AS (SELECT *, gi // 4 AS batch_id, gi % 4 AS row_in_batch, max(len(ids)) OVER (PARTITION BY gi // 4) AS mx FROM g)
+SELECT task_id, batch_id, row_in_batch, mx::BIGINT AS batch_max_len,
+       array_to_string(ids || list_transform(range(mx - len(ids)), lambda x: 0), ',') AS input_ids,
+       array_to_string(labels || list_transform(range(mx - len(ids)), lambda x: -100), ',') AS labels,
+       array_to_string(list_transform(range(len(ids)), lambda x: 1) || list_transform(range(mx - len(ids)), lambda x: 0), ',')
+         AS attention_mask
+FROM m"""
+
+ROWS_SQL["token_budget"] = """
+SELECT task_id, len(tokens)::BIGINT AS n_tokens, len(tokens) <= 512 AS kept FROM b_tok"""
+
+ROWS_SQL["registry_lookup"] = """
+SELECT 'blockmoving_cot' AS type, 'blockmoving_train' AS name, 'train' AS data_dir,
+       'train/_manifest' AS parquet_info_path, count(*) AS num_total_samples, ceil(count(*) / 100)::BIGINT AS num_files
+FROM a_ok"""
+
+ROWS_SQL["preview"] = """
+, first AS (SELECT min(task_id) AS task_id FROM b_ok)
+SELECT f.task_id, c.gt AS answer, 2::BIGINT AS n_question, coalesce(z.ns, 0) AS n_solution,
+       1::BIGINT AS n_question_images, coalesce(z.nsi, 0) AS n_solution_images,
+       concat(left(q.question_text, 50), '...', ' | index=0') AS question_preview
+FROM first f JOIN cot_source c USING (task_id) JOIN b_qtext q USING (task_id) LEFT JOIN b_sizes z USING (task_id)"""
+
+LENGTHS = """
+, lens AS (SELECT o.task_id, 2::BIGINT AS n_question, coalesce(z.ns, 0) AS n_solution, 1::BIGINT AS n_question_images,
+                  coalesce(z.nsi, 0) AS n_solution_images FROM b_ok o LEFT JOIN b_sizes z USING (task_id))
+"""
+ROWS_SQL["length_profile"] = LENGTHS + "SELECT * FROM lens"
+ROWS_SQL["length_summary"] = LENGTHS + """
+SELECT count(*) AS rows, min(n_solution) AS min_solution, max(n_solution) AS max_solution,
+       sum(n_solution)::BIGINT AS sum_solution, sum(n_solution_images)::BIGINT AS sum_solution_images FROM lens"""
+
+
+def oracle_sql() -> dict[str, str]:
+    out = {}
+    for name, body in SQL.items():
+        body = body.strip()
+        out[name] = (PREFIX.rstrip() + body if body.startswith(",") else PREFIX + body) + "\n"
+    for name, body in ROWS_SQL.items():
+        body = body.strip()
+        base = PREFIX.rstrip() + ROWS.rstrip()
+        out[name] = (base + body if body.startswith(",") else base + "\n" + body) + "\n"
+    for name, body in PLAIN.items():
+        out[name] = body.strip() + "\n"
+    return out
