@@ -1,10 +1,14 @@
 """Text segmentation as Spark column expressions (no Python in the hot path).
 
-A *segment* is ``struct<type string, content string, ord int>``: ``type`` is
-``'text'`` or ``'image'``, ``content`` is the stripped text or image path and
-``ord`` is, for images, the 0-based ordinal of that image among the images kept
-in the whole text (null for text).  Carrying ``ord`` from the split itself
-gives every image its running index in linear time, without a window.
+A *segment* is ``struct<type string, content string>``: ``type`` is
+``'text'`` or ``'image'`` and ``content`` the stripped text or image path.
+An *entry* adds ``index``: for an image, its 0-based ordinal in its section.
+
+Every lambda here reads only its own element.  Per-row arrays (the split
+parts, the tag payloads, running counts) are passed in as higher-order
+function arguments (``arrays_zip`` / ``zip_with``), so each is computed once per
+row; an outer array referenced inside a lambda body would be re-evaluated for
+every element once the optimizer inlines its projection.
 """
 
 from __future__ import annotations
@@ -37,53 +41,48 @@ def tag_patterns(dotall: bool) -> tuple[str, str]:
     return f"{flag}<image>.*?</image>", f"{flag}<image>(.*?)</image>"
 
 
-def _int_range(n: Column) -> Column:
-    """[0, n) as array<int>; Spark's ``sequence(0, -1)`` would count down."""
-    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-
-
 def image_paths(text: Column, dotall: bool = True) -> Column:
     """All tag payloads in order, unstripped (T6 building block)."""
     return F.regexp_extract_all(text, F.lit(tag_patterns(dotall)[1]), 1)
 
 
+def running_count(arr: Column, pred) -> Column:
+    """``array<int>``: for each element, how many *earlier* elements satisfy
+    ``pred`` — one pass with ``aggregate`` (the lambda sees only its element)."""
+    zero = F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("r"))
+    return F.aggregate(
+        arr,
+        zero,
+        lambda acc, x: F.struct(
+            (acc["n"] + F.when(pred(x), F.lit(1)).otherwise(F.lit(0))).alias("n"),
+            F.concat(acc["r"], F.array(acc["n"])).alias("r"),
+        ),
+        lambda acc: acc["r"],
+    )
+
+
 def segments(text: Column, dotall: bool = True) -> Column:
     """T1 (dotall=True) / T2 (dotall=False): ordered text and image segments.
 
-    Blank text is dropped.  An empty image path is kept in dotall mode and
-    dropped in strict mode.
+    ``split`` gives n+1 text parts and ``regexp_extract_all`` the n tag
+    payloads; they are zipped (payload null after the last part) and
+    flattened into text, image, text, … .  Blank text is dropped.  An empty
+    image path is kept in dotall mode and dropped in strict mode.
     """
     split_pat, _ = tag_patterns(dotall)
-    parts = F.split(text, split_pat, -1)
-    paths = image_paths(text, dotall)
-    n = F.size(paths)
-    if dotall:
-        empties = None
-    else:
-        empties = F.filter(_int_range(n), lambda j: py_strip(F.get(paths, j)) == "")
-
-    def one(i: Column) -> Column:
-        t = F.struct(
-            F.lit("text").alias("type"),
-            py_strip(F.get(parts, i)).alias("content"),
-            F.lit(None).cast("int").alias("ord"),
-        )
-        ordinal = i if empties is None else i - F.size(F.filter(empties, lambda j: j < i))
-        im = F.struct(
-            F.lit("image").alias("type"),
-            py_strip(F.get(paths, i)).alias("content"),
-            ordinal.cast("int").alias("ord"),
-        )
-        return F.when(i < n, F.array(t, im)).otherwise(F.array(t))
+    zipped = F.arrays_zip(F.split(text, split_pat, -1).alias("part"), image_paths(text, dotall).alias("path"))
 
-    raw = F.flatten(F.transform(F.sequence(F.lit(0), n), one))
+    def one(z: Column) -> Column:
+        t = F.struct(F.lit("text").alias("type"), py_strip(z["part"]).alias("content"))
+        im = F.struct(F.lit("image").alias("type"), py_strip(z["path"]).alias("content"))
+        return F.when(z["path"].isNotNull(), F.array(t, im)).otherwise(F.array(t))
 
     def keep(s: Column) -> Column:
         if dotall:
             return (s["type"] == "image") | (s["content"] != "")
         return s["content"] != ""
 
-    return F.filter(raw, keep)
+    return F.filter(F.flatten(F.transform(zipped, one)), keep)
 
 
 def split_layout_a(segs: Column) -> tuple[Column, Column]:
@@ -119,41 +118,34 @@ def split_layout_b(segs: Column) -> tuple[Column, Column]:
     return first, sol
 
 
-def entries(segs: Column, image_base: Column | int = 0, keep_path: bool = True) -> Column:
-    """Segments → interleave entries ``struct<type, content, index>``.
+def is_image(e: Column) -> Column:
+    return e["type"] == "image"
+
 
-    ``index`` is the image's 0-based ordinal within its section
-    (``ord - image_base``).  With ``keep_path=False`` image entries carry no
-    content (the stored shape of layout B).
+def entries(segs: Column, keep_path: bool = True) -> Column:
+    """T5: segments of one section → entries ``struct<type, content, index>``.
+
+    ``index`` is the image's 0-based ordinal within the section (null for
+    text).  With ``keep_path=False`` image entries carry no content (the
+    stored shape of layout B).
     """
-    base = image_base if isinstance(image_base, Column) else F.lit(image_base)
 
-    def one(s: Column) -> Column:
-        is_img = s["type"] == "image"
-        content = s["content"] if keep_path else F.when(~is_img, s["content"])
+    def one(s: Column, n_before: Column) -> Column:
+        img = is_image(s)
+        content = s["content"] if keep_path else F.when(~img, s["content"])
         return F.struct(
             s["type"].alias("type"),
             content.alias("content"),
-            F.when(is_img, (s["ord"] - base).cast("long")).alias("index"),
+            F.when(img, n_before.cast("long")).alias("index"),
         )
 
-    return F.transform(segs, one)
+    return F.zip_with(segs, running_count(segs, is_image), one)
 
 
 def running_image_index(arr: Column) -> Column:
-    """T5 for an arbitrary stored entry list: per entry, the number of image
-    entries before it (null for non-image entries).
-
-    Quadratic in the list length; the ingest path never needs it because the
-    split already carries ``ord``.
-    """
-    return F.transform(
-        arr,
-        lambda e, i: F.when(
-            e["type"] == "image",
-            F.size(F.filter(F.slice(arr, F.lit(1), i), lambda y: y["type"] == "image")).cast("long"),
-        ),
-    )
+    """T5 / W2 for any stored entry list: per entry, the number of image
+    entries before it (null for non-image entries)."""
+    return F.zip_with(arr, running_count(arr, is_image), lambda e, c: F.when(is_image(e), c.cast("long")))
 
 
 def count_images(arr: Column) -> Column:

@@ -26,23 +26,23 @@ def image_index(images: DataFrame) -> DataFrame:
     ).withColumn("valid", F.col("problem").isNull())
 
 
-def image_lookup(refs: DataFrame, index: DataFrame) -> DataFrame:
+def image_lookup(refs: DataFrame, index: DataFrame, hot: dict | None = None) -> DataFrame:
     """Each reference ``(…, path)`` with its file's facts; repeats stay repeats.
 
     ``found`` is false for a path with no file (J3's rows).
     """
     facts = index.select("path", "length", "valid", "md5", F.lit(True).alias("_hit"))
-    return salted_join(refs, facts, "path", "left").withColumn("found", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
+    return salted_join(refs, facts, "path", "left", hot=hot).withColumn("found", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
 
 
-def missing_images(refs: DataFrame, images: DataFrame) -> DataFrame:
+def missing_images(refs: DataFrame, images: DataFrame, hot: dict | None = None) -> DataFrame:
     """References whose file does not exist (the reference's warnings)."""
-    return salted_join(refs, images.select("path"), "path", "left_anti")
+    return salted_join(refs, images.select("path"), "path", "left_anti", hot=hot)
 
 
-def attach_bytes(refs: DataFrame, images: DataFrame) -> DataFrame:
+def attach_bytes(refs: DataFrame, images: DataFrame, hot: dict | None = None) -> DataFrame:
     """J1 with bytes: ``refs`` plus ``content`` (null when the file is missing)."""
-    return salted_join(refs, images.select("path", "content"), "path", "left")
+    return salted_join(refs, images.select("path", "content"), "path", "left", hot=hot)
 
 
 def collect_images(refs_with_bytes: DataFrame, key: str = "task_id") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .images import attach_bytes, collect_images, image_lookup
-from .skew import salted_join
+from .skew import hot_key_rows, hot_keys, salted_join
 
 # The question prompt of layout B, verbatim.
 QUESTION_PROMPT = (
@@ -104,8 +104,8 @@ def parse_layout_a(records: DataFrame) -> DataFrame:
     return (
         segs.withColumn("_q", q)
         .withColumn("_s", s)
-        .withColumn("question_entries", T.entries(F.col("_q"), 0))
-        .withColumn("solution_entries", T.entries(F.col("_s"), T.count_images(F.col("_q"))))
+        .withColumn("question_entries", T.entries(F.col("_q")))
+        .withColumn("solution_entries", T.entries(F.col("_s")))
         .drop("_segs", "_q", "_s")
     )
 
@@ -117,7 +117,7 @@ def parse_layout_b(records: DataFrame) -> DataFrame:
     first, sol = T.split_layout_b(F.col("_segs"))
     return (
         segs.withColumn("question_path", first["content"])
-        .withColumn("solution_entries", T.entries(sol, 1))
+        .withColumn("solution_entries", T.entries(sol))
         .drop("_segs")
     )
 
@@ -146,7 +146,17 @@ def image_refs_b(parsed: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- status
-def status_a(records: DataFrame, index: DataFrame) -> DataFrame:
+def hot_image_paths(records: DataFrame, min_rows: int | None = None) -> dict:
+    """Image paths referenced by at least ``min_rows`` tags, counted once from
+    the raw text (tag payloads, map-side combined).  Shared by every path join
+    of a pipeline, so the detection pass runs once, not once per join."""
+    paths = records.select(
+        F.explode(T.image_paths(F.coalesce(F.col("cot_text"), F.lit("")), dotall=True)).alias("_p")
+    ).select(T.py_strip(F.col("_p")).alias("path"))
+    return hot_keys(paths, "path", min_rows if min_rows is not None else hot_key_rows(records))
+
+
+def status_a(records: DataFrame, index: DataFrame, hot: dict | None = None) -> DataFrame:
     """F11 for layout A: ``mismatch`` → ``render_result`` → ``other`` → ``ok``.
 
     ``other`` also covers "no referenced image exists" (F4).  Adds
@@ -155,7 +165,7 @@ def status_a(records: DataFrame, index: DataFrame) -> DataFrame:
     parsed = parse_layout_a(records.withColumn("_pre", text_status_a()))
     refs = image_refs_a(parsed.filter(F.col("_pre").isNull()))
     found = (
-        salted_join(refs.select("task_id", "path"), index.select("path"), "path", "left_semi")
+        salted_join(refs.select("task_id", "path"), index.select("path"), "path", "left_semi", hot=hot)
         .select("task_id")
         .distinct()
         .withColumn("_found", F.lit(True))
@@ -170,13 +180,13 @@ def status_a(records: DataFrame, index: DataFrame) -> DataFrame:
     )
 
 
-def status_b(records: DataFrame, index: DataFrame) -> DataFrame:
+def status_b(records: DataFrame, index: DataFrame, hot: dict | None = None) -> DataFrame:
     """Layout B: ``no_image`` (F5) → ``image_error`` (F6: a referenced image is
     missing or fails the check) → ``ok``.  Adds parse columns and ``status``."""
     parsed = parse_layout_b(records)
     refs = image_refs_b(parsed)
     bad = (
-        salted_join(refs.select("task_id", "path"), index.filter(F.col("valid")).select("path"), "path", "left_anti")
+        salted_join(refs.select("task_id", "path"), index.filter(F.col("valid")).select("path"), "path", "left_anti", hot=hot)
         .select("task_id")
         .distinct()
         .withColumn("_bad", F.lit(True))
@@ -270,12 +280,12 @@ def to_layout_a(records: DataFrame, images: DataFrame, index: DataFrame, on_miss
     ``id, answer, question_interleave (JSON), solution_interleave (JSON),
     question_images array<binary>, solution_images array<binary>``.
     """
-    ok = status_a(records, index).filter(F.col("status") == STATUS_OK)
-    refs = image_refs_a(ok)
-    found = image_lookup(refs, index).select("task_id", "section", "pos", "found")
-    ok = apply_missing_policy(ok, found, on_missing)
-    refs_kept = image_refs_a(ok)
-    imgs = collect_images(attach_bytes(refs_kept, images))
+    hot = hot_image_paths(records)
+    ok = status_a(records, index, hot).filter(F.col("status") == STATUS_OK)
+    if on_missing != "skip":
+        found = image_lookup(image_refs_a(ok), index, hot).select("task_id", "section", "pos", "found")
+        ok = apply_missing_policy(ok, found, on_missing)
+    imgs = collect_images(attach_bytes(image_refs_a(ok), images, hot))
     empty = F.array().cast("array<binary>")
     return ok.join(imgs, "task_id", "left").select(
         task_key(F.col("task_id")).alias("id"),
@@ -298,9 +308,10 @@ def to_layout_b(records: DataFrame, images: DataFrame, index: DataFrame, option_
     (array<struct<content, index, type>>), question_images, solution_images
     (array<struct<bytes binary>>)``.
     """
-    ok = status_b(records, index).filter(F.col("status") == STATUS_OK)
+    hot = hot_image_paths(records)
+    ok = status_b(records, index, hot).filter(F.col("status") == STATUS_OK)
     ok = join_options(ok, option_maps)
-    imgs = collect_images(attach_bytes(image_refs_b(ok), images))
+    imgs = collect_images(attach_bytes(image_refs_b(ok), images, hot))
     to_bytes = lambda arr: F.transform(arr, lambda b: F.struct(b.alias("bytes")))
     question = F.array(
         _b_entry(question_prompt(F.col("options_text")), F.lit(None), "text"),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.images import image_problem
-from ..functions.text import py_strip, running_image_index
+from ..functions.text import py_strip, running_count
 from ..schemas import ENTRIES_A
 from .ingest import task_key
 
@@ -125,33 +125,46 @@ def reject_counts(unified: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- W1 / N2–N4
-def special_token_label(entries: Column, e: Column, i: Column) -> Column:
-    """W1 for a solution text entry at position ``i`` of the *unfiltered* list."""
-    nxt = F.get(entries, i + 1)
+def special_token_label(next_type: Column, is_last: Column) -> Column:
+    """W1 for a solution text entry, from the *unfiltered* list: the next entry
+    is an image → vision_start; else the entry is last → endoftext; else
+    im_start."""
     return (
-        F.when(nxt["type"] == "image", F.lit(VISION_START))
-        .when(i == F.size(entries) - 1, F.lit(END_OF_TEXT))
+        F.when(next_type == "image", F.lit(VISION_START))
+        .when(is_last, F.lit(END_OF_TEXT))
         .otherwise(F.lit(IM_START))
     )
 
 
 def _items(entries: Column, images: Column, section: str) -> Column:
+    """Sequence items of one section.  Each element is zipped with its
+    neighbour's type, a last-entry flag and its running image count, so the
+    lambda never indexes the outer list."""
     is_q = section == "question"
-    ordinals = running_image_index(entries)
+    n = F.size(entries)
+    types = F.transform(entries, lambda e: e["type"])
+    next_type = F.concat(F.slice(types, 2, F.greatest(n - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
+    is_last = F.concat(F.array_repeat(F.lit(False), F.greatest(n - 1, F.lit(0))), F.array(F.lit(True)))
+    zipped = F.arrays_zip(
+        entries.alias("e"), next_type.alias("nt"), is_last.alias("last"),
+        running_count(entries, lambda e: e["type"] == "image").alias("c"),
+    )
 
-    def one(e: Column, i: Column) -> Column:
+    def one(z: Column) -> Column:
+        e = z["e"]
         is_text = e["type"] == "text"
         is_img = e["type"] == "image"
         text = py_strip(F.coalesce(e["content"], F.lit("")))
-        emitted = (is_text & (text != "")) | is_img  # blank text is skipped, after labels are known
-        label = F.lit(None).cast("string") if is_q else F.when(is_text, special_token_label(entries, e, i))
+        # blank text is skipped, after its neighbours' labels are known
+        emitted = e.isNotNull() & ((is_text & (text != "")) | is_img)
+        label = F.lit(None).cast("string") if is_q else F.when(is_text, special_token_label(z["nt"], z["last"]))
         return F.struct(
             emitted.alias("_emit"),
             F.lit(section).alias("section"),
             e["type"].alias("type"),
             F.when(is_text, text).alias("content"),
             F.when(is_img, F.coalesce(e["index"], F.lit(0))).cast("long").alias("image_index"),
-            F.get(ordinals, i).alias("image_ordinal"),
+            F.when(is_img, z["c"]).cast("long").alias("image_ordinal"),
             F.when(is_img, _image_at(images, e)).alias("image"),
             F.lit(not is_q).alias("need_loss"),
             is_img.alias("need_vae"),
@@ -160,7 +173,7 @@ def _items(entries: Column, images: Column, section: str) -> Column:
             label.alias("special_token"),
         )
 
-    return F.transform(entries, one)
+    return F.transform(zipped, one)
 
 
 def sequence_items(unified: DataFrame) -> DataFrame:

@@ -30,6 +30,10 @@ def _conf_int(df: DataFrame, name: str, default: int) -> int:
         return default
 
 
+def hot_key_rows(df: DataFrame) -> int:
+    return _conf_int(df, "tessera.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
+
+
 def hot_keys(df: DataFrame, key: str, min_rows: int, limit: int = MAX_HOT_KEYS) -> dict:
     """Keys with at least ``min_rows`` rows → their row count (at most ``limit`` keys).
 
@@ -53,18 +57,21 @@ def salted_join(
     key: str,
     how: str = "inner",
     min_rows: int | None = None,
+    hot: dict | None = None,
 ) -> DataFrame:
     """``left.join(right, key, how)`` with hot left keys split over salts.
 
     Supported ``how``: inner, left, left_semi, left_anti (the left side is the
     one that may be skewed; every left row still meets each matching right row
-    exactly once).
+    exactly once).  ``hot`` (key → row count) skips the detection pass when
+    the caller already knows the hot keys of this input.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "leftsemi", "left_anti", "leftanti"):
         raise ValueError(f"salted_join does not support how={how!r}")
     if min_rows is None:
-        min_rows = _conf_int(left, "tessera.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
-    hot = hot_keys(left, key, min_rows)
+        min_rows = hot_key_rows(left)
+    if hot is None:
+        hot = hot_keys(left, key, min_rows)
     if not hot:
         return left.join(right, key, how)
 

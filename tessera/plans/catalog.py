@@ -164,8 +164,10 @@ def images_collected(spark, sf_dir):
 def on_missing_modes(spark, sf_dir):
     """Image entries of ``ok`` layout-A records under skip / drop_row / compact."""
     idx = index_of(spark, sf_dir)
-    ok = I.status_a(records(spark, sf_dir), idx).filter(F.col("status") == I.STATUS_OK)
-    found = image_lookup(I.image_refs_a(ok), idx).select("task_id", "section", "pos", "found")
+    recs = records(spark, sf_dir)
+    hot = I.hot_image_paths(recs)
+    ok = I.status_a(recs, idx, hot).filter(F.col("status") == I.STATUS_OK)
+    found = image_lookup(I.image_refs_a(ok), idx, hot).select("task_id", "section", "pos", "found")
     out = None
     for mode in ("skip", "drop_row", "compact"):
         ents = _explode_entries(I.apply_missing_policy(ok, found, mode), "question", "solution")
