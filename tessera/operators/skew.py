@@ -77,9 +77,9 @@ def salted_join(
 
     salts = {k: min(MAX_SALTS, -(-n // min_rows) + 1) for k, n in hot.items()}
     salt_map = F.create_map(*[x for k, s in salts.items() for x in (F.lit(k), F.lit(s))])
-    n_salts: Column = F.coalesce(F.element_at(salt_map, F.col(key)), F.lit(1))
+    n_salts: Column = F.coalesce(F.element_at(salt_map, F.col(key)), F.lit(1)).cast("int")
 
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     left_s = left.withColumn(SALT, F.when(n_salts > 1, F.pmod(row_hash, n_salts)).otherwise(F.lit(0)).cast("int"))
-    right_s = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), n_salts - 1)).cast("int"))
+    right_s = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), (n_salts - 1).cast("int"))))
     return left_s.join(right_s, [key, SALT], how).drop(SALT)
