@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .images import attach_bytes, collect_images, image_lookup
-from .skew import hot_key_rows, hot_keys, salted_join
+from ..functions.images import image_problem
+from .skew import SAMPLE_ROWS_PER_THRESHOLD, hot_key_rows, hot_keys, salted_join
 
 # The question prompt of layout B, verbatim.
 QUESTION_PROMPT = (
@@ -150,10 +150,15 @@ def hot_image_paths(records: DataFrame, min_rows: int | None = None) -> dict:
     """Image paths referenced by at least ``min_rows`` tags, counted once from
     the raw text (tag payloads, map-side combined).  Shared by every path join
     of a pipeline, so the detection pass runs once, not once per join."""
-    paths = records.select(
+    min_rows = min_rows if min_rows is not None else hot_key_rows(records)
+    fraction = min(1.0, SAMPLE_ROWS_PER_THRESHOLD / max(min_rows, 1))
+    # sample records before the regex runs, so detection parses only the sample
+    src = records if fraction >= 1.0 else records.sample(fraction=fraction, seed=17)
+    paths = src.select(
         F.explode(T.image_paths(F.coalesce(F.col("cot_text"), F.lit("")), dotall=True)).alias("_p")
     ).select(T.py_strip(F.col("_p")).alias("path"))
-    return hot_keys(paths, "path", min_rows if min_rows is not None else hot_key_rows(records))
+    found = hot_keys(paths, "path", max(1, int(min_rows * fraction * 0.5)) if fraction < 1.0 else min_rows)
+    return {k: int(round(n / fraction)) for k, n in found.items()} if fraction < 1.0 else found
 
 
 def status_a(records: DataFrame, index: DataFrame, hot: dict | None = None) -> DataFrame:
@@ -233,6 +238,34 @@ def join_options(records: DataFrame, option_maps: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- missing images
+def _missing_cols(df: DataFrame, mode: str) -> DataFrame:
+    """J4 on entries, given ``_miss_question`` / ``_miss_solution`` (sorted
+    positions of image entries whose file is missing)."""
+    if mode == "skip":
+        return df
+    miss = {s: F.coalesce(F.col(f"_miss_{s}"), F.array().cast("array<long>")) for s in SECTIONS}
+    if mode == "drop_row":
+        return df.filter((F.size(miss["question"]) + F.size(miss["solution"])) == 0)
+    if mode != "compact":
+        raise ValueError(f"unknown on_missing mode {mode!r}")
+    out = df
+    for s in SECTIONS:
+        col = f"{s}_entries"
+        out = out.withColumn(col, _compact(F.col(col), miss[s]))
+    return out
+
+
+def _compact(entries: Column, missing: Column) -> Column:
+    """Entries without the missing images, image indexes renumbered 0..k-1."""
+    flagged = F.zip_with(
+        entries,
+        F.array_repeat(missing, F.size(entries)),
+        lambda e, m: F.struct(e.alias("e"), ((e["type"] == "image") & F.array_contains(m, e["index"])).alias("gone")),
+    )
+    kept = F.transform(F.filter(flagged, lambda x: ~x["gone"]), lambda x: x["e"])
+    return T.entries(F.transform(kept, lambda e: F.struct(e["type"].alias("type"), e["content"].alias("content"))))
+
+
 def apply_missing_policy(parsed: DataFrame, refs_found: DataFrame, mode: str) -> DataFrame:
     """J4 on layout-A entries.
 
@@ -247,53 +280,63 @@ def apply_missing_policy(parsed: DataFrame, refs_found: DataFrame, mode: str) ->
     if mode == "skip":
         return parsed
     missing = refs_found.filter(~F.col("found")).groupBy("task_id").agg(
-        *[
-            F.collect_list(F.when(F.col("section") == s, F.col("pos"))).alias(f"_miss_{s}")
-            for s in SECTIONS
-        ]
+        *[F.array_sort(F.collect_list(F.when(F.col("section") == s, F.col("pos")))).alias(f"_miss_{s}") for s in SECTIONS]
     )
-    if mode == "drop_row":
-        return parsed.join(missing.select("task_id"), "task_id", "left_anti")
-    if mode != "compact":
-        raise ValueError(f"unknown on_missing mode {mode!r}")
-    joined = parsed.join(missing, "task_id", "left")
-    for s in SECTIONS:
-        miss = F.coalesce(F.col(f"_miss_{s}"), F.array().cast("array<long>"))
-        col = f"{s}_entries"
-        kept = F.filter(F.col(col), lambda e: ~((e["type"] == "image") & F.array_contains(miss, e["index"])))
-        joined = joined.withColumn(
-            col,
-            F.transform(
-                kept,
-                lambda e: e.withField(
-                    "index", F.when(e["type"] == "image", e["index"] - F.size(F.filter(miss, lambda m: m < e["index"])))
-                ),
-            ),
-        )
-    return joined.drop(*[f"_miss_{s}" for s in SECTIONS])
+    return _missing_cols(parsed.join(missing, "task_id", "left"), mode).drop(*[f"_miss_{s}" for s in SECTIONS])
 
 
 # ---------------------------------------------------------------- layouts
-def to_layout_a(records: DataFrame, images: DataFrame, index: DataFrame, on_missing: str = "skip") -> DataFrame:
+def task_images(joined: DataFrame, key: str = "task_id") -> DataFrame:
+    """One pass over ``key, section, pos, content`` (content null = missing):
+    per record the ordered byte lists of each section (A3), the positions of
+    missing images per section, and the found / bad counts that the status
+    rules need.  Validity is checked on the bytes already in hand."""
+    item = F.struct(F.col("pos").alias("p"), F.col("content").alias("b"))
+    present = F.col("content").isNotNull()
+    bad = ~present | image_problem(F.col("content")).isNotNull()
+
+    def images_of(s: str) -> Column:
+        return F.transform(
+            F.array_sort(F.collect_list(F.when((F.col("section") == s) & present, item))), lambda x: x["b"]
+        )
+
+    def missing_of(s: str) -> Column:
+        return F.array_sort(F.collect_list(F.when((F.col("section") == s) & ~present, F.col("pos"))))
+
+    return joined.groupBy(key).agg(
+        images_of("question").alias("question_images"),
+        images_of("solution").alias("solution_images"),
+        missing_of("question").alias("_miss_question"),
+        missing_of("solution").alias("_miss_solution"),
+        F.count("content").alias("_n_found"),
+        F.sum(F.when(bad, 1).otherwise(0)).alias("_n_bad"),
+    )
+
+
+def to_layout_a(records: DataFrame, images: DataFrame, on_missing: str = "skip", hot: dict | None = None) -> DataFrame:
     """Records → layout A rows (P4), for ``ok`` records only.
 
     ``id, answer, question_interleave (JSON), solution_interleave (JSON),
     question_images array<binary>, solution_images array<binary>``.
+
+    Plan: text checks and parsing are map-only; references join the image
+    files once (salted on ``path``); one ``groupBy(task_id)`` gives the byte
+    lists and the found count; one join brings them back to the records.
+    A record is ``ok`` when at least one referenced image exists (F4).
     """
-    hot = hot_image_paths(records)
-    ok = status_a(records, index, hot).filter(F.col("status") == STATUS_OK)
-    if on_missing != "skip":
-        found = image_lookup(image_refs_a(ok), index, hot).select("task_id", "section", "pos", "found")
-        ok = apply_missing_policy(ok, found, on_missing)
-    imgs = collect_images(attach_bytes(image_refs_a(ok), images, hot))
-    empty = F.array().cast("array<binary>")
-    return ok.join(imgs, "task_id", "left").select(
+    if hot is None:
+        hot = hot_image_paths(records)
+    cand = parse_layout_a(records.filter(text_status_a().isNull()))
+    joined = salted_join(image_refs_a(cand), images.select("path", "content"), "path", "left", hot=hot)
+    facts = task_images(joined).filter(F.col("_n_found") > 0)
+    ok = _missing_cols(cand.join(facts, "task_id"), on_missing)
+    return ok.select(
         task_key(F.col("task_id")).alias("id"),
         F.col("gt").alias("answer"),
         F.to_json(F.col("question_entries")).alias("question_interleave"),
         F.to_json(F.col("solution_entries")).alias("solution_interleave"),
-        F.coalesce(F.col("question_images"), empty).alias("question_images"),
-        F.coalesce(F.col("solution_images"), empty).alias("solution_images"),
+        "question_images",
+        "solution_images",
     )
 
 
@@ -301,17 +344,20 @@ def _b_entry(content: Column, index: Column, typ: str) -> Column:
     return F.struct(content.cast("string").alias("content"), index.cast("long").alias("index"), F.lit(typ).alias("type"))
 
 
-def to_layout_b(records: DataFrame, images: DataFrame, index: DataFrame, option_maps: DataFrame) -> DataFrame:
-    """Records → layout B rows (P4), ``ok`` records only: every image loaded and valid.
+def to_layout_b(records: DataFrame, images: DataFrame, option_maps: DataFrame, hot: dict | None = None) -> DataFrame:
+    """Records → layout B rows (P4), ``ok`` records only: at least one image,
+    and every referenced image present and valid (F5, F6).
 
     ``task_id, answer, question_interleave, solution_interleave
     (array<struct<content, index, type>>), question_images, solution_images
-    (array<struct<bytes binary>>)``.
+    (array<struct<bytes binary>>)``.  Same one-join, one-group plan as layout A.
     """
-    hot = hot_image_paths(records)
-    ok = status_b(records, index, hot).filter(F.col("status") == STATUS_OK)
-    ok = join_options(ok, option_maps)
-    imgs = collect_images(attach_bytes(image_refs_b(ok), images, hot))
+    if hot is None:
+        hot = hot_image_paths(records)
+    parsed = parse_layout_b(records).filter(F.col("question_path").isNotNull())
+    joined = salted_join(image_refs_b(parsed), images.select("path", "content"), "path", "left", hot=hot)
+    facts = task_images(joined).filter(F.col("_n_bad") == 0)
+    ok = join_options(parsed.join(facts, "task_id"), option_maps)
     to_bytes = lambda arr: F.transform(arr, lambda b: F.struct(b.alias("bytes")))
     question = F.array(
         _b_entry(question_prompt(F.col("options_text")), F.lit(None), "text"),
@@ -325,7 +371,7 @@ def to_layout_b(records: DataFrame, images: DataFrame, index: DataFrame, option_
             e["type"].alias("type"),
         ),
     )
-    return ok.join(imgs, "task_id", "left").select(
+    return ok.select(
         "task_id",
         F.col("gt").alias("answer"),
         question.alias("question_interleave"),

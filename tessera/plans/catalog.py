@@ -38,6 +38,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.cot_source(spark, sf_dir)
 
 
+@X._per_session
 def index_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return image_index(X.image_blobs(spark, sf_dir))
 
@@ -272,17 +273,17 @@ BATCH_SIZE = 4
 TOKEN_BUDGET = 512
 
 
-def layout_a_rows(spark, sf_dir, on_missing: str = "skip") -> DataFrame:
-    return I.to_layout_a(records(spark, sf_dir), X.image_blobs(spark, sf_dir), index_of(spark, sf_dir), on_missing)
+def layout_a_rows(spark, sf_dir, on_missing: str = "skip", hot: dict | None = None) -> DataFrame:
+    return I.to_layout_a(records(spark, sf_dir), X.image_blobs(spark, sf_dir), on_missing, hot)
 
 
-def layout_b_rows(spark, sf_dir) -> DataFrame:
-    return I.to_layout_b(records(spark, sf_dir), X.image_blobs(spark, sf_dir), index_of(spark, sf_dir),
-                         X.task_option_maps(spark, sf_dir))
+def layout_b_rows(spark, sf_dir, hot: dict | None = None) -> DataFrame:
+    return I.to_layout_b(records(spark, sf_dir), X.image_blobs(spark, sf_dir), X.task_option_maps(spark, sf_dir), hot)
 
 
 def unified(spark, sf_dir) -> DataFrame:
-    return S.unify_layouts(layout_a_rows(spark, sf_dir), layout_b_rows(spark, sf_dir))
+    hot = I.hot_image_paths(records(spark, sf_dir))  # one detection pass for both layouts
+    return S.unify_layouts(layout_a_rows(spark, sf_dir, hot=hot), layout_b_rows(spark, sf_dir, hot=hot))
 
 
 @query("dataset_info")

@@ -8,10 +8,29 @@ the tables.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _per_session(fn):
+    """Build a view's plan once per (session, folder).  DataFrames are
+    immutable plans, so reusing one re-executes it from the files each time;
+    only the file listing and the Python-side plan construction are saved."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, *args):
+        key = (id(spark), spark.sparkContext.applicationId, *args)
+        if key not in cache:
+            cache[key] = fn(spark, *args)
+        return cache[key]
+
+    return wrapper
+
+
+@_per_session
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -20,6 +39,7 @@ def _letter(n: F.Column) -> F.Column:
     return F.chr(F.lit(65) + n)
 
 
+@_per_session
 def cot_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records ``task_id long, gt, pred, cot_text`` — one per conversation.
 
@@ -57,6 +77,7 @@ PNG_MAGIC_HEX = "89504E470D0A1A0A"
 PNG_IEND_HEX = "0000000049454E44AE426082"
 
 
+@_per_session
 def image_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image files ``path string, content binary``: PNG-like, corrupt, or absent."""
     conv = table(spark, sf_dir, "conversations")
@@ -75,6 +96,7 @@ def image_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_per_session
 def task_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per option ``task_id long, k string, v string``.
 
@@ -91,6 +113,7 @@ def task_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_per_session
 def task_option_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``task_id, options map<string,string>`` — the parsed ``data.json`` shape."""
     return task_options(spark, sf_dir).groupBy("task_id").agg(

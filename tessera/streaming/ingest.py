@@ -56,7 +56,7 @@ def start_layout_a_ingest(
         statuses = I.status_a(batch, index)
         (I.ingest_report(statuses).withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").parquet(f"{out}/_status/batch_id={batch_id}"))
-        rows = I.to_layout_a(batch, images, index, on_missing)
+        rows = I.to_layout_a(batch, images, on_missing)
         rows.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
 
     writer = (
