@@ -68,13 +68,13 @@ def cot_normalised(spark, sf_dir):
 @query("ingest_status_a")
 def ingest_status_a(spark, sf_dir):
     """Layout A status counts."""
-    return I.ingest_report(I.status_a(records(spark, sf_dir), index_of(spark, sf_dir)))
+    return I.ingest_report(I.status_a(records(spark, sf_dir), index_of(spark, sf_dir), hot_paths(spark, sf_dir)))
 
 
 @query("ingest_status_b")
 def ingest_status_b(spark, sf_dir):
     """Layout B status counts."""
-    return I.ingest_report(I.status_b(records(spark, sf_dir), index_of(spark, sf_dir)))
+    return I.ingest_report(I.status_b(records(spark, sf_dir), index_of(spark, sf_dir), hot_paths(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- step 2: segmentation
@@ -111,6 +111,7 @@ def layout_b_entries(spark, sf_dir):
     return _explode_entries(parsed.withColumn("question_entries", q), "question", "solution")
 
 
+@X._per_session
 def refs_a(spark, sf_dir) -> DataFrame:
     return I.image_refs_a(I.parse_layout_a(records(spark, sf_dir)))
 
@@ -125,13 +126,13 @@ def image_refs(spark, sf_dir):
 @query("image_lookup")
 def image_lookup_q(spark, sf_dir):
     """Every reference with its file's length, md5 and validity (or not found)."""
-    return image_lookup(refs_a(spark, sf_dir), index_of(spark, sf_dir))
+    return image_lookup(refs_a(spark, sf_dir), index_of(spark, sf_dir), hot_paths(spark, sf_dir))
 
 
 @query("missing_images")
 def missing_images_q(spark, sf_dir):
     """References with no file."""
-    return missing_images(refs_a(spark, sf_dir), X.image_blobs(spark, sf_dir))
+    return missing_images(refs_a(spark, sf_dir), X.image_blobs(spark, sf_dir), hot_paths(spark, sf_dir))
 
 
 @query("options_text")
@@ -150,7 +151,7 @@ def question_prompt_q(spark, sf_dir):
 @query("images_collected")
 def images_collected(spark, sf_dir):
     """A3: per record, md5 of each section's image bytes in order (missing skipped)."""
-    got = collect_images(attach_bytes(refs_a(spark, sf_dir), X.image_blobs(spark, sf_dir)))
+    got = collect_images(attach_bytes(refs_a(spark, sf_dir), X.image_blobs(spark, sf_dir), hot_paths(spark, sf_dir)))
     md5s = lambda c: F.array_join(F.transform(F.col(c), lambda b: F.md5(b)), ",")
     return got.select(
         "task_id",
@@ -166,7 +167,7 @@ def on_missing_modes(spark, sf_dir):
     """Image entries of ``ok`` layout-A records under skip / drop_row / compact."""
     idx = index_of(spark, sf_dir)
     recs = records(spark, sf_dir)
-    hot = I.hot_image_paths(recs)
+    hot = hot_paths(spark, sf_dir)
     ok = I.status_a(recs, idx, hot).filter(F.col("status") == I.STATUS_OK)
     found = image_lookup(I.image_refs_a(ok), idx, hot).select("task_id", "section", "pos", "found")
     out = None
@@ -214,6 +215,7 @@ def shuffle_epoch(spark, sf_dir):
     return out.select("o_orderkey", F.lit(SHUFFLE_EPOCH).cast("long").alias("epoch"), "gi")
 
 
+@X._per_session
 def _split(spark, sf_dir):
     return O.train_test_split(orders(spark, sf_dir).select("o_orderkey"), "o_orderkey", SPLIT_RATIO, SPLIT_SEED)
 
@@ -236,6 +238,7 @@ def split_integrity_q(spark, sf_dir):
     return O.split_integrity(_split(spark, sf_dir), orders(spark, sf_dir), "o_orderkey")
 
 
+@X._per_session
 def _shards(spark, sf_dir):
     return SH.assign_shards(orders(spark, sf_dir).select("o_orderkey"), ["o_orderkey"], SAMPLES_PER_FILE)
 
@@ -273,17 +276,26 @@ BATCH_SIZE = 4
 TOKEN_BUDGET = 512
 
 
-def layout_a_rows(spark, sf_dir, on_missing: str = "skip", hot: dict | None = None) -> DataFrame:
-    return I.to_layout_a(records(spark, sf_dir), X.image_blobs(spark, sf_dir), on_missing, hot)
+@X._per_session
+def hot_paths(spark, sf_dir) -> dict:
+    """Hot image paths of the record view (one sampled detection pass)."""
+    return I.hot_image_paths(records(spark, sf_dir))
+
+
+@X._per_session
+def layout_a_rows(spark, sf_dir, on_missing: str = "skip") -> DataFrame:
+    return I.to_layout_a(records(spark, sf_dir), X.image_blobs(spark, sf_dir), on_missing, hot_paths(spark, sf_dir))
 
 
-def layout_b_rows(spark, sf_dir, hot: dict | None = None) -> DataFrame:
-    return I.to_layout_b(records(spark, sf_dir), X.image_blobs(spark, sf_dir), X.task_option_maps(spark, sf_dir), hot)
+@X._per_session
+def layout_b_rows(spark, sf_dir) -> DataFrame:
+    return I.to_layout_b(records(spark, sf_dir), X.image_blobs(spark, sf_dir), X.task_option_maps(spark, sf_dir),
+                         hot_paths(spark, sf_dir))
 
 
+@X._per_session
 def unified(spark, sf_dir) -> DataFrame:
-    hot = I.hot_image_paths(records(spark, sf_dir))  # one detection pass for both layouts
-    return S.unify_layouts(layout_a_rows(spark, sf_dir, hot=hot), layout_b_rows(spark, sf_dir, hot=hot))
+    return S.unify_layouts(layout_a_rows(spark, sf_dir), layout_b_rows(spark, sf_dir))
 
 
 @query("dataset_info")
@@ -328,6 +340,7 @@ def sequence_plan_q(spark, sf_dir):
     )
 
 
+@X._per_session
 def _text_rows(spark, sf_dir) -> DataFrame:
     b = layout_b_rows(spark, sf_dir)
     return b.select("task_id", TK.training_text(F.col("question_interleave"), F.col("solution_interleave")).alias("text"))
@@ -339,6 +352,7 @@ def training_text_q(spark, sf_dir):
     return _text_rows(spark, sf_dir)
 
 
+@X._per_session
 def _token_rows(spark, sf_dir) -> DataFrame:
     t = _text_rows(spark, sf_dir).withColumn("tokens", TK.hash_tokenize(F.col("text")))
     ids, labels = TK.next_token_pairs(F.col("tokens"))
@@ -416,6 +430,7 @@ def preview(spark, sf_dir):
     )
 
 
+@X._per_session
 def _lengths(spark, sf_dir) -> DataFrame:
     return layout_b_rows(spark, sf_dir).select(
         "task_id",

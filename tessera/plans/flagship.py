@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import ingest as I
 from ..operators.images import image_index
 from ..sources import fixtures as X
-from .catalog import query
+from .catalog import hot_paths, query
 
 
 @query("flagship")
@@ -17,7 +17,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     (F5, F6, J1), then the solution entries of accepted records (T1, T4, T5)
     with each image's byte length."""
     idx = image_index(X.image_blobs(spark, sf_dir))
-    ok = I.status_b(X.cot_source(spark, sf_dir), idx).filter(F.col("status") == I.STATUS_OK)
+    ok = I.status_b(X.cot_source(spark, sf_dir), idx, hot_paths(spark, sf_dir)).filter(F.col("status") == I.STATUS_OK)
     ents = ok.select("task_id", F.posexplode("solution_entries").alias("pos", "e")).select(
         "task_id", F.col("pos").cast("long").alias("pos"), F.col("e.type").alias("type"),
         F.col("e.content").alias("content"), F.col("e.index").alias("image_index"),

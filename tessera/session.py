@@ -22,6 +22,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Text segmentation is CPU-bound per byte: keep post-shuffle stages
+        # parallel instead of coalescing them into one 1 MB task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", os.environ.get("TESSERA_MIN_PARTITION", "64k"))
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", os.environ.get("TESSERA_ADVISORY_PARTITION", "16m"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 def _per_session(fn):
     """Build a view's plan once per (session, folder).  DataFrames are
     immutable plans, so reusing one re-executes it from the files each time;
-    only the file listing and the Python-side plan construction are saved."""
+    only the file listing, plan-time statistics (hot keys) and the Python-side
+    plan construction are shared."""
     cache: dict = {}
 
     @functools.wraps(fn)
