@@ -82,7 +82,7 @@ def test_missing_step_image_modes(spark):
     assert sol("skip") == [[("text", "x", None), ("image", "gone", 0), ("text", "y", None), ("image", "c", 1)]]
     assert sol("drop_row") == []
     assert sol("compact") == [[("text", "x", None), ("text", "y", None), ("image", "c", 0)]]
-    rows = I.to_layout_a(recs, images, idx, "skip").collect()
+    rows = I.to_layout_a(recs, images, "skip").collect()
     assert len(rows) == 1 and len(rows[0].solution_images) == 1  # bytes of 'gone' are absent, index kept
 
 
