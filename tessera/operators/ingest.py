@@ -137,6 +137,24 @@ def image_refs_a(parsed: DataFrame) -> DataFrame:
     )
 
 
+def _stripped_paths(dotall: bool) -> Column:
+    paths = F.transform(T.image_paths(F.coalesce(F.col("cot_text"), F.lit("")), dotall=dotall), T.py_strip)
+    return paths if dotall else F.filter(paths, lambda p: p != "")
+
+
+def kept_image_refs(records: DataFrame, dotall: bool) -> DataFrame:
+    """``task_id, ord, path``: every kept image of each record in text order,
+    from the tag payloads alone (no segmentation of the text parts).
+
+    dotall (layout B): every tag is an image, empty paths included; ord 0 is the
+    question image, ord k the solution image with index k-1.  Strict
+    (layout A): blank paths are dropped; only ord 0 can be in the question.
+    """
+    return records.select("task_id", F.posexplode(_stripped_paths(dotall)).alias("ord", "path")).withColumn(
+        "ord", F.col("ord").cast("long")
+    )
+
+
 def image_refs_b(parsed: DataFrame) -> DataFrame:
     """T6 for layout B: the first image is question image 0."""
     q = F.array(F.struct(F.lit("question").alias("section"), F.lit(0).cast("long").alias("pos"), F.col("question_path").alias("path")))
@@ -168,7 +186,7 @@ def status_a(records: DataFrame, index: DataFrame, hot: dict | None = None) -> D
     ``question_entries``, ``solution_entries`` and ``status``.
     """
     parsed = parse_layout_a(records.withColumn("_pre", text_status_a()))
-    refs = image_refs_a(parsed.filter(F.col("_pre").isNull()))
+    refs = kept_image_refs(records.filter(text_status_a().isNull()), dotall=False)
     found = (
         salted_join(refs.select("task_id", "path"), index.select("path"), "path", "left_semi", hot=hot)
         .select("task_id")
@@ -189,7 +207,7 @@ def status_b(records: DataFrame, index: DataFrame, hot: dict | None = None) -> D
     """Layout B: ``no_image`` (F5) → ``image_error`` (F6: a referenced image is
     missing or fails the check) → ``ok``.  Adds parse columns and ``status``."""
     parsed = parse_layout_b(records)
-    refs = image_refs_b(parsed)
+    refs = kept_image_refs(records, dotall=True)
     bad = (
         salted_join(refs.select("task_id", "path"), index.filter(F.col("valid")).select("path"), "path", "left_anti", hot=hot)
         .select("task_id")
@@ -287,49 +305,71 @@ def apply_missing_policy(parsed: DataFrame, refs_found: DataFrame, mode: str) ->
 
 # ---------------------------------------------------------------- layouts
 def task_images(joined: DataFrame, key: str = "task_id") -> DataFrame:
-    """One pass over ``key, section, pos, content`` (content null = missing):
-    per record the ordered byte lists of each section (A3), the positions of
-    missing images per section, and the found / bad counts that the status
-    rules need.  Validity is checked on the bytes already in hand."""
-    item = F.struct(F.col("pos").alias("p"), F.col("content").alias("b"))
+    """One pass over ``key, ord, content`` (content null = missing file): per
+    record all its images in text order with their bytes (A3 before the
+    section split), and the found / bad counts the status rules need.
+    Validity is checked on the bytes already in hand."""
     present = F.col("content").isNotNull()
     bad = ~present | image_problem(F.col("content")).isNotNull()
-
-    def images_of(s: str) -> Column:
-        return F.transform(
-            F.array_sort(F.collect_list(F.when((F.col("section") == s) & present, item))), lambda x: x["b"]
-        )
-
-    def missing_of(s: str) -> Column:
-        return F.array_sort(F.collect_list(F.when((F.col("section") == s) & ~present, F.col("pos"))))
-
     return joined.groupBy(key).agg(
-        images_of("question").alias("question_images"),
-        images_of("solution").alias("solution_images"),
-        missing_of("question").alias("_miss_question"),
-        missing_of("solution").alias("_miss_solution"),
+        F.array_sort(F.collect_list(F.struct(F.col("ord").alias("ord"), F.col("content").alias("b")))).alias("_imgs"),
         F.count("content").alias("_n_found"),
         F.sum(F.when(bad, 1).otherwise(0)).alias("_n_bad"),
     )
 
 
+def _split_images(df: DataFrame, q_count: Column) -> DataFrame:
+    """Per-section byte lists and missing positions from ``_imgs`` (ordered by
+    ``ord``), given how many of the first images belong to the question.  The
+    count rides along as a zipped argument so the lambdas read only their
+    element."""
+    tagged = F.zip_with(
+        F.col("_imgs"),
+        F.array_repeat(q_count.cast("long"), F.size(F.col("_imgs"))),
+        lambda x, q: F.struct(
+            (x["ord"] < q).alias("q"),
+            F.when(x["ord"] < q, x["ord"]).otherwise(x["ord"] - q).alias("idx"),
+            x["b"].alias("b"),
+        ),
+    )
+    out = df.withColumn("_tagged", tagged)
+
+    def picker(in_q: bool, present: bool):
+        def pred(y: Column) -> Column:
+            side = y["q"] if in_q else ~y["q"]
+            return side & (y["b"].isNotNull() if present else y["b"].isNull())
+
+        return pred
+
+    for name, in_q in (("question", True), ("solution", False)):
+        out = out.withColumn(
+            f"{name}_images", F.transform(F.filter(F.col("_tagged"), picker(in_q, True)), lambda y: y["b"])
+        ).withColumn(
+            f"_miss_{name}", F.transform(F.filter(F.col("_tagged"), picker(in_q, False)), lambda y: y["idx"])
+        )
+    return out.drop("_tagged", "_imgs")
+
+
 def to_layout_a(records: DataFrame, images: DataFrame, on_missing: str = "skip", hot: dict | None = None) -> DataFrame:
     """Records → layout A rows (P4), for ``ok`` records only.
 
     ``id, answer, question_interleave (JSON), solution_interleave (JSON),
     question_images array<binary>, solution_images array<binary>``.
 
-    Plan: text checks and parsing are map-only; references join the image
-    files once (salted on ``path``); one ``groupBy(task_id)`` gives the byte
-    lists and the found count; one join brings them back to the records.
-    A record is ``ok`` when at least one referenced image exists (F4).
+    Plan: text checks are map-only; the kept image paths (tag payloads) join
+    the image files once (salted on ``path``); one ``groupBy(task_id)`` gives
+    the ordered bytes and the found count; one join brings them back to the
+    parsed records, where they are split into sections.  A record is ``ok``
+    when at least one referenced image exists (F4).
     """
     if hot is None:
         hot = hot_image_paths(records)
-    cand = parse_layout_a(records.filter(text_status_a().isNull()))
-    joined = salted_join(image_refs_a(cand), images.select("path", "content"), "path", "left", hot=hot)
+    pending = records.filter(text_status_a().isNull())
+    joined = salted_join(kept_image_refs(pending, dotall=False), images.select("path", "content"), "path", "left", hot=hot)
     facts = task_images(joined).filter(F.col("_n_found") > 0)
-    ok = _missing_cols(cand.join(facts, "task_id"), on_missing)
+    cand = parse_layout_a(pending).join(facts, "task_id")
+    ok = _split_images(cand, T.count_images(F.col("question_entries")))
+    ok = _missing_cols(ok, on_missing)
     return ok.select(
         task_key(F.col("task_id")).alias("id"),
         F.col("gt").alias("answer"),
@@ -354,10 +394,10 @@ def to_layout_b(records: DataFrame, images: DataFrame, option_maps: DataFrame, h
     """
     if hot is None:
         hot = hot_image_paths(records)
-    parsed = parse_layout_b(records).filter(F.col("question_path").isNotNull())
-    joined = salted_join(image_refs_b(parsed), images.select("path", "content"), "path", "left", hot=hot)
+    joined = salted_join(kept_image_refs(records, dotall=True), images.select("path", "content"), "path", "left", hot=hot)
     facts = task_images(joined).filter(F.col("_n_bad") == 0)
-    ok = join_options(parsed.join(facts, "task_id"), option_maps)
+    parsed = parse_layout_b(records).filter(F.col("question_path").isNotNull())
+    ok = join_options(_split_images(parsed.join(facts, "task_id"), F.lit(1)), option_maps)
     to_bytes = lambda arr: F.transform(arr, lambda b: F.struct(b.alias("bytes")))
     question = F.array(
         _b_entry(question_prompt(F.col("options_text")), F.lit(None), "text"),
