@@ -42,3 +42,26 @@ def test_hot_key_is_spread_over_tasks(spark):
             spark.conf.set(k, v)
     assert len(plain) == 1  # unsalted: the whole hot key lands in one task
     assert len(per_task) > 1 and max(r["count"] for r in per_task) < 1000
+
+
+def test_pipeline_with_a_shared_image(spark):
+    """A third of the records point at the same image: the salted plan gives
+    the same layout rows as the plain one."""
+    from tessera.operators import ingest as I
+
+    png = bytes.fromhex("89504E470D0A1A0A") + b"x" + bytes.fromhex("0000000049454E44AE426082")
+    recs = []
+    for i in range(300):
+        first = "shared.png" if i % 3 == 0 else f"own_{i}.png"
+        recs.append((i, "A", "A", f"<image>{first}</image> step {i} <image>s_{i % 7}.png</image> end"))
+    records = spark.createDataFrame(recs, "task_id long, gt string, pred string, cot_text string")
+    images = spark.createDataFrame(
+        [("shared.png", png)] + [(f"own_{i}.png", png) for i in range(300)] + [(f"s_{k}.png", png) for k in range(7)],
+        "path string, content binary")
+    options = spark.createDataFrame([], "task_id long, options map<string,string>")
+    hot = I.hot_image_paths(records, min_rows=20)
+    assert "shared.png" in hot and hot["shared.png"] == 100
+    for build in (lambda h: I.to_layout_a(records, images, "skip", h), lambda h: I.to_layout_b(records, images, options, h)):
+        plain = sorted(map(lambda r: tuple(map(str, r)), build({}).collect()))
+        salted = sorted(map(lambda r: tuple(map(str, r)), build(hot).collect()))
+        assert plain == salted and len(plain) == 300
