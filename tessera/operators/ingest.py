@@ -256,7 +256,7 @@ def join_options(records: DataFrame, option_maps: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- missing images
-def _missing_cols(df: DataFrame, mode: str) -> DataFrame:
+def missing_policy(df: DataFrame, mode: str) -> DataFrame:
     """J4 on entries, given ``_miss_question`` / ``_miss_solution`` (sorted
     positions of image entries whose file is missing)."""
     if mode == "skip":
@@ -300,7 +300,7 @@ def apply_missing_policy(parsed: DataFrame, refs_found: DataFrame, mode: str) ->
     missing = refs_found.filter(~F.col("found")).groupBy("task_id").agg(
         *[F.array_sort(F.collect_list(F.when(F.col("section") == s, F.col("pos")))).alias(f"_miss_{s}") for s in SECTIONS]
     )
-    return _missing_cols(parsed.join(missing, "task_id", "left"), mode).drop(*[f"_miss_{s}" for s in SECTIONS])
+    return missing_policy(parsed.join(missing, "task_id", "left"), mode).drop(*[f"_miss_{s}" for s in SECTIONS])
 
 
 # ---------------------------------------------------------------- layouts
@@ -350,6 +350,19 @@ def _split_images(df: DataFrame, q_count: Column) -> DataFrame:
     return out.drop("_tagged", "_imgs")
 
 
+def layout_a_candidates(records: DataFrame, images: DataFrame, hot: dict | None = None) -> DataFrame:
+    """``ok`` layout-A records with parsed entries, per-section image bytes and
+    the positions of missing images (``_miss_question`` / ``_miss_solution``),
+    before any missing-image policy is applied."""
+    if hot is None:
+        hot = hot_image_paths(records)
+    pending = records.filter(text_status_a().isNull())
+    joined = salted_join(kept_image_refs(pending, dotall=False), images.select("path", "content"), "path", "left", hot=hot)
+    facts = task_images(joined).filter(F.col("_n_found") > 0)
+    cand = parse_layout_a(pending).join(facts, "task_id")
+    return _split_images(cand, T.count_images(F.col("question_entries")))
+
+
 def to_layout_a(records: DataFrame, images: DataFrame, on_missing: str = "skip", hot: dict | None = None) -> DataFrame:
     """Records → layout A rows (P4), for ``ok`` records only.
 
@@ -362,14 +375,7 @@ def to_layout_a(records: DataFrame, images: DataFrame, on_missing: str = "skip",
     parsed records, where they are split into sections.  A record is ``ok``
     when at least one referenced image exists (F4).
     """
-    if hot is None:
-        hot = hot_image_paths(records)
-    pending = records.filter(text_status_a().isNull())
-    joined = salted_join(kept_image_refs(pending, dotall=False), images.select("path", "content"), "path", "left", hot=hot)
-    facts = task_images(joined).filter(F.col("_n_found") > 0)
-    cand = parse_layout_a(pending).join(facts, "task_id")
-    ok = _split_images(cand, T.count_images(F.col("question_entries")))
-    ok = _missing_cols(ok, on_missing)
+    ok = missing_policy(layout_a_candidates(records, images, hot), on_missing)
     return ok.select(
         task_key(F.col("task_id")).alias("id"),
         F.col("gt").alias("answer"),

@@ -165,14 +165,10 @@ def images_collected(spark, sf_dir):
 @query("on_missing_modes")
 def on_missing_modes(spark, sf_dir):
     """Image entries of ``ok`` layout-A records under skip / drop_row / compact."""
-    idx = index_of(spark, sf_dir)
-    recs = records(spark, sf_dir)
-    hot = hot_paths(spark, sf_dir)
-    ok = I.status_a(recs, idx, hot).filter(F.col("status") == I.STATUS_OK)
-    found = image_lookup(I.image_refs_a(ok), idx, hot).select("task_id", "section", "pos", "found")
+    ok = I.layout_a_candidates(records(spark, sf_dir), X.image_blobs(spark, sf_dir), hot_paths(spark, sf_dir))
     out = None
     for mode in ("skip", "drop_row", "compact"):
-        ents = _explode_entries(I.apply_missing_policy(ok, found, mode), "question", "solution")
+        ents = _explode_entries(I.missing_policy(ok, mode), "question", "solution")
         ents = ents.filter(F.col("type") == "image").select(
             F.lit(mode).alias("mode"), "task_id", "section", F.col("pos").alias("entry_pos"), "content", "index"
         )
