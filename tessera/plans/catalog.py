@@ -14,8 +14,15 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import ingest as I
+from ..operators import order as O
+from ..operators import sequence as S
+from ..operators import tokens as TK
 from ..operators.images import attach_bytes, collect_images, image_index, image_lookup, missing_images
+from ..sinks import files as K
+from ..sinks import shards as SH
 from ..sources import fixtures as X
+from ..sources.footers import parquet_footers
+from ..sources.registry import Registry
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -183,10 +190,6 @@ def image_validation(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- step 4: ordering at scale
-from ..operators import order as O  # noqa: E402
-from ..sinks import files as K  # noqa: E402
-from ..sinks import shards as SH  # noqa: E402
-from ..sources.footers import parquet_footers  # noqa: E402
 
 SPLIT_SEED = 42
 SPLIT_RATIO = 0.9
@@ -265,8 +268,6 @@ def footer_info(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- step 5: training input
-from ..operators import sequence as S  # noqa: E402
-from ..operators import tokens as TK  # noqa: E402
 
 BATCH_SIZE = 4
 TOKEN_BUDGET = 512
@@ -387,7 +388,6 @@ def token_budget(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- step 6: registry and report
-from ..sources.registry import Registry  # noqa: E402
 
 
 @query("registry_lookup")

@@ -38,3 +38,32 @@ def row_group_info(footers: DataFrame) -> DataFrame:
 def write_json_doc(doc: DataFrame, out: str) -> None:
     """Write a small (one-row) info document as JSON."""
     doc.coalesce(1).write.mode("overwrite").json(out)
+
+
+def row_counts(df: DataFrame, by: str = "file") -> DataFrame:
+    """A4: rows per input file (``by='file'``, from the scan's hidden
+    ``_metadata.file_path``) or per value of a column (e.g. ``split``)."""
+    if by == "file":
+        return df.select(F.col("_metadata.file_path").alias("file_path")).groupBy("file_path").agg(
+            F.count(F.lit(1)).alias("num_samples"))
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("num_samples"))
+
+
+def length_profile(df: DataFrame, cols: list[str]) -> DataFrame:
+    """A6 for a whole dataset: min / avg / max and approximate quartiles of
+    each list-length column, as ``column, min, avg, max, p25, p50, p75`` rows
+    (one aggregation pass; percentiles are approximate by design)."""
+    parts = []
+    for c in cols:
+        parts.append(df.agg(
+            F.lit(c).alias("column"),
+            F.min(c).cast("long").alias("min"),
+            F.avg(c).alias("avg"),
+            F.max(c).cast("long").alias("max"),
+            F.percentile_approx(c, [0.25, 0.5, 0.75]).alias("_q"),
+        ).select("column", "min", "avg", "max", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
+                 F.col("_q")[2].alias("p75")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

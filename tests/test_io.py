@@ -101,3 +101,14 @@ def test_layout_a_json_is_parseable(spark):
         q = json.loads(r.question_interleave)
         assert all("type" in e for e in q)
         assert all(("index" in e) == (e["type"] == "image") for e in q)
+
+
+def test_row_counts_and_profile(spark, tmp_path):
+    out = str(tmp_path / "rc")
+    SH.write_shards(C.orders(spark, SF_SMALL), out, ["o_orderkey"], samples_per_file=400)
+    per_file = K.row_counts(read_pairs(spark, out)).collect()
+    assert sorted(r.num_samples for r in per_file) == [300, 400, 400, 400]
+    prof = {r.column: r for r in K.length_profile(C.layout_b_rows(spark, SF_SMALL).select(
+        F.size("solution_interleave").alias("n_solution")), ["n_solution"]).collect()}
+    r = prof["n_solution"]
+    assert r.min <= r.p25 <= r.p50 <= r.p75 <= r.max and r.min <= r.avg <= r.max
