@@ -42,8 +42,8 @@ def convert_layout_a(spark: SparkSession, input_path: str, output: str, image_di
     records = read_cot(spark, input_path)
     images = read_images(spark, image_dir)
     report = I.ingest_report(I.status_a(records, image_index(images))).collect()
-    rows = I.to_layout_a(records, images, on_missing).checkpoint()
-    manifest = SH.write_shards(rows, output, ["id"], samples_per_file)
+    rows = I.to_layout_a(records, images, on_missing)
+    manifest = SH.write_shards(rows, output, ["id"], samples_per_file)  # checkpoints its input
     return spark.createDataFrame(report), manifest
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.order import chunk, global_index
+from ..session import ensure_checkpoint_dir
 
 
 def shard_path(shard_id: Column) -> Column:
@@ -42,13 +43,19 @@ def manifest_totals(manifest: DataFrame) -> DataFrame:
 
 
 def write_shards(df: DataFrame, out: str, order: list[str | Column], samples_per_file: int = 100,
-                 num_ranges: int | None = None, mode: str = "overwrite") -> DataFrame:
-    """K1: write ``out/shard_id=<s>/part-*.parquet`` and ``out/_manifest`` (JSON).
+                 num_ranges: int | None = None, mode: str = "overwrite", materialize: bool = True) -> DataFrame:
+    """K1: write ``out/shard_id=<s>/part-*.parquet`` and ``out_manifest`` (JSON).
 
-    An empty input writes an empty dataset with the right schema and a zero
-    manifest (the reference writes nothing).  Returns the manifest DataFrame
-    read back from disk.
+    Indexing reads its input three times (range sampling, per-range counts,
+    the write), so unless ``materialize=False`` the input is first written to
+    the session's shared checkpoint folder with a reliable ``checkpoint()``
+    and read from there.  An empty input writes an empty dataset with the
+    right schema and a zero manifest (the reference writes nothing).  Returns
+    the manifest DataFrame read back from disk.
     """
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint()
     sharded = assign_shards(df, order, samples_per_file, num_ranges)
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     (

@@ -42,3 +42,15 @@ def test_filters_reach_the_scan(spark):
 def test_image_index_reads_each_blob_once(spark):
     plan = _plan(image_index(X.image_blobs(spark, SF_MID)))
     assert plan.count("FileScan parquet") == 1
+
+
+def test_no_cartesian_or_python_in_registered_queries(spark):
+    """Every registered query: no cartesian / nested-loop join, and Python
+    only where declared (the footer reader)."""
+    import __spark_entry__ as E
+
+    for name, fn in E.queries().items():
+        plan = _plan(fn(spark, SF_MID))
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+        if name != "footer_info":
+            assert "Python" not in plan and "ArrowEval" not in plan, name
