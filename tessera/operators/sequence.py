@@ -76,13 +76,20 @@ def unify_layouts(a: DataFrame | None, b: DataFrame | None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- N5 / F7–F10 / J5
+def _python_index(images: Column, e: Column) -> Column:
+    """A stored ``index`` read the way a Python list is indexed: a missing
+    index means 0, and a negative one counts from the end."""
+    idx = F.coalesce(e["index"], F.lit(0))
+    return F.when(idx < 0, idx + F.size(images)).otherwise(idx)
+
+
 def _image_at(images: Column, e: Column) -> Column:
-    """Positional dereference ``images[index]``; a missing index means 0."""
-    return F.get(images, F.coalesce(e["index"], F.lit(0)).cast("int"))
+    """Positional dereference ``images[index]`` (null when out of range)."""
+    return F.get(images, _python_index(images, e).cast("int"))
 
 
 def _entry_problem(e: Column, images: Column) -> Column:
-    idx = F.coalesce(e["index"], F.lit(0))
+    idx = _python_index(images, e)
     return (
         F.when(e["type"].isNull(), F.lit(REASON_NO_TYPE))
         .when((e["type"] == "image") & ((idx >= F.size(images)) | (idx < 0)), F.lit(REASON_OUT_OF_BOUNDS))

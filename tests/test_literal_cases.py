@@ -115,3 +115,19 @@ def test_shift_and_pad(spark):
     assert out[1].input_ids == [5, 6] and out[2].input_ids == [0, 0]
     assert out[1].labels == [6, 7] and out[2].labels == [-100, -100]
     assert out[1].attention_mask == [1.0, 1.0] and out[2].attention_mask == [0.0, 0.0]
+
+
+def test_python_style_image_index(spark):
+    """``images[index]``: missing index → 0, negative counts from the end,
+    beyond either end → rejected."""
+    png = bytes.fromhex("89504E470D0A1A0A") + b"x" + bytes.fromhex("0000000049454E44AE426082")
+    schema = ("layout string, key string, answer string, question_interleave array<struct<type:string,content:string,index:long>>, "
+              "solution_interleave array<struct<type:string,content:string,index:long>>, question_images array<binary>, "
+              "solution_images array<binary>, parse_ok boolean")
+    rows = []
+    for key, idx in [("neg1", -1), ("neg2", -2), ("neg3", -3), ("none", None), ("two", 2)]:
+        rows.append(("a", key, "A", [("image", None, 0)], [("text", "t", None), ("image", None, idx)], [png], [png, b"bad"], True))
+    df = spark.createDataFrame(rows, schema)
+    got = {r.key: r.reason for r in S.with_reject_reason(df).collect()}
+    assert got == {"neg1": S.REASON_UNDECODABLE, "neg2": S.REASON_OK, "neg3": S.REASON_OUT_OF_BOUNDS,
+                   "none": S.REASON_OK, "two": S.REASON_OUT_OF_BOUNDS}
