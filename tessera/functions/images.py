@@ -30,8 +30,20 @@ RIFF_MAGIC = "52494646"
 WEBP_TAG = "57454250"
 
 
-def image_format(content: Column) -> Column:
-    head = F.hex(F.substring(content, 1, 12))
+def image_signature(content: Column) -> Column:
+    """``struct<null, len, head, tail>``: the bytes' first and last 12 bytes
+    as hex.  Computing it once lets a lambda test the bytes through field
+    reads (lambdas get no common-subexpression elimination)."""
+    return F.struct(
+        content.isNull().alias("null"),
+        F.length(content).alias("len"),
+        F.hex(F.substring(content, 1, 12)).alias("head"),
+        F.hex(F.substring(content, -12, 12)).alias("tail"),
+    )
+
+
+def format_of(sig: Column) -> Column:
+    head = sig["head"]
     return (
         F.when(head.startswith(PNG_MAGIC), F.lit("png"))
         .when(head.startswith(JPEG_MAGIC), F.lit("jpeg"))
@@ -41,20 +53,30 @@ def image_format(content: Column) -> Column:
     )
 
 
-def image_problem(content: Column) -> Column:
-    """Null when the bytes pass the level-1 check, else a reason string."""
-    fmt = image_format(content)
-    tail = F.hex(F.substring(content, -12, 12))
+def problem_of(sig: Column) -> Column:
+    """Null when the signature passes the level-1 check, else a reason."""
+    head, tail = sig["head"], sig["tail"]
+    png, jpeg = head.startswith(PNG_MAGIC), head.startswith(JPEG_MAGIC)
+    gif = head.startswith(GIF87_MAGIC) | head.startswith(GIF89_MAGIC)
     return (
-        F.when(content.isNull(), F.lit("missing"))
-        .when(F.length(content) == 0, F.lit("empty"))
-        .when(fmt.isNull(), F.lit("unknown_format"))
-        .when((fmt == "png") & ~tail.endswith(PNG_TRAILER), F.lit("truncated"))
-        .when((fmt == "jpeg") & ~tail.endswith(JPEG_TRAILER), F.lit("truncated"))
-        .when((fmt == "gif") & ~tail.endswith(GIF_TRAILER), F.lit("truncated"))
+        F.when(sig["null"], F.lit("missing"))
+        .when(sig["len"] == 0, F.lit("empty"))
+        .when(format_of(sig).isNull(), F.lit("unknown_format"))
+        .when(png & ~tail.endswith(PNG_TRAILER), F.lit("truncated"))
+        .when(jpeg & ~tail.endswith(JPEG_TRAILER), F.lit("truncated"))
+        .when(gif & ~tail.endswith(GIF_TRAILER), F.lit("truncated"))
     )
 
 
+def image_format(content: Column) -> Column:
+    return format_of(image_signature(content))
+
+
+def image_problem(content: Column) -> Column:
+    """Null when the bytes pass the level-1 check, else a reason string."""
+    return problem_of(image_signature(content))
+
+
 def png_problem(data: bytes | None) -> str | None:
     """Strict PNG structure check: signature, IHDR first, every chunk CRC, IEND last."""
     if data is None:

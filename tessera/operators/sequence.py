@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.images import image_problem
+from ..functions.images import image_signature, problem_of
 from ..functions.text import py_strip, running_count
 from ..schemas import ENTRIES_A
 from .ingest import task_key
@@ -88,17 +88,29 @@ def _image_at(images: Column, e: Column) -> Column:
     return F.get(images, _python_index(images, e).cast("int"))
 
 
-def _entry_problem(e: Column, images: Column) -> Column:
-    idx = _python_index(images, e)
-    return (
-        F.when(e["type"].isNull(), F.lit(REASON_NO_TYPE))
-        .when((e["type"] == "image") & ((idx >= F.size(images)) | (idx < 0)), F.lit(REASON_OUT_OF_BOUNDS))
-        .when((e["type"] == "image") & image_problem(_image_at(images, e)).isNotNull(), F.lit(REASON_UNDECODABLE))
+def _resolved(entries: Column, images: Column) -> Column:
+    """Each entry with its Python-style index and the signature of the image
+    it points at, computed once per element."""
+    with_img = F.transform(
+        entries, lambda e: F.struct(e.alias("e"), _python_index(images, e).alias("i"), _image_at(images, e).alias("b"))
+    )
+    return F.transform(
+        with_img, lambda x: F.struct(x["e"].alias("e"), x["i"].alias("i"), image_signature(x["b"]).alias("sig"))
     )
 
 
 def _first_problem(entries: Column, images: Column) -> Column:
-    return F.get(F.filter(F.transform(entries, lambda e: _entry_problem(e, images)), lambda r: r.isNotNull()), 0)
+    n = F.size(images)
+
+    def problem(x: Column) -> Column:
+        e, idx = x["e"], x["i"]
+        return (
+            F.when(e["type"].isNull(), F.lit(REASON_NO_TYPE))
+            .when((e["type"] == "image") & ((idx >= n) | (idx < 0)), F.lit(REASON_OUT_OF_BOUNDS))
+            .when((e["type"] == "image") & problem_of(x["sig"]).isNotNull(), F.lit(REASON_UNDECODABLE))
+        )
+
+    return F.get(F.filter(F.transform(_resolved(entries, images), problem), lambda r: r.isNotNull()), 0)
 
 
 def reject_reason() -> Column:
