@@ -390,6 +390,10 @@ def token_budget(spark, sf_dir):
 # ---------------------------------------------------------------- step 6: registry and report
 
 
+DATASET_TYPE = "interleaved_cot"
+DATASET_NAME = "cot_train"
+
+
 @query("registry_lookup")
 def registry_lookup(spark, sf_dir):
     """Registry entry of the prepared dataset, with counts taken from the data."""
@@ -398,10 +402,12 @@ def registry_lookup(spark, sf_dir):
         "num_files", F.ceil(F.col("num_total_samples") / F.lit(SAMPLES_PER_FILE)).cast("long")
     )
     reg = Registry()
-    reg.register("blockmoving_cot", "blockmoving_train", data_dir="train", parquet_info_path="train/_manifest")
-    info = reg.get_dataset_info("blockmoving_cot", "blockmoving_train")
+    reg.register(DATASET_TYPE, DATASET_NAME, handler=S.sequence_plan, data_dir="train",
+                 parquet_info_path="train/_manifest")
+    info = reg.get_dataset_info(DATASET_TYPE, DATASET_NAME)
+    assert reg.get_dataset_class(DATASET_TYPE) is S.sequence_plan  # U4: type → row-to-sequence handler
     return stats.select(
-        F.lit("blockmoving_cot").alias("type"), F.lit("blockmoving_train").alias("name"),
+        F.lit(DATASET_TYPE).alias("type"), F.lit(DATASET_NAME).alias("name"),
         F.lit(info["data_dir"]).alias("data_dir"), F.lit(info["parquet_info_path"]).alias("parquet_info_path"),
         "num_total_samples", "num_files",
     )

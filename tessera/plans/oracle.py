@@ -369,7 +369,7 @@ ROWS_SQL["token_budget"] = """
 SELECT task_id, len(tokens)::BIGINT AS n_tokens, len(tokens) <= 512 AS kept FROM b_tok"""
 
 ROWS_SQL["registry_lookup"] = """
-SELECT 'blockmoving_cot' AS type, 'blockmoving_train' AS name, 'train' AS data_dir,
+SELECT 'interleaved_cot' AS type, 'cot_train' AS name, 'train' AS data_dir,
        'train/_manifest' AS parquet_info_path, count(*) AS num_total_samples, ceil(count(*) / 100)::BIGINT AS num_files
 FROM a_ok"""
 
