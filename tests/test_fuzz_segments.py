@@ -69,3 +69,10 @@ def test_special_labels(spark):
             {S.VISION_START: "vision_start", S.END_OF_TEXT: "endoftext", S.IM_START: "im_start"}[r.special_token])
     for i, ents in enumerate(lists):
         assert got.get(f"k{i}", []) == O.special_labels(ents), ents
+
+
+def test_strip_long_whitespace_runs(spark):
+    texts = ["a" + " " * 20000 + "b" + "\n" * 5000, " " * 30000, "\t x \t"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    got = {r.id: r.s for r in df.select("id", T.py_strip(F.col("t")).alias("s")).collect()}
+    assert got == {i: t.strip() for i, t in enumerate(texts)}
