@@ -76,3 +76,27 @@ def test_strip_long_whitespace_runs(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
     got = {r.id: r.s for r in df.select("id", T.py_strip(F.col("t")).alias("s")).collect()}
     assert got == {i: t.strip() for i, t in enumerate(texts)}
+
+
+def test_segments_property(spark):
+    """Hypothesis-generated tag soup, checked in batches (one DataFrame per example)."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    piece = st.sampled_from(["<image>", "</image>", "<image></image>", "p.png", " ", "\n", "\r\n", "　",
+                             "\x1d", "word", "<imag", "e>", "/", "é"])
+    texts = st.lists(st.lists(piece, max_size=12).map("".join), min_size=50, max_size=150)
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(texts)
+    def check(batch):
+        df = spark.createDataFrame(list(enumerate(batch)), "id long, t string")
+        sd, ss = T.segments(F.col("t"), True), T.segments(F.col("t"), False)
+        qa, sa = T.split_layout_a(ss)
+        for r in df.select("id", sd.alias("sd"), T.entries(qa).alias("qa"), T.entries(sa).alias("sa")).collect():
+            t = batch[r.id]
+            assert [(s.type, s.content) for s in r.sd] == O.segments_dotall(t)
+            ent = lambda xs: [(e["type"], e["content"], e["index"]) for e in xs]
+            assert (ent(r.qa), ent(r.sa)) == O.layout_a(t)
+
+    check()
