@@ -26,7 +26,7 @@ from ..operators.order import train_test_split
 from ..session import ensure_checkpoint_dir, local_session
 from ..sinks import files as K
 from ..sinks import shards as SH
-from ..sources.footers import parquet_files, parquet_footers
+from ..sources.footers import dataset_footers
 from ..sources.images import read_images
 from ..sources.records import read_cot, read_pairs, read_task_options
 
@@ -77,7 +77,7 @@ def split_dataset(spark: SparkSession, input_path: str, output: str, ratio: floa
 
 def parquet_info(spark: SparkSession, input_path: str, output: str | None = None) -> DataFrame:
     """Row groups and rows per file of a parquet dataset (read on executors)."""
-    doc = K.row_group_info(parquet_footers(spark, parquet_files(spark, input_path)))
+    doc = K.row_group_info(dataset_footers(spark, input_path))
     if output:
         K.write_json_doc(doc, output)
     return doc

@@ -45,3 +45,19 @@ def parquet_footers(spark: SparkSession, paths: list[str]) -> DataFrame:
     n = max(1, min(len(paths), int(spark.conf.get("spark.sql.shuffle.partitions", "8"))))
     files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
     return files.mapInArrow(_footer_batches, FOOTER)
+
+
+def dataset_footers(spark: SparkSession, path: str) -> DataFrame:
+    """S5 for a whole dataset folder: Spark lists the ``*.parquet`` files (the
+    ``binaryFile`` source with only ``path`` selected, so no file is read by
+    the listing) and executors read the footers — the file list never passes
+    through Python on the driver."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
+        .select("path")
+    )
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    return files.repartition(n).mapInArrow(_footer_batches, FOOTER)

@@ -13,7 +13,7 @@ from tessera.plans import catalog as C
 from tessera.sinks import files as K
 from tessera.sinks import shards as SH
 from tessera.sources import fixtures as X
-from tessera.sources.footers import parquet_files, parquet_footers
+from tessera.sources.footers import dataset_footers, parquet_files, parquet_footers
 from tessera.sources.images import read_images
 from tessera.sources.records import read_cot, read_pairs, read_task_options
 from tessera.sources.registry import Registry, load_mixture, lookup
@@ -65,6 +65,10 @@ def test_write_shards_manifest_and_footers(spark, tmp_path):
     assert foot.agg(F.sum("num_rows")).collect()[0][0] == orders.count()
     doc = K.row_group_info(foot).collect()[0].row_groups
     assert len(doc) == len(files) and all(v.num_rows > 0 for v in doc.values())
+    listed = dataset_footers(spark, out)
+    assert sorted((r.num_rows, r.num_row_groups) for r in listed.collect()) == sorted(
+        (r.num_rows, r.num_row_groups) for r in foot.collect())
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1][:80]
 
 
 def test_dataset_info_and_layout_b_roundtrip(spark, tmp_path):
