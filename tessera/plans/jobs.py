@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +32,24 @@ from ..sources.images import read_images
 from ..sources.records import read_cot, read_pairs, read_task_options
 
 
+def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet below the shared checkpoint folder and read
+    it back.  Source records are parsed from JSON once; both branches of a
+    conversion plan (image references and output rows) then scan the columnar
+    copy with column pruning.  The written table also cuts the lineage."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-staging/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def convert_layout_a(spark: SparkSession, input_path: str, output: str, image_dir: str | None = None,
                      samples_per_file: int = 100, on_missing: str = "skip") -> tuple[DataFrame, DataFrame]:
     """Records → layout A shards of ``samples_per_file`` rows + manifest.
 
     Returns (status counts, manifest).  Shards follow ``id`` order.
     """
-    ensure_checkpoint_dir(spark)
     image_dir = image_dir or os.path.dirname(os.path.abspath(input_path))
-    records = read_cot(spark, input_path)
+    records = staged(spark, read_cot(spark, input_path), "records")
     images = read_images(spark, image_dir)
     report = I.ingest_report(I.status_a(records, image_index(images))).collect()
     rows = I.to_layout_a(records, images, on_missing)
@@ -49,7 +59,7 @@ def convert_layout_a(spark: SparkSession, input_path: str, output: str, image_di
 
 def convert_layout_b(spark: SparkSession, input_path: str, image_root: str, output: str) -> DataFrame:
     """Records → one layout-B dataset at ``output/train`` + ``output/train_info``."""
-    records = read_cot(spark, input_path)
+    records = staged(spark, read_cot(spark, input_path), "records")
     images = read_images(spark, image_root)
     options = read_task_options(spark, image_root)
     rows = I.to_layout_b(records, images, options)
