@@ -4,6 +4,8 @@
     python -m tessera.plans.jobs convert-b --input recs.jsonl --image-root data --output out_b
     python -m tessera.plans.jobs split --input out_b/train --output out_b/split
     python -m tessera.plans.jobs parquet-info --input out_b/split/split=train --output out_b/train_info
+    python -m tessera.plans.jobs sequences --input out_a --output seq_a
+    python -m tessera.plans.jobs token-batches --input out_b/split/split=train --output batches
 
 Each job is one lazy plan per write.  Where a plan's result feeds several
 passes (the shard writer samples, counts and writes), it is materialised with
@@ -22,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ingest as I
+from ..operators import sequence as S
+from ..operators import tokens as TK
 from ..operators.images import image_index
 from ..operators.order import train_test_split
 from ..session import ensure_checkpoint_dir, local_session
@@ -85,6 +89,45 @@ def split_dataset(spark: SparkSession, input_path: str, output: str, ratio: floa
     return counts
 
 
+def _unified(df: DataFrame) -> DataFrame:
+    """A prepared dataset of either layout in the unified shape."""
+    if "id" in df.columns:
+        return S.unify_layout_a(df)
+    return S.unify_layout_b(df)
+
+
+def write_sequences(spark: SparkSession, input_path: str, output: str) -> DataFrame:
+    """Prepared rows → one labelled sequence per accepted row (U4), plus the
+    count of rejected rows by reason (N5) at ``output_reasons``."""
+    unified = _unified(read_pairs(spark, input_path))
+    S.sequence_plan(unified).write.mode("overwrite").parquet(output)
+    reasons = S.reject_counts(unified)
+    K.write_json_doc(reasons, f"{output}_reasons")
+    return reasons
+
+
+def write_token_batches(spark: SparkSession, input_path: str, output: str, batch_size: int = 4,
+                        max_length: int = TK.MAX_LENGTH, max_tokens: int | None = None) -> DataFrame:
+    """Layout-B rows → shifted, padded next-token batches.
+
+    Rows over ``max_tokens`` are written to ``output_over_budget`` instead of
+    being lost.  Returns the batch count and padding totals.
+    """
+    df = read_pairs(spark, input_path)
+    text = df.select("task_id", TK.training_text(F.col("question_interleave"), F.col("solution_interleave")).alias("text"))
+    toks = text.withColumn("tokens", TK.hash_tokenize(F.col("text"), max_length=max_length))
+    if max_tokens is not None:
+        toks, over = TK.token_budget_filter(toks, "tokens", max_tokens)
+        over.select("task_id", F.size("tokens").alias("n_tokens")).write.mode("overwrite").parquet(f"{output}_over_budget")
+    ids, labels = TK.next_token_pairs(F.col("tokens"))
+    pairs = toks.select("task_id", ids.alias("input_ids"), labels.alias("labels"))
+    batches = TK.pad_batches(pairs, ["task_id"], batch_size)
+    batches.select("batch_id", "row_in_batch", "task_id", "input_ids", "labels", "attention_mask").write.mode(
+        "overwrite").parquet(output)
+    return read_pairs(spark, output).agg(
+        F.countDistinct("batch_id").alias("num_batches"), F.count(F.lit(1)).alias("num_rows"))
+
+
 def parquet_info(spark: SparkSession, input_path: str, output: str | None = None) -> DataFrame:
     """Row groups and rows per file of a parquet dataset (read on executors)."""
     doc = K.row_group_info(dataset_footers(spark, input_path))
@@ -114,6 +157,15 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("parquet-info")
     p.add_argument("--input", required=True)
     p.add_argument("--output")
+    q = sub.add_parser("sequences")
+    q.add_argument("--input", required=True)
+    q.add_argument("--output", required=True)
+    t = sub.add_parser("token-batches")
+    t.add_argument("--input", required=True)
+    t.add_argument("--output", required=True)
+    t.add_argument("--batch-size", type=int, default=4)
+    t.add_argument("--max-length", type=int, default=TK.MAX_LENGTH)
+    t.add_argument("--max-tokens", type=int)
     args = ap.parse_args(argv)
     spark = SparkSession.getActiveSession() or local_session()
     if args.cmd == "convert-a":
@@ -125,6 +177,11 @@ def main(argv: list[str] | None = None) -> None:
         convert_layout_b(spark, args.input, args.image_root, args.output).show(truncate=False)
     elif args.cmd == "split":
         split_dataset(spark, args.input, args.output, args.ratio, args.seed).show(truncate=False)
+    elif args.cmd == "sequences":
+        write_sequences(spark, args.input, args.output).show(truncate=False)
+    elif args.cmd == "token-batches":
+        write_token_batches(spark, args.input, args.output, args.batch_size, args.max_length,
+                            args.max_tokens).show(truncate=False)
     else:
         parquet_info(spark, args.input, args.output).show(truncate=False)
 

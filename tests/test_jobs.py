@@ -56,3 +56,23 @@ def test_jobs_end_to_end(spark, tmp_path):
     doc = jobs.parquet_info(spark, str(tmp_path / "s" / "split=train")).collect()[0].row_groups
     assert sum(v.num_rows for v in doc.values()) == int(n * 0.9)
     assert os.path.isdir(str(tmp_path / "s_info"))
+
+
+def test_sequence_and_token_jobs(spark, tmp_path):
+    from tessera.operators import sequence as S
+
+    a = C.layout_a_rows(spark, SF_SMALL)
+    b = C.layout_b_rows(spark, SF_SMALL)
+    a.write.parquet(str(tmp_path / "a"))
+    b.write.parquet(str(tmp_path / "b"))
+    reasons = {r.reason: r.n for r in jobs.write_sequences(spark, str(tmp_path / "a"), str(tmp_path / "seq")).collect()}
+    seqs = spark.read.parquet(str(tmp_path / "seq"))
+    assert seqs.count() == reasons.get(S.REASON_OK, 0) and sum(reasons.values()) == a.count()
+    stats = jobs.write_token_batches(spark, str(tmp_path / "b"), str(tmp_path / "tok"), batch_size=4,
+                                     max_tokens=10_000).collect()[0]
+    n = b.count()
+    assert stats.num_rows == n and stats.num_batches == -(-n // 4)
+    got = spark.read.parquet(str(tmp_path / "tok"))
+    want = C.all_queries()["padded_batches"](spark, SF_SMALL)
+    assert sorted(r.input_ids for r in got.select(F.array_join("input_ids", ",").alias("input_ids")).collect()) == \
+        sorted(r.input_ids for r in want.select("input_ids").collect())
