@@ -12,7 +12,6 @@ from tessera.operators.images import image_index
 from tessera.plans import catalog as C
 from tessera.sinks import files as K
 from tessera.sinks import shards as SH
-from tessera.sources import fixtures as X
 from tessera.sources.footers import dataset_footers, parquet_files, parquet_footers
 from tessera.sources.images import read_images
 from tessera.sources.records import read_cot, read_pairs, read_task_options
