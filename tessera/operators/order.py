@@ -34,9 +34,21 @@ def global_index(
     col: str = "gi",
     total_col: str | None = None,
     num_ranges: int | None = None,
+    materialize: bool = False,
 ) -> DataFrame:
     """Add ``col`` = 0-based position in ``order`` (and the row count as
-    ``total_col`` when given).  Rows come out range-partitioned and sorted."""
+    ``total_col`` when given).  Rows come out range-partitioned and sorted.
+
+    Range partitioning samples its input in a job of its own, so an expensive
+    input would be computed twice; ``materialize=True`` writes it once with a
+    reliable ``checkpoint()`` to the shared checkpoint folder first.  Plain
+    table scans need no such step.
+    """
+    if materialize:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint()
     b = _num_ranges(df, num_ranges)
     ranged = (
         df.repartitionByRange(b, *order)

@@ -66,12 +66,12 @@ def token_budget_filter(df: DataFrame, tokens: str = "tokens", max_tokens: int =
 
 
 def pad_batches(df: DataFrame, order: list[str], batch_size: int, ids: str = "input_ids", labels: str = "labels",
-                num_ranges: int | None = None) -> DataFrame:
+                num_ranges: int | None = None, materialize: bool = False) -> DataFrame:
     """N9 + A5: consecutive batches of ``batch_size`` rows in ``order``; every
     row padded to its batch's longest sequence (ids with 0, labels with -100,
     mask 1.0/0.0).  The batch max is a window over one batch, so partitions
     hold at most ``batch_size`` rows per key — no skew by construction."""
-    indexed = global_index(df, order, "gi", num_ranges=num_ranges)
+    indexed = global_index(df, order, "gi", num_ranges=num_ranges, materialize=materialize)
     batched = indexed.withColumn("batch_id", F.floor(F.col("gi") / F.lit(batch_size)).cast("long")).withColumn(
         "row_in_batch", (F.col("gi") % F.lit(batch_size)).cast("long")
     )

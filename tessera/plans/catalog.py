@@ -370,7 +370,8 @@ def token_pairs(spark, sf_dir):
 @query("padded_batches")
 def padded_batches(spark, sf_dir):
     """Batches of 4 in task order, padded to the batch maximum."""
-    out = TK.pad_batches(_token_rows(spark, sf_dir), ["task_id"], BATCH_SIZE)
+    # tokens come from the whole layout-B pipeline: write them once before ordering
+    out = TK.pad_batches(_token_rows(spark, sf_dir), ["task_id"], BATCH_SIZE, materialize=True)
     return out.select(
         "task_id", "batch_id", "row_in_batch", F.col("batch_max_len").cast("long").alias("batch_max_len"),
         F.array_join("input_ids", ",").alias("input_ids"),

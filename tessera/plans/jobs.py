@@ -121,7 +121,7 @@ def write_token_batches(spark: SparkSession, input_path: str, output: str, batch
         over.select("task_id", F.size("tokens").alias("n_tokens")).write.mode("overwrite").parquet(f"{output}_over_budget")
     ids, labels = TK.next_token_pairs(F.col("tokens"))
     pairs = toks.select("task_id", ids.alias("input_ids"), labels.alias("labels"))
-    batches = TK.pad_batches(pairs, ["task_id"], batch_size)
+    batches = TK.pad_batches(pairs, ["task_id"], batch_size, materialize=True)
     batches.select("batch_id", "row_in_batch", "task_id", "input_ids", "labels", "attention_mask").write.mode(
         "overwrite").parquet(output)
     return read_pairs(spark, output).agg(
