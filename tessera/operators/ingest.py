@@ -375,7 +375,12 @@ def to_layout_a(records: DataFrame, images: DataFrame, on_missing: str = "skip",
     parsed records, where they are split into sections.  A record is ``ok``
     when at least one referenced image exists (F4).
     """
-    ok = missing_policy(layout_a_candidates(records, images, hot), on_missing)
+    return finish_layout_a(layout_a_candidates(records, images, hot), on_missing)
+
+
+def finish_layout_a(candidates: DataFrame, on_missing: str = "skip") -> DataFrame:
+    """Apply the missing-image policy (J4) and project to layout A."""
+    ok = missing_policy(candidates, on_missing)
     return ok.select(
         task_key(F.col("task_id")).alias("id"),
         F.col("gt").alias("answer"),

@@ -172,7 +172,7 @@ def images_collected(spark, sf_dir):
 @query("on_missing_modes")
 def on_missing_modes(spark, sf_dir):
     """Image entries of ``ok`` layout-A records under skip / drop_row / compact."""
-    ok = I.layout_a_candidates(records(spark, sf_dir), X.image_blobs(spark, sf_dir), hot_paths(spark, sf_dir))
+    ok = a_candidates(spark, sf_dir)
     out = None
     for mode in ("skip", "drop_row", "compact"):
         ents = _explode_entries(I.missing_policy(ok, mode), "question", "solution")
@@ -279,9 +279,14 @@ def hot_paths(spark, sf_dir) -> dict:
     return I.hot_image_paths(records(spark, sf_dir))
 
 
+@X._per_session
+def a_candidates(spark, sf_dir) -> DataFrame:
+    return I.layout_a_candidates(records(spark, sf_dir), X.image_blobs(spark, sf_dir), hot_paths(spark, sf_dir))
+
+
 @X._per_session
 def layout_a_rows(spark, sf_dir, on_missing: str = "skip") -> DataFrame:
-    return I.to_layout_a(records(spark, sf_dir), X.image_blobs(spark, sf_dir), on_missing, hot_paths(spark, sf_dir))
+    return I.finish_layout_a(a_candidates(spark, sf_dir), on_missing)
 
 
 @X._per_session
