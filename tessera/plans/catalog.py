@@ -22,7 +22,7 @@ from ..sinks import files as K
 from ..sinks import shards as SH
 from ..sources import fixtures as X
 from ..sources.footers import parquet_footers
-from ..sources.registry import Registry
+from ..sources.registry import Registry, load_mixture
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -419,6 +419,18 @@ def registry_lookup(spark, sf_dir):
     )
 
 
+@query("mixture")
+def mixture(spark, sf_dir):
+    """A weighted mixture of two registered datasets (the first parquet
+    file of each), rows tagged with dataset and weight; reported per dataset."""
+    reg = Registry()
+    reg.register("tables", "orders", data_dir=f"{sf_dir}/orders.parquet")
+    reg.register("tables", "lineitem", data_dir=f"{sf_dir}/lineitem.parquet")
+    config = {"tables": {"dataset_names": ["orders", "lineitem"], "num_used_data": [1, 1], "weight": 0.5}}
+    mix = load_mixture(spark, reg, config)
+    return mix.groupBy("dataset", "weight").agg(F.count(F.lit(1)).alias("num_rows"))
+
+
 @query("preview")
 def preview(spark, sf_dir):
     """The first layout-B row, summarised (a top-1 report)."""

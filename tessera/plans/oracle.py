@@ -227,6 +227,8 @@ UNION ALL SELECT 'n_overlap', count(*) FROM (SELECT o_orderkey FROM sp WHERE spl
 UNION ALL SELECT 'n_missing', count(*) FROM (SELECT o_orderkey FROM orders EXCEPT ALL SELECT o_orderkey FROM sp)
 UNION ALL SELECT 'n_extra', count(*) FROM (SELECT o_orderkey FROM sp EXCEPT ALL SELECT o_orderkey FROM orders)""",
     "shard_manifest": MANIFEST + "SELECT shard_id, path, num_samples, start_idx, end_idx FROM m",
+    "mixture": """SELECT 'orders' AS dataset, 0.5::DOUBLE AS weight, count(*) AS num_rows FROM orders
+UNION ALL SELECT 'lineitem', 0.5::DOUBLE, count(*) FROM lineitem""",
     "shard_totals": MANIFEST + "SELECT sum(num_samples)::BIGINT AS total_samples, count(*)::BIGINT AS num_files FROM m",
 }
 

@@ -74,7 +74,10 @@ def load_mixture(spark: SparkSession, registry: Registry, config: dict) -> DataF
             files = sorted(spark.read.parquet(info["data_dir"]).inputFiles())
             if n_files is not None:
                 files = files[: int(n_files)]
-            df = spark.read.option("basePath", info["data_dir"]).parquet(*files)
+            reader = spark.read
+            if len(files) != 1 or not files[0].rstrip("/").endswith(info["data_dir"].rstrip("/")):
+                reader = reader.option("basePath", info["data_dir"])  # keep partition columns of a folder
+            df = reader.parquet(*files)
             parts.append(df.withColumn("dataset", F.lit(name)).withColumn("weight", F.lit(weight)))
     if not parts:
         raise ValueError("empty mixture")
