@@ -25,3 +25,23 @@ def test_stream_ingest(spark, tmp_path):
     assert [r.id for r in rows] == ["task_1"] and len(rows[0].solution_images) == 1
     status = {r.status: r.n for r in spark.read.parquet(f"{out}/_status").groupBy("status").agg(F.sum("n").alias("n")).collect()}
     assert status == {"ok": 1, "mismatch": 1, "other": 1}
+
+
+def test_stream_ingest_is_incremental(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    png = bytes.fromhex("89504E470D0A1A0A") + b"z" + bytes.fromhex("0000000049454E44AE426082")
+    images = spark.createDataFrame([("p1", png)], "path string, content binary")
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+
+    def arrive(name, task_ids):
+        recs = [{"task_id": t, "gt": "A", "pred": "A", "cot_text": f"<image>p1</image> step {t}"} for t in task_ids]
+        (src / name).write_text("\n".join(json.dumps(r) for r in recs))
+
+    arrive("a.jsonl", [1, 2])
+    start_layout_a_ingest(spark, str(src), images, out, checkpoint=ckpt, trigger_once=True).awaitTermination(120)
+    arrive("b.jsonl", [3])
+    start_layout_a_ingest(spark, str(src), images, out, checkpoint=ckpt, trigger_once=True).awaitTermination(120)
+    rows = spark.read.parquet(f"{out}/rows")
+    assert sorted(r.id for r in rows.collect()) == ["task_1", "task_2", "task_3"]
+    assert rows.select("batch_id").distinct().count() == 2
