@@ -17,6 +17,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from .text import sql_of
+
 # File signatures (hex) of the formats we recognise.
 PNG_MAGIC = "89504E470D0A1A0A"
 PNG_TRAILER = "0000000049454E44AE426082"  # empty IEND chunk with its CRC
@@ -30,51 +32,49 @@ RIFF_MAGIC = "52494646"
 WEBP_TAG = "57454250"
 
 
-def image_signature(content: Column) -> Column:
-    """``struct<null, len, head, tail>``: the bytes' first and last 12 bytes
-    as hex.  Computing it once lets a lambda test the bytes through field
-    reads (lambdas get no common-subexpression elimination)."""
-    return F.struct(
-        content.isNull().alias("null"),
-        F.length(content).alias("len"),
-        F.hex(F.substring(content, 1, 12)).alias("head"),
-        F.hex(F.substring(content, -12, 12)).alias("tail"),
-    )
+def signature_sql(b: str) -> str:
+    """``struct<absent, nbytes, head, tail>`` of bytes ``b``: first and last 12 bytes
+    as hex.  Computing it once lets a lambda test the bytes through field reads
+    (lambdas get no common-subexpression elimination)."""
+    return (f"named_struct('absent', {b} IS NULL, 'nbytes', length({b}), "
+            f"'head', hex(substring({b}, 1, 12)), 'tail', hex(substring({b}, -12, 12)))")
 
 
-def format_of(sig: Column) -> Column:
-    head = sig["head"]
+def format_sql(sig: str) -> str:
+    head = f"{sig}.head"
     return (
-        F.when(head.startswith(PNG_MAGIC), F.lit("png"))
-        .when(head.startswith(JPEG_MAGIC), F.lit("jpeg"))
-        .when(head.startswith(GIF87_MAGIC) | head.startswith(GIF89_MAGIC), F.lit("gif"))
-        .when(head.startswith(RIFF_MAGIC) & (F.substring(head, 17, 8) == WEBP_TAG), F.lit("webp"))
-        .when(head.startswith(BMP_MAGIC), F.lit("bmp"))
+        f"CASE WHEN startswith({head}, '{PNG_MAGIC}') THEN 'png' "
+        f"WHEN startswith({head}, '{JPEG_MAGIC}') THEN 'jpeg' "
+        f"WHEN startswith({head}, '{GIF87_MAGIC}') OR startswith({head}, '{GIF89_MAGIC}') THEN 'gif' "
+        f"WHEN startswith({head}, '{RIFF_MAGIC}') AND substring({head}, 17, 8) = '{WEBP_TAG}' THEN 'webp' "
+        f"WHEN startswith({head}, '{BMP_MAGIC}') THEN 'bmp' END"
     )
 
 
-def problem_of(sig: Column) -> Column:
+def problem_sql(sig: str) -> str:
     """Null when the signature passes the level-1 check, else a reason."""
-    head, tail = sig["head"], sig["tail"]
-    png, jpeg = head.startswith(PNG_MAGIC), head.startswith(JPEG_MAGIC)
-    gif = head.startswith(GIF87_MAGIC) | head.startswith(GIF89_MAGIC)
+    head, tail = f"{sig}.head", f"{sig}.tail"
     return (
-        F.when(sig["null"], F.lit("missing"))
-        .when(sig["len"] == 0, F.lit("empty"))
-        .when(format_of(sig).isNull(), F.lit("unknown_format"))
-        .when(png & ~tail.endswith(PNG_TRAILER), F.lit("truncated"))
-        .when(jpeg & ~tail.endswith(JPEG_TRAILER), F.lit("truncated"))
-        .when(gif & ~tail.endswith(GIF_TRAILER), F.lit("truncated"))
+        f"CASE WHEN {sig}.absent THEN 'missing' WHEN {sig}.nbytes = 0 THEN 'empty' "
+        f"WHEN ({format_sql(sig)}) IS NULL THEN 'unknown_format' "
+        f"WHEN startswith({head}, '{PNG_MAGIC}') AND NOT endswith({tail}, '{PNG_TRAILER}') THEN 'truncated' "
+        f"WHEN startswith({head}, '{JPEG_MAGIC}') AND NOT endswith({tail}, '{JPEG_TRAILER}') THEN 'truncated' "
+        f"WHEN (startswith({head}, '{GIF87_MAGIC}') OR startswith({head}, '{GIF89_MAGIC}')) "
+        f"AND NOT endswith({tail}, '{GIF_TRAILER}') THEN 'truncated' END"
     )
 
 
-def image_format(content: Column) -> Column:
-    return format_of(image_signature(content))
+def image_signature(content: Column | str) -> Column:
+    return F.expr(signature_sql(sql_of(content)))
+
+
+def image_format(content: Column | str) -> Column:
+    return F.expr(format_sql(signature_sql(sql_of(content))))
 
 
-def image_problem(content: Column) -> Column:
+def image_problem(content: Column | str) -> Column:
     """Null when the bytes pass the level-1 check, else a reason string."""
-    return problem_of(image_signature(content))
+    return F.expr(problem_sql(signature_sql(sql_of(content))))
 
 
 def png_problem(data: bytes | None) -> str | None:

@@ -4,11 +4,16 @@ A *segment* is ``struct<type string, content string>``: ``type`` is
 ``'text'`` or ``'image'`` and ``content`` the stripped text or image path.
 An *entry* adds ``index``: for an image, its 0-based ordinal in its section.
 
-Every lambda here reads only its own element.  Per-row arrays (the split
-parts, the tag payloads, running counts) are passed in as higher-order
-function arguments (``arrays_zip`` / ``zip_with``), so each is computed once per
-row; an outer array referenced inside a lambda body would be re-evaluated for
-every element once the optimizer inlines its projection.
+The expressions are written as Spark SQL text and handed to ``F.expr``: one
+JVM call per expression instead of hundreds of Column-API round trips, with the
+same plan.  Arguments are SQL expressions (usually column names); functions
+named ``*_sql`` return text for embedding in larger expressions.
+
+Every lambda reads only its own element.  Per-row arrays (the split parts,
+the tag payloads, running counts) enter as higher-order function arguments
+(``arrays_zip`` / ``zip_with``), so each is computed once per row; an outer
+array referenced inside a lambda body would be re-evaluated for every element
+once the optimizer inlines its projection.
 """
 
 from __future__ import annotations
@@ -27,10 +32,27 @@ RENDER_PLACEHOLDER = "[render_result]"
 # so long inner whitespace runs cost linear time.
 STRIP_REGEX = r"(?U)^[\s\x1c-\x1f]++|(?<![\s\x1c-\x1f])[\s\x1c-\x1f]++\z"
 
+IS_IMAGE = "_x.type = 'image'"
 
-def py_strip(c: Column) -> Column:
+
+def sql_str(s: str) -> str:
+    """A Spark SQL string literal for ``s``."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_of(c: Column | str) -> str:
+    """SQL text of an argument: a string is taken as SQL; a simple Column
+    (a name, or a plain function of names) is rendered to SQL."""
+    return c if isinstance(c, str) else c._jc.toString()
+
+
+def strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, {sql_str(STRIP_REGEX)}, '')"
+
+
+def py_strip(c: Column | str) -> Column:
     """``str.strip()`` semantics (SQL ``trim`` only removes spaces)."""
-    return F.regexp_replace(c, STRIP_REGEX, "")
+    return F.expr(strip_sql(sql_of(c)))
 
 
 def tag_patterns(dotall: bool) -> tuple[str, str]:
@@ -43,27 +65,42 @@ def tag_patterns(dotall: bool) -> tuple[str, str]:
     return f"{flag}<image>.*?</image>", f"{flag}<image>(.*?)</image>"
 
 
-def image_paths(text: Column, dotall: bool = True) -> Column:
+def image_paths_sql(text: str, dotall: bool = True) -> str:
+    return f"regexp_extract_all({text}, {sql_str(tag_patterns(dotall)[1])}, 1)"
+
+
+def image_paths(text: Column | str, dotall: bool = True) -> Column:
     """All tag payloads in order, unstripped (T6 building block)."""
-    return F.regexp_extract_all(text, F.lit(tag_patterns(dotall)[1]), 1)
-
-
-def running_count(arr: Column, pred) -> Column:
-    """``array<int>``: for each element, how many *earlier* elements satisfy
-    ``pred`` — one pass with ``aggregate`` (the lambda sees only its element)."""
-    zero = F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("r"))
-    return F.aggregate(
-        arr,
-        zero,
-        lambda acc, x: F.struct(
-            (acc["n"] + F.when(pred(x), F.lit(1)).otherwise(F.lit(0))).alias("n"),
-            F.concat(acc["r"], F.array(acc["n"])).alias("r"),
-        ),
-        lambda acc: acc["r"],
+    return F.expr(image_paths_sql(sql_of(text), dotall))
+
+
+def running_count_sql(arr: str, pred: str) -> str:
+    """``array<int>``: per element, how many *earlier* elements satisfy ``pred``
+    (a condition on the lambda variable ``_x``) — one ``aggregate`` pass."""
+    return (
+        f"aggregate({arr}, named_struct('n', 0, 'r', CAST(array() AS ARRAY<INT>)), "
+        f"(_acc, _x) -> named_struct('n', _acc.n + IF({pred}, 1, 0), 'r', concat(_acc.r, array(_acc.n))), "
+        f"_acc -> _acc.r)"
     )
 
 
-def segments(text: Column, dotall: bool = True) -> Column:
+def running_count(arr: Column | str, pred: str) -> Column:
+    return F.expr(running_count_sql(sql_of(arr), pred))
+
+
+def segments_sql(text: str, dotall: bool = True) -> str:
+    split_pat, _ = tag_patterns(dotall)
+    zipped = f"arrays_zip(split({text}, {sql_str(split_pat)}, -1), {image_paths_sql(text, dotall)})"
+    txt = f"named_struct('type', 'text', 'content', {strip_sql('_z.`0`')})"
+    img = f"named_struct('type', 'image', 'content', {strip_sql('_z.`1`')})"
+    keep = "_s.type = 'image' OR _s.content <> ''" if dotall else "_s.content <> ''"
+    return (
+        f"filter(flatten(transform({zipped}, _z -> IF(_z.`1` IS NULL, array({txt}), array({txt}, {img})))), "
+        f"_s -> {keep})"
+    )
+
+
+def segments(text: Column | str, dotall: bool = True) -> Column:
     """T1 (dotall=True) / T2 (dotall=False): ordered text and image segments.
 
     ``split`` gives n+1 text parts and ``regexp_extract_all`` the n tag
@@ -71,84 +108,71 @@ def segments(text: Column, dotall: bool = True) -> Column:
     flattened into text, image, text, … .  Blank text is dropped.  An empty
     image path is kept in dotall mode and dropped in strict mode.
     """
-    split_pat, _ = tag_patterns(dotall)
-    zipped = F.arrays_zip(F.split(text, split_pat, -1).alias("part"), image_paths(text, dotall).alias("path"))
-
-    def one(z: Column) -> Column:
-        t = F.struct(F.lit("text").alias("type"), py_strip(z["part"]).alias("content"))
-        im = F.struct(F.lit("image").alias("type"), py_strip(z["path"]).alias("content"))
-        return F.when(z["path"].isNotNull(), F.array(t, im)).otherwise(F.array(t))
-
-    def keep(s: Column) -> Column:
-        if dotall:
-            return (s["type"] == "image") | (s["content"] != "")
-        return s["content"] != ""
-
-    return F.filter(F.flatten(F.transform(zipped, one)), keep)
+    return F.expr(segments_sql(sql_of(text), dotall))
 
 
-def split_layout_a(segs: Column) -> tuple[Column, Column]:
+def split_layout_a(segs: Column | str) -> tuple[Column, Column]:
     """question/solution split of strict segments.
 
     Closed form of the state machine: the question is the first segment, plus
     the second one when the first is text and the second an image.
     """
-    size = F.size(segs)
-    k = (
-        F.when(size == 0, F.lit(0))
-        .when(F.get(segs, 0)["type"] == "image", F.lit(1))
-        .when(F.get(segs, 1)["type"] == "image", F.lit(2))
-        .otherwise(F.lit(1))
-    )
-    return F.slice(segs, F.lit(1), k), F.slice(segs, k + 1, size - k)
+    s = sql_of(segs)
+    k = (f"CASE WHEN size({s}) = 0 THEN 0 WHEN get({s}, 0).type = 'image' THEN 1 "
+         f"WHEN get({s}, 1).type = 'image' THEN 2 ELSE 1 END")
+    return F.expr(f"slice({s}, 1, {k})"), F.expr(f"slice({s}, {k} + 1, size({s}) - {k})")
+
+
+def first_image_position_sql(segs: str) -> str:
+    return f"array_position(transform({segs}, _s -> _s.type), 'image')"
 
 
-def first_image_position(segs: Column) -> Column:
+def first_image_position(segs: Column | str) -> Column:
     """1-based position of the first image segment, 0 when there is none."""
-    return F.array_position(F.transform(segs, lambda s: s["type"]), "image")
+    return F.expr(first_image_position_sql(sql_of(segs)))
 
 
-def split_layout_b(segs: Column) -> tuple[Column, Column]:
+def split_layout_b(segs: Column | str) -> tuple[Column, Column]:
     """T4: first image segment, and everything after it.
 
     Text before the first image is discarded.  Returns (first image segment,
     solution segments); both null when the text has no image.
     """
-    f = first_image_position(segs)
-    first = F.when(f > 0, F.get(segs, f - 1))
-    sol = F.when(f > 0, F.slice(segs, f + 1, F.size(segs) - f))
-    return first, sol
-
-
-def is_image(e: Column) -> Column:
-    return e["type"] == "image"
+    s = sql_of(segs)
+    f = first_image_position_sql(s)
+    return (F.expr(f"IF({f} > 0, get({s}, {f} - 1), NULL)"),
+            F.expr(f"IF({f} > 0, slice({s}, {f} + 1, size({s}) - {f}), NULL)"))
+
+
+def entries_sql(segs: str, keep_path: bool = True) -> str:
+    content = "_s.content" if keep_path else "IF(_s.type = 'image', CAST(NULL AS STRING), _s.content)"
+    return (
+        f"zip_with({segs}, {running_count_sql(segs, IS_IMAGE)}, (_s, _c) -> named_struct("
+        f"'type', _s.type, 'content', {content}, "
+        f"'index', IF(_s.type = 'image', CAST(_c AS BIGINT), CAST(NULL AS BIGINT))))"
+    )
 
 
-def entries(segs: Column, keep_path: bool = True) -> Column:
+def entries(segs: Column | str, keep_path: bool = True) -> Column:
     """T5: segments of one section → entries ``struct<type, content, index>``.
 
     ``index`` is the image's 0-based ordinal within the section (null for
     text).  With ``keep_path=False`` image entries carry no content (the
     stored shape of layout B).
     """
+    return F.expr(entries_sql(sql_of(segs), keep_path))
 
-    def one(s: Column, n_before: Column) -> Column:
-        img = is_image(s)
-        content = s["content"] if keep_path else F.when(~img, s["content"])
-        return F.struct(
-            s["type"].alias("type"),
-            content.alias("content"),
-            F.when(img, n_before.cast("long")).alias("index"),
-        )
 
-    return F.zip_with(segs, running_count(segs, is_image), one)
+def running_image_index_sql(arr: str) -> str:
+    return (f"zip_with({arr}, {running_count_sql(arr, IS_IMAGE)}, "
+            f"(_e, _c) -> IF(_e.type = 'image', CAST(_c AS BIGINT), CAST(NULL AS BIGINT)))")
 
 
-def running_image_index(arr: Column) -> Column:
+def running_image_index(arr: Column | str) -> Column:
     """T5 / W2 for any stored entry list: per entry, the number of image
     entries before it (null for non-image entries)."""
-    return F.zip_with(arr, running_count(arr, is_image), lambda e, c: F.when(is_image(e), c.cast("long")))
+    return F.expr(running_image_index_sql(sql_of(arr)))
 
 
-def count_images(arr: Column) -> Column:
-    return F.size(F.filter(arr, lambda e: e["type"] == "image"))
+def count_images(arr: Column | str) -> Column:
+    return F.expr(f"size(filter({sql_of(arr)}, _e -> _e.type = 'image'))")

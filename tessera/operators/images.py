@@ -53,12 +53,10 @@ def collect_images(refs_with_bytes: DataFrame, key: str = "task_id") -> DataFram
     the reference's ``skip`` behaviour; see ``apply_missing_policy``.
     Ordering is by the explicit ``pos``, never by ``collect_list`` order.
     """
-    item = F.struct(F.col("pos").alias("p"), F.col("content").alias("b"))
-
     def section(name: str) -> F.Column:
-        return F.transform(
-            F.array_sort(F.collect_list(F.when((F.col("section") == name) & F.col("content").isNotNull(), item))),
-            lambda x: x["b"],
+        return F.expr(
+            f"transform(array_sort(collect_list(IF(section = '{name}' AND content IS NOT NULL, "
+            f"named_struct('p', pos, 'b', content), NULL))), _x -> _x.b)"
         )
 
     return refs_with_bytes.groupBy(key).agg(

@@ -39,6 +39,7 @@ STATUS_NO_IMAGE = "no_image"
 STATUS_IMAGE_ERROR = "image_error"
 
 SECTIONS = ("question", "solution")
+TEXT = "coalesce(cot_text, '')"
 
 
 # ---------------------------------------------------------------- projections
@@ -99,13 +100,13 @@ def text_status_a() -> Column:
 def parse_layout_a(records: DataFrame) -> DataFrame:
     """T2 → T3 → T5: adds ``question_entries`` and ``solution_entries``
     (``array<struct<type, content, index>>``; images carry their path)."""
-    segs = records.withColumn("_segs", T.segments(F.coalesce(F.col("cot_text"), F.lit("")), dotall=False))
-    q, s = T.split_layout_a(F.col("_segs"))
+    segs = records.withColumn("_segs", T.segments(TEXT, dotall=False))
+    q, s = T.split_layout_a("_segs")
     return (
         segs.withColumn("_q", q)
         .withColumn("_s", s)
-        .withColumn("question_entries", T.entries(F.col("_q")))
-        .withColumn("solution_entries", T.entries(F.col("_s")))
+        .withColumn("question_entries", T.entries("_q"))
+        .withColumn("solution_entries", T.entries("_s"))
         .drop("_segs", "_q", "_s")
     )
 
@@ -113,33 +114,33 @@ def parse_layout_a(records: DataFrame) -> DataFrame:
 def parse_layout_b(records: DataFrame) -> DataFrame:
     """T1 → T4 → T5: adds ``question_path`` (first image, null when none) and
     ``solution_entries`` (``type, content, index``; images carry their path)."""
-    segs = records.withColumn("_segs", T.segments(F.coalesce(F.col("cot_text"), F.lit("")), dotall=True))
-    first, sol = T.split_layout_b(F.col("_segs"))
+    segs = records.withColumn("_segs", T.segments(TEXT, dotall=True))
+    first, sol = T.split_layout_b("_segs")
     return (
         segs.withColumn("question_path", first["content"])
-        .withColumn("solution_entries", T.entries(sol))
-        .drop("_segs")
+        .withColumn("_sol", sol)
+        .withColumn("solution_entries", T.entries("_sol"))
+        .drop("_segs", "_sol")
     )
 
 
-def _image_items(entries: Column, section: str) -> Column:
-    return F.transform(
-        F.filter(entries, lambda e: e["type"] == "image"),
-        lambda e: F.struct(F.lit(section).alias("section"), e["index"].alias("pos"), e["content"].alias("path")),
-    )
+def _image_items(entries: str, section: str) -> str:
+    return (f"transform(filter({entries}, _e -> _e.type = 'image'), "
+            f"_e -> named_struct('section', '{section}', 'pos', _e.index, 'path', _e.content))")
 
 
 def image_refs_a(parsed: DataFrame) -> DataFrame:
     """T6 for layout A: ``task_id, section, pos, path`` (pos = index in section)."""
     return parsed.select(
         "task_id",
-        F.inline(F.concat(_image_items(F.col("question_entries"), "question"), _image_items(F.col("solution_entries"), "solution"))),
+        F.inline(F.expr(f"concat({_image_items('question_entries', 'question')}, "
+                        f"{_image_items('solution_entries', 'solution')})")),
     )
 
 
 def _stripped_paths(dotall: bool) -> Column:
-    paths = F.transform(T.image_paths(F.coalesce(F.col("cot_text"), F.lit("")), dotall=dotall), T.py_strip)
-    return paths if dotall else F.filter(paths, lambda p: p != "")
+    paths = f"transform({T.image_paths_sql(TEXT, dotall)}, _p -> {T.strip_sql('_p')})"
+    return F.expr(paths if dotall else f"filter({paths}, _p -> _p <> '')")
 
 
 def kept_image_refs(records: DataFrame, dotall: bool) -> DataFrame:
@@ -159,7 +160,7 @@ def image_refs_b(parsed: DataFrame) -> DataFrame:
     """T6 for layout B: the first image is question image 0."""
     q = F.array(F.struct(F.lit("question").alias("section"), F.lit(0).cast("long").alias("pos"), F.col("question_path").alias("path")))
     return parsed.filter(F.col("question_path").isNotNull()).select(
-        "task_id", F.inline(F.concat(q, _image_items(F.col("solution_entries"), "solution")))
+        "task_id", F.inline(F.concat(q, F.expr(_image_items("solution_entries", "solution"))))
     )
 
 
@@ -172,9 +173,7 @@ def hot_image_paths(records: DataFrame, min_rows: int | None = None) -> dict:
     fraction = min(1.0, SAMPLE_ROWS_PER_THRESHOLD / max(min_rows, 1))
     # sample records before the regex runs, so detection parses only the sample
     src = records if fraction >= 1.0 else records.sample(fraction=fraction, seed=17)
-    paths = src.select(
-        F.explode(T.image_paths(F.coalesce(F.col("cot_text"), F.lit("")), dotall=True)).alias("_p")
-    ).select(T.py_strip(F.col("_p")).alias("path"))
+    paths = src.select(F.explode(T.image_paths(TEXT, dotall=True)).alias("_p")).select(T.py_strip("_p").alias("path"))
     found = hot_keys(paths, "path", max(1, int(min_rows * fraction * 0.5)) if fraction < 1.0 else min_rows)
     return {k: int(round(n / fraction)) for k, n in found.items()} if fraction < 1.0 else found
 
@@ -232,15 +231,11 @@ def ingest_report(with_status: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- options
-def options_text(options: Column) -> Column:
+def options_text(options: Column | str) -> Column:
     """O1: options sorted by key, ``"k: v"`` joined by newlines; null map → ``''``."""
-    return F.coalesce(
-        F.array_join(
-            F.transform(F.array_sort(F.map_entries(options)), lambda e: F.concat(e["key"], F.lit(": "), e["value"])),
-            "\n",
-        ),
-        F.lit(""),
-    )
+    m = T.sql_of(options)
+    return F.expr(f"coalesce(array_join(transform(array_sort(map_entries({m})), "
+                  f"_e -> concat(_e.key, ': ', _e.value)), '\\n'), '')")
 
 
 def question_prompt(opts_text: Column, prompt: str = QUESTION_PROMPT) -> Column:
@@ -261,27 +256,25 @@ def missing_policy(df: DataFrame, mode: str) -> DataFrame:
     positions of image entries whose file is missing)."""
     if mode == "skip":
         return df
-    miss = {s: F.coalesce(F.col(f"_miss_{s}"), F.array().cast("array<long>")) for s in SECTIONS}
+    miss = {s: f"coalesce(_miss_{s}, CAST(array() AS ARRAY<BIGINT>))" for s in SECTIONS}
     if mode == "drop_row":
-        return df.filter((F.size(miss["question"]) + F.size(miss["solution"])) == 0)
+        return df.filter(F.expr(f"size({miss['question']}) + size({miss['solution']}) = 0"))
     if mode != "compact":
         raise ValueError(f"unknown on_missing mode {mode!r}")
     out = df
     for s in SECTIONS:
         col = f"{s}_entries"
-        out = out.withColumn(col, _compact(F.col(col), miss[s]))
+        out = out.withColumn(col, _compact(col, miss[s]))
     return out
 
 
-def _compact(entries: Column, missing: Column) -> Column:
-    """Entries without the missing images, image indexes renumbered 0..k-1."""
-    flagged = F.zip_with(
-        entries,
-        F.array_repeat(missing, F.size(entries)),
-        lambda e, m: F.struct(e.alias("e"), ((e["type"] == "image") & F.array_contains(m, e["index"])).alias("gone")),
-    )
-    kept = F.transform(F.filter(flagged, lambda x: ~x["gone"]), lambda x: x["e"])
-    return T.entries(F.transform(kept, lambda e: F.struct(e["type"].alias("type"), e["content"].alias("content"))))
+def _compact(entries: str, missing: str) -> Column:
+    """Entries without the missing images, image indexes renumbered 0..k-1.
+    The missing positions ride along as a zipped argument."""
+    flagged = (f"zip_with({entries}, array_repeat({missing}, size({entries})), (_e, _m) -> named_struct("
+               f"'e', _e, 'gone', _e.type = 'image' AND array_contains(_m, _e.index)))")
+    kept = f"transform(filter({flagged}, _y -> NOT _y.gone), _y -> named_struct('type', _y.e.type, 'content', _y.e.content))"
+    return F.expr(T.entries_sql(kept))
 
 
 def apply_missing_policy(parsed: DataFrame, refs_found: DataFrame, mode: str) -> DataFrame:
@@ -318,34 +311,19 @@ def task_images(joined: DataFrame, key: str = "task_id") -> DataFrame:
     )
 
 
-def _split_images(df: DataFrame, q_count: Column) -> DataFrame:
+def _split_images(df: DataFrame, q_count: str) -> DataFrame:
     """Per-section byte lists and missing positions from ``_imgs`` (ordered by
-    ``ord``), given how many of the first images belong to the question.  The
-    count rides along as a zipped argument so the lambdas read only their
-    element."""
-    tagged = F.zip_with(
-        F.col("_imgs"),
-        F.array_repeat(q_count.cast("long"), F.size(F.col("_imgs"))),
-        lambda x, q: F.struct(
-            (x["ord"] < q).alias("q"),
-            F.when(x["ord"] < q, x["ord"]).otherwise(x["ord"] - q).alias("idx"),
-            x["b"].alias("b"),
-        ),
-    )
-    out = df.withColumn("_tagged", tagged)
-
-    def picker(in_q: bool, present: bool):
-        def pred(y: Column) -> Column:
-            side = y["q"] if in_q else ~y["q"]
-            return side & (y["b"].isNotNull() if present else y["b"].isNull())
-
-        return pred
-
-    for name, in_q in (("question", True), ("solution", False)):
+    ``ord``), given (as SQL) how many of the first images belong to the
+    question.  The count rides along as a zipped argument so the lambdas read
+    only their element."""
+    tagged = (f"zip_with(_imgs, array_repeat(CAST({q_count} AS BIGINT), size(_imgs)), (_x, _q) -> named_struct("
+              f"'q', _x.ord < _q, 'idx', IF(_x.ord < _q, _x.ord, _x.ord - _q), 'b', _x.b))")
+    out = df.withColumn("_tagged", F.expr(tagged))
+    for name, side in (("question", "_y.q"), ("solution", "NOT _y.q")):
         out = out.withColumn(
-            f"{name}_images", F.transform(F.filter(F.col("_tagged"), picker(in_q, True)), lambda y: y["b"])
+            f"{name}_images", F.expr(f"transform(filter(_tagged, _y -> {side} AND _y.b IS NOT NULL), _y -> _y.b)")
         ).withColumn(
-            f"_miss_{name}", F.transform(F.filter(F.col("_tagged"), picker(in_q, False)), lambda y: y["idx"])
+            f"_miss_{name}", F.expr(f"transform(filter(_tagged, _y -> {side} AND _y.b IS NULL), _y -> _y.idx)")
         )
     return out.drop("_tagged", "_imgs")
 
@@ -360,7 +338,7 @@ def layout_a_candidates(records: DataFrame, images: DataFrame, hot: dict | None
     joined = salted_join(kept_image_refs(pending, dotall=False), images.select("path", "content"), "path", "left", hot=hot)
     facts = task_images(joined).filter(F.col("_n_found") > 0)
     cand = parse_layout_a(pending).join(facts, "task_id")
-    return _split_images(cand, T.count_images(F.col("question_entries")))
+    return _split_images(cand, "size(filter(question_entries, _e -> _e.type = 'image'))")
 
 
 def to_layout_a(records: DataFrame, images: DataFrame, on_missing: str = "skip", hot: dict | None = None) -> DataFrame:
@@ -408,25 +386,19 @@ def to_layout_b(records: DataFrame, images: DataFrame, option_maps: DataFrame, h
     joined = salted_join(kept_image_refs(records, dotall=True), images.select("path", "content"), "path", "left", hot=hot)
     facts = task_images(joined).filter(F.col("_n_bad") == 0)
     parsed = parse_layout_b(records).filter(F.col("question_path").isNotNull())
-    ok = join_options(_split_images(parsed.join(facts, "task_id"), F.lit(1)), option_maps)
-    to_bytes = lambda arr: F.transform(arr, lambda b: F.struct(b.alias("bytes")))
+    ok = join_options(_split_images(parsed.join(facts, "task_id"), "1"), option_maps)
+    to_bytes = lambda arr: F.expr(f"transform({arr}, _b -> named_struct('bytes', _b))")
     question = F.array(
         _b_entry(question_prompt(F.col("options_text")), F.lit(None), "text"),
         _b_entry(F.lit(None), F.lit(0), "image"),
     )
-    solution = F.transform(
-        F.col("solution_entries"),
-        lambda e: F.struct(
-            F.when(e["type"] == "text", e["content"]).alias("content"),
-            e["index"].alias("index"),
-            e["type"].alias("type"),
-        ),
-    )
+    solution = F.expr("transform(solution_entries, _e -> named_struct("
+                      "'content', IF(_e.type = 'text', _e.content, CAST(NULL AS STRING)), 'index', _e.index, 'type', _e.type))")
     return ok.select(
         "task_id",
         F.col("gt").alias("answer"),
         question.alias("question_interleave"),
         solution.alias("solution_interleave"),
-        to_bytes(F.col("question_images")).alias("question_images"),
-        to_bytes(F.col("solution_images")).alias("solution_images"),
+        to_bytes("question_images").alias("question_images"),
+        to_bytes("solution_images").alias("solution_images"),
     )

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.images import image_signature, problem_of
-from ..functions.text import py_strip, running_count
+from ..functions.images import problem_sql, signature_sql
+from ..functions.text import IS_IMAGE, running_count_sql, strip_sql
 from ..schemas import ENTRIES_A
 from .ingest import task_key
 
@@ -53,8 +53,9 @@ def unify_layout_a(df: DataFrame) -> DataFrame:
 
 def unify_layout_b(df: DataFrame) -> DataFrame:
     """U1 for layout B rows: reorder entry fields, unwrap ``{bytes}``."""
-    ent = lambda c: F.transform(F.col(c), lambda e: F.struct(e["type"].alias("type"), e["content"].alias("content"), e["index"].alias("index")))
-    img = lambda c: F.transform(F.col(c), lambda x: x["bytes"])
+    ent = lambda c: F.expr(
+        f"transform({c}, _e -> named_struct('type', _e.type, 'content', _e.content, 'index', _e.index))")
+    img = lambda c: F.expr(f"transform({c}, _b -> _b.bytes)")
     return df.select(
         F.lit("b").alias("layout"),
         task_key(F.col("task_id")).alias("key"),
@@ -76,41 +77,29 @@ def unify_layouts(a: DataFrame | None, b: DataFrame | None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- N5 / F7–F10 / J5
-def _python_index(images: Column, e: Column) -> Column:
+def _python_index_sql(images: str, e: str) -> str:
     """A stored ``index`` read the way a Python list is indexed: a missing
     index means 0, and a negative one counts from the end."""
-    idx = F.coalesce(e["index"], F.lit(0))
-    return F.when(idx < 0, idx + F.size(images)).otherwise(idx)
+    idx = f"coalesce({e}.index, 0)"
+    return f"IF({idx} < 0, {idx} + size({images}), {idx})"
 
 
-def _image_at(images: Column, e: Column) -> Column:
+def _image_at_sql(images: str, e: str) -> str:
     """Positional dereference ``images[index]`` (null when out of range)."""
-    return F.get(images, _python_index(images, e).cast("int"))
+    return f"get({images}, CAST({_python_index_sql(images, e)} AS INT))"
 
 
-def _resolved(entries: Column, images: Column) -> Column:
-    """Each entry with its Python-style index and the signature of the image
-    it points at, computed once per element."""
-    with_img = F.transform(
-        entries, lambda e: F.struct(e.alias("e"), _python_index(images, e).alias("i"), _image_at(images, e).alias("b"))
-    )
-    return F.transform(
-        with_img, lambda x: F.struct(x["e"].alias("e"), x["i"].alias("i"), image_signature(x["b"]).alias("sig"))
-    )
-
-
-def _first_problem(entries: Column, images: Column) -> Column:
-    n = F.size(images)
-
-    def problem(x: Column) -> Column:
-        e, idx = x["e"], x["i"]
-        return (
-            F.when(e["type"].isNull(), F.lit(REASON_NO_TYPE))
-            .when((e["type"] == "image") & ((idx >= n) | (idx < 0)), F.lit(REASON_OUT_OF_BOUNDS))
-            .when((e["type"] == "image") & problem_of(x["sig"]).isNotNull(), F.lit(REASON_UNDECODABLE))
-        )
-
-    return F.get(F.filter(F.transform(_resolved(entries, images), problem), lambda r: r.isNotNull()), 0)
+def _first_problem_sql(entries: str, images: str) -> str:
+    """First failing entry: no ``type``, index out of range (F8), image that
+    fails the check (F9).  Each element's index, image and signature are
+    computed once (chained transforms) and then only read."""
+    resolved = (f"transform(transform({entries}, _e -> named_struct('e', _e, 'i', {_python_index_sql(images, '_e')}, "
+                f"'b', {_image_at_sql(images, '_e')})), "
+                f"_r -> named_struct('e', _r.e, 'i', _r.i, 'sig', {signature_sql('_r.b')}))")
+    problem = (f"CASE WHEN _r.e.type IS NULL THEN '{REASON_NO_TYPE}' "
+               f"WHEN _r.e.type = 'image' AND (_r.i >= size({images}) OR _r.i < 0) THEN '{REASON_OUT_OF_BOUNDS}' "
+               f"WHEN _r.e.type = 'image' AND ({problem_sql('_r.sig')}) IS NOT NULL THEN '{REASON_UNDECODABLE}' END")
+    return f"get(filter(transform({resolved}, _r -> {problem}), _p -> _p IS NOT NULL), 0)"
 
 
 def reject_reason() -> Column:
@@ -120,18 +109,13 @@ def reject_reason() -> Column:
     then of the solution: no ``type``, index out of bounds (F8), image that
     fails the check (F9).
     """
-    q, s = F.col("question_interleave"), F.col("solution_interleave")
-    qi = F.coalesce(F.col("question_images"), F.array().cast("array<binary>"))
-    si = F.coalesce(F.col("solution_images"), F.array().cast("array<binary>"))
-    trainable = (F.coalesce(F.col("answer"), F.lit("")) != "") & (F.coalesce(F.size(q), F.lit(0)) > 0) & (
-        F.coalesce(F.size(s), F.lit(0)) > 0
-    )
-    return F.coalesce(
-        F.when(~F.col("parse_ok"), F.lit(REASON_BAD_JSON)),
-        F.when(~trainable, F.lit(REASON_UNTRAINABLE)),
-        _first_problem(q, qi),
-        _first_problem(s, si),
-        F.lit(REASON_OK),
+    qi = "coalesce(question_images, CAST(array() AS ARRAY<BINARY>))"
+    si = "coalesce(solution_images, CAST(array() AS ARRAY<BINARY>))"
+    trainable = ("coalesce(answer, '') <> '' AND coalesce(size(question_interleave), 0) > 0 "
+                 "AND coalesce(size(solution_interleave), 0) > 0")
+    return F.expr(
+        f"coalesce(IF(NOT parse_ok, '{REASON_BAD_JSON}', NULL), IF(NOT ({trainable}), '{REASON_UNTRAINABLE}', NULL), "
+        f"{_first_problem_sql('question_interleave', qi)}, {_first_problem_sql('solution_interleave', si)}, '{REASON_OK}')"
     )
 
 
@@ -144,55 +128,42 @@ def reject_counts(unified: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- W1 / N2–N4
-def special_token_label(next_type: Column, is_last: Column) -> Column:
+def special_token_sql(next_type: str, is_last: str) -> str:
     """W1 for a solution text entry, from the *unfiltered* list: the next entry
     is an image → vision_start; else the entry is last → endoftext; else
     im_start."""
-    return (
-        F.when(next_type == "image", F.lit(VISION_START))
-        .when(is_last, F.lit(END_OF_TEXT))
-        .otherwise(F.lit(IM_START))
-    )
+    return (f"CASE WHEN {next_type} = 'image' THEN '{VISION_START}' WHEN {is_last} THEN '{END_OF_TEXT}' "
+            f"ELSE '{IM_START}' END")
 
 
-def _items(entries: Column, images: Column, section: str) -> Column:
+def _items_sql(entries: str, images: str, section: str) -> str:
     """Sequence items of one section.  Each element is zipped with its
     neighbour's type, a last-entry flag and its running image count, so the
     lambda never indexes the outer list."""
     is_q = section == "question"
-    n = F.size(entries)
-    types = F.transform(entries, lambda e: e["type"])
-    next_type = F.concat(F.slice(types, 2, F.greatest(n - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
-    is_last = F.concat(F.array_repeat(F.lit(False), F.greatest(n - 1, F.lit(0))), F.array(F.lit(True)))
-    zipped = F.arrays_zip(
-        entries.alias("e"), next_type.alias("nt"), is_last.alias("last"),
-        running_count(entries, lambda e: e["type"] == "image").alias("c"),
-    )
-
-    def one(z: Column) -> Column:
-        e = z["e"]
-        is_text = e["type"] == "text"
-        is_img = e["type"] == "image"
-        text = py_strip(F.coalesce(e["content"], F.lit("")))
+    n = f"size({entries})"
+    next_type = (f"concat(slice(transform({entries}, _e -> _e.type), 2, greatest({n} - 1, 0)), "
+                 f"array(CAST(NULL AS STRING)))")
+    is_last = f"concat(array_repeat(false, greatest({n} - 1, 0)), array(true))"
+    zipped = f"arrays_zip({entries}, {next_type}, {is_last}, {running_count_sql(entries, IS_IMAGE)})"
+    # arrays_zip names a field after a bare column argument, else by position
+    e = f"_z.`{entries if entries.isidentifier() else '0'}`"
+    text = strip_sql(f"coalesce({e}.content, '')")
+    label = "CAST(NULL AS STRING)" if is_q else f"IF({e}.type = 'text', {special_token_sql('_z.`1`', '_z.`2`')}, NULL)"
+    item = (
+        "named_struct("
         # blank text is skipped, after its neighbours' labels are known
-        emitted = e.isNotNull() & ((is_text & (text != "")) | is_img)
-        label = F.lit(None).cast("string") if is_q else F.when(is_text, special_token_label(z["nt"], z["last"]))
-        return F.struct(
-            emitted.alias("_emit"),
-            F.lit(section).alias("section"),
-            e["type"].alias("type"),
-            F.when(is_text, text).alias("content"),
-            F.when(is_img, F.coalesce(e["index"], F.lit(0))).cast("long").alias("image_index"),
-            F.when(is_img, z["c"]).cast("long").alias("image_ordinal"),
-            F.when(is_img, _image_at(images, e)).alias("image"),
-            F.lit(not is_q).alias("need_loss"),
-            is_img.alias("need_vae"),
-            is_img.alias("need_vit"),
-            F.lit(True).alias("enable_cfg"),
-            label.alias("special_token"),
-        )
-
-    return F.transform(zipped, one)
+        f"'_emit', {e} IS NOT NULL AND (({e}.type = 'text' AND {text} <> '') OR {e}.type = 'image'), "
+        f"'section', '{section}', 'type', {e}.type, "
+        f"'content', IF({e}.type = 'text', {text}, CAST(NULL AS STRING)), "
+        f"'image_index', CAST(IF({e}.type = 'image', coalesce({e}.index, 0), NULL) AS BIGINT), "
+        f"'image_ordinal', CAST(IF({e}.type = 'image', _z.`3`, NULL) AS BIGINT), "
+        f"'image', IF({e}.type = 'image', {_image_at_sql(images, e)}, CAST(NULL AS BINARY)), "
+        f"'need_loss', {'false' if is_q else 'true'}, "
+        f"'need_vae', coalesce({e}.type = 'image', false), 'need_vit', coalesce({e}.type = 'image', false), "
+        f"'enable_cfg', true, 'special_token', {label})"
+    )
+    return f"transform({zipped}, _z -> {item})"
 
 
 def sequence_items(unified: DataFrame) -> DataFrame:
@@ -200,12 +171,9 @@ def sequence_items(unified: DataFrame) -> DataFrame:
     image_ordinal, image (bytes), need_loss, need_vae, need_vit, enable_cfg,
     special_token`` — question entries then solution entries, in order."""
     ok = with_reject_reason(unified).filter(F.col("reason") == REASON_OK)
-    items = F.filter(
-        F.concat(
-            _items(F.col("question_interleave"), F.col("question_images"), "question"),
-            _items(F.col("solution_interleave"), F.col("solution_images"), "solution"),
-        ),
-        lambda x: x["_emit"],
+    items = F.expr(
+        f"filter(concat({_items_sql('question_interleave', 'question_images', 'question')}, "
+        f"{_items_sql('solution_interleave', 'solution_images', 'solution')}), _i -> _i._emit)"
     )
     return (
         ok.select("layout", "key", F.posexplode(items).alias("pos", "it"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from ..functions.text import sql_of, sql_str
 from .order import global_index
 
 # Python's str.split() separators: Unicode white space and U+001C..U+001F.
@@ -19,21 +20,19 @@ PAD_ID = 0
 IGNORE_LABEL = -100
 
 
-def training_text(question: Column, solution: Column) -> Column:
+def training_text(question: Column | str, solution: Column | str) -> Column:
     """Text entries of the question then the solution, joined by one space."""
-    texts = F.filter(F.concat(question, solution), lambda e: e["type"] == "text")
-    return F.array_join(F.transform(texts, lambda e: e["content"]), " ")
+    q, a = sql_of(question), sql_of(solution)
+    return F.expr(f"array_join(transform(filter(concat({q}, {a}), _e -> _e.type = 'text'), _e -> _e.content), ' ')")
 
 
-def hash_tokenize(text: Column, vocab_size: int = DEFAULT_VOCAB, max_length: int | None = MAX_LENGTH) -> Column:
+def hash_tokenize(text: Column | str, vocab_size: int = DEFAULT_VOCAB, max_length: int | None = MAX_LENGTH) -> Column:
     """N7 default tokenizer: whitespace words, id = first 32 bits of md5 mod
     ``vocab_size``; truncated to ``max_length`` (O6).  Portable to any SQL
     engine with md5, so results can be checked outside Spark."""
-    words = F.filter(F.split(text, WORD_SEPARATORS), lambda w: w != "")
-    ids = F.transform(
-        words, lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"), F.lit(vocab_size)).cast("int")
-    )
-    return F.slice(ids, 1, max_length) if max_length else ids
+    words = f"filter(split({sql_of(text)}, {sql_str(WORD_SEPARATORS)}), _w -> _w <> '')"
+    ids = f"transform({words}, _w -> CAST(pmod(CAST(conv(substring(md5(_w), 1, 8), 16, 10) AS BIGINT), {int(vocab_size)}) AS INT))"
+    return F.expr(f"slice({ids}, 1, {int(max_length)})" if max_length else ids)
 
 
 def pandas_tokenizer(encode: Callable[[str], list[int]], max_length: int | None = MAX_LENGTH):

@@ -50,19 +50,14 @@ def index_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return image_index(X.image_blobs(spark, sf_dir))
 
 
-def _section_items(entries: F.Column, section: str) -> F.Column:
-    return F.transform(
-        entries,
-        lambda e, i: F.struct(
-            F.lit(section).alias("section"), i.cast("long").alias("pos"), e["type"].alias("type"),
-            e["content"].alias("content"), e["index"].alias("index"),
-        ),
-    )
+def _section_items(entries: str, section: str) -> str:
+    return (f"transform({entries}, (_e, _i) -> named_struct('section', '{section}', 'pos', CAST(_i AS BIGINT), "
+            f"'type', _e.type, 'content', _e.content, 'index', _e.index))")
 
 
 def _explode_entries(df: DataFrame, *sections: str) -> DataFrame:
-    parts = [_section_items(F.col(f"{s}_entries"), s) for s in sections]
-    return df.select("task_id", F.inline(F.concat(*parts)))
+    parts = ", ".join(_section_items(f"{s}_entries", s) for s in sections)
+    return df.select("task_id", F.inline(F.expr(f"concat({parts})")))
 
 
 # ---------------------------------------------------------------- step 1: ingest status
@@ -159,7 +154,7 @@ def question_prompt_q(spark, sf_dir):
 def images_collected(spark, sf_dir):
     """A3: per record, md5 of each section's image bytes in order (missing skipped)."""
     got = collect_images(attach_bytes(refs_a(spark, sf_dir), X.image_blobs(spark, sf_dir), hot_paths(spark, sf_dir)))
-    md5s = lambda c: F.array_join(F.transform(F.col(c), lambda b: F.md5(b)), ",")
+    md5s = lambda c: F.expr(f"array_join(transform({c}, _b -> md5(_b)), ',')")
     return got.select(
         "task_id",
         F.size("question_images").cast("long").alias("n_question"),
@@ -311,8 +306,8 @@ def dataset_info_q(spark, sf_dir):
 def interleave_roundtrip(spark, sf_dir):
     """Layout-A JSON strings parse back to the entries they were written from."""
     u = S.unify_layout_a(layout_a_rows(spark, sf_dir))
-    parts = [_section_items(F.col(f"{s}_interleave"), s) for s in ("question", "solution")]
-    return u.select("key", F.inline(F.concat(*parts)))
+    parts = ", ".join(_section_items(f"{s}_interleave", s) for s in ("question", "solution"))
+    return u.select("key", F.inline(F.expr(f"concat({parts})")))
 
 
 @query("unified_layouts")
@@ -381,7 +376,7 @@ def padded_batches(spark, sf_dir):
         "task_id", "batch_id", "row_in_batch", F.col("batch_max_len").cast("long").alias("batch_max_len"),
         F.array_join("input_ids", ",").alias("input_ids"),
         F.array_join("labels", ",").alias("labels"),
-        F.array_join(F.transform("attention_mask", lambda x: x.cast("int")), ",").alias("attention_mask"),
+        F.expr("array_join(transform(attention_mask, _m -> CAST(_m AS INT)), ',')").alias("attention_mask"),
     )
 
 
@@ -435,11 +430,8 @@ def mixture(spark, sf_dir):
 def preview(spark, sf_dir):
     """The first layout-B row, summarised (a top-1 report)."""
     b = layout_b_rows(spark, sf_dir).orderBy("task_id").limit(1)
-    show = F.transform(
-        F.col("question_interleave"),
-        lambda e: F.when(e["type"] == "text", F.concat(F.substring(e["content"], 1, 50), F.lit("...")))
-        .otherwise(F.concat(F.lit("index="), e["index"].cast("string"))),
-    )
+    show = F.expr("transform(question_interleave, _e -> IF(_e.type = 'text', concat(substring(_e.content, 1, 50), '...'), "
+                  "concat('index=', CAST(_e.index AS STRING))))")
     return b.select(
         "task_id", "answer",
         F.size("question_interleave").cast("long").alias("n_question"),
