@@ -18,6 +18,8 @@ once the optimizer inlines its projection.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,10 +42,20 @@ def sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+_NOT_SQL = re.compile(r"lambdafunction|namedlambdavariable|(^|[\s(,])(=|<=>|<|>|<=|>=|!|&&|\|\||[-+*/%])\(")
+
+
 def sql_of(c: Column | str) -> str:
-    """SQL text of an argument: a string is taken as SQL; a simple Column
-    (a name, or a plain function of names) is rendered to SQL."""
-    return c if isinstance(c, str) else c._jc.toString()
+    """SQL text of an argument: a string is taken as SQL; a Column that is a
+    name, an ``F.expr`` expression or a plain function of names is rendered to
+    SQL.  Operator trees built with the Column API do not render to SQL, so
+    they are refused — pass a column name or ``F.expr`` text instead."""
+    if isinstance(c, str):
+        return c
+    text = c._jc.toString()
+    if _NOT_SQL.search(text):
+        raise ValueError(f"pass a column name or SQL text, not a Column-API expression: {text[:80]}")
+    return text
 
 
 def strip_sql(x: str) -> str:
