@@ -76,3 +76,9 @@ def test_sequence_and_token_jobs(spark, tmp_path):
     want = C.all_queries()["padded_batches"](spark, SF_SMALL)
     assert sorted(r.input_ids for r in got.select(F.array_join("input_ids", ",").alias("input_ids")).collect()) == \
         sorted(r.input_ids for r in want.select("input_ids").collect())
+
+
+def test_cli_parquet_info(spark, capsys):
+    jobs.main(["parquet-info", "--input", f"{SF_SMALL}/orders.parquet"])
+    out = capsys.readouterr().out
+    assert "orders.parquet" in out and "1500" in out
