@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,18 +16,21 @@ def read_images(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     existence checks never read the bytes.
     """
     base = root.rstrip("/")
+    if "://" not in base and not base.startswith("file:"):
+        base = os.path.abspath(base)  # binaryFile reports absolute URIs
     df = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .load(base)
     )
-    # binaryFile paths are URIs (file:/…); strip everything up to and including root.
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + _regex_escape(base.split("://")[-1]) + "/", "")
+    # binaryFile paths are URIs (file:/…, hdfs://host/…): drop the scheme and
+    # authority part in front of the root, then the root itself.
+    if "://" in base:
+        rest = base.split("://", 1)[1]
+        path_part = rest[rest.index("/"):] if "/" in rest else ""
+    else:
+        path_part = base.removeprefix("file:")
+    root_path = re.escape(path_part)
+    rel = F.regexp_replace(F.col("path"), r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?" + root_path + "/", "")
     return df.select(rel.alias("path"), F.col("length"), F.col("content"))
-
-
-def _regex_escape(s: str) -> str:
-    import re
-
-    return re.escape(s)

@@ -115,3 +115,13 @@ def test_row_counts_and_profile(spark, tmp_path):
         F.size("solution_interleave").alias("n_solution")), ["n_solution"]).collect()}
     r = prof["n_solution"]
     assert r.min <= r.p25 <= r.p50 <= r.p75 <= r.max and r.min <= r.avg <= r.max
+
+
+def test_read_images_relative_and_uri_roots(spark, tmp_path, monkeypatch):
+    nested = tmp_path / "data" / "x" / "data" / "task_1"
+    nested.mkdir(parents=True)
+    (nested / "a.png").write_bytes(b"\x89PNG")
+    monkeypatch.chdir(tmp_path / "data" / "x")
+    assert [r.path for r in read_images(spark, "data").select("path").collect()] == ["task_1/a.png"]
+    uri = f"file://{tmp_path}/data/x/data"
+    assert [r.path for r in read_images(spark, uri).select("path").collect()] == ["task_1/a.png"]
