@@ -77,8 +77,21 @@ def tag_patterns(dotall: bool) -> tuple[str, str]:
     return f"{flag}<image>.*?</image>", f"{flag}<image>(.*?)</image>"
 
 
+def _prefix_end_sql(text: str) -> str:
+    """End (1-based, inclusive) of the last ``</image>`` in ``text``, 0 if none.
+    No tag can end after it, so the tag regexes only scan ``text`` up to here:
+    without the cut, every unclosed ``<image>`` after the last closer would
+    scan to the end of the text (quadratic on junk)."""
+    q = f"locate({sql_str(IMAGE_CLOSE[::-1])}, reverse({text}))"
+    return f"IF({q} > 0, length({text}) - {q} + 1, 0)"
+
+
+def _prefix_sql(text: str) -> str:
+    return f"substring({text}, 1, {_prefix_end_sql(text)})"
+
+
 def image_paths_sql(text: str, dotall: bool = True) -> str:
-    return f"regexp_extract_all({text}, {sql_str(tag_patterns(dotall)[1])}, 1)"
+    return f"regexp_extract_all({_prefix_sql(text)}, {sql_str(tag_patterns(dotall)[1])}, 1)"
 
 
 def image_paths(text: Column | str, dotall: bool = True) -> Column:
@@ -102,7 +115,11 @@ def running_count(arr: Column | str, pred: str) -> Column:
 
 def segments_sql(text: str, dotall: bool = True) -> str:
     split_pat, _ = tag_patterns(dotall)
-    zipped = f"arrays_zip(split({text}, {sql_str(split_pat)}, -1), {image_paths_sql(text, dotall)})"
+    # split the tagged prefix, then glue the untagged tail onto its last part
+    head = f"split({_prefix_sql(text)}, {sql_str(split_pat)}, -1)"
+    tail = f"substring({text}, {_prefix_end_sql(text)} + 1)"
+    parts = f"concat(slice({head}, 1, size({head}) - 1), array(concat(element_at({head}, -1), {tail})))"
+    zipped = f"arrays_zip({parts}, {image_paths_sql(text, dotall)})"
     txt = f"named_struct('type', 'text', 'content', {strip_sql('_z.`0`')})"
     img = f"named_struct('type', 'image', 'content', {strip_sql('_z.`1`')})"
     keep = "_s.type = 'image' OR _s.content <> ''" if dotall else "_s.content <> ''"

@@ -100,3 +100,21 @@ def test_segments_property(spark):
             assert (ent(r.qa), ent(r.sa)) == O.layout_a(t)
 
     check()
+
+
+def test_many_unclosed_tags_stay_linear(spark):
+    """Junk with tens of thousands of unclosed tags: the scan stops at the last
+    closer, so Spark stays fast (a regex oracle would itself be quadratic, so
+    the expected segments are written out)."""
+    import time
+
+    t1 = "x</image>" + "<image>a " * 20000
+    t2 = "<image>p</image>" + "<image>" * 30000 + "tail"
+    df = spark.createDataFrame([(0, t1), (1, t2)], "id long, t string")
+    t0 = time.perf_counter()
+    rows = {r.id: r for r in df.select("id", T.segments(F.col("t"), True).alias("d"),
+                                       T.segments(F.col("t"), False).alias("s")).collect()}
+    assert time.perf_counter() - t0 < 30
+    for mode in ("d", "s"):
+        assert [(x.type, x.content) for x in rows[0][mode]] == [("text", t1.strip())]
+        assert [(x.type, x.content) for x in rows[1][mode]] == [("image", "p"), ("text", "<image>" * 30000 + "tail")]
