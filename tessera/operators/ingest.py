@@ -4,8 +4,10 @@ Records are ``task_id long, gt, pred, cot_text`` (see ``schemas.SOURCE``).
 ``task_id`` is taken as the record key, as in the reference (which never
 checks that it is unique).
 
-Status is decided from text and the narrow image index first; image bytes
-are joined last and only for records that passed.
+Status reports join the narrow image index (``path``, validity) and never
+move bytes.  Layout rows join image bytes once, only for records that passed
+the text checks, and take both the image status and the ordered byte lists
+from one per-task group.
 """
 
 from __future__ import annotations
