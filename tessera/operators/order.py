@@ -1,25 +1,34 @@
 """Global order without a one-partition window.
 
-``global_index`` gives every row its 0-based position in a total order:
-
-1. ``repartitionByRange(B, order)`` — Spark samples the keys and cuts B
-   balanced, contiguous ranges, so partition id is monotone in the order;
-2. ``sortWithinPartitions(order)``, then the row's rank inside its partition
-   comes from ``monotonically_increasing_id`` (partition id in the high bits);
-3. per-partition counts → running offsets: a table of at most B rows, the only
-   thing broadcast, so its size is bounded by the partition count, not the data.
+``global_index`` gives every row its 0-based position in a total order with
+one shuffle of the rows:
+
+1. every row gets a *bucket* that is monotone in the order: the leading hex
+   digits of an md5 shuffle key, or the quantile interval of a numeric key
+   (``approxQuantile`` bounds, binary search by ``Bucketizer``);
+2. rows per bucket come from a map-side-combined count — a table of at most
+   ``B`` rows, whose running sums (offsets) are the only thing broadcast;
+3. rows are hash-partitioned by bucket (which clusters each bucket in one
+   task) and numbered with ``row_number`` over a window per bucket.
+
+``B`` is a few times the shuffle partition count, so buckets are small and
+balanced: no single task sorts a large share of the data.  Orders whose first
+key is neither falls back to ``repartitionByRange`` (a range exchange for the
+rows and one for the counts).
 
 The order must be unique (add a tiebreak key): then the result is
 deterministic, and a task recomputed after an executor loss yields the same
-numbers.  A unique key also means no single key value can overload a range.
+numbers.  A unique key also means no single key value can overload a bucket.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 _B, _R, _N, _OFF = "_gi_part", "_gi_row", "_gi_n", "_gi_off"
+BUCKETS_PER_PARTITION = 4
 
 
 def _num_ranges(df: DataFrame, num_ranges: int | None) -> int:
@@ -28,6 +37,36 @@ def _num_ranges(df: DataFrame, num_ranges: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _offsets(counts: DataFrame, total_col: str | None) -> DataFrame:
+    """Running row offsets per bucket (a table of at most B rows)."""
+    before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(
+        _B,
+        F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("long").alias(_OFF),
+        *([F.sum(_N).over(Window.partitionBy()).cast("long").alias(total_col)] if total_col else []),
+    )
+
+
+def hex_bucket(hex_col: Column, digits: int) -> Column:
+    """Bucket of an md5 hex key: its first ``digits`` hex digits (monotone in the key)."""
+    return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("long")
+
+
+def _quantile_bucket(df: DataFrame, key: str, n_buckets: int):
+    """A ``Bucketizer`` over approximate quantiles of a numeric key (at most
+    ``n_buckets`` bounds reach the driver) and its output column name."""
+    from pyspark.ml.feature import Bucketizer
+
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = sorted(set(b for b in df.approxQuantile(key, probs, 1.0 / (4 * n_buckets)) if b == b))
+    splits = [float("-inf"), *bounds, float("inf")]
+    if len(splits) < 3:
+        splits = [float("-inf"), 0.0, float("inf")]
+    tmp = "_gi_bucket"
+    bucketizer = Bucketizer(splits=splits, inputCol=key, outputCol=tmp, handleInvalid="keep")
+    return bucketizer, tmp
+
+
 def global_index(
     df: DataFrame,
     order: list[str | Column],
@@ -35,35 +74,59 @@ def global_index(
     total_col: str | None = None,
     num_ranges: int | None = None,
     materialize: bool = False,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Add ``col`` = 0-based position in ``order`` (and the row count as
-    ``total_col`` when given).  Rows come out range-partitioned and sorted.
+    ``total_col`` when given).
 
-    Range partitioning samples its input in a job of its own, so an expensive
-    input would be computed twice; ``materialize=True`` writes it once with a
-    reliable ``checkpoint()`` to the shared checkpoint folder first.  Plain
-    table scans need no such step.
+    ``bucket`` may give a bucket column monotone in the order (``shuffle``
+    passes the md5 prefix); otherwise a numeric first key is bucketed by
+    quantiles.  The input is read twice (counts and rows); an expensive input
+    should be written once first — ``materialize=True`` does that with a
+    reliable ``checkpoint()`` into the shared checkpoint folder.
     """
     if materialize:
         from ..session import ensure_checkpoint_dir
 
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint()
-    b = _num_ranges(df, num_ranges)
+    n = _num_ranges(df, num_ranges)
+    first = order[0]
+    if bucket is not None:
+        bucketed = df.withColumn(_B, bucket)
+    elif isinstance(first, str) and isinstance(df.schema[first].dataType, NumericType):
+        bucketizer, tmp = _quantile_bucket(df, first, n * BUCKETS_PER_PARTITION)
+        keyed = df.withColumn("_gi_key", F.col(first).cast("double"))
+        bucketizer.setInputCol("_gi_key")
+        bucketed = bucketizer.transform(keyed).withColumn(
+            _B, F.when(F.col(first).isNull(), F.lit(-1)).otherwise(F.col(tmp)).cast("long")
+        ).drop(tmp, "_gi_key")
+    else:
+        return _global_index_by_range(df, order, col, total_col, n)
+    counts = bucketed.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
+    rank = F.row_number().over(Window.partitionBy(_B).orderBy(*order)) - 1
+    out = (
+        bucketed.repartition(n, _B)
+        .withColumn(_R, rank.cast("long"))
+        .join(F.broadcast(_offsets(counts, total_col)), _B)
+        .withColumn(col, (F.col(_OFF) + F.col(_R)).cast("long"))
+    )
+    return out.drop(_B, _R, _OFF)
+
+
+def _global_index_by_range(df: DataFrame, order: list[str | Column], col: str, total_col: str | None,
+                           n: int) -> DataFrame:
+    """Fallback for keys that cannot be bucketed: range partitions (partition
+    id monotone in the order), rank inside the partition from
+    ``monotonically_increasing_id``, offsets from per-partition counts."""
     ranged = (
-        df.repartitionByRange(b, *order)
+        df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn(_B, F.spark_partition_id())
         .withColumn(_R, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
     )
     counts = ranged.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
-    before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        _B,
-        F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("long").alias(_OFF),
-        *([F.sum(_N).over(Window.partitionBy()).cast("long").alias(total_col)] if total_col else []),
-    )
-    out = ranged.join(F.broadcast(offsets), _B).withColumn(col, (F.col(_OFF) + F.col(_R)).cast("long"))
+    out = ranged.join(F.broadcast(_offsets(counts, total_col)), _B).withColumn(col, (F.col(_OFF) + F.col(_R)).cast("long"))
     return out.drop(_B, _R, _OFF)
 
 
@@ -79,7 +142,12 @@ def shuffle(df: DataFrame, key: str, seed: int | str = 42, epoch: int | None = N
     mixes its number into the seed.  (``rand(seed)`` is not used: it depends on
     the partitioning.)"""
     h = "_shuffle_h"
-    out = global_index(df.withColumn(h, shuffle_key(F.col(key), seed, epoch)), [h, key], col, total_col, num_ranges)
+    n = _num_ranges(df, num_ranges)
+    digits = 1
+    while 16 ** digits < n * BUCKETS_PER_PARTITION and digits < 8:
+        digits += 1
+    out = global_index(df.withColumn(h, shuffle_key(F.col(key), seed, epoch)), [h, key], col, total_col, num_ranges,
+                       bucket=hex_bucket(F.col(h), digits))
     return out.drop(h)
 
 

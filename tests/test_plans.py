@@ -12,12 +12,23 @@ def _plan(df):
 
 
 def test_global_index_has_no_single_partition_window_over_rows(spark):
-    df = O.global_index(C.orders(spark, SF_MID).select("o_orderkey"), ["o_orderkey"])
-    opt = df._jdf.queryExecution().optimizedPlan().toString()
-    # the only Window runs over the per-range counts (an Aggregate), never over rows
-    for block in opt.split("Window [")[1:]:
-        assert "Aggregate" in block.split("+- Window")[0]
-    assert "RepartitionByExpression" in opt or "RangePartitioning" in _plan(df)
+    """Unpartitioned windows only run over the per-bucket counts (an
+    Aggregate); the rows are numbered in windows partitioned by bucket, and
+    there is a single exchange of the rows (no range exchange)."""
+    import re
+
+    for df in (O.global_index(C.orders(spark, SF_MID).select("o_orderkey"), ["o_orderkey"]),
+               O.shuffle(C.orders(spark, SF_MID).select("o_orderkey"), "o_orderkey", 42)):
+        opt = df._jdf.queryExecution().optimizedPlan().toString()
+        blocks = opt.split("Window [")[1:]
+        assert blocks
+        for block in blocks:
+            first_line = block.split("\n")[0]
+            partition_spec = re.findall(r"\], \[([^\]]*)\], \[", first_line)
+            if not partition_spec or partition_spec[0].strip() == "":
+                assert "Aggregate" in block.split("+- Window")[0]
+        physical = _plan(df)
+        assert "rangepartitioning" not in physical
 
 
 def test_status_scan_prunes_image_bytes(spark):
