@@ -95,17 +95,20 @@ def global_index(
         df = df.checkpoint()
     n = _num_ranges(df, num_ranges)
     first = order[0]
+    k0 = "_gi_k0"
     if bucket is not None:
         bucketed = df.withColumn(_B, bucket)
-    elif isinstance(first, str) and isinstance(df.schema[first].dataType, NumericType):
-        bucketizer, tmp = _quantile_bucket(df, first, n * BUCKETS_PER_PARTITION)
-        keyed = df.withColumn("_gi_key", F.col(first).cast("double"))
+    else:
+        keyed = df.withColumn(k0, F.col(first) if isinstance(first, str) else first)
+        if not isinstance(keyed.schema[k0].dataType, NumericType):
+            return _global_index_by_range(df, order, col, total_col, n)
+        order = [k0, *order[1:]]
+        bucketizer, tmp = _quantile_bucket(keyed, k0, n * BUCKETS_PER_PARTITION)
+        keyed = keyed.withColumn("_gi_key", F.col(k0).cast("double"))
         bucketizer.setInputCol("_gi_key")
         bucketed = bucketizer.transform(keyed).withColumn(
-            _B, F.when(F.col(first).isNull(), F.lit(-1)).otherwise(F.col(tmp)).cast("long")
+            _B, F.when(F.col(k0).isNull(), F.lit(-1)).otherwise(F.col(tmp)).cast("long")
         ).drop(tmp, "_gi_key")
-    else:
-        return _global_index_by_range(df, order, col, total_col, n)
     counts = bucketed.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
     rank = F.row_number().over(Window.partitionBy(_B).orderBy(*order)) - 1
     out = (
@@ -114,7 +117,7 @@ def global_index(
         .join(F.broadcast(_offsets(counts, total_col)), _B)
         .withColumn(col, (F.col(_OFF) + F.col(_R)).cast("long"))
     )
-    return out.drop(_B, _R, _OFF)
+    return out.drop(_B, _R, _OFF, k0)
 
 
 def _global_index_by_range(df: DataFrame, order: list[str | Column], col: str, total_col: str | None,

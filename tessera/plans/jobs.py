@@ -50,14 +50,16 @@ def convert_layout_a(spark: SparkSession, input_path: str, output: str, image_di
                      samples_per_file: int = 100, on_missing: str = "skip") -> tuple[DataFrame, DataFrame]:
     """Records → layout A shards of ``samples_per_file`` rows + manifest.
 
-    Returns (status counts, manifest).  Shards follow ``id`` order.
+    Returns (status counts, manifest).  Shards follow task order.
     """
     image_dir = image_dir or os.path.dirname(os.path.abspath(input_path))
     records = staged(spark, read_cot(spark, input_path), "records")
     images = read_images(spark, image_dir)
     report = I.ingest_report(I.status_a(records, image_index(images))).collect()
     rows = I.to_layout_a(records, images, on_missing)
-    manifest = SH.write_shards(rows, output, ["id"], samples_per_file)  # checkpoints its input
+    # task order: the number inside ``id`` first, the id itself as tiebreak
+    order = [F.expr("try_cast(substring(id, 6) AS BIGINT)"), "id"]
+    manifest = SH.write_shards(rows, output, order, samples_per_file)  # checkpoints its input
     return spark.createDataFrame(report), manifest
 
 
