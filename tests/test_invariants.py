@@ -71,3 +71,22 @@ def test_stable_under_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert before == after
+
+
+def test_global_index_paths_agree(spark):
+    """The bucketed paths (numeric column, numeric expression) and the range
+    fallback (string key) all give the dense position in the order; null keys
+    come first, as in Spark's ascending order."""
+    rows = [(i, None if i % 97 == 0 else (i * 7919) % 10007, f"k{(i * 31) % 1000:04d}-{i}") for i in range(1500)]
+    df = spark.createDataFrame(rows, "rid long, num long, s string")
+
+    def expected(key):
+        ordered = sorted(rows, key=lambda r: (r[key] is not None, r[key] if r[key] is not None else 0, r[0]))
+        return {r[0]: i for i, r in enumerate(ordered)}
+
+    got_num = {r.rid: r.gi for r in O.global_index(df, ["num", "rid"], num_ranges=5).collect()}
+    assert got_num == expected(1)
+    got_expr = {r.rid: r.gi for r in O.global_index(df, [F.col("num") * 2, "rid"], num_ranges=5).collect()}
+    assert got_expr == expected(1)
+    got_str = {r.rid: r.gi for r in O.global_index(df, ["s", "rid"], num_ranges=5).collect()}
+    assert got_str == expected(2)
