@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import packing, personal_data, substring_dedup, url_reputation
+from tessera.llm import chat_format, mixing, packing, personal_data, quality, substring_dedup, url_reputation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +21,29 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality.FEATURES)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+#: Both say what looks like a turn of many templates.
+CONTROL_TURNS = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    turns = turns.unionByName(spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string"))
+    return chat_format.digest(chat_format.examples(turns))
+
+
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(mixing.Mix(table(spark, sf_dir, "documents")).taken())
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.digest(personal_data.detect(table(spark, sf_dir, "documents")))
 
@@ -38,7 +58,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_rules": op1_quality_rules,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op4_chat_format": op4_chat_format,
+        "op7_source_mix": op7_source_mix,
         "op8_personal_data": op8_personal_data,
         "op9_url_reputation": op9_url_reputation,
         "op10_substring_dedup": op10_substring_dedup,
