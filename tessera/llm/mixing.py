@@ -161,14 +161,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as it is taken whole,
     and once more cut to its first words, joined by one space, where the mix ends
     inside it (``n_chars``, if there, follows).  Rows that are not taken go."""
-    keyed = docs.withColumn("_row", F.monotonically_increasing_id())
-    mix = Mix(docs, **options).taken().filter("taken > 0").select(F.col("row").alias("_row"), F.col("taken").alias("_taken"), F.col("size").alias("_size"))
-    joined = keyed.join(mix, "_row")
-    copies = joined.withColumn("_rest", F.expr("_taken % _size")).withColumn(
-        "_copy", F.explode(F.expr("sequence(1, cast((_taken + _size - 1) div _size as int))")))
-    cut = (F.col("_copy") * F.col("_size") > F.col("_taken"))
-    first_words = F.expr(f"array_join(slice({WORDS.format('text')}, 1, cast(_rest as int)), ' ')")
-    out = copies.withColumn("text", F.when(cut, first_words).otherwise(F.col("text")))
+    keyed = docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_row"))
+    mix = Mix(docs, **options).taken().filter("taken > 0").select(F.col("row").alias("_row"), "taken", "size")
+    copies = keyed.join(mix, "_row").withColumn("copy", F.explode(F.expr("sequence(1, cast((taken + size - 1) div size as int))")))
+    cut = F.col("copy") * F.col("size") > F.col("taken")
+    first_words = F.expr(f"array_join(slice({WORDS.format('_doc.text')}, 1, cast(taken % size as int)), ' ')")
+    changed = F.col("_doc").withField("text", first_words)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        changed = changed.withField("n_chars", F.length(first_words).cast(docs.schema["n_chars"].dataType))
+    return copies.select(F.when(cut, changed).otherwise(F.col("_doc")).alias("_doc")).select("_doc.*")

@@ -122,4 +122,10 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buck
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("_words", "_hash")
 
 
+def kept_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps, unchanged."""
+    whole = docs.select(F.struct("*").alias("_doc"), "doc_id", "text")
+    return judge(whole, labels, **options).filter("kept").select("_doc.*")
+
+
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat_format, mixing, packing, personal_data, quality, substring_dedup, url_reputation
+from tessera.llm import chat_format, mixing, near_duplicates, packing, personal_data, quality, substring_dedup, topk_search, url_reputation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,14 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.examples(turns))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.digest(near_duplicates.classes(table(spark, sf_dir, "documents")))
+
+
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(mixing.Mix(table(spark, sf_dir, "documents")).taken())
 
@@ -61,6 +69,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": op1_quality_rules,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op4_chat_format": op4_chat_format,
+        "op5_near_duplicates": op5_near_duplicates,
+        "op6_topk_search": op6_topk_search,
         "op7_source_mix": op7_source_mix,
         "op8_personal_data": op8_personal_data,
         "op9_url_reputation": op9_url_reputation,
