@@ -125,7 +125,10 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buck
 def kept_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that :func:`judge` keeps, unchanged."""
     whole = docs.select(F.struct("*").alias("_doc"), "doc_id", "text")
-    return judge(whole, labels, **options).filter("kept").select("_doc.*")
+    # the number keeps the optimizer from moving the filter down, which would
+    # put whole arrays' expressions in place of their names, inside lambdas
+    judged = judge(whole, labels, **options).withColumn("_number", F.monotonically_increasing_id())
+    return judged.filter("kept and _number >= 0").select("_doc.*")
 
 
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]
