@@ -57,7 +57,8 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    judged = url_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,4 +80,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL where it can say the same: the other operators rest on hashes
+    or token ids, and are tested against plain versions."""
+    from tessera.llm import oracle
+
+    return {
+        "op4_chat_format": oracle.CHAT_FORMAT,
+        "op6_topk_search": oracle.TOPK_SEARCH,
+        "op9_url_reputation": oracle.url_reputation(),
+        "op10_substring_dedup": oracle.SUBSTRING_DEDUP,
+    }

@@ -185,7 +185,7 @@ def _merge(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
 
 def digest(removed: DataFrame) -> DataFrame:
     """The contract's columns of :func:`dedup_passages`."""
-    return removed.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"), "removed")
+    return removed.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
 def brute_force(rows: list[tuple[int | None, str | None]], width: int = WIDTH) -> list[tuple]:
