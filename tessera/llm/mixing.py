@@ -42,7 +42,7 @@ PART_ROWS = 100_000
 
 
 #: SQL: the words of a text, as an array.
-WORDS = r"array_remove(split(translate(coalesce({0}, ''), '\t\n\u000B\f\r', '     '), ' '), '')"
+WORDS = r"array_remove(split(translate(coalesce({0}, ''), '\t\n\u000B\u000C\r', '     '), ' '), '')"
 
 
 def size_of(text: str = "text") -> Column:

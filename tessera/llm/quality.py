@@ -36,7 +36,7 @@ MAX_TARGET = 50_000
 #: Mean weight below which a document is rejected; see the README.
 THRESHOLD = -0.1
 MIN_WORDS, WINDOW, MAX_REPEATED_PERCENT = 20, 8, 30
-_SPACES = "\\t\\n\\u000B\\f\\r"
+_SPACES = "\\t\\n\\u000B\\u000C\\r"
 
 
 def words_of(text: str) -> str:
