@@ -1,9 +1,7 @@
-import os
+"""Shared fixtures: odd documents and labels."""
 
 import pytest
 
-SF_TINY = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def odd_docs(spark):
@@ -40,7 +38,3 @@ def no_docs(read_docs):
 def some_labels(spark):
     rows = [(1, 1, 0), (2, 1, None), (9, 1, 0), (10, 0, 0), (None, 1, 0), (12, None, 1), (7, 1, 1)]
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
-
-
-def pairs(df):
-    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]

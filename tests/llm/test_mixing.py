@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 from conftest import SF_SMALL
+from llm_fixtures import no_docs, odd_docs, read_docs  # noqa: F401
 from tessera.llm import mixing, queries
 
 

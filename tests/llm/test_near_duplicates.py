@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 
 from conftest import SF_SMALL
+from llm_fixtures import no_docs, odd_docs, read_docs  # noqa: F401
 from tessera.llm import near_duplicates as N
 from tessera.llm import queries
 from tessera.llm.components import components

@@ -4,6 +4,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_fixtures import no_docs, odd_docs, read_docs  # noqa: F401
 from tessera.llm import personal_data as P
 from tessera.llm import queries
 

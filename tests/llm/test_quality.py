@@ -6,6 +6,7 @@ import pytest
 import xxhash
 
 from conftest import SF_SMALL
+from llm_fixtures import no_docs, odd_docs, read_docs, some_labels  # noqa: F401
 from tessera.llm import quality, queries
 
 MASK = (1 << 64) - 1

@@ -6,6 +6,7 @@ import pytest
 
 from conftest import SF_SMALL
 from harness import compare
+from llm_fixtures import some_labels  # noqa: F401
 from tessera.llm import queries, url_reputation as U
 
 
