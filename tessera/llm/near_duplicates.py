@@ -18,12 +18,13 @@ Candidates share one of ``BANDS`` bands of ``ROWS`` components.  The chance to
 miss a pair of similarity 0.8 is (1 - 0.8**4)**20 = 3e-5, and less above.
 
 1. equal texts collapse to one (128-bit hash, map-side minimum);
-2. each bucket links its members to its smallest one; a pair whose signatures
-   are far apart is let go, the others are verified on whole texts;
-3. buckets that hold several components after that are compared pair by pair
-   *between* components, in blocks of bounded size inside tasks; only pairs
-   with close signatures come out, and are verified in the same way.  Most of
-   a large group is one component by then and is never paired with itself.
+2. each bucket pairs its members with the one that meets most others in all
+   its buckets; a pair whose signatures are far apart is let go, the others are
+   verified on whole texts;
+3. buckets that hold several components after that are compared *between*
+   components, in blocks of bounded size inside tasks, until components join;
+   at most one link for each component comes out.  Most of a large group is one
+   component by then and is never compared with itself.
 
 So every link between candidates is found or follows from links found, without
 listing the pairs of a group.  Signatures are far apart if they agree in fewer
@@ -57,8 +58,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
 COMPONENTS = BANDS * ROWS
 LEAST_AGREEING = 46
-#: Members of a bucket that are compared in one task, on each side.
-BLOCK = 1500
+#: Text of a bucket that one task compares with as much again.
+BLOCK_CHARS = 1 << 21
 
 _HALF = np.uint64(32)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -181,20 +182,55 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(keep)
 
 
-def _block_pairs(key, table):
-    """Close pairs between components in one pair of blocks of a bucket."""
-    left, right = (table.filter(pa.array([s in sides for s in table.column("side").to_pylist()])) for sides in (("left", "both"), ("right", "both")))
-    sig = [np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(-1, COMPONENTS) for t in (left, right)]
-    node = [t.column("node").to_numpy() for t in (left, right)]
-    comp = [t.column("component").to_numpy() for t in (left, right)]
-    out_a, out_b = [], []
-    for i in range(len(node[0])):
-        other = np.flatnonzero(comp[1] != comp[0][i])
-        near = other[(sig[1][other] == sig[0][i]).sum(axis=1) >= LEAST_AGREEING]
-        out_a.append(np.minimum(node[0][i], node[1][near]))
-        out_b.append(np.maximum(node[0][i], node[1][near]))
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+def _shingled(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Shingle numbers and multiplicities of all texts one after the other, the
+    places where each text begins, and the count of different shingles."""
+    rows, shingles, weights = [], [], []
+    for row, data, offs in wordhash.text_chunks(texts):
+        r, h, w = bags(row, data, offs)
+        rows.append(r + row)
+        shingles.append(h)
+        weights.append(w)
+    distinct, codes = np.unique(np.concatenate(shingles), return_inverse=True)
+    begin = np.searchsorted(np.concatenate(rows), np.arange(len(texts) + 1))
+    return codes, np.concatenate(weights), begin, len(distinct)
+
+
+def _link_blocks(key, table):
+    """Links that join components within one pair of blocks of a bucket.
+
+    Of a pair that shares several buckets, the first band takes care.  A member
+    is compared only with members it is not yet joined to, so what comes out is
+    at most one link for each component."""
+    side = np.array(table.column("side").to_pylist())
+    node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, COMPONENTS)
+    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    band = int(np.flatnonzero((bands == key[0].as_py()).all(axis=0))[0])
+    codes, weights, begin, n_codes = _shingled(table.column("text"))
+    total = np.add.reduceat(weights, begin[:-1])
+    mine = np.zeros(n_codes, dtype=np.int64)
+    _, joined = np.unique(component, return_inverse=True)  # renamed as components join
+    right = side != "left"
+    out = []
+    for i in np.flatnonzero(side != "right"):
+        near = np.flatnonzero(right & (joined != joined[i]))
+        near = near[(sig[near] == sig[i]).sum(axis=1) >= LEAST_AGREEING]
+        if band:
+            near = near[~(bands[near, :band] == bands[i, :band]).any(axis=1)]
+        if not len(near):
+            continue
+        own = slice(begin[i], begin[i + 1])
+        mine[codes[own]] = weights[own]
+        counts = begin[near + 1] - begin[near]
+        at = np.repeat(begin[near] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        both = np.add.reduceat(np.minimum(mine[codes[at]], weights[at]), np.cumsum(counts) - counts)
+        mine[codes[own]] = 0
+        for j in near[both >= SIMILARITY * (total[near] + total[i] - both)]:
+            if joined[j] != joined[i]:
+                out.append((node[i], node[j]))
+                joined[joined == joined[j]] = joined[i]
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -212,28 +248,25 @@ def classes(docs: DataFrame) -> DataFrame:
     texts = signed.select("node", "doc_id", "k1", F.coalesce("k2", F.lit(0)).alias("k2"), worded.alias("w")).groupBy("k1", "k2", "w").agg(
         lead.alias("lead"), F.count("*").alias("n")).select("k1", "k2", "w", F.col("lead.node").alias("rep"), "lead", "n").checkpoint()
 
-    # one row a distinct text: bands, and signatures of those that share a bucket
+    # one row a distinct text that shares a bucket with another
     chosen = signed.join(texts.filter("w").select(F.col("rep").alias("node")), "node")
     banded = chosen.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("center")).filter("n > 1")
-    members = banded.join(shared.select("bucket", "center"), "bucket").checkpoint()
-    candidates = members.select("node").distinct()
-    sigs = signed.select("node", "sig").join(candidates, "node").checkpoint()
-    held = numbered.select("node", "text").join(candidates, "node").checkpoint()
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        x, y = held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), held.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
-
-    stars = members.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    x, y = sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
-    near = stars.join(x, "a").join(y, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(_close, "a long, b long")
-    links = verified(near).checkpoint()
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = banded.join(shared, "bucket").checkpoint()
+    meets = members.groupBy("node").agg(F.sum("n").alias("met")).checkpoint()
+    held = numbered.select("node", "text").join(signed.select("node", "bands", "sig").join(meets.select("node"), "node"), "node").checkpoint()
+
+    # stars: the member that meets most others is the likeliest origin of its group
+    centers = members.join(meets, "node").groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("center"))
+    spokes = members.join(centers, "bucket").filter("node <> center")
+    stars = spokes.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
+    x, y = ([held.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("text").alias(f"text_{c}")) for c in "ab"])
+    near = stars.join(x.drop("text_a"), "a").join(y.drop("text_b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(_close, "a long, b long")
+    links = near.join(x.drop("sig_a"), "a").join(y.drop("sig_b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long").checkpoint()
     first = components(links)
 
-    rest = verified(_between_components(members.select("bucket", "node"), sigs, first)).checkpoint()
-    merged = links.union(rest)
-    found = components(merged) if rest.limit(1).count() else first
+    rest = _between_components(members.filter("n > 2").select("bucket", "node"), held, first).checkpoint()
+    found = components(links.union(rest)) if rest.limit(1).count() else first
 
     named = texts.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class_key", F.coalesce("component", "rep"))
     named = named.select("rep", "k1", "k2", "w", "lead", "n", "class_key").checkpoint()
@@ -244,17 +277,19 @@ def classes(docs: DataFrame) -> DataFrame:
         "node", "doc_id", F.col("lead.doc_id").alias("class_id"), "class_key", "class_size", (F.col("node") == F.col("lead.node")).alias("first"))
 
 
-def _between_components(members: DataFrame, sigs: DataFrame, found: DataFrame) -> DataFrame:
-    """Close pairs ``a, b`` of different components that share a bucket.
+def _between_components(members: DataFrame, held: DataFrame, found: DataFrame) -> DataFrame:
+    """Links ``a, b`` between different components that share a bucket.
 
     In a bucket the largest component is one side; all others are compared with
-    it and with each other, in blocks of about ``BLOCK`` members."""
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    counted = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    it and with each other, in blocks of about ``BLOCK_CHARS``."""
+    sized = held.select("node", F.length("text").cast("long").alias("chars"))
+    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(sized, "node")
+    counted = placed.groupBy("bucket", "component").agg(F.sum("chars").alias("chars"))
     mixed = counted.groupBy("bucket").agg(
-        F.count("*").alias("several"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("big")).filter("several > 1")
-    mixed = mixed.select("bucket", F.col("big.component").alias("big"), F.expr(f"cast(ceil(big.n / {BLOCK}) as int)").alias("big_blocks"),
-                         F.expr(f"cast(ceil((all - big.n) / {BLOCK}) as int)").alias("blocks"))
+        F.count("*").alias("several"), F.sum("chars").alias("all"), F.max(F.struct("chars", "component")).alias("big")).filter("several > 1")
+    mixed = mixed.select(
+        "bucket", F.col("big.component").alias("big"), F.expr(f"cast(big.chars div {BLOCK_CHARS} + 1 as int)").alias("big_blocks"),
+        F.expr(f"cast((all - big.chars) div {BLOCK_CHARS} + 1 as int)").alias("blocks"))
     split = placed.join(mixed, "bucket").withColumn("is_big", F.col("component") == F.col("big")).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.when(F.col("is_big"), F.col("big_blocks")).otherwise(F.col("blocks"))))
     big = "transform(sequence(0, blocks - 1), i -> struct(i as i, cast(block as int) as j, true as with_big, 'right' as side))"
@@ -262,8 +297,8 @@ def _between_components(members: DataFrame, sigs: DataFrame, found: DataFrame) -
              " transform(sequence(0, blocks - 1), k -> struct(cast(least(block, k) as int) as i, cast(greatest(block, k) as int) as j, false as with_big,"
              " case when block = k then 'both' when block < k then 'left' else 'right' end as side)))")
     dealt = split.select("bucket", "node", "component", F.explode(F.expr(f"if(is_big, {big}, {small})")).alias("p")).select(
-        "bucket", "node", "component", "p.*").join(sigs, "node")
-    return dealt.groupBy("bucket", "i", "j", "with_big").applyInArrow(_block_pairs, "a long, b long").distinct()
+        "bucket", "node", "component", "p.*").join(held, "node")
+    return dealt.groupBy("bucket", "i", "j", "with_big").applyInArrow(_link_blocks, "a long, b long").distinct()
 
 
 def digest(found: DataFrame) -> DataFrame:
