@@ -33,11 +33,12 @@ WEBP_TAG = "57454250"
 
 
 def signature_sql(b: str) -> str:
-    """``struct<absent, nbytes, head, tail>`` of bytes ``b``: first and last 12 bytes
-    as hex.  Computing it once lets a lambda test the bytes through field reads
+    """``struct<absent, nbytes, head, …_end>`` of bytes ``b``: the first 12 bytes as
+    hex, and whether a format's end marker is there (bytes after it do no harm).  Computing it once lets a lambda test the bytes through field reads
     (lambdas get no common-subexpression elimination)."""
-    return (f"named_struct('absent', {b} IS NULL, 'nbytes', length({b}), "
-            f"'head', hex(substring({b}, 1, 12)), 'tail', hex(substring({b}, -12, 12)))")
+    return (f"named_struct('absent', {b} IS NULL, 'nbytes', length({b}), 'head', hex(substring({b}, 1, 12)), "
+            f"'png_end', contains({b}, X'{PNG_TRAILER}'), 'jpeg_end', contains({b}, X'{JPEG_TRAILER}'), "
+            f"'gif_end', contains({b}, X'{GIF_TRAILER}'))")
 
 
 def format_sql(sig: str) -> str:
@@ -47,20 +48,21 @@ def format_sql(sig: str) -> str:
         f"WHEN startswith({head}, '{JPEG_MAGIC}') THEN 'jpeg' "
         f"WHEN startswith({head}, '{GIF87_MAGIC}') OR startswith({head}, '{GIF89_MAGIC}') THEN 'gif' "
         f"WHEN startswith({head}, '{RIFF_MAGIC}') AND substring({head}, 17, 8) = '{WEBP_TAG}' THEN 'webp' "
-        f"WHEN startswith({head}, '{BMP_MAGIC}') THEN 'bmp' END"
+        # bytes 6 to 9 of a bitmap's header are reserved and zero
+        f"WHEN startswith({head}, '{BMP_MAGIC}') AND substring({head}, 13, 8) = '00000000' THEN 'bmp' END"
     )
 
 
 def problem_sql(sig: str) -> str:
     """Null when the signature passes the level-1 check, else a reason."""
-    head, tail = f"{sig}.head", f"{sig}.tail"
+    head = f"{sig}.head"
     return (
         f"CASE WHEN {sig}.absent THEN 'missing' WHEN {sig}.nbytes = 0 THEN 'empty' "
         f"WHEN ({format_sql(sig)}) IS NULL THEN 'unknown_format' "
-        f"WHEN startswith({head}, '{PNG_MAGIC}') AND NOT endswith({tail}, '{PNG_TRAILER}') THEN 'truncated' "
-        f"WHEN startswith({head}, '{JPEG_MAGIC}') AND NOT endswith({tail}, '{JPEG_TRAILER}') THEN 'truncated' "
+        f"WHEN startswith({head}, '{PNG_MAGIC}') AND NOT {sig}.png_end THEN 'truncated' "
+        f"WHEN startswith({head}, '{JPEG_MAGIC}') AND NOT {sig}.jpeg_end THEN 'truncated' "
         f"WHEN (startswith({head}, '{GIF87_MAGIC}') OR startswith({head}, '{GIF89_MAGIC}')) "
-        f"AND NOT endswith({tail}, '{GIF_TRAILER}') THEN 'truncated' END"
+        f"AND NOT {sig}.gif_end THEN 'truncated' END"
     )
 
 

@@ -99,18 +99,15 @@ def image_paths(text: Column | str, dotall: bool = True) -> Column:
     return F.expr(image_paths_sql(sql_of(text), dotall))
 
 
-def running_count_sql(arr: str, pred: str) -> str:
-    """``array<int>``: per element, how many *earlier* elements satisfy ``pred``
-    (a condition on the lambda variable ``_x``) — one ``aggregate`` pass."""
-    return (
-        f"aggregate({arr}, named_struct('n', 0, 'r', CAST(array() AS ARRAY<INT>)), "
-        f"(_acc, _x) -> named_struct('n', _acc.n + IF({pred}, 1, 0), 'r', concat(_acc.r, array(_acc.n))), "
-        f"_acc -> _acc.r)"
-    )
-
-
-def running_count(arr: Column | str, pred: str) -> Column:
-    return F.expr(running_count_sql(sql_of(arr), pred))
+def ordinals_sql(arr: str, pred: str) -> str:
+    """``array<int>``: the 0-based ordinal of each element among those that
+    satisfy ``pred`` (a condition on the lambda variable ``_x``), null for the
+    others.  Chosen places are numbered by ``transform``'s position and put
+    back in order by one sort, so a long array takes n log n steps."""
+    placed = f"transform({arr}, (_x, _i) -> named_struct('i', _i, 'p', coalesce({pred}, false)))"
+    chosen = f"transform(filter({placed}, _y -> _y.p), (_y, _k) -> named_struct('i', _y.i, 'k', _k))"
+    others = f"transform(filter({placed}, _y -> NOT _y.p), _y -> named_struct('i', _y.i, 'k', CAST(NULL AS INT)))"
+    return f"transform(sort_array(concat({chosen}, {others})), _z -> _z.k)"
 
 
 def segments_sql(text: str, dotall: bool = True) -> str:
@@ -176,7 +173,7 @@ def split_layout_b(segs: Column | str) -> tuple[Column, Column]:
 def entries_sql(segs: str, keep_path: bool = True) -> str:
     content = "_s.content" if keep_path else "IF(_s.type = 'image', CAST(NULL AS STRING), _s.content)"
     return (
-        f"zip_with({segs}, {running_count_sql(segs, IS_IMAGE)}, (_s, _c) -> named_struct("
+        f"zip_with({segs}, {ordinals_sql(segs, IS_IMAGE)}, (_s, _c) -> named_struct("
         f"'type', _s.type, 'content', {content}, "
         f"'index', IF(_s.type = 'image', CAST(_c AS BIGINT), CAST(NULL AS BIGINT))))"
     )
@@ -193,7 +190,7 @@ def entries(segs: Column | str, keep_path: bool = True) -> Column:
 
 
 def running_image_index_sql(arr: str) -> str:
-    return (f"zip_with({arr}, {running_count_sql(arr, IS_IMAGE)}, "
+    return (f"zip_with({arr}, {ordinals_sql(arr, IS_IMAGE)}, "
             f"(_e, _c) -> IF(_e.type = 'image', CAST(_c AS BIGINT), CAST(NULL AS BIGINT)))")
 
 

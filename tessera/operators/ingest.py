@@ -234,10 +234,11 @@ def ingest_report(with_status: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- options
 def options_text(options: Column | str) -> Column:
-    """O1: options sorted by key, ``"k: v"`` joined by newlines; null map → ``''``."""
+    """O1: options sorted by key, ``"k: v"`` joined by newlines (a null
+    value prints as ``None``); null map → ``''``."""
     m = T.sql_of(options)
     return F.expr(f"coalesce(array_join(transform(array_sort(map_entries({m})), "
-                  f"_e -> concat(_e.key, ': ', _e.value)), '\\n'), '')")
+                  f"_e -> concat(_e.key, ': ', coalesce(_e.value, 'None'))), '\\n'), '')")
 
 
 def question_prompt(opts_text: Column, prompt: str = QUESTION_PROMPT) -> Column:

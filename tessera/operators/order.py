@@ -12,9 +12,10 @@ one shuffle of the rows:
    task) and numbered with ``row_number`` over a window per bucket.
 
 ``B`` is a few times the shuffle partition count, so buckets are small and
-balanced: no single task sorts a large share of the data.  Orders whose first
-key is neither falls back to ``repartitionByRange`` (a range exchange for the
-rows and one for the counts).
+balanced: no single task sorts a large share of the data.  Other orders (text
+or descending keys, or a first key with few values or many nulls) are range
+partitioned on *all* their keys; that frame is written once to the checkpoint
+folder, and counts and rows are both read from it, so they always agree.
 
 The order must be unique (add a tiebreak key): then the result is
 deterministic, and a task recomputed after an executor loss yields the same
@@ -23,12 +24,17 @@ numbers.  A unique key also means no single key value can overload a bucket.
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 _B, _R, _N, _OFF = "_gi_part", "_gi_row", "_gi_n", "_gi_off"
 BUCKETS_PER_PARTITION = 4
+# A bucket of more than UNEVEN times its share (and SMALL_BUCKET rows) is split by range.
+UNEVEN, SMALL_BUCKET = 8, 10_000
 
 
 def _num_ranges(df: DataFrame, num_ranges: int | None) -> int:
@@ -58,10 +64,7 @@ def _quantile_bucket(df: DataFrame, key: str, n_buckets: int):
     from pyspark.ml.feature import Bucketizer
 
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    # relative error ≤ 1e-4 keeps the per-task summaries small for very many
-    # buckets; a bucket then holds at most ~0.01% of the rows more than ideal
-    rel_err = max(1.0 / (4 * n_buckets), 1e-4)
-    bounds = sorted(set(b for b in df.approxQuantile(key, probs, rel_err) if b == b))
+    bounds = sorted({b for b in df.approxQuantile(key, probs, 1.0 / (4 * n_buckets)) if math.isfinite(b)})
     splits = [float("-inf"), *bounds, float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
@@ -99,10 +102,12 @@ def global_index(
     if bucket is not None:
         bucketed = df.withColumn(_B, bucket)
     else:
+        if _is_sort_order(first):
+            return _global_index_by_range(df, order, col, total_col, n)
         keyed = df.withColumn(k0, F.col(first) if isinstance(first, str) else first)
         if not isinstance(keyed.schema[k0].dataType, NumericType):
             return _global_index_by_range(df, order, col, total_col, n)
-        order = [k0, *order[1:]]
+        by_keys, order = order, [k0, *order[1:]]
         bucketizer, tmp = _quantile_bucket(keyed, k0, n * BUCKETS_PER_PARTITION)
         keyed = keyed.withColumn("_gi_key", F.col(k0).cast("double"))
         bucketizer.setInputCol("_gi_key")
@@ -110,6 +115,10 @@ def global_index(
             _B, F.when(F.col(k0).isNull(), F.lit(-1)).otherwise(F.col(tmp)).cast("long")
         ).drop(tmp, "_gi_key")
     counts = bucketed.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
+    if bucket is None and len(order) > 1:  # few values of the first key: split them over the later ones
+        most, total = counts.agg(F.max(_N), F.sum(_N)).first()
+        if (most or 0) > UNEVEN * (total or 0) / (n * BUCKETS_PER_PARTITION) + SMALL_BUCKET:
+            return _global_index_by_range(df, by_keys, col, total_col, n)
     rank = F.row_number().over(Window.partitionBy(_B).orderBy(*order)) - 1
     out = (
         bucketed.repartition(n, _B)
@@ -120,16 +129,24 @@ def global_index(
     return out.drop(_B, _R, _OFF, k0)
 
 
+def _is_sort_order(key: str | Column) -> bool:
+    return isinstance(key, Column) and bool(re.search(r" (ASC|DESC) NULLS (FIRST|LAST)'>$", str(key)))
+
+
 def _global_index_by_range(df: DataFrame, order: list[str | Column], col: str, total_col: str | None,
                            n: int) -> DataFrame:
-    """Fallback for keys that cannot be bucketed: range partitions (partition
-    id monotone in the order), rank inside the partition from
-    ``monotonically_increasing_id``, offsets from per-partition counts."""
+    """Range partitions over the whole order (partition id monotone in it), rank
+    inside the partition, offsets from per-partition counts.  The partitioned
+    rows are checkpointed: a second range exchange would draw other bounds."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn(_B, F.spark_partition_id())
         .withColumn(_R, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+        .checkpoint()
     )
     counts = ranged.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
     out = ranged.join(F.broadcast(_offsets(counts, total_col)), _B).withColumn(col, (F.col(_OFF) + F.col(_R)).cast("long"))
@@ -185,21 +202,17 @@ def split_integrity(split_df: DataFrame, full: DataFrame, key: str) -> DataFrame
     """Train and test are disjoint and together cover the input.
 
     Returns ``metric, value`` rows (n_total, n_train, n_test, n_overlap,
-    n_missing, n_extra) — joins and counts, no cross join.
+    n_missing, n_extra), all from one union of tagged keys, one count per key
+    and one total.
     """
-    train = split_df.filter(F.col("split") == "train").select(key)
-    test = split_df.filter(F.col("split") == "test").select(key)
-    both = train.unionByName(test)
-    keys = full.select(key)
-
-    def metric(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("metric"), "value")
-
-    return (
-        metric("n_total", keys)
-        .unionByName(metric("n_train", train))
-        .unionByName(metric("n_test", test))
-        .unionByName(metric("n_overlap", train.intersectAll(test)))
-        .unionByName(metric("n_missing", keys.exceptAll(both)))
-        .unionByName(metric("n_extra", both.exceptAll(keys)))
-    )
+    side = F.when(F.col("split") == "train", 1).when(F.col("split") == "test", 2)
+    tagged = full.select(F.col(key).alias("k"), F.lit(0).alias("side")).unionByName(
+        split_df.select(F.col(key).alias("k"), side.alias("side")).filter("side IS NOT NULL"))
+    per_key = tagged.groupBy("k").agg(*[F.count(F.when(F.col("side") == i, 1)).alias(c) for i, c in enumerate(("f", "tr", "te"))])
+    zero = F.lit(0).cast("long")
+    metrics = {
+        "n_total": F.col("f"), "n_train": F.col("tr"), "n_test": F.col("te"), "n_overlap": F.least("tr", "te"),
+        "n_missing": F.greatest(F.col("f") - F.col("tr") - F.col("te"), zero), "n_extra": F.greatest(F.col("tr") + F.col("te") - F.col("f"), zero),
+    }
+    totals = per_key.agg(*[F.coalesce(F.sum(v), zero).alias(m) for m, v in metrics.items()])
+    return totals.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])).alias("r")).select("r.*")

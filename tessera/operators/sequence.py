@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.images import problem_sql, signature_sql
-from ..functions.text import IS_IMAGE, running_count_sql, strip_sql
-from ..schemas import ENTRIES_A
+from ..functions.text import IS_IMAGE, ordinals_sql, sql_of, strip_sql
 from .ingest import task_key
 
 # The special tokens that close a solution text entry.
@@ -29,15 +28,27 @@ REASON_UNDECODABLE = "undecodable_image"
 
 
 # ---------------------------------------------------------------- N1 / U1
-def parse_interleave(c: Column) -> Column:
-    """JSON string → ``array<struct<type, content, index>>``."""
-    return F.from_json(c, ENTRIES_A)
+def parse_interleave(c: Column | str) -> Column:
+    """JSON string → ``array<struct<type, content, index>>``.
+
+    Strict: the text must be one JSON array and nothing else (it is parsed as
+    the first of two elements, so text after its end shows), ``content`` a
+    string or null, and ``index`` an integer or null; otherwise the result is null.
+    """
+    name = sql_of(c)
+    root = f"try_variant_get(try_parse_json(concat('[', {name}, ', null]')), '$', 'array<variant>')"
+    rows = f"try_variant_get(get({root}, 0), '$', 'array<variant>')"
+    kind = lambda f: f"coalesce(schema_of_variant(try_variant_get(_v, '$.{f}', 'variant')), 'VOID')"
+    wrong = f"exists({rows}, _v -> {kind('content')} NOT IN ('STRING', 'VOID') OR {kind('index')} NOT IN ('BIGINT', 'VOID'))"
+    entry = ("named_struct('type', try_variant_get(_v, '$.type', 'string'), 'content', try_variant_get(_v, '$.content', 'string'), "
+             "'index', try_variant_get(_v, '$.index', 'bigint'))")
+    return F.expr(f"CASE WHEN size({root}) = 2 AND NOT {wrong} THEN transform({rows}, _v -> {entry}) END")
 
 
 def unify_layout_a(df: DataFrame) -> DataFrame:
     """U1 for layout A rows: parse JSON; ``parse_ok`` is false when a non-null
     string does not parse."""
-    q, s = parse_interleave(F.col("question_interleave")), parse_interleave(F.col("solution_interleave"))
+    q, s = parse_interleave("question_interleave"), parse_interleave("solution_interleave")
     ok = (F.col("question_interleave").isNull() | q.isNotNull()) & (F.col("solution_interleave").isNull() | s.isNotNull())
     return df.select(
         F.lit("a").alias("layout"),
@@ -145,7 +156,7 @@ def _items_sql(entries: str, images: str, section: str) -> str:
     next_type = (f"concat(slice(transform({entries}, _e -> _e.type), 2, greatest({n} - 1, 0)), "
                  f"array(CAST(NULL AS STRING)))")
     is_last = f"concat(array_repeat(false, greatest({n} - 1, 0)), array(true))"
-    zipped = f"arrays_zip({entries}, {next_type}, {is_last}, {running_count_sql(entries, IS_IMAGE)})"
+    zipped = f"arrays_zip({entries}, {next_type}, {is_last}, {ordinals_sql(entries, IS_IMAGE)})"
     # arrays_zip names a field after a bare column argument, else by position
     e = f"_z.`{entries if entries.isidentifier() else '0'}`"
     text = strip_sql(f"coalesce({e}.content, '')")
@@ -166,25 +177,34 @@ def _items_sql(entries: str, images: str, section: str) -> str:
     return f"transform({zipped}, _z -> {item})"
 
 
-def sequence_items(unified: DataFrame) -> DataFrame:
-    """Accepted rows → ``key, pos, section, type, content, image_index,
-    image_ordinal, image (bytes), need_loss, need_vae, need_vit, enable_cfg,
-    special_token`` — question entries then solution entries, in order."""
+def _sequences(unified: DataFrame) -> DataFrame:
+    """Accepted rows with their items in order, one array a row (no shuffle)."""
     ok = with_reject_reason(unified).filter(F.col("reason") == REASON_OK)
     items = F.expr(
         f"filter(concat({_items_sql('question_interleave', 'question_images', 'question')}, "
         f"{_items_sql('solution_interleave', 'solution_images', 'solution')}), _i -> _i._emit)"
     )
+    return ok.select("layout", "key", items.alias("items"))
+
+
+ITEM_FIELDS = ["section", "type", "content", "image_index", "image_ordinal", "image", "need_loss", "need_vae", "need_vit",
+               "enable_cfg", "special_token"]
+
+
+def sequence_items(unified: DataFrame) -> DataFrame:
+    """Accepted rows → ``key, pos, section, type, content, image_index,
+    image_ordinal, image (bytes), need_loss, need_vae, need_vit, enable_cfg,
+    special_token`` — question entries then solution entries, in order."""
     return (
-        ok.select("layout", "key", F.posexplode(items).alias("pos", "it"))
+        _sequences(unified).select("layout", "key", F.posexplode("items").alias("pos", "it"))
         .select("layout", "key", F.col("pos").cast("long").alias("pos"), "it.*")
         .drop("_emit")
     )
 
 
 def sequence_plan(unified: DataFrame) -> DataFrame:
-    """U4 row-to-sequence handler: one row per record with the ordered items."""
-    items = sequence_items(unified)
-    return items.groupBy("layout", "key").agg(
-        F.array_sort(F.collect_list(F.struct(*[c for c in items.columns if c not in ("layout", "key")]))).alias("sequence")
-    )
+    """U4 row-to-sequence handler: one row for each accepted record with its
+    ordered items; a record without visible text has an empty sequence."""
+    fields = ", ".join(f"'{f}', _i.{f}" for f in ITEM_FIELDS)
+    sequence = f"transform(items, (_i, _p) -> named_struct('pos', CAST(_p AS BIGINT), {fields}))"
+    return _sequences(unified).select("layout", "key", F.expr(sequence).alias("sequence"))

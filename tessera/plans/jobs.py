@@ -28,7 +28,7 @@ from ..operators import sequence as S
 from ..operators import tokens as TK
 from ..operators.images import image_index
 from ..operators.order import train_test_split
-from ..session import ensure_checkpoint_dir, local_session
+from ..session import ensure_checkpoint_dir
 from ..sinks import files as K
 from ..sinks import shards as SH
 from ..sources.footers import dataset_footers
@@ -82,8 +82,9 @@ def split_dataset(spark: SparkSession, input_path: str, output: str, ratio: floa
     df = read_pairs(spark, input_path)
     key = key or ("task_id" if "task_id" in df.columns else "id")
     out = train_test_split(df, key, ratio, seed).drop("perm_idx")
-    out.repartition("split").sortWithinPartitions("split", "split_idx").write.mode("overwrite").partitionBy(
-        "split").parquet(output)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    out.repartitionByRange(n, "split", "split_idx").sortWithinPartitions("split", "split_idx").write.mode(
+        "overwrite").partitionBy("split").parquet(output)  # many balanced files for each split
     written = read_pairs(spark, output)
     counts = written.groupBy("split").agg(F.count(F.lit(1)).alias("num_samples")).select(
         "split", "num_samples", F.concat(F.lit(f"{output}/split="), F.col("split")).alias("file_path"))
@@ -169,7 +170,7 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("--max-length", type=int, default=TK.MAX_LENGTH)
     t.add_argument("--max-tokens", type=int)
     args = ap.parse_args(argv)
-    spark = SparkSession.getActiveSession() or local_session()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.appName("tessera").getOrCreate()  # the submitted master
     if args.cmd == "convert-a":
         report, manifest = convert_layout_a(spark, args.input, args.output, args.image_dir, args.samples_per_file,
                                             args.on_missing)

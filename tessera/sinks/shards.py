@@ -49,9 +49,9 @@ def write_shards(df: DataFrame, out: str, order: list[str | Column], samples_per
     Indexing reads its input three times (range sampling, per-range counts,
     the write), so unless ``materialize=False`` the input is first written to
     the session's shared checkpoint folder with a reliable ``checkpoint()``
-    and read from there.  An empty input writes an empty dataset with the
-    right schema and a zero manifest (the reference writes nothing).  Returns
-    the manifest DataFrame read back from disk.
+    and read from there.  The manifest follows from the number of rows, so no
+    shard is read back or listed; an empty input gives no shards and a zero
+    manifest.  Returns the manifest DataFrame read back from disk.
     """
     if materialize:
         ensure_checkpoint_dir(df.sparkSession)
@@ -65,8 +65,14 @@ def write_shards(df: DataFrame, out: str, order: list[str | Column], samples_per
         .partitionBy("shard_id")
         .parquet(out)
     )
-    written = df.sparkSession.read.parquet(out)
-    manifest = shard_manifest(written)
+    total = df.count()
+    begin, n = F.col("shard_id") * samples_per_file, F.lit(samples_per_file).cast("long")
+    manifest = df.sparkSession.range(-(-total // samples_per_file)).withColumnRenamed("id", "shard_id").select(
+        "shard_id", shard_path(F.col("shard_id")).alias("path"), F.least(n, F.lit(total) - begin).alias("num_samples"),
+        begin.alias("start_idx"), F.least(begin + n, F.lit(total).cast("long")).alias("end_idx"))
     manifest.write.mode("overwrite").json(f"{out}_manifest/files")
     manifest_totals(manifest).write.mode("overwrite").json(f"{out}_manifest/totals")
-    return df.sparkSession.read.json(f"{out}_manifest/files")
+    return df.sparkSession.read.schema(MANIFEST).json(f"{out}_manifest/files")
+
+
+MANIFEST = "shard_id long, path string, num_samples long, start_idx long, end_idx long"

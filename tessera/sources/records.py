@@ -11,25 +11,16 @@ from ..schemas import SOURCE, TASK_DATA
 def read_cot(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
     """Source records with a fixed schema.
 
-    A JSON *array* file (the reference's input) needs ``multiLine`` and is one
-    task per file; JSON Lines is splittable and is the path at scale.  By
-    default the mode follows the first non-blank character of ``path`` when
-    it is a single local file, else JSON Lines.
+    A JSON *array* file needs ``multiLine`` and is one task per file; JSON
+    Lines is splittable and is the path at scale.  Unless ``multiline`` says
+    which, Spark reads the start of one file (whatever the kind of path: local,
+    URI, folder, glob).  Records that do not parse, and files of the other
+    kind, fail the job instead of becoming empty records.
     """
     if multiline is None:
-        multiline = _looks_like_array(path)
-    return spark.read.schema(SOURCE).option("multiLine", multiline).option("mode", "PERMISSIVE").json(path)
-
-
-def _looks_like_array(path: str) -> bool:
-    try:
-        with open(path, encoding="utf-8") as f:
-            while True:
-                ch = f.read(1)
-                if not ch or not ch.isspace():
-                    return ch == "["
-    except (OSError, IsADirectoryError):
-        return False
+        start = spark.read.text(path).filter(F.trim(F.regexp_replace("value", r"\s", "")) != "").limit(1).collect()
+        multiline = bool(start) and start[0][0].lstrip().startswith("[")
+    return spark.read.schema(SOURCE).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
 
 
 def read_task_options(spark: SparkSession, root: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -11,6 +12,13 @@ from pyspark.sql import functions as F
 REGISTRY_SCHEMA = "type string, name string, data_dir string, num_files long, parquet_info_path string, num_total_samples long"
 
 
+def _entry(table: dict, key: str, what: str):
+    try:
+        return table[key]
+    except KeyError:
+        raise ValueError(f"{what} {key!r} is not registered; known: {', '.join(sorted(table)) or 'none'}") from None
+
+
 @dataclass
 class Registry:
     """type → name → info, and type → row-to-sequence transform (U4)."""
@@ -24,19 +32,13 @@ class Registry:
             self.handlers[dataset_type] = handler
 
     def get_dataset_class(self, dataset_type: str) -> Callable[[DataFrame], DataFrame]:
-        if dataset_type not in self.handlers:
-            raise ValueError(f"Unknown dataset type: {dataset_type}. Available: {sorted(self.handlers)}")
-        return self.handlers[dataset_type]
+        """The row-to-sequence transform of a type (U4)."""
+        return _entry(self.handlers, dataset_type, "handler of type")
 
     def get_dataset_info(self, dataset_type: str, name: str | None = None) -> dict:
-        if dataset_type not in self.info:
-            raise ValueError(f"No info for dataset type: {dataset_type}")
-        by_name = self.info[dataset_type]
-        if name:
-            if name not in by_name:
-                raise ValueError(f"No info for dataset: {name}")
-            return by_name[name]
-        return by_name
+        """All datasets of a type, or the one called ``name``."""
+        of_type = _entry(self.info, dataset_type, "dataset type")
+        return _entry(of_type, name, f"{dataset_type} dataset") if name else of_type
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         rows = [
@@ -48,19 +50,24 @@ class Registry:
 
 
 def lookup(registry_df: DataFrame, dataset_type: str, name: str | None = None) -> DataFrame:
-    """S6 as a DataFrame filter (raises like the reference when nothing matches)."""
+    """S6 as a DataFrame filter; raises ``ValueError`` when nothing matches."""
     out = registry_df.filter(F.col("type") == dataset_type)
     if name:
         out = out.filter(F.col("name") == name)
     if out.limit(1).count() == 0:
-        raise ValueError(f"No info for dataset: {dataset_type}/{name}")
+        raise ValueError(f"no registered dataset matches {dataset_type!r}, {name!r}")
     return out
 
 
+def _natural(path: str) -> list:
+    """Sort key in which ``shard_id=2`` comes before ``shard_id=10``."""
+    return [(0, int(part), "") if part.isdigit() else (1, 0, part) for part in re.split(r"(\d+)", path)]
+
+
 def load_mixture(spark: SparkSession, registry: Registry, config: dict) -> DataFrame:
     """For each dataset type in ``config`` (``dataset_names``, ``num_used_data``,
-    ``weight``), read the first N parquet files of each named dataset (sorted
-    paths), tag rows with ``dataset``/``weight`` and union them by name.
+    ``weight``), read the first N parquet files of each named dataset (by path,
+    numbers in it by value), tag rows with ``dataset``/``weight`` and union them by name.
 
     The weight is carried as a column; the sampler that applies it is external.
     """
@@ -68,10 +75,12 @@ def load_mixture(spark: SparkSession, registry: Registry, config: dict) -> DataF
     for dataset_type, cfg in config.items():
         names = cfg.get("dataset_names", [])
         used = cfg.get("num_used_data", [None] * len(names))
+        if len(used) != len(names):
+            raise ValueError(f"{dataset_type}: {len(names)} dataset names, but {len(used)} entries in num_used_data")
         weight = float(cfg.get("weight", 1.0))
-        for name, n_files in zip(names, used):
+        for name, n_files in zip(names, used, strict=True):
             info = registry.get_dataset_info(dataset_type, name)
-            files = sorted(spark.read.parquet(info["data_dir"]).inputFiles())
+            files = sorted(spark.read.parquet(info["data_dir"]).inputFiles(), key=_natural)
             if n_files is not None:
                 files = files[: int(n_files)]
             reader = spark.read
