@@ -46,8 +46,18 @@ TEXT = "coalesce(cot_text, '')"
 
 # ---------------------------------------------------------------- projections
 def task_key(task_id: Column) -> Column:
-    """``'task_' + task_id``."""
-    return F.concat(F.lit("task_"), task_id.cast("string"))
+    """``'task_' + task_id`` (``task_None`` for a missing id)."""
+    return F.concat(F.lit("task_"), F.coalesce(task_id.cast("string"), F.lit("None")))
+
+
+#: Key of a record: ids may be missing or repeated, what a record says may not.
+RECORD = "_record"
+
+
+def with_record_key(records: DataFrame) -> DataFrame:
+    """Adds ``RECORD``, a hash of all columns.  Records that are equal in every
+    column share it, and everything derived from them is equal too."""
+    return records.withColumn(RECORD, F.md5(F.to_json(F.struct(*records.columns))))
 
 
 def with_defaults(records: DataFrame) -> DataFrame:
@@ -145,15 +155,15 @@ def _stripped_paths(dotall: bool) -> Column:
     return F.expr(paths if dotall else f"filter({paths}, _p -> _p <> '')")
 
 
-def kept_image_refs(records: DataFrame, dotall: bool) -> DataFrame:
-    """``task_id, ord, path``: every kept image of each record in text order,
+def kept_image_refs(records: DataFrame, dotall: bool, key: str = "task_id") -> DataFrame:
+    """``key, ord, path``: every kept image of each record in text order,
     from the tag payloads alone (no segmentation of the text parts).
 
     dotall (layout B): every tag is an image, empty paths included; ord 0 is the
     question image, ord k the solution image with index k-1.  Strict
     (layout A): blank paths are dropped; only ord 0 can be in the question.
     """
-    return records.select("task_id", F.posexplode(_stripped_paths(dotall)).alias("ord", "path")).withColumn(
+    return records.select(key, F.posexplode(_stripped_paths(dotall)).alias("ord", "path")).withColumn(
         "ord", F.col("ord").cast("long")
     )
 
@@ -186,44 +196,46 @@ def status_a(records: DataFrame, index: DataFrame, hot: dict | None = None) -> D
     ``other`` also covers "no referenced image exists" (F4).  Adds
     ``question_entries``, ``solution_entries`` and ``status``.
     """
+    records = with_record_key(records)
     parsed = parse_layout_a(records.withColumn("_pre", text_status_a()))
-    refs = kept_image_refs(records.filter(text_status_a().isNull()), dotall=False)
+    refs = kept_image_refs(records.filter(text_status_a().isNull()), dotall=False, key=RECORD)
     found = (
-        salted_join(refs.select("task_id", "path"), index.select("path"), "path", "left_semi", hot=hot)
-        .select("task_id")
+        salted_join(refs.select(RECORD, "path"), index.select("path"), "path", "left_semi", hot=hot)
+        .select(RECORD)
         .distinct()
         .withColumn("_found", F.lit(True))
     )
     return (
-        parsed.join(found, "task_id", "left")
+        parsed.join(found, RECORD, "left")
         .withColumn(
             "status",
             F.coalesce(F.col("_pre"), F.when(F.col("_found"), F.lit(STATUS_OK)).otherwise(F.lit(STATUS_OTHER))),
         )
-        .drop("_pre", "_found")
+        .drop("_pre", "_found", RECORD)
     )
 
 
 def status_b(records: DataFrame, index: DataFrame, hot: dict | None = None) -> DataFrame:
     """Layout B: ``no_image`` (F5) → ``image_error`` (F6: a referenced image is
     missing or fails the check) → ``ok``.  Adds parse columns and ``status``."""
+    records = with_record_key(records)
     parsed = parse_layout_b(records)
-    refs = kept_image_refs(records, dotall=True)
+    refs = kept_image_refs(records, dotall=True, key=RECORD)
     bad = (
-        salted_join(refs.select("task_id", "path"), index.filter(F.col("valid")).select("path"), "path", "left_anti", hot=hot)
-        .select("task_id")
+        salted_join(refs.select(RECORD, "path"), index.filter(F.col("valid")).select("path"), "path", "left_anti", hot=hot)
+        .select(RECORD)
         .distinct()
         .withColumn("_bad", F.lit(True))
     )
     return (
-        parsed.join(bad, "task_id", "left")
+        parsed.join(bad, RECORD, "left")
         .withColumn(
             "status",
             F.when(F.col("question_path").isNull(), F.lit(STATUS_NO_IMAGE))
             .when(F.col("_bad"), F.lit(STATUS_IMAGE_ERROR))
             .otherwise(F.lit(STATUS_OK)),
         )
-        .drop("_bad")
+        .drop("_bad", RECORD)
     )
 
 
@@ -300,18 +312,19 @@ def apply_missing_policy(parsed: DataFrame, refs_found: DataFrame, mode: str) ->
 
 
 # ---------------------------------------------------------------- layouts
-def task_images(joined: DataFrame, key: str = "task_id") -> DataFrame:
+def task_images(joined: DataFrame, key: str = RECORD) -> DataFrame:
     """One pass over ``key, ord, content`` (content null = missing file): per
     record all its images in text order with their bytes (A3 before the
     section split), and the found / bad counts the status rules need.
-    Validity is checked on the bytes already in hand."""
+    Validity is checked on the bytes already in hand.  Equal records bring each
+    image several times; one of each place stays."""
     present = F.col("content").isNotNull()
     bad = ~present | image_problem(F.col("content")).isNotNull()
     return joined.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct(F.col("ord").alias("ord"), F.col("content").alias("b")))).alias("_imgs"),
         F.count("content").alias("_n_found"),
         F.sum(F.when(bad, 1).otherwise(0)).alias("_n_bad"),
-    )
+    ).withColumn("_imgs", F.expr("filter(_imgs, (_x, _i) -> _i = 0 OR _imgs[_i - 1].ord <> _x.ord)"))
 
 
 def _split_images(df: DataFrame, q_count: str) -> DataFrame:
@@ -337,10 +350,10 @@ def layout_a_candidates(records: DataFrame, images: DataFrame, hot: dict | None
     before any missing-image policy is applied."""
     if hot is None:
         hot = hot_image_paths(records)
-    pending = records.filter(text_status_a().isNull())
-    joined = salted_join(kept_image_refs(pending, dotall=False), images.select("path", "content"), "path", "left", hot=hot)
+    pending = with_record_key(records).filter(text_status_a().isNull())
+    joined = salted_join(kept_image_refs(pending, dotall=False, key=RECORD), images.select("path", "content"), "path", "left", hot=hot)
     facts = task_images(joined).filter(F.col("_n_found") > 0)
-    cand = parse_layout_a(pending).join(facts, "task_id")
+    cand = parse_layout_a(pending).join(facts, RECORD).drop(RECORD)
     return _split_images(cand, "size(filter(question_entries, _e -> _e.type = 'image'))")
 
 
@@ -351,7 +364,7 @@ def to_layout_a(records: DataFrame, images: DataFrame, on_missing: str = "skip",
     question_images array<binary>, solution_images array<binary>``.
 
     Plan: text checks are map-only; the kept image paths (tag payloads) join
-    the image files once (salted on ``path``); one ``groupBy(task_id)`` gives
+    the image files once (salted on ``path``); one group by record gives
     the ordered bytes and the found count; one join brings them back to the
     parsed records, where they are split into sections.  A record is ``ok``
     when at least one referenced image exists (F4).
@@ -386,10 +399,11 @@ def to_layout_b(records: DataFrame, images: DataFrame, option_maps: DataFrame, h
     """
     if hot is None:
         hot = hot_image_paths(records)
-    joined = salted_join(kept_image_refs(records, dotall=True), images.select("path", "content"), "path", "left", hot=hot)
+    records = with_record_key(records)
+    joined = salted_join(kept_image_refs(records, dotall=True, key=RECORD), images.select("path", "content"), "path", "left", hot=hot)
     facts = task_images(joined).filter(F.col("_n_bad") == 0)
     parsed = parse_layout_b(records).filter(F.col("question_path").isNotNull())
-    ok = join_options(_split_images(parsed.join(facts, "task_id"), "1"), option_maps)
+    ok = join_options(_split_images(parsed.join(facts, RECORD), "1"), option_maps)
     to_bytes = lambda arr: F.expr(f"transform({arr}, _b -> named_struct('bytes', _b))")
     question = F.array(
         _b_entry(question_prompt(F.col("options_text")), F.lit(None), "text"),

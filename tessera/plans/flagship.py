@@ -18,18 +18,18 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     with each image's byte length.
 
     Plan: tag payloads join the narrow image index once (``path, length,
-    valid``; no bytes, salted on ``path``); one ``groupBy(task_id)`` gives the
+    valid``; no bytes, salted on ``path``); one group by record gives the
     failure count and the lengths by image ordinal; one join brings them back
     to the parsed records.
     """
-    records = X.cot_source(spark, sf_dir)
+    records = I.with_record_key(X.cot_source(spark, sf_dir))
     facts = index_of(spark, sf_dir).select("path", "length", "valid")
-    refs = salted_join(I.kept_image_refs(records, dotall=True), facts, "path", "left", hot=hot_paths(spark, sf_dir))
-    per_task = refs.groupBy("task_id").agg(
+    refs = salted_join(I.kept_image_refs(records, dotall=True, key=I.RECORD), facts, "path", "left", hot=hot_paths(spark, sf_dir))
+    per_task = refs.groupBy(I.RECORD).agg(
         F.sum(F.when(F.coalesce(F.col("valid"), F.lit(False)), 0).otherwise(1)).alias("_n_bad"),
-        F.array_sort(F.collect_list(F.struct("ord", "length"))).alias("_lens"),
+        F.array_sort(F.collect_set(F.struct("ord", "length"))).alias("_lens"),
     ).filter(F.col("_n_bad") == 0)
-    ok = I.parse_layout_b(records).join(per_task, "task_id")
+    ok = I.parse_layout_b(records).join(per_task, I.RECORD)
     ents = ok.select("task_id", "_lens", F.posexplode("solution_entries").alias("pos", "e"))
     return ents.select(
         "task_id",

@@ -19,15 +19,16 @@ from __future__ import annotations
 import argparse
 import os
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ingest as I
 from ..operators import sequence as S
 from ..operators import tokens as TK
 from ..operators.images import image_index
-from ..operators.order import train_test_split
+from ..operators.order import shuffle_key, train_test_split
 from ..session import ensure_checkpoint_dir
 from ..sinks import files as K
 from ..sinks import shards as SH
@@ -55,8 +56,9 @@ def convert_layout_a(spark: SparkSession, input_path: str, output: str, image_di
     image_dir = image_dir or os.path.dirname(os.path.abspath(input_path))
     records = staged(spark, read_cot(spark, input_path), "records")
     images = read_images(spark, image_dir)
-    report = I.ingest_report(I.status_a(records, image_index(images))).collect()
-    rows = I.to_layout_a(records, images, on_missing)
+    hot = I.hot_image_paths(records)
+    report = I.ingest_report(I.status_a(records, image_index(images), hot)).collect()
+    rows = I.to_layout_a(records, images, on_missing, hot)
     # task order: the number inside ``id`` first, the id itself as tiebreak
     order = [F.expr("try_cast(substring(id, 6) AS BIGINT)"), "id"]
     manifest = SH.write_shards(rows, output, order, samples_per_file)  # checkpoints its input
@@ -110,21 +112,31 @@ def write_sequences(spark: SparkSession, input_path: str, output: str) -> DataFr
 
 
 def write_token_batches(spark: SparkSession, input_path: str, output: str, batch_size: int = 4,
-                        max_length: int = TK.MAX_LENGTH, max_tokens: int | None = None) -> DataFrame:
+                        max_length: int = TK.MAX_LENGTH, max_tokens: int | None = None,
+                        tokenize: Callable[[Column], Column] | None = None, epoch: int | None = None,
+                        seed: int = 42) -> DataFrame:
     """Layout-B rows → shifted, padded next-token batches.
 
+    ``tokenize`` maps text to ids (``TK.pandas_tokenizer`` wraps any encoder, U3);
+    with ``epoch`` the rows are batched in that epoch's shuffled order (O2).
+
     Rows over ``max_tokens`` are written to ``output_over_budget`` instead of
     being lost.  Returns the batch count and padding totals.
     """
     df = read_pairs(spark, input_path)
     text = df.select("task_id", TK.training_text(F.col("question_interleave"), F.col("solution_interleave")).alias("text"))
-    toks = text.withColumn("tokens", TK.hash_tokenize(F.col("text"), max_length=max_length))
+    ids_of = tokenize or (lambda c: TK.hash_tokenize(c, max_length=max_length))
+    toks = text.withColumn("tokens", ids_of(F.col("text")))
     if max_tokens is not None:
         toks, over = TK.token_budget_filter(toks, "tokens", max_tokens)
         over.select("task_id", F.size("tokens").alias("n_tokens")).write.mode("overwrite").parquet(f"{output}_over_budget")
     ids, labels = TK.next_token_pairs(F.col("tokens"))
     pairs = toks.select("task_id", ids.alias("input_ids"), labels.alias("labels"))
-    batches = TK.pad_batches(pairs, ["task_id"], batch_size, materialize=True)
+    order = ["task_id"]
+    if epoch is not None:
+        pairs = pairs.withColumn("_place", shuffle_key(F.col("task_id"), seed, epoch))
+        order = ["_place", "task_id"]
+    batches = TK.pad_batches(pairs, order, batch_size, materialize=True)
     batches.select("batch_id", "row_in_batch", "task_id", "input_ids", "labels", "attention_mask").write.mode(
         "overwrite").parquet(output)
     return read_pairs(spark, output).agg(
@@ -169,6 +181,7 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("--batch-size", type=int, default=4)
     t.add_argument("--max-length", type=int, default=TK.MAX_LENGTH)
     t.add_argument("--max-tokens", type=int)
+    t.add_argument("--epoch", type=int)
     args = ap.parse_args(argv)
     spark = SparkSession.getActiveSession() or SparkSession.builder.appName("tessera").getOrCreate()  # the submitted master
     if args.cmd == "convert-a":
@@ -184,7 +197,7 @@ def main(argv: list[str] | None = None) -> None:
         write_sequences(spark, args.input, args.output).show(truncate=False)
     elif args.cmd == "token-batches":
         write_token_batches(spark, args.input, args.output, args.batch_size, args.max_length,
-                            args.max_tokens).show(truncate=False)
+                            args.max_tokens, epoch=args.epoch).show(truncate=False)
     else:
         parquet_info(spark, args.input, args.output).show(truncate=False)
 

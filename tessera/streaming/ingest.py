@@ -12,6 +12,8 @@ shared storage; by default it goes under the session's
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -38,25 +40,38 @@ def text_status_stream(records: DataFrame) -> DataFrame:
 def start_layout_a_ingest(
     spark: SparkSession,
     source_folder: str,
-    images: DataFrame,
+    images: DataFrame | str,
     out: str,
     checkpoint: str | None = None,
     on_missing: str = "skip",
     trigger_once: bool = False,
 ) -> StreamingQuery:
     """Convert arriving records to layout-A rows, one folder per micro-batch,
-    and keep per-batch status counts next to them (``out/_status``)."""
+    and keep per-batch status counts next to them (``out/_status``).
+
+    ``images`` is a folder, listed anew for each batch (images may arrive with
+    their records), or a fixed DataFrame.  The default checkpoint is one folder
+    for each ``out``."""
     if checkpoint is None:
-        checkpoint = ensure_checkpoint_dir(spark).rstrip("/") + "/tessera-ingest-a"
+        name = hashlib.md5(out.encode()).hexdigest()
+        checkpoint = ensure_checkpoint_dir(spark).rstrip("/") + f"/tessera-ingest-a-{name}"
     from ..operators.images import image_index
-
-    index = image_index(images)
+    from ..sources.images import read_images
 
     def convert(batch: DataFrame, batch_id: int) -> None:
-        statuses = I.status_a(batch, index)
+        files = read_images(batch.sparkSession, images) if isinstance(images, str) else images
+        batch.persist()
+        try:
+            write(batch, files, batch_id)
+        finally:
+            batch.unpersist()
+
+    def write(batch: DataFrame, files: DataFrame, batch_id: int) -> None:
+        hot = I.hot_image_paths(batch)
+        statuses = I.status_a(batch, image_index(files), hot)
         (I.ingest_report(statuses).withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").parquet(f"{out}/_status/batch_id={batch_id}"))
-        rows = I.to_layout_a(batch, images, on_missing)
+        rows = I.to_layout_a(batch, files, on_missing, hot)
         rows.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
 
     writer = (

@@ -129,3 +129,58 @@ def test_split_integrity_scans_once(spark):
     split = full.withColumn("split", F.when(F.col("id") < 90, "train").otherwise("test"))
     got = {r["metric"]: r["value"] for r in O.split_integrity(split.union(split.filter("id = 5").withColumn("split", F.lit("test"))).filter("id <> 7"), full, "id").collect()}
     assert got == {"n_total": 100, "n_train": 89, "n_test": 11, "n_overlap": 1, "n_missing": 1, "n_extra": 1}
+
+
+def _image_source(spark):
+    png = bytes.fromhex("89504E470D0A1A0A") + b"%s" + bytes.fromhex("0000000049454E44AE426082")
+    return spark.createDataFrame([(p, bytearray(png.replace(b"%s", p.encode()))) for p in ("a.png", "b.png", "c.png")], "path string, content binary")
+
+
+DOUBLE = [(1, "x", "x", "q <image>a.png</image> s"), (1, "y", "y", "r <image>b.png</image> s"), (1, "y", "y", "r <image>b.png</image> s"),
+          (None, "z", "z", "n <image>c.png</image>"), (1, "w", "w", "m <image>gone.png</image>")]
+
+
+def test_records_with_equal_or_missing_ids_keep_their_own_images(spark):
+    records = spark.createDataFrame(DOUBLE, "task_id long, gt string, pred string, cot_text string")
+    images = _image_source(spark)
+    index = images.select("path", F.lit(True).alias("valid"))
+    got = sorted((r["id"], r["answer"], bytes(r["question_images"][0])[8:13]) for r in I.to_layout_a(records, images).collect())
+    assert got == [("task_1", "x", b"a.png"), ("task_1", "y", b"b.png"), ("task_1", "y", b"b.png"), ("task_None", "z", b"c.png")]
+    assert all(len(r["question_images"]) + len(r["solution_images"]) == 1 for r in I.to_layout_a(records, images).collect())
+    for status in (I.status_a, I.status_b):
+        counts = {r["status"]: r["n"] for r in I.ingest_report(status(records, index)).collect()}
+        assert counts["ok"] == 4 and sum(counts.values()) == 5
+    options = spark.createDataFrame([], "task_id long, options map<string,string>")
+    rows = I.to_layout_b(records, images, options).collect()
+    assert sorted((r["answer"], bytes(r["question_images"][0]["bytes"])[8:13]) for r in rows) == [
+        ("x", b"a.png"), ("y", b"b.png"), ("y", b"b.png"), ("z", b"c.png")]
+
+
+def test_token_job_takes_a_tokenizer_and_epochs(spark, tmp_path):
+    from tessera.operators import tokens as TK
+    from tessera.plans import jobs
+
+    entry = "array<struct<content: string, index: long, type: string>>"
+    rows = [(i, [(f"text {'a' * i}", None, "text")], [("end", None, "text")]) for i in range(12)]
+    spark.createDataFrame(rows, f"task_id long, question_interleave {entry}, solution_interleave {entry}").write.parquet(str(tmp_path / "in"))
+    order = {}
+    for epoch in (None, 0, 1):
+        out = str(tmp_path / f"out{epoch}")
+        jobs.write_token_batches(spark, str(tmp_path / "in"), out, tokenize=TK.pandas_tokenizer(lambda t: [ord(c) for c in t]), epoch=epoch)
+        back = spark.read.parquet(out).orderBy("batch_id", "row_in_batch").collect()
+        assert ord("a") in back[-1]["input_ids"] + back[0]["input_ids"]
+        order[epoch] = [r["task_id"] for r in back]
+    assert order[None] == list(range(12)) and sorted(order[0]) == order[None]
+    assert order[0] != order[1] != order[None]
+
+
+def test_split_job_writes_many_files(spark, tmp_path):
+    import os
+
+    from tessera.plans import jobs
+
+    spark.range(4000).withColumnRenamed("id", "task_id").write.parquet(str(tmp_path / "in"))
+    got = {r["split"]: r["num_samples"] for r in jobs.split_dataset(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()}
+    assert got == {"train": 3600, "test": 400}
+    n = len([f for f in os.listdir(tmp_path / "out" / "split=train") if f.endswith(".parquet")])
+    assert n >= int(spark.conf.get("spark.sql.shuffle.partitions")) - 2
