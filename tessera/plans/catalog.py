@@ -7,6 +7,7 @@ oracle in ``plans.oracle`` (binary as md5, lists as joined strings).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +19,12 @@ from ..operators import order as O
 from ..operators import sequence as S
 from ..operators import tokens as TK
 from ..operators.images import attach_bytes, collect_images, image_index, image_lookup, missing_images
+from ..session import ensure_checkpoint_dir
 from ..sinks import files as K
 from ..sinks import shards as SH
 from ..sources import fixtures as X
 from ..sources.footers import parquet_footers
+from ..sources.records import read_cot, read_pairs
 from ..sources.registry import Registry, load_mixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,6 +205,13 @@ def global_index_q(spark, sf_dir):
     return O.global_index(orders(spark, sf_dir).select("o_orderkey"), ["o_orderkey"]).select("o_orderkey", "gi")
 
 
+@query("global_index_text")
+def global_index_text(spark, sf_dir):
+    """W3 on text keys, rows carrying a payload."""
+    docs = X.table(spark, sf_dir, "documents").select("source", "text", "doc_id")
+    return O.global_index(docs, ["source", F.col("doc_id").desc()]).select("doc_id", "source", F.length("text").cast("long").alias("chars"), "gi")
+
+
 @query("shuffle_epoch")
 def shuffle_epoch(spark, sf_dir):
     """O2: seeded permutation for one epoch."""
@@ -258,10 +268,39 @@ def footer_info(spark, sf_dir):
     """Footer facts of the given parquet tables (read on executors)."""
     paths = [f"{sf_dir}/{t}.parquet" for t in TABLE_NAMES]
     return parquet_footers(spark, paths).select(
-        F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("table_name"), "num_row_groups", "num_rows"
+        F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("table_name"), "num_rows"
     )
 
 
+# ---------------------------------------------------------------- written and read back
+def _scratch(spark, name) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-roundtrip/{name}-{uuid.uuid4().hex}"
+
+
+@query("records_roundtrip")
+def records_roundtrip(spark, sf_dir):
+    """Records written as JSON Lines and read with their schema."""
+    folder = _scratch(spark, "records")
+    records(spark, sf_dir).select("task_id", "gt", "pred", "cot_text").write.json(folder)
+    return I.with_defaults(read_cot(spark, folder))
+
+
+@query("pairs_roundtrip")
+def pairs_roundtrip(spark, sf_dir):
+    """Plain parquet of the shuffled orders."""
+    folder = _scratch(spark, "pairs")
+    K.write_pairs(O.shuffle(orders(spark, sf_dir).select("o_orderkey"), "o_orderkey", SPLIT_SEED, SHUFFLE_EPOCH), folder)
+    return read_pairs(spark, folder).select("o_orderkey", F.lit(SHUFFLE_EPOCH).cast("long").alias("epoch"), "gi")
+
+
+@query("shards_roundtrip")
+def shards_roundtrip(spark, sf_dir):
+    """Shards on disk, each row with its index and shard."""
+    folder = _scratch(spark, "shards")
+    SH.write_shards(orders(spark, sf_dir).select("o_orderkey", "o_orderpriority"), folder, ["o_orderkey"], 1_000)
+    return read_pairs(spark, folder).select("o_orderkey", "gi", F.col("shard_id").cast("long").alias("shard_id"))
+
+
 # ---------------------------------------------------------------- step 5: training input
 
 BATCH_SIZE = 4

@@ -140,6 +140,8 @@ SQL["cot_normalised"] = """
 SELECT task_id, concat('task_', task_id) AS id, coalesce(gt, '') AS gt, coalesce(pred, '') AS pred,
        coalesce(cot_text, '') AS cot_text FROM cot_source"""
 
+SQL["records_roundtrip"] = SQL["cot_normalised"]
+
 SQL["ingest_status_a"] = "SELECT status, count(*) AS n FROM status_a GROUP BY status"
 SQL["ingest_status_b"] = "SELECT status, count(*) AS n FROM status_b GROUP BY status"
 
@@ -212,8 +214,15 @@ WITH g AS (SELECT (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS gi FR
 m AS (SELECT gi // 100 AS shard_id, concat('shard_id=', gi // 100) AS path, count(*) AS num_samples,
              min(gi) AS start_idx, max(gi) + 1 AS end_idx FROM g GROUP BY gi // 100)
 """
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
 PLAIN: dict[str, str] = {
     "global_index": "SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS gi FROM orders",
+    "global_index_text": """SELECT doc_id, source, length(text)::BIGINT AS chars,
+        (row_number() OVER (ORDER BY source, doc_id DESC) - 1)::BIGINT AS gi FROM documents""",
+    "shards_roundtrip": """WITH g AS (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1)::BIGINT AS gi FROM orders)
+SELECT o_orderkey, gi, gi // 1000 AS shard_id FROM g""",
+    "footer_info": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS num_rows FROM {t}" for t in TABLES),
     "shuffle_epoch": """SELECT o_orderkey, 1::BIGINT AS epoch,
         (row_number() OVER (ORDER BY md5(concat('42:1:', o_orderkey)), o_orderkey) - 1)::BIGINT AS gi FROM orders""",
     "train_test_split": SPLIT + "SELECT o_orderkey, perm_idx, split, split_idx FROM sp",
@@ -232,6 +241,8 @@ UNION ALL SELECT 'lineitem', 0.5::DOUBLE, count(*) FROM lineitem""",
     "shard_totals": MANIFEST + "SELECT sum(num_samples)::BIGINT AS total_samples, count(*)::BIGINT AS num_files FROM m",
 }
 
+PLAIN["pairs_roundtrip"] = PLAIN["shuffle_epoch"]
+
 # ---------------------------------------------------------------- prepared rows and training input
 
 ROWS = f"""

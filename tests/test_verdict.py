@@ -184,3 +184,19 @@ def test_split_job_writes_many_files(spark, tmp_path):
     assert got == {"train": 3600, "test": 400}
     n = len([f for f in os.listdir(tmp_path / "out" / "split=train") if f.endswith(".parquet")])
     assert n >= int(spark.conf.get("spark.sql.shuffle.partitions")) - 2
+
+
+MALFORMED = [
+    ("ok", GOOD, "ok"), ("single", BAD[0], "bad_json"), ("trailing", BAD[1], "bad_json"), ("object", '{"type": "text"}', "bad_json"),
+    ("index", GOOD.replace("0", '"0"'), "bad_json"), ("content", GOOD.replace('"a"', "5"), "bad_json"), ("none", "[]", "untrainable"),
+    ("no_type", '[{"content": "a"}]', "entry_without_type"), ("range", GOOD.replace("0", "3"), "index_out_of_bounds"),
+]
+
+
+def test_reasons_of_malformed_entries(spark):
+    png = bytearray(bytes.fromhex("89504E470D0A1A0A") + b"x" + bytes.fromhex("0000000049454E44AE426082"))
+    rows = [(n, "yes", s, '[{"type": "text", "content": "end"}]', [png], []) for n, s, _ in MALFORMED]
+    a = spark.createDataFrame(rows, "id string, answer string, question_interleave string, solution_interleave string, "
+                                    "question_images array<binary>, solution_images array<binary>")
+    got = {r["key"]: r["reason"] for r in S.with_reject_reason(S.unify_layout_a(a)).collect()}
+    assert got == {n: reason for n, _, reason in MALFORMED}
