@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat_format, mixing, near_duplicates, packing, personal_data, quality, substring_dedup, topk_search, url_reputation
+from tessera.llm import chat_format, mixing, near_duplicates, packing, personal_data, quality, sharding, substring_dedup, topk_search, url_reputation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents"))
+
+
 #: Both say what looks like a turn of many templates.
 CONTROL_TURNS = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
 
@@ -69,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_shard_lookup": op3_shard_lookup,
         "op4_chat_format": op4_chat_format,
         "op5_near_duplicates": op5_near_duplicates,
         "op6_topk_search": op6_topk_search,
