@@ -31,13 +31,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm import sizing
 from tessera.session import ensure_checkpoint_dir
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 #: Words of a block, where there are enough for LEAST_PLACES blocks.
 BLOCK_WORDS, LEAST_PLACES = 1024, 1 << 16
-#: Rows of one part of a tape or of the schedule.
+#: Most rows of one part of a tape or of the schedule.
 PART_ROWS = 100_000
 
 
@@ -102,7 +103,8 @@ class Mix:
         keyed = sizes.join(self.sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "weight")
 
         # the tape: cumulated sizes in the order of a hash, by ranges of the hash
-        part_bits = max(1, -(-rows // PART_ROWS)).bit_length()
+        part_rows = sizing.rows_per_part(spark, rows, PART_ROWS)
+        part_bits = max(1, -(-rows // part_rows)).bit_length()
         tape = keyed.withColumn("_order", F.xxhash64(F.lit(seed), "doc_id", "row")).withColumn("_part", F.shiftright("_order", 64 - part_bits))
         parts = _running(tape.groupBy("sid", "_part").agg(F.sum("size").alias("n")), ["sid"], "_part", "n", "before").drop("n")
         within = Window.partitionBy("sid", "_part").orderBy("_order", "row").rowsBetween(Window.unboundedPreceding, -1)
@@ -133,7 +135,7 @@ class Mix:
         runs = runs.repartition("sid", "begin")
         drawn = runs.select("sid", "places", "epoch_blocks", "source_size", "last_words", F.expr("words div source_size").alias("epochs"),
                             F.explode(F.expr(f"sequence(begin, least(begin + {PART_ROWS - 1}, hi - 1))")).alias("point"))
-        drawn = drawn.withColumn("place", _reversed_bits("point", bits)).withColumn("_part", F.expr(f"place div {PART_ROWS * 8}"))
+        drawn = drawn.withColumn("place", _reversed_bits("point", bits)).withColumn("_part", F.expr(f"place div {8 * part_rows}"))
         counts = _running(drawn.groupBy("sid", "_part").agg(F.count("*").alias("n")), ["sid"], "_part", "n", "before").drop("n")
         by_place = Window.partitionBy("sid", "_part").orderBy("place")
         ranked = drawn.withColumn("_at", F.row_number().over(by_place) - 1).join(counts, ["sid", "_part"]).withColumn("rank", F.col("before") + F.col("_at"))

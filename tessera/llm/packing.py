@@ -232,10 +232,11 @@ def plan(histogram: dict[int, int], max_tokens: int = MAX_TOKENS) -> list[tuple[
     return out
 
 
-def ranked(rows: DataFrame, largest: int) -> DataFrame:
-    """Adds ``rank`` (from 0) within ``length``.  ``largest``: rows of the most
-    frequent length; it is numbered in parts of about ``PIECES_PER_TASK``."""
-    parts = max(1, -(-largest // PIECES_PER_TASK))
+def ranked(rows: DataFrame, histogram: dict[int, int]) -> DataFrame:
+    """Adds ``rank`` (from 0) within ``length``.  A frequent length is numbered
+    in parts of an even share of all rows, ``PIECES_PER_TASK`` at most."""
+    share = sizing.rows_per_part(rows.sparkSession, sum(histogram.values()), PIECES_PER_TASK)
+    parts = max(1, -(-max(histogram.values(), default=0) // share))
     numbered = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("_part", F.pmod(F.xxhash64("_row"), F.lit(parts).cast("long")))
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = numbered.groupBy("length", "_part").agg(F.count("*").alias("n")).select(
@@ -255,7 +256,7 @@ def pack(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int =
     table = spark.createDataFrame(slots, "slot_length long, first_rank long, end_rank long, first_sequence long, per_sequence long, slot_offset long")
     if len(slots) <= BROADCAST_ROWS:
         table = F.broadcast(table)
-    taken = ranked(cut, max(histogram.values(), default=0)).join(
+    taken = ranked(cut, histogram).join(
         table, (F.col("length") == F.col("slot_length")) & (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("end_rank")))
     at = F.col("rank") - F.col("first_rank")
     return taken.select(

@@ -21,6 +21,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def rows_per_part(spark: SparkSession, rows: int, most: int, least: int = 1000) -> int:
+    """Rows of one part of a group that is cut up: an even share of all rows,
+    between ``least`` and ``most``."""
+    return max(least, min(most, rows // shuffle_partitions(spark)))
+
+
 def bucket_of(n: int, *columns: Column | str) -> Column:
     """A number below ``n`` from a hash of the columns."""
     return F.pmod(F.xxhash64(*columns), F.lit(n).cast("long")).cast("int")

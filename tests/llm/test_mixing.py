@@ -43,7 +43,8 @@ def test_query_reaches_its_targets_again_and_again(spark):
 
 
 def test_odd_cases(read_docs, no_docs, monkeypatch):
-    monkeypatch.setattr(mixing, "PART_ROWS", 5)
+    monkeypatch.setattr(mixing, "PART_ROWS", 50)
+    monkeypatch.setattr(mixing.sizing, "rows_per_part", lambda *_: 5)
     for block in (None, 7, 100_000):
         _check(read_docs, mixing.Mix(read_docs, block=block))
     assert mixing.Mix(no_docs).taken().count() == 0

@@ -104,10 +104,10 @@ def test_odd_cases(read_docs, tokenizer):
 
 
 def test_parts_of_a_length_rank_gaplessly(spark, monkeypatch):
-    monkeypatch.setattr(packing, "PIECES_PER_TASK", 7)
+    monkeypatch.setattr(packing.sizing, "rows_per_part", lambda *_: 7)
     df = spark.range(300).selectExpr("id as doc_id", "id % 3 + 1 as length")
     got = defaultdict(list)
-    for r in packing.ranked(df, 100).collect():
+    for r in packing.ranked(df, {1: 100, 2: 100, 3: 100}).collect():
         got[r["length"]].append(r["rank"])
     assert {k: sorted(v) for k, v in got.items()} == {k: list(range(100)) for k in (1, 2, 3)}
 
