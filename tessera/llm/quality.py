@@ -87,6 +87,11 @@ def target_ids(labels: DataFrame, max_target: int = MAX_TARGET) -> DataFrame:
     """Ids of the trusted target; at most ``max_target`` rows."""
     good = labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) != 1) & F.col("doc_id").isNotNull())
     ids = good.select(F.col("doc_id").cast("long").alias("_target")).distinct()
+    # ids with a small enough hash are candidates, about twice as many as needed,
+    # so that no task sorts the labels of the whole corpus
+    share = min(1.0, (2 * max_target + 1000) / max(1, ids.count()))
+    if share < 1.0:
+        ids = ids.filter(F.xxhash64("_target") <= F.lit(int(-(2**63) + share * 2**64)))
     return ids.orderBy(F.xxhash64("_target"), "_target").limit(max_target)
 
 
@@ -119,16 +124,17 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buck
     """``docs`` with the features, ``score`` and ``kept``."""
     weight = weights(docs, labels, buckets, max_target)
     out = features(docs).withColumn("score", score(weight))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("_words", "_hash")
+    # a row number (never negative) in the verdict keeps the optimizer from
+    # moving a filter on it down, which would put whole arrays' expressions in
+    # place of their names, inside lambdas
+    there = F.monotonically_increasing_id() >= 0
+    return out.withColumn("kept", there & ~F.col("base_failed") & (F.col("score") >= threshold)).drop("_words", "_hash")
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that :func:`judge` keeps, unchanged."""
     whole = docs.select(F.struct("*").alias("_doc"), "doc_id", "text")
-    # the number keeps the optimizer from moving the filter down, which would
-    # put whole arrays' expressions in place of their names, inside lambdas
-    judged = judge(whole, labels, **options).withColumn("_number", F.monotonically_increasing_id())
-    return judged.filter("kept and _number >= 0").select("_doc.*")
+    return judge(whole, labels, **options).filter("kept").select("_doc.*")
 
 
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]
