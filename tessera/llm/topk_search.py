@@ -27,7 +27,8 @@ Defined cases: vectors that are null or hold null, NaN or infinite components
 take no part, as queries or as candidates; shorter vectors are filled with
 zeros; a query's own row is no candidate, another row with the same id is; rows
 with a null id take no part; repeated query rows each have their answers;
-fewer than ``k`` candidates: all.  Other columns are ignored.
+fewer than ``k`` candidates: all; scores beyond 64 bits are the largest (or
+least) 64-bit number, and tie.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ from tessera.session import ensure_checkpoint_dir
 
 SCALE, K = 1024, 10
 MAX_PIVOTS, BLOCK, CHUNK = 1024, 4096, 512
-MARGIN = 1e-9
+#: Of the largest norm; far above what rounding does to distances and squares.
+MARGIN, SQUARE_MARGIN = 1e-6, 1e-12
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -123,7 +125,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE)
         return spark.createDataFrame([], schema)
 
     between = _distances(pivots, pivots)
-    slack = MARGIN * (1.0 + math.sqrt(m2)) + 1e-3 * math.sqrt(MARGIN * (1.0 + m2))
+    slack = MARGIN * (1.0 + math.sqrt(m2))
     visits, asked_of = [], dict.fromkeys(cells, 0)
     for i, group in groups.items():
         reach = sorted(group["radius"] + between[i, j] + d for j, ds in nearest.items() for d in ds)
@@ -156,7 +158,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE)
             to_pivot = _distances(q_lift, pivots)
             reach = np.concatenate([to_pivot[:, [j]] + np.array(d)[None, :] for j, d in known], axis=1)
             theta = np.partition(reach, k, axis=1)[:, k] + slack if reach.shape[1] > k else np.full(len(q), np.inf)
-            floor = ((q * q).sum(axis=1) + m2 - theta**2) / 2 - slack * (1.0 + theta) - 1.0
+            q2 = (q * q).sum(axis=1)
+            floor = (q2 + m2 - theta**2) / 2 - slack * (1.0 + theta) - SQUARE_MARGIN * (q2 + m2) - 1.0
+            floor = np.minimum(floor, 2.0**62)  # scores end at 64 bits
             for i, (node, vec_id) in enumerate(zip(queries.column("q_node").to_pylist(), queries.column("query_id").to_pylist(), strict=True)):
                 able = np.flatnonzero((x_node != node) & (score[i] >= floor[i]))
                 if len(able) > k:

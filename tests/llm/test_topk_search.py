@@ -50,8 +50,10 @@ def test_few_rows_and_none(spark):
 
 
 def test_large_components_stay_exact(spark):
-    rows = [(i, [float(2.0**40 + i * 2.0**12), float(i)]) for i in range(30)]
+    rows = [(i, [float(2.0**29 + i * 2.0**8), float(i)]) for i in range(30)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = _got(topk_search.top_k(df, F.col("vec_id") == 3, k=4, scale=1))
     exact = sorted((-(int(rows[3][1][0]) * int(v[0]) + 3 * int(v[1])), i) for i, v in rows if i != 3)[:4]
-    assert [g[2] for g in got] == [i for _, i in exact]
+    assert [(g[2], g[3]) for g in got] == [(i, -s) for s, i in exact]
+    beyond = spark.createDataFrame([(i, [2.0**40 + i]) for i in range(6)], "vec_id long, embedding array<double>")
+    assert [g[2:] for g in _got(topk_search.top_k(beyond, F.col("vec_id") == 0, k=3, scale=1))] == [(i, 2**63 - 1) for i in (1, 2, 3)]
