@@ -4,8 +4,8 @@ Texts become token ids (plus an end id); a document longer than ``max_tokens``
 is cut into pieces, the first of which takes the remainder.  Pieces are packed
 without gaps into sequences of at most ``max_tokens``:
 
-1. tokenise in Arrow batches; write one narrow row for each piece to the
-   checkpoint folder;
+1. tokenise in Arrow batches; write one row for each piece, with its ids, as
+   Parquet below the checkpoint folder;
 2. count pieces by length: at most ``max_tokens`` rows, the only thing that
    reaches the driver;
 3. plan best fit decreasing over the *counts*: a run of equal pieces goes into
@@ -13,7 +13,12 @@ without gaps into sequences of at most ``max_tokens``:
    ``max_tokens`` and not on the number of documents;
 4. rank the pieces within their length (numbered in salted parts of a length,
    so a length that a third of all pieces share is no single task) and join
-   rank ranges with the plan.
+   rank ranges with the plan; only row numbers and lengths move here;
+5. join the places to the pieces by row number, so that the ids are shuffled
+   once and evenly.
+
+Ids are bytes: unsigned 32 bits each, little-endian (``numpy.frombuffer(ids,
+"<u4")``).  :func:`sequences` puts the pieces together.
 
 Equal units of text (white space and the word after it) are tokenised once in
 a batch: byte-level BPE never merges across the start of white space.  Batches
@@ -28,7 +33,7 @@ from __future__ import annotations
 
 import array
 import functools
-import zlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,8 +54,8 @@ BROADCAST_ROWS = 100_000
 CACHED_UNITS = 200_000
 SPECIAL = "<|endoftext|>"
 
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+PIECE = "doc_id long, piece int, start long, length long, ids binary"
+_PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
 
 #: Characters of three bytes that are white space to the tokenizer, not to the word splitter (fixed values).
 _WIDE_SPACES = [b"\xe1\x9a\x80", *(b"\xe2\x80" + bytes([b]) for b in (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)), b"\xe2\x81\x9f", b"\xe3\x80\x80"]
@@ -158,7 +163,7 @@ def cut_points(n: int, max_tokens: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
-    """One row for each piece, with the crc of its ids."""
+    """One row for each piece, with its ids."""
     sizing.bound_arrow(docs.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -169,7 +174,7 @@ def pieces(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int
         for doc_id, ids in zip((i for b in group for i in b.column(0).to_pylist()), ids_of, strict=True):
             ids += end
             for k, (start, length) in enumerate(cut_points(len(ids) // 4, max_tokens)):
-                for column, value in zip(out, (doc_id, k, start, length, zlib.crc32(ids[4 * start:4 * (start + length)])), strict=True):
+                for column, value in zip(out, (doc_id, k, start, length, ids[4 * start:4 * (start + length)]), strict=True):
                     column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PIECE, strict=True)], schema=_PIECE)
 
@@ -247,23 +252,46 @@ def ranked(rows: DataFrame, histogram: dict[int, int]) -> DataFrame:
 
 
 def pack(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
+    """``doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset``."""
     spark = docs.sparkSession
-    ensure_checkpoint_dir(spark)
-    cut = pieces(docs, path, max_tokens, end_id).checkpoint()
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pieces-{uuid.uuid4().hex}"
+    numbered = pieces(docs, path, max_tokens, end_id).withColumn("row", F.monotonically_increasing_id())
+    numbered.write.option("compression", "zstd").parquet(folder)
+    cut = spark.read.schema(f"{PIECE}, row long").parquet(folder)
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = plan(histogram, max_tokens)
     table = spark.createDataFrame(slots, "slot_length long, first_rank long, end_rank long, first_sequence long, per_sequence long, slot_offset long")
     if len(slots) <= BROADCAST_ROWS:
         table = F.broadcast(table)
-    taken = ranked(cut, histogram).join(
+    taken = ranked(cut.select("row", "length"), histogram).join(
         table, (F.col("length") == F.col("slot_length")) & (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("end_rank")))
     at = F.col("rank") - F.col("first_rank")
-    return taken.select(
-        "doc_id", "piece", "start", "length", "ids_crc32",
+    places = taken.select(
+        "row",
         (F.col("first_sequence") + F.expr("(rank - first_rank) div per_sequence")).alias("sequence_id"),
         (F.col("slot_offset") + (at % F.col("per_sequence")) * F.col("length")).alias("offset"),
     )
+    return cut.join(places, "row").select(
+        "doc_id", "piece", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """``sequence_id, length, ids, pieces`` of :func:`pack`'s rows: one row for
+    each sequence, its ids whole, its pieces (``offset, length, doc_id, piece,
+    start``) by offset.  A sequence has at most ``max_tokens`` of either."""
+    by_offset = packed.groupBy("sequence_id").agg(
+        F.array_sort(F.collect_list(F.struct("offset", "length", "doc_id", "piece", "start", "ids"))).alias("_pieces"))
+    return by_offset.select(
+        "sequence_id",
+        F.expr("aggregate(_pieces, 0L, (n, p) -> n + p.length)").alias("length"),
+        F.expr("unhex(array_join(transform(_pieces, p -> hex(p.ids)), ''))").alias("ids"),
+        F.expr("transform(_pieces, p -> struct(p.offset, p.length, p.doc_id, p.piece, p.start))").alias("pieces"),
+    )
+
+
+def digest(packed: DataFrame) -> DataFrame:
+    """The contract's columns of :func:`pack`."""
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 def least_sequences(histogram: dict[int, int], max_tokens: int = MAX_TOKENS) -> int:

@@ -27,7 +27,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
 def op3_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,3 +120,25 @@ def test_first_piece_takes_the_rest():
 
 def test_empty_table(no_docs):
     assert packing.pack(no_docs, queries.tokenizer_path()).count() == 0
+
+
+def test_sequences_hold_the_ids(read_docs, tokenizer):
+    packed = packing.pack(read_docs, queries.tokenizer_path(), max_tokens=50).persist()
+    expected, got = Counter(), Counter()
+    for r in read_docs.collect():
+        ids = [*_ids(tokenizer, r["text"] or ""), 2]
+        for k, (s, n) in enumerate(packing.cut_points(len(ids), 50)):
+            expected[(r["doc_id"], k, s, tuple(ids[s:s + n]))] += 1
+    for r in packed.collect():
+        got[(r["doc_id"], r["piece"], r["start"], tuple(np.frombuffer(r["ids"], "<u4").tolist()))] += 1
+    assert got == expected
+    whole = packing.sequences(packed).collect()
+    assert len(whole) == packed.select("sequence_id").distinct().count()
+    got = Counter()
+    for r in whole:
+        ids = np.frombuffer(r["ids"], "<u4").tolist()
+        assert len(ids) == r["length"] <= 50
+        assert [p["offset"] for p in r["pieces"]] == np.cumsum([0, *[p["length"] for p in r["pieces"]]])[:-1].tolist()
+        for p in r["pieces"]:
+            got[(p["doc_id"], p["piece"], p["start"], tuple(ids[p["offset"]:p["offset"] + p["length"]]))] += 1
+    assert got == expected
