@@ -13,16 +13,30 @@ def read_cot(spark: SparkSession, path: str, multiline: bool | None = None) -> D
 
     A JSON *array* file needs ``multiLine`` and is one task per file; JSON
     Lines is splittable and is the path at scale.  Unless ``multiline`` says
-    which, Spark reads the start of one file (whatever the kind of path: local,
-    URI, folder, glob).  Records that do not parse, and files of the other
-    kind, fail the job instead of becoming empty records.
+    which, one pass over the text finds the kind of each file (whatever the kind
+    of path: local, URI, folder, glob), and files of both kinds raise: with
+    ``multiLine``, Spark would keep the first record of JSON Lines and say
+    nothing.  Records that do not parse fail the job instead of becoming empty
+    records.
     """
     if multiline is None:
-        start = spark.read.text(path).filter(F.trim(F.regexp_replace("value", r"\s", "")) != "").limit(1).collect()
-        multiline = bool(start) and start[0][0].lstrip().startswith("[")
+        arrays, lines = file_kinds(spark, path)
+        if arrays and lines:
+            raise ValueError(f"{path} has JSON arrays (such as {arrays}) and JSON Lines (such as {lines}): read them apart")
+        multiline = arrays is not None
     return spark.read.schema(SOURCE).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
 
 
+def file_kinds(spark: SparkSession, path: str) -> tuple[str | None, str | None]:
+    """A file whose first non-blank line opens a JSON array, and one whose does
+    not; null where there is none."""
+    text = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.regexp_extract("value", r"^\s*(\S)", 1).alias("first"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    files = text.filter("first <> ''").groupBy("file").agg((F.min_by("first", "at") == "[").alias("array"))
+    return tuple(files.agg(F.min(F.when(F.col("array"), F.col("file"))), F.min(F.when(~F.col("array"), F.col("file")))).first())
+
+
 def read_task_options(spark: SparkSession, root: str) -> DataFrame:
     """S3: ``root/task_<id>/data.json`` → ``task_id, options``.
 

@@ -29,6 +29,22 @@ def test_read_cot_array_and_lines(spark, tmp_path):
     assert a == b and len(a) == 2 and a[1].pred is None
 
 
+def test_read_cot_folder_of_both_kinds_raises(spark, tmp_path):
+    recs = [{"task_id": i, "gt": "A", "pred": "A", "cot_text": "t"} for i in range(5)]
+    for first, second in (("a", "b"), ("b", "a")):
+        folder = tmp_path / f"{first} first"
+        folder.mkdir()
+        (folder / f"{first}.json").write_text("\n \n" + json.dumps(recs[:2], indent=1))
+        assert read_cot(spark, str(folder)).count() == 2
+        (folder / "none.json").write_text("\n")
+        (folder / f"{second}.json").write_text("\n".join(json.dumps(r) for r in recs[2:]))
+        with pytest.raises(ValueError, match="read them apart"):
+            read_cot(spark, str(folder))
+        with pytest.raises(ValueError, match="read them apart"):
+            read_cot(spark, f"{folder}/*.json")
+        assert read_cot(spark, str(folder / f"{second}.json")).count() == 3
+
+
 def test_read_images_and_options(spark, tmp_path):
     root = tmp_path / "data"
     for task, opts in [(1, {"B": "two", "A": "one"}), (2, None)]:
