@@ -1,7 +1,9 @@
 """Image validity checks.
 
-Level 1 is built-in column arithmetic on the first and last bytes (magic
-number and trailer) and stays inside whole-stage codegen.  Level 2 walks PNG
+Level 1 is built-in functions: the magic number, and an end marker after the
+last data (PNG: the empty IEND chunk; JPEG: the marker after the main image's
+start of scan; GIF: the trailer that a walk over the blocks meets).  Bytes after
+it do no harm.  Level 2 walks PNG
 chunks and checks every CRC in an Arrow-batched ``pandas_udf``; it is the
 strict check for callers who need it, not part of the default path.
 Pixel decoding is out of scope (there is no image codec here).
@@ -24,6 +26,7 @@ PNG_MAGIC = "89504E470D0A1A0A"
 PNG_TRAILER = "0000000049454E44AE426082"  # empty IEND chunk with its CRC
 JPEG_MAGIC = "FFD8FF"
 JPEG_TRAILER = "FFD9"
+JPEG_SCAN = "FFDA"
 GIF87_MAGIC = "474946383761"
 GIF89_MAGIC = "474946383961"
 GIF_TRAILER = "3B"
@@ -32,13 +35,71 @@ RIFF_MAGIC = "52494646"
 WEBP_TAG = "57454250"
 
 
+def _bound_sql(b: str, sql) -> str:
+    """``sql`` of a lambda variable that holds ``b``: each read of a binary column
+    copies it whole, a lambda variable is read in place."""
+    return f"get(transform(array({b}), _b -> {sql('_b')}), 0)"
+
+
+def _byte_sql(b: str, at: str) -> str:
+    """Byte ``at`` (from 0) as a number; null beyond the end."""
+    return f"cast(conv(hex(substring({b}, {at} + 1, 1)), 16, 10) as int)"
+
+
+def _walk_sql(b: str, at: str, step: str) -> str:
+    """The last ``struct<at, mode>`` of a walk over the bytes: ``step`` gives the
+    state after ``_s``; modes from ``_OVER`` on end the walk.  Two nested loops of
+    sqrt(bytes) turns, for there may be as many steps as bytes but are few."""
+    turns = f"sequence(1, greatest(1, cast(ceil(sqrt(length({b}))) as int)))"
+    step = f"CASE WHEN _s.mode >= {_OVER} THEN _s WHEN _s.at >= length({b}) THEN {_state_sql('_s.at', _CUT)} ELSE {step} END"
+    inner = f"aggregate({turns}, _t, (_s, _j) -> {step})"
+    return f"aggregate({turns}, {_state_sql(at, 0)}, (_t, _i) -> IF(_t.mode >= {_OVER}, _t, {inner}))"
+
+
+def _state_sql(at: str, mode: int | str) -> str:
+    return f"named_struct('at', cast(coalesce({at}, 0) as int), 'mode', cast({mode} as int))"
+
+
+_OVER, _FOUND, _CUT = 2, 2, 3
+
+
+def _gif_end_sql(b: str) -> str:
+    """Walks blocks (mode 0) and their sub-blocks (mode 1) to the trailer."""
+    def table(flags: str) -> str:  # bytes of a color table
+        return f"IF({_byte_sql(b, flags)} >= 128, 3 * shiftleft(2, {_byte_sql(b, flags)} & 7), 0)"
+
+    step = (f"CASE WHEN _s.mode = 1 THEN {_state_sql('_s.at + 1 + ' + _byte_sql(b, '_s.at'), 'IF(' + _byte_sql(b, '_s.at') + ' = 0, 0, 1)')} "
+            f"ELSE CASE hex(substring({b}, _s.at + 1, 1)) WHEN '{GIF_TRAILER}' THEN {_state_sql('_s.at', _FOUND)} "
+            f"WHEN '21' THEN {_state_sql('_s.at + 2', 1)} "
+            f"WHEN '2C' THEN {_state_sql('_s.at + 11 + coalesce(' + table('_s.at + 9') + ', 0)', 1)} "
+            f"ELSE {_state_sql('_s.at + 1', 0)} END END")
+    # what is too short for a screen descriptor has no blocks to walk
+    return (f"IF(length({b}) < 14, substring({b}, -1, 1) = X'{GIF_TRAILER}', "
+            f"{_walk_sql(b, '13 + ' + table('10'), step)}.mode = {_FOUND})")
+
+
+def _jpeg_end_sql(b: str) -> str:
+    """Walks segments, with the thumbnails in them, to the start of scan; scan
+    data never hold the end marker.  Without any scan it has to be near the end."""
+    marker = f"hex(substring({b}, _s.at + 1, 2))"
+    size = f"256 * {_byte_sql(b, '_s.at + 2')} + {_byte_sql(b, '_s.at + 3')}"
+    step = (f"CASE WHEN {marker} = '{JPEG_SCAN}' THEN {_state_sql('_s.at', _FOUND)} "
+            f"WHEN NOT startswith({marker}, 'FF') OR {marker} IN ('FFFF', 'FF00') THEN {_state_sql('_s.at + 1', 0)} "
+            f"WHEN {marker} = 'FF01' OR {marker} BETWEEN 'FFD0' AND 'FFD9' THEN {_state_sql('_s.at + 2', 0)} "
+            f"ELSE {_state_sql(f'_s.at + 2 + coalesce({size}, length({b}))', 0)} END")
+    return (f"IF(contains({b}, X'{JPEG_SCAN}'), "
+            f"get(transform(array({_walk_sql(b, '2', step)}), _w -> _w.mode = {_FOUND} AND contains(substring({b}, _w.at + 1), X'{JPEG_TRAILER}')), 0), "
+            f"contains(substring({b}, greatest(1, length({b}) - 15)), X'{JPEG_TRAILER}'))")
+
+
 def signature_sql(b: str) -> str:
     """``struct<absent, nbytes, head, …_end>`` of bytes ``b``: the first 12 bytes as
     hex, and whether a format's end marker is there (bytes after it do no harm).  Computing it once lets a lambda test the bytes through field reads
     (lambdas get no common-subexpression elimination)."""
     return (f"named_struct('absent', {b} IS NULL, 'nbytes', length({b}), 'head', hex(substring({b}, 1, 12)), "
-            f"'png_end', contains({b}, X'{PNG_TRAILER}'), 'jpeg_end', contains({b}, X'{JPEG_TRAILER}'), "
-            f"'gif_end', contains({b}, X'{GIF_TRAILER}'))")
+            f"'png_end', contains({b}, X'{PNG_TRAILER}'), "
+            f"'jpeg_end', IF(substring({b}, 1, 3) = X'{JPEG_MAGIC}', {_bound_sql(b, _jpeg_end_sql)}, false), "
+            f"'gif_end', IF(substring({b}, 1, 6) IN (X'{GIF87_MAGIC}', X'{GIF89_MAGIC}'), {_bound_sql(b, _gif_end_sql)}, false))")
 
 
 def format_sql(sig: str) -> str:

@@ -41,3 +41,40 @@ def test_levels_agree_on_real_png(spark):
     assert got[3][:2] == ("jpeg", None)
     assert got[4][:2] == ("gif", None)
     assert got[5][1] == "empty" and got[6][1] == "missing"
+
+
+def _gif(frames=3):
+    import random
+
+    rng = random.Random(7)
+    out = b"GIF89a" + struct.pack("<HHBBB", 64, 64, 0x91, 0, 0) + rng.randbytes(12) + b"\x21\xff\x0bNETSCAPE2.0\x03\x01\x00\x00\x00"
+    for k in range(frames):
+        local = rng.randbytes(24) if k else b""
+        out += b"\x21\xf9\x04\x00\x0a\x00\x00\x00" + b"\x2c" + struct.pack("<HHHHB", 0, 0, 64, 64, 0x82 if k else 0) + local + b"\x08"
+        for n in (255, 255, 255, 40):  # with trailer bytes, and 003B, inside the data
+            out += bytes([n]) + (b"\x00\x3b" * 4 + rng.randbytes(n))[:n]
+        out += b"\x00"
+    return out + b"\x3b"
+
+
+def _jpeg(scans=2):
+    import random
+
+    rng = random.Random(8)
+    data = lambda n: rng.randbytes(n).replace(b"\xff", b"\xff\x00")
+    segment = lambda marker, body: b"\xff" + bytes([marker]) + struct.pack(">H", len(body) + 2) + body
+    thumbnail = b"\xff\xd8" + segment(0xDB, bytes(65)) + segment(0xDA, bytes(10)) + data(300) + b"\xff\xd9"
+    out = b"\xff\xd8" + segment(0xE1, b"Exif\x00\x00" + thumbnail) + segment(0xDB, bytes(65)) + b"\xff" + segment(0xC0, bytes(15))
+    for _ in range(scans):
+        out += segment(0xC4, bytes(30)) + segment(0xDA, bytes(10)) + data(900) + b"\xff\xd0" + data(50)
+    return out + b"\xff\xd9"
+
+
+def test_cut_gif_and_jpeg_with_thumbnail(spark):
+    rows = []
+    for name, whole in (("gif", _gif()), ("jpeg", _jpeg())):
+        rows += [(name, True, whole), (name, True, whole + b"\x00" * 5000), (name, True, whole + b"more \xff\xda;")]
+        rows += [(name, False, whole[:n]) for n in range(20, len(whole) - 1, 37)] + [(name, False, whole[:-1])]
+    df = spark.createDataFrame([(i, bytearray(b)) for i, (_, _, b) in enumerate(rows)], "id long, c binary")
+    got = {r.id: (r.fmt, r.p) for r in df.select("id", image_format("c").alias("fmt"), image_problem("c").alias("p")).collect()}
+    assert got == {i: (name, None if ok else "truncated") for i, (name, ok, _) in enumerate(rows)}
