@@ -57,7 +57,8 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,30}+))")
+_IN_WORD = re.compile(r"[A-Za-z0-9]")
 _NATIONAL = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _CONTEXT = {k: re.compile(r"\b(?:" + "|".join(v) + r")\w*", re.IGNORECASE) for k, v in CONTEXT.items()}
@@ -77,16 +78,23 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
-def _iban(m: re.Match) -> tuple[int, int, bool]:
-    """The longest cut at a space (or the whole run) whose checksum holds:
-    capital words may follow a number."""
-    start, cut = m.start(), m.end()
-    while cut - start >= 15:
-        number = m.string[start:cut].replace(" ", "")
-        if 15 <= len(number) <= 34 and mod97(number):
-            return start, cut, True
-        cut = m.string.rfind(" ", start, cut)
-    return start, m.end(), False
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """From each country code the longest cut at a word's end whose checksum
+    holds: other words may follow a number, and one that only looks like a
+    number may come before it."""
+    floor = 0
+    for m in _IBAN.finditer(text):
+        start, cut = m.start(), m.end(1)
+        if start < floor:
+            continue
+        if _IN_WORD.match(text, cut):
+            cut = text.rfind(" ", start, cut)
+        while len(number := text[start:max(start, cut)].replace(" ", "")) >= 15:
+            if mod97(number):
+                yield start, cut
+                floor = cut
+                break
+            cut = text.rfind(" ", start, cut)
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -106,7 +114,7 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 
 def _proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
     """``(kind, start, end, checksum or own test holds)``; what fails the test
-    of a base kind is not proposed."""
+    of a base kind or of an iban is not proposed."""
     for start, end in _emails(text):
         yield "email", start, end, False
     if not _HAS_DIGITS.search(text):
@@ -121,8 +129,8 @@ def _proposals(text: str) -> Iterator[tuple[str, int, int, bool]]:
         for m in _PHONE.finditer(text):
             if 10 <= len(_NOT_DIGIT.sub("", m.group())) <= 15:
                 yield "phone", *m.span(), False
-    for m in _IBAN.finditer(text):
-        yield "iban", *_iban(m)
+    for start, end in _ibans(text):
+        yield "iban", start, end, True
     for m in _NATIONAL.finditer(text):
         if m[1] != "000" and m[2] != "00" and m[3] != "0000":
             yield "national", *m.span(), False

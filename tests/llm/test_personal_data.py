@@ -71,3 +71,25 @@ def test_odd_cases_and_mask(read_docs, no_docs, spark):
     df = spark.createDataFrame([(1, "write a@b.cd or +1 212 555 0100!", 9), (2, None, None), (3, "", 0)], "doc_id long, text string, n_chars long")
     assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in P.mask(df).collect()} == {1: ("write [EMAIL] or [PHONE]!", 25), 2: (None, None), 3: ("", 0)}
     assert P.mask(read_docs).columns == read_docs.columns
+
+
+def test_iban_before_other_words():
+    for text, masked in [
+        ("IBAN DE89370400440532013000 Please pay", "IBAN [IBAN] Please pay"),
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "IBAN [IBAN] BIC COBADEFFXXX"),
+        ("account GB82 WEST 1234 5698 7654 32 Thanks", "account [IBAN] Thanks"),
+        ("SEND THE SUM TO DE89 3704 0044 0532 0130 00 BEFORE THE END OF THE MONTH", "SEND THE SUM TO [IBAN] BEFORE THE END OF THE MONTH"),
+        ("REF AB12 3456 7890 DE89 3704 0044 0532 0130 00.", "REF AB12 3456 7890 [IBAN]."),
+        ("DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32", "[IBAN] [IBAN]"),
+        ("NO9386011117947 Og NO9386011117947x", "[IBAN] Og NO9386011117947x"),
+        ("DE89 3704 0044 0532 0130 01 Please", "DE89 3704 0044 0532 0130 01 Please"),
+    ]:
+        assert P._masked(text) == masked
+
+
+def test_many_country_codes_take_linear_time():
+    import time
+
+    start = time.time()
+    P.find_spans("AB12 " * 40_000)
+    assert time.time() - start < 20
