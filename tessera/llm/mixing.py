@@ -154,6 +154,16 @@ class Mix:
         return self.tape.join(by_row, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 
 
+    def placed(self) -> DataFrame:
+        """``place, row, doc_id, source, from, until, at``: the mix in order of
+        ``place``, then ``at`` (where on the tape): words ``from`` to ``until``
+        (exclusive) of the document."""
+        parts = self.blocks.select("sid", "block", "row", "doc_id", "source", F.col("at").alias("_start"), "from", "until")
+        return self.schedule.select("sid", "block", "place", "tape_end").join(parts, ["sid", "block"]).filter(F.col("from") < F.col("tape_end")).select(
+            "place", "row", "doc_id", "source", (F.col("from") - F.col("_start")).alias("from"),
+            (F.least("until", "tape_end") - F.col("_start")).alias("until"), F.col("from").alias("at"))
+
+
 def digest(taken: DataFrame) -> DataFrame:
     """The contract's columns of :meth:`Mix.taken`."""
     return taken.select("doc_id", "size", "source_size", "target", "taken")

@@ -83,3 +83,21 @@ def test_mixed_documents_hold_what_was_taken(read_docs, no_docs):
         taken[r["source"]] += r["taken"]
     assert dict(words) == {s: n for s, n in taken.items() if n}
     assert mixing.mixed_documents(no_docs).count() == 0
+
+
+def test_placed_words_are_the_taken_ones_in_even_shares(spark):
+    mix = mixing.Mix(queries.table(spark, SF_SMALL, "documents"), block=64)
+    rows = sorted(mix.placed().collect(), key=lambda r: (r["place"], r["at"]))
+    words, in_place = defaultdict(int), defaultdict(dict)
+    for r in rows:
+        assert 0 <= r["from"] < r["until"]
+        words[r["row"]] += r["until"] - r["from"]
+        in_place[r["place"]][r["source"]] = in_place[r["place"]].get(r["source"], 0) + r["until"] - r["from"]
+    assert words == {r["row"]: r["taken"] for r in mix.taken().collect() if r["taken"]}
+    assert all(len(x) == 1 and sum(x.values()) <= 64 for x in in_place.values())
+    order = [next(iter(in_place[p])) for p in sorted(in_place)]
+    step = len(order) // 8
+    for k in range(8):
+        stretch = order[k * step:(k + 1) * step]
+        for source in set(order):
+            assert abs(stretch.count(source) - step * order.count(source) / len(order)) <= 0.05 * step + 8
