@@ -97,6 +97,15 @@ def _ids(table: pa.Table) -> np.ndarray:
     return table.column("doc_id").fill_null(0).to_numpy().astype(np.int64)
 
 
+def _in_groups(docs: DataFrame, n_groups: int) -> DataFrame:
+    """``grp, doc_id, text``: rows equal in id and text are told apart by their
+    place in the scan."""
+    return docs.select(
+        sizing.bucket_of(n_groups, "doc_id", "text", F.monotonically_increasing_id()).alias("grp"),
+        F.col("doc_id").cast("long").alias("doc_id"), "text",
+    )
+
+
 def dedup_passages(docs: DataFrame, width: int = WIDTH, group_chars: int = GROUP_CHARS, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text, removed`` for each row of
     ``docs``: the kept words joined by one space, and the removal intervals
@@ -106,10 +115,7 @@ def dedup_passages(docs: DataFrame, width: int = WIDTH, group_chars: int = GROUP
     chars = sizing.total_chars(docs)
     n_groups = max(1, -(-chars // group_chars))
     n_buckets = max(sizing.shuffle_partitions(spark), -(-chars // bucket_chars))
-    grouped = docs.select(
-        sizing.bucket_of(n_groups, "doc_id", "text").alias("grp"),
-        F.col("doc_id").cast("long").alias("doc_id"), "text",
-    ).repartition("grp")
+    grouped = _in_groups(docs, n_groups).repartition("grp")
 
     def blocks(key, table):
         hashes, rows, _ = _group_windows(table, width)

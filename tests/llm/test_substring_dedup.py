@@ -38,3 +38,14 @@ def test_touching_windows_merge():
 
 def test_empty_table(no_docs):
     assert substring_dedup.digest(substring_dedup.dedup_passages(no_docs)).count() == 0
+
+
+def test_repeated_rows_are_spread_over_groups(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(7, text)] * 150 + [(None, text)] * 150 + [(i, f"{text} {i}") for i in range(5, 10)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    df = spark.read.parquet(str(tmp_path / "docs"))
+    sizes = [r["count"] for r in substring_dedup._in_groups(df, 10).groupBy("grp").count().collect()]
+    assert max(sizes) < 100
+    found = substring_dedup.dedup_passages(df, group_chars=1000, bucket_chars=500)
+    assert _rows(substring_dedup.digest(found)) == Counter(substring_dedup.brute_force(rows))
