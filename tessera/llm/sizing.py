@@ -6,11 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ARROW_ROWS = 512
+ARROW_BYTES = 2 << 20
+_ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def bound_arrow(spark: SparkSession) -> None:
-    """Rows of text handed to Python at once; long texts make 10,000 rows too many."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    """Rows and bytes of text handed to Python at once (one longer text comes
+    alone).  These are settings of the session, as Spark reads them when a job
+    starts: they stay, unless the session has smaller ones of its own."""
+    for name, most in zip(_ARROW, (ARROW_ROWS, ARROW_BYTES), strict=True):
+        own = spark.conf.get(name, None)
+        if own is None or not own.isdigit() or not 0 < int(own) <= most:
+            spark.conf.set(name, str(most))
 
 
 def total_chars(docs: DataFrame, column: str = "text") -> int:
