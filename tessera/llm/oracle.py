@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tessera.llm import resampling as R
 from tessera.llm import url_reputation as U
 
 CHAT_FORMAT = r"""
@@ -108,3 +109,48 @@ WITH o AS (
 SELECT page_id, host, path, CASE {rule} END AS rule, CASE {action} WHEN bound >= {U.BLOCK_SHARE} THEN 'block' ELSE 'allow' END AS verdict
 FROM p LEFT JOIN b USING (host)
 """
+
+
+def _crc32_of_nibble(value: int) -> int:
+    """Remainder of four bits by the crc32 polynomial."""
+    for _ in range(4):
+        value = (value >> 1) ^ (0xEDB88320 * (value & 1))
+    return value
+
+
+def importance_resampling() -> str:
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    table = [_crc32_of_nibble(i) for i in range(16)]
+    # the lower half of each byte comes first
+    nibbles = "list_transform(range(2 * strlen(w)), lambda i: instr('0123456789ABCDEF', substr(hex(w), (i + 2 - 2 * (i % 2))::INT, 1))::BIGINT - 1)"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {nibbles}), lambda c, x: xor({table}[(xor(c, x) & 15) + 1], c >> 4)), 4294967295)"
+    return f"""
+WITH d AS (
+  SELECT doc_id, {words} AS words FROM documents
+), b AS (
+  SELECT {words} AS words FROM benchmark
+), dw AS (
+  SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(words) AS w FROM d) GROUP BY ALL
+), bw AS (
+  SELECT w, count(*) AS n FROM (SELECT unnest(words) AS w FROM b) GROUP BY ALL
+), u AS (
+  SELECT w, {crc} % {R.BUCKETS} AS bucket FROM (SELECT w FROM dw UNION SELECT w FROM bw)
+), s AS (
+  SELECT bucket, sum(n) AS s FROM dw JOIN u USING (w) GROUP BY bucket
+), t AS (
+  SELECT bucket, sum(n) AS t FROM bw JOIN u USING (w) GROUP BY bucket
+), g AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM s) + {R.BUCKETS})::DOUBLE
+    / ((s + 1)::DOUBLE * (coalesce((SELECT sum(t) FROM t), 0) + {R.BUCKETS})::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)
+), m AS (
+  SELECT doc_id, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight FROM dw JOIN u USING (w) JOIN g USING (bucket) GROUP BY doc_id
+), f AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('{R.SEED}:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN m USING (doc_id)
+), r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS fit FROM f WHERE n_features >= {R.MIN_WORDS}
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {R.SHARE_PERCENT} * fit // 100 THEN place END AS rank
+FROM f LEFT JOIN r USING (doc_id)
+"""

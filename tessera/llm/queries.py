@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat_format, mixing, near_duplicates, packing, personal_data, quality, secret_scan, sharding, substring_dedup, topk_search, url_reputation
+from tessera.llm import chat_format, mixing, near_duplicates, packing, personal_data, quality, resampling, secret_scan, sharding, substring_dedup, topk_search, url_reputation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.dedup_passages(table(spark, sf_dir, "documents")))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.digest(resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.detect(table(spark, sf_dir, "documents")))
 
@@ -85,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_personal_data": op8_personal_data,
         "op9_url_reputation": op9_url_reputation,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_importance_resampling": op11_importance_resampling,
         "op12_secret_scan": op12_secret_scan,
     }
 
@@ -99,4 +104,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_topk_search": oracle.TOPK_SEARCH,
         "op9_url_reputation": oracle.url_reputation(),
         "op10_substring_dedup": oracle.SUBSTRING_DEDUP,
+        "op11_importance_resampling": oracle.importance_resampling(),
     }
