@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tessera.llm import phrase_mining as P
 from tessera.llm import resampling as R
 from tessera.llm import url_reputation as U
 
@@ -154,3 +155,39 @@ WITH d AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= {R.SHARE_PERCENT} * fit // 100 THEN place END AS rank
 FROM f LEFT JOIN r USING (doc_id)
 """
+
+
+def phrase_mining() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({lower}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM pieces
+), g AS (
+  SELECT lang, m, words[i:i + m - 1] AS p FROM (
+    SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i FROM w, (SELECT unnest(range(1, {P.MAX_WORDS} + 1)) AS m) WHERE len(words) >= m)
+), f AS (
+  SELECT lang, m, p, count(*) AS n FROM g GROUP BY ALL HAVING count(*) >= {P.MIN_COUNT}
+), total AS (
+  SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang
+), cuts AS (
+  SELECT lang, m, p, n AS a, unnest(range(1, m)) AS k FROM f WHERE m >= 2
+), s AS (
+  SELECT c.*, h.n AS l, t.n AS r, ({P.SCALE}::HUGEINT * a // (h.n + t.n))::BIGINT AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.p = c.p[1:k] JOIN f t ON t.lang = c.lang AND t.p = c.p[k + 1:]
+), least AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inner_ AS (
+  SELECT lang, p[i:i + j - 1] AS p, n FROM (
+    SELECT lang, p, n, j, unnest(range(1, m - j + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS j FROM f WHERE m >= 3))
+), around AS (
+  SELECT lang, p, max(n) AS most FROM inner_ GROUP BY ALL
+), alone AS (
+  SELECT least.*, array_to_string(least.p, ' ') AS phrase FROM least LEFT JOIN around USING (lang, p)
+  WHERE most IS NULL OR 100::HUGEINT * most < {P.COVERED_PERCENT}::HUGEINT * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM alone
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= {P.TOP}
+"""

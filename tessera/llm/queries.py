@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat_format, mixing, near_duplicates, packing, personal_data, quality, resampling, secret_scan, sharding, substring_dedup, topk_search, url_reputation
+from tessera.llm import chat_format, mixing, near_duplicates, packing, personal_data, phrase_mining, quality, resampling, secret_scan, sharding, substring_dedup, topk_search, url_reputation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,10 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.detect(table(spark, sf_dir, "documents")))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -91,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_substring_dedup": op10_substring_dedup,
         "op11_importance_resampling": op11_importance_resampling,
         "op12_secret_scan": op12_secret_scan,
+        "op13_phrase_mining": op13_phrase_mining,
     }
 
 
@@ -105,4 +110,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_url_reputation": oracle.url_reputation(),
         "op10_substring_dedup": oracle.SUBSTRING_DEDUP,
         "op11_importance_resampling": oracle.importance_resampling(),
+        "op13_phrase_mining": oracle.phrase_mining(),
     }

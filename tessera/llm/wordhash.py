@@ -75,14 +75,14 @@ def text_chunks(column: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) ->
         base += n
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offs: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of all words, and the first word of each row
-    (one entry more than rows)."""
+    (one entry more than rows).  ``space`` says which bytes part words."""
     n = len(data)
     if not n:
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, np.zeros(len(offs), dtype=np.int64)
-    word = ~_SPACE[data]
+    word = ~space[data]
     before = np.empty(n, dtype=bool)
     before[0], before[1:] = True, ~word[:-1]
     edge = offs[1:-1]
