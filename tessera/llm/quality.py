@@ -2,9 +2,12 @@
 
 Words and pairs of neighbouring words fall into ``BUCKETS`` hash buckets.  Two
 smoothed multinomials over the buckets, one of the trusted target and one of
-the raw corpus, give each bucket the weight ``ln(p_target / p_raw)``.  A
-document's score is the mean weight of its n-grams (so length does not count),
-and every document whose score reaches ``threshold`` is kept: no random draw.
+the raw corpus, give each bucket the weight ``ln(p_target / p_raw)``.  The raw
+one adds one to each count; the target one adds ``PRIOR`` times the raw share of
+the bucket to each, so what a small target has not seen counts little against a
+document, and the less the smaller the target is.  A document's score is the
+mean weight of its n-grams (so length does not count), and every document whose
+score reaches ``threshold`` is kept: no random draw.
 
 The raw multinomial counts all documents.  The target is the documents with
 ``quality = 1`` and no ``toxic = 1`` among at most ``max_target`` labelled rows,
@@ -20,7 +23,8 @@ Everything is built-in functions on the row itself: no text is shuffled.
 Defined cases: null text has no words; a text without words scores 0; labels
 with null id or quality are ignored, null toxic counts as 0; without target or
 corpus every weight is 0, so only the base rules reject; repeated rows count
-and are judged one by one.  Other columns are ignored.
+and are judged one by one.  Other columns are ignored.  A text is worked on as
+one row's arrays of words and hashes, some 30 bytes a word.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
 MAX_TARGET = 50_000
+#: Pseudo-counts of the target for each bucket, dealt out by the raw shares.
+PRIOR_PER_BUCKET = 4
 #: Mean weight below which a document is rejected; see the README.
 THRESHOLD = -0.1
 MIN_WORDS, WINDOW, MAX_REPEATED_PERCENT = 20, 8, 30
@@ -95,20 +101,20 @@ def target_ids(labels: DataFrame, max_target: int = MAX_TARGET) -> DataFrame:
     return ids.orderBy(F.xxhash64("_target"), "_target").limit(max_target)
 
 
-def weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_target: int = MAX_TARGET) -> list[float]:
-    """``ln(p_target / p_raw)`` of each bucket, with add-one smoothing."""
+def weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_target: int = MAX_TARGET, prior_per_bucket: float = PRIOR_PER_BUCKET) -> list[float]:
+    """``ln(p_target / p_raw)`` of each bucket, smoothed as the module says."""
     hashed = with_words(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).withColumn("_hash", F.expr("transform(_words, w -> xxhash64(w))"))
     known = hashed.join(F.broadcast(target_ids(labels, max_target)), F.col("doc_id") == F.col("_target"), "left")
     counted = known.select(F.col("_target").isNotNull().cast("int").alias("target"), F.explode(F.expr(grams("_hash", buckets))).alias("bucket"))
     rows = counted.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("target").alias("target")).collect()  # at most `buckets` rows
     raw, target = sum(r["raw"] for r in rows), sum(r["target"] for r in rows)
-    out = [0.0] * buckets
-    if target:
-        shift = math.log((raw + buckets) / (target + buckets))
-        empty = math.log(1.0) + shift
-        out = [empty] * buckets
-        for r in rows:
-            out[r["bucket"]] = math.log((r["target"] + 1) / (r["raw"] + 1)) + shift
+    if not target:
+        return [0.0] * buckets
+    prior = prior_per_bucket * buckets
+    out = [math.log(prior / (target + prior))] * buckets  # of what the target has not seen, whatever its raw share
+    for r in rows:
+        share = (r["raw"] + 1) / (raw + buckets)
+        out[r["bucket"]] = math.log((r["target"] / share + prior) / (target + prior))
     return out
 
 
@@ -120,9 +126,10 @@ def score(weight: list[float], hashes: str = "_hash") -> Column:
     return F.when(n > 0, total / n).otherwise(F.lit(0.0))
 
 
-def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, max_target: int = MAX_TARGET) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, max_target: int = MAX_TARGET,
+          prior_per_bucket: float = PRIOR_PER_BUCKET) -> DataFrame:
     """``docs`` with the features, ``score`` and ``kept``."""
-    weight = weights(docs, labels, buckets, max_target)
+    weight = weights(docs, labels, buckets, max_target, prior_per_bucket)
     out = features(docs).withColumn("score", score(weight))
     # a row number (never negative) in the verdict keeps the optimizer from
     # moving a filter on it down, which would put whole arrays' expressions in

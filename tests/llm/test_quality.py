@@ -51,7 +51,9 @@ def _brute(docs, labels, threshold, buckets, max_target):
     n_raw, n_target = sum(raw.values()), sum(target.values())
     weight = [0.0] * buckets
     if n_target:
-        weight = [math.log(((target[b] + 1) / (n_target + buckets)) / ((raw[b] + 1) / (n_raw + buckets))) for b in range(buckets)]
+        share = [(raw[b] + 1) / (n_raw + buckets) for b in range(buckets)]
+        prior = quality.PRIOR_PER_BUCKET * buckets
+        weight = [math.log((target[b] + prior * share[b]) / (n_target + prior) / share[b]) for b in range(buckets)]
     out = []
     for (d, t), x in zip(docs, grams):
         f = _features(t)
@@ -110,6 +112,20 @@ def test_labelled_documents_separate(spark):
     assert sum(bad) <= 0.4 * len(bad)
 
 
+@pytest.mark.parametrize("one_in, most_bad_kept", [(50, 0.75), (10, 0.4)])
+def test_held_out_good_documents_stay(spark, one_in, most_bad_kept):
+    """The target is a part of the labels; the others are judged by it."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = queries.table(spark, sf, "documents"), queries.table(spark, sf, "labels")
+    given = labels.filter(f"pmod(xxhash64(doc_id, 5), {one_in}) = 0")
+    judged = quality.judge(docs, given).select("doc_id", "kept", "base_failed").join(labels.join(given, "doc_id", "left_anti"), "doc_id")
+    rows = judged.filter("not base_failed").select("quality", "toxic", "kept").collect()
+    good = [r["kept"] for r in rows if r["quality"] == 1 and r["toxic"] != 1]
+    bad = [r["kept"] for r in rows if r["quality"] == 0]
+    assert len(good) > 2000 and sum(good) >= 0.95 * len(good)
+    assert sum(bad) <= most_bad_kept * len(bad)
+
+
 def test_no_python_in_the_plan(spark):
     plan = queries.op1_quality_rules(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
