@@ -28,6 +28,8 @@ play no part: one output row for each input row.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -148,7 +150,9 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
             found.append((kind, start, end, round(score, 3)))
     if any(k not in BASE_KINDS for k, *_ in found):
         base = sorted((s, e) for k, s, e, _ in found if k in BASE_KINDS)
-        found = [x for x in found if x[0] in BASE_KINDS or not any(s < x[2] and x[1] < e for s, e in base)]
+        starts = [s for s, _ in base]
+        reach = [0, *itertools.accumulate((e for _, e in base), max)]  # furthest end of the first so many
+        found = [x for x in found if x[0] in BASE_KINDS or reach[bisect.bisect_left(starts, x[2])] <= x[1]]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 

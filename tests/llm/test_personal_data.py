@@ -93,3 +93,23 @@ def test_many_country_codes_take_linear_time():
     start = time.time()
     P.find_spans("AB12 " * 40_000)
     assert time.time() - start < 20
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["DE89370400440532013000", "+49 370 400 4405", "ssn 123-45-6789", "4111 1111 1111 1111", " ", "x@y.zz", "1.2.3.4", ",", "GB82 WEST 1234 5698 7654 32"]), max_size=14).map("".join))
+def test_added_spans_never_overlap_base_ones(text):
+    """The sweep drops what a comparison of all pairs drops."""
+    base = [(s, e) for _, s, e in _plain(text)]
+    extra = [x for x in P._proposals(text) if x[0] not in P.BASE_KINDS]
+    told = {(k, s, e) for k, s, e, _ in P.find_spans(text) if k not in P.BASE_KINDS}
+    for kind, start, end, confirmed in extra:
+        clear = not any(s < end and start < e for s, e in base)
+        assert ((kind, start, end) in told) == (clear and (confirmed or bool(P._CONTEXT[kind].search(text[max(0, start - 40):start]) or P._CONTEXT[kind].search(text[end:end + 40]))))
+
+
+def test_many_spans_of_all_kinds_take_linear_time():
+    import time
+
+    start = time.time()
+    assert len(P.find_spans("DE89 3704 0044 0532 0130 00, a@b.cd, " * 130_000)) == 260_000  # 5 MB
+    assert time.time() - start < 40
