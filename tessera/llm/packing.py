@@ -21,8 +21,12 @@ Ids are bytes: unsigned 32 bits each, little-endian (``numpy.frombuffer(ids,
 "<u4")``).  :func:`sequences` puts the pieces together.
 
 Equal units of text (white space and the word after it) are tokenised once in
-a batch: byte-level BPE never merges across the start of white space.  Batches
-find equal units by 64-bit hash.
+a chunk, and short ones remembered between chunks: byte-level BPE never merges
+across the start of white space.  Equal units are found by 64-bit hash.  A long
+text is tokenised in stretches; its ids are held whole by one task.
+
+``pack`` writes the pieces and counts them when it is called; ``pieces-*`` below
+the checkpoint folder is read by its result, and is the caller's to remove.
 
 Defined cases: a null or empty text is the end id alone, one piece; repeated
 rows and equal or null ids are packed one by one; an empty table gives none.
@@ -46,12 +50,15 @@ from tessera.session import ensure_checkpoint_dir
 
 MAX_TOKENS = 1024
 END_ID = 2
-#: Text that is tokenised together, and pieces that one task ranks.
-BATCH_BYTES = 12 << 20
+#: Text that is tokenised together, ids sent back together, and pieces that one task ranks.
+CHUNK_BYTES = 1 << 20
+IDS_BYTES = 4 << 20
 PIECES_PER_TASK = 200_000
 #: A plan of more rows than this is not broadcast.
 BROADCAST_ROWS = 100_000
-CACHED_UNITS = 200_000
+#: Units of at most so many bytes whose ids a worker remembers.
+CACHED_UNITS = 100_000
+CACHED_UNIT_BYTES = 64
 SPECIAL = "<|endoftext|>"
 
 PIECE = "doc_id long, piece int, start long, length long, ids binary"
@@ -102,58 +109,67 @@ def _odd_ends(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return odd
 
 
+def _stretches(data: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """A long text in parts of about ``limit`` bytes, cut between a visible
+    ASCII character and the white space after it: no token lies across."""
+    begin = 0
+    while begin < len(data):
+        end = begin + limit
+        while end < len(data):
+            near = data[end - 1:end + limit]
+            cuts = np.flatnonzero((near[:-1] > 0x20) & (near[:-1] < 0x7F) & ((near[1:] == 0x20) | ((near[1:] >= 0x09) & (near[1:] <= 0x0D))))
+            if len(cuts):
+                end += int(cuts[0])
+                break
+            end += limit
+        yield data[begin:end]
+        begin = end
+
+
 def token_ids(texts: pa.Array | pa.ChunkedArray, path: str) -> Iterator[bytes]:
-    """The ids of each text, in order."""
+    """The ids of each text, in order.  Some ``CHUNK_BYTES`` of text are worked
+    on at a time, in the middle of a long text too."""
+    for _, data, offs in wordhash.text_chunks(texts, CHUNK_BYTES):
+        if len(data) > CHUNK_BYTES:
+            yield b"".join(_chunk_ids(part, np.array([0, len(part)]), path)[0] for part in _stretches(data, CHUNK_BYTES))
+        else:
+            yield from _chunk_ids(data, offs, path)
+
+
+def _chunk_ids(data: np.ndarray, offs: np.ndarray, path: str) -> list[bytes]:
     encode, cache = byte_bpe(path), _unit_cache(path)
-    hashes, lengths, counts, buffers, alone = [], [], [], [], {}
-    for row, data, offs in wordhash.text_chunks(texts):
-        starts, ends, first = wordhash.word_spans(data, offs)
-        # a unit runs from the end of the word before it; the last of a text is its trailing white space
-        n_words = np.diff(first)
-        rows = np.arange(len(n_words))
-        unit_end = np.insert(ends, first[1:], offs[1:])
-        unit_start = np.empty_like(unit_end)
-        unit_start[1:] = unit_end[:-1]
-        unit_start[first[:-1] + rows] = offs[:-1]
-        hashes.append(wordhash.word_hashes(data, unit_start, unit_end))
-        lengths.append((unit_end - unit_start))
-        counts.append(n_words + 1)
-        buffers.append(data)
-        if len(ends):
-            odd = _odd_ends(data, ends)
-            for i in np.unique(np.searchsorted(first, np.flatnonzero(odd), "right") - 1):
-                alone[row + int(i)] = data[offs[i]:offs[i + 1]].tobytes()
-    if not hashes:
-        return
-    size, count = np.concatenate(lengths), np.concatenate(counts)
-    keys, at, inverse, seen = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True, return_counts=True)
-    raw = b"".join(b.tobytes() for b in buffers)
-    begin = np.cumsum(size) - size
+    starts, ends, first = wordhash.word_spans(data, offs)
+    # a unit runs from the end of the word before it; the last of a text is its trailing white space
+    n_words = np.diff(first)
+    unit_end = np.insert(ends, first[1:], offs[1:])
+    unit_start = np.empty_like(unit_end)
+    unit_start[1:] = unit_end[:-1]
+    unit_start[first[:-1] + np.arange(len(n_words))] = offs[:-1]
+    keys, at, inverse = np.unique(wordhash.word_hashes(data, unit_start, unit_end), return_index=True, return_inverse=True)
+    raw = data.tobytes()
+    if len(cache) > CACHED_UNITS:
+        cache.clear()
     ids = []
-    for key, a, n, often in zip(keys.tolist(), begin[at].tolist(), size[at].tolist(), seen.tolist(), strict=True):
+    for key, a, z in zip(keys.tolist(), unit_start[at].tolist(), unit_end[at].tolist(), strict=True):
         known = cache.get(key)
         if known is None:
-            known = encode(raw[a:a + n].decode())
-            if often > 1 and len(cache) < CACHED_UNITS:
+            known = encode(raw[a:z].decode())
+            if z - a <= CACHED_UNIT_BYTES:
                 cache[key] = known
         ids.append(known)
     per_unit = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     flat = np.frombuffer(b"".join(ids), dtype="<u4")
-    source = np.cumsum(per_unit) - per_unit
-    last = np.cumsum(count)
-    row = 0
-    while row < len(count):  # a few thousand rows at a time keep the gathered ids small
-        stop = min(row + 256, len(count))
-        units = inverse[last[row] - count[row]:last[stop - 1]]
-        n = per_unit[units]
-        total = np.cumsum(n)
-        gathered = flat[np.repeat(source[units] - (total - n), n) + np.arange(total[-1] if len(total) else 0)].tobytes()
-        ends = np.concatenate([[0], total])[last[row:stop] - (last[row] - count[row])]
-        begin_at = 0
-        for i, end in enumerate(ends.tolist()):
-            yield gathered[4 * begin_at:4 * end] if row + i not in alone else encode(alone[row + i].decode())
-            begin_at = end
-        row = stop
+    source = (np.cumsum(per_unit) - per_unit)[inverse]
+    n = per_unit[inverse]
+    total = np.cumsum(n)
+    gathered = flat[np.repeat(source - (total - n), n) + np.arange(total[-1])].tobytes()
+    borders = 4 * np.concatenate([[0], total])[np.concatenate([[0], np.cumsum(n_words + 1)])]
+    out = [gathered[a:z] for a, z in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)]
+    if len(ends):
+        odd = _odd_ends(data, ends)
+        for i in np.unique(np.searchsorted(first, np.flatnonzero(odd), "right") - 1).tolist():
+            out[i] = encode(raw[offs[i]:offs[i + 1]].decode())
+    return out
 
 
 def cut_points(n: int, max_tokens: int) -> list[tuple[int, int]]:
@@ -167,27 +183,23 @@ def pieces(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int
     sizing.bound_arrow(docs.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def rows(group: list[pa.RecordBatch]) -> pa.RecordBatch:
-        out: tuple[list, ...] = ([], [], [], [], [])
-        texts = pa.chunked_array([b.column(1) for b in group])
-        ids_of = token_ids(texts, path)
-        for doc_id, ids in zip((i for b in group for i in b.column(0).to_pylist()), ids_of, strict=True):
-            ids += end
-            for k, (start, length) in enumerate(cut_points(len(ids) // 4, max_tokens)):
-                for column, value in zip(out, (doc_id, k, start, length, ids[4 * start:4 * (start + length)]), strict=True):
-                    column.append(value)
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PIECE, strict=True)], schema=_PIECE)
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PIECE, strict=True)], schema=_PIECE)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_bytes = [], 0
         for batch in batches:
-            held.append(batch)
-            held_bytes += batch.column(1).nbytes
-            if held_bytes >= BATCH_BYTES:
-                yield rows(held)
-                held, held_bytes = [], 0
-        if held:
-            yield rows(held)
+            out: list[tuple] = []
+            size = 0
+            for doc_id, ids in zip(batch.column(0).to_pylist(), token_ids(batch.column(1), path), strict=True):
+                ids += end
+                for k, (start, length) in enumerate(cut_points(len(ids) // 4, max_tokens)):
+                    out.append((doc_id, k, start, length, ids[4 * start:4 * (start + length)]))
+                    size += 4 * length
+                    if size >= IDS_BYTES:
+                        yield rows(out)
+                        out, size = [], 0
+            if out:
+                yield rows(out)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, PIECE)
 

@@ -142,3 +142,36 @@ def test_sequences_hold_the_ids(read_docs, tokenizer):
         for p in r["pieces"]:
             got[(p["doc_id"], p["piece"], p["start"], tuple(ids[p["offset"]:p["offset"] + p["length"]]))] += 1
     assert got == expected
+
+
+def test_long_texts_come_in_stretches(tokenizer, monkeypatch):
+    import random
+
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice(["ab", "é", " ", " ", "  ", "\n", "　", "12", "'s", "中", "<|endoftext|>", ".", "\t"]) for _ in range(rnd.randint(50, 400))) for _ in range(40)]
+    monkeypatch.setattr(packing, "CHUNK_BYTES", 37)
+    got = [np.frombuffer(b, "<u4").tolist() for b in packing.token_ids(pa.array(texts), queries.tokenizer_path())]
+    assert got == [_ids(tokenizer, x) for x in texts]
+
+
+def test_memory_of_a_worker_is_bounded(tmp_path):
+    """Short words, distinct words and one long text: the peak is that of a chunk."""
+    import subprocess
+    import sys
+
+    code = f"""
+import resource, sys
+sys.path.insert(0, {packing.__file__.rsplit('/tessera/', 1)[0]!r})
+import pyarrow as pa
+from tessera.llm import packing, queries
+path = queries.tokenizer_path()
+list(packing.token_ids(pa.array(['warm up']), path))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for text in ('a b c d ' * 1_400_000, ' '.join(f'w{{i * 7919}}' for i in range(1_000_000)), '中文 ' * 1_000_000):
+    for batch in ([text], [text[i:i + 5_000] for i in range(0, len(text), 5_000)]):
+        for ids in packing.token_ids(pa.array(batch), path):
+            pass
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    grown = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=600).stdout)
+    assert grown < 350, grown  # of which the one long text, its list and its ids make about 100
