@@ -251,13 +251,14 @@ def classes(docs: DataFrame) -> DataFrame:
     # one row a distinct text that shares a bucket with another
     chosen = signed.join(texts.filter("w").select(F.col("rep").alias("node")), "node")
     banded = chosen.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    # checkpointed, so that the joins by bucket are of two shuffled sides and a hot bucket's side is split
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").checkpoint()
     members = banded.join(shared, "bucket").checkpoint()
     meets = members.groupBy("node").agg(F.sum("n").alias("met")).checkpoint()
     held = numbered.select("node", "text").join(signed.select("node", "bands", "sig").join(meets.select("node"), "node"), "node").checkpoint()
 
     # stars: the member that meets most others is the likeliest origin of its group
-    centers = members.join(meets, "node").groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("center"))
+    centers = members.join(meets, "node").groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("center")).checkpoint()
     spokes = members.join(centers, "bucket").filter("node <> center")
     stars = spokes.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
     x, y = ([held.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("text").alias(f"text_{c}")) for c in "ab"])
@@ -289,7 +290,7 @@ def _between_components(members: DataFrame, held: DataFrame, found: DataFrame) -
         F.count("*").alias("several"), F.sum("chars").alias("all"), F.max(F.struct("chars", "component")).alias("big")).filter("several > 1")
     mixed = mixed.select(
         "bucket", F.col("big.component").alias("big"), F.expr(f"cast(big.chars div {BLOCK_CHARS} + 1 as int)").alias("big_blocks"),
-        F.expr(f"cast((all - big.chars) div {BLOCK_CHARS} + 1 as int)").alias("blocks"))
+        F.expr(f"cast((all - big.chars) div {BLOCK_CHARS} + 1 as int)").alias("blocks")).checkpoint()
     split = placed.join(mixed, "bucket").withColumn("is_big", F.col("component") == F.col("big")).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.when(F.col("is_big"), F.col("big_blocks")).otherwise(F.col("blocks"))))
     big = "transform(sequence(0, blocks - 1), i -> struct(i as i, cast(block as int) as j, true as with_big, 'right' as side))"
