@@ -1,29 +1,27 @@
-"""Image validity checks.
-
-Level 1 is built-in functions: the magic number, and an end marker after the
-last data (PNG: the empty IEND chunk; JPEG: the marker after the main image's
-start of scan; GIF: the trailer that a walk over the blocks meets).  Bytes after
-it do no harm.  Level 2 walks PNG
-chunks and checks every CRC in an Arrow-batched ``pandas_udf``; it is the
-strict check for callers who need it, not part of the default path.
-Pixel decoding is out of scope (there is no image codec here).
+"""Image validity checks (U2): walks over the containers, in built-in functions.
+
+=====  =====================================================================
+png    header chunk first and legal, the checksum of every chunk, data chunks,
+       the empty end chunk
+jpeg   segments to the start of scan, then the end marker
+gif    blocks and sub-blocks to the trailer
+webp   chunks that fill the stated RIFF size, image data among them
+bmp    a known header and as many bytes as its sizes ask for
+=====  =====================================================================
+
+Bytes after the end do no harm.  Pixels are not decoded (there is no image
+codec here): a check passes what a reader that verifies without decoding passes.
 """
 
 from __future__ import annotations
 
-import struct as _struct
-import zlib
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from .text import sql_of
 
 # File signatures (hex) of the formats we recognise.
 PNG_MAGIC = "89504E470D0A1A0A"
-PNG_TRAILER = "0000000049454E44AE426082"  # empty IEND chunk with its CRC
 JPEG_MAGIC = "FFD8FF"
 JPEG_TRAILER = "FFD9"
 JPEG_SCAN = "FFDA"
@@ -33,6 +31,12 @@ GIF_TRAILER = "3B"
 BMP_MAGIC = "424D"
 RIFF_MAGIC = "52494646"
 WEBP_TAG = "57454250"
+# chunk names
+PNG_HEADER, PNG_DATA, PNG_END = "49484452", "49444154", "49454E44"
+WEBP_IMAGES = ("56503820", "5650384C", "414E4D46")  # lossy, lossless, animation frame
+# legal bit depths of each PNG color type, as hex of the two bytes (depth, type)
+PNG_DEPTHS = ("0100", "0200", "0400", "0800", "1000", "0802", "1002", "0103", "0203", "0403", "0803", "0804", "1004", "0806", "1006")
+BMP_HEADERS = (12, 40, 52, 56, 64, 108, 124)
 
 
 def _bound_sql(b: str, sql) -> str:
@@ -60,7 +64,71 @@ def _state_sql(at: str, mode: int | str) -> str:
     return f"named_struct('at', cast(coalesce({at}, 0) as int), 'mode', cast({mode} as int))"
 
 
-_OVER, _FOUND, _CUT = 2, 2, 3
+_OVER, _FOUND, _CUT, _BAD_CRC, _BAD_HEADER, _NO_DATA = 2, 2, 3, 4, 5, 6
+_FLAWS = {_CUT: "truncated", _BAD_CRC: "bad_crc", _BAD_HEADER: "bad_header", _NO_DATA: "no_image_data"}  # modes after _FOUND
+
+
+def _flaw_sql(state: str) -> str:
+    """Null for a walk that found the end, else what is wrong (modes below
+    ``_OVER``: the bytes ended first)."""
+    flaws = ", ".join(["'truncated'"] * _OVER + ["NULL"] + [f"'{_FLAWS[m]}'" for m in sorted(_FLAWS)])
+    return f"get(array({flaws}), greatest({state}.mode, 0))"
+
+
+def _number_sql(b: str, at: str, n: int, little: bool = False) -> str:
+    """``n`` bytes from ``at`` (from 0) as an unsigned number; null beyond the end."""
+    digits = f"hex(substring({b}, cast({at} as int) + 1, {n}))"
+    if little:
+        digits = "concat(" + ", ".join(f"substring({digits}, {2 * k - 1}, 2)" for k in range(n, 0, -1)) + ")"
+    # fewer bytes than asked for are no number
+    return f"IF(length({b}) >= {at} + {n}, cast(conv({digits}, 16, 10) as bigint), NULL)"
+
+
+def _png_flaw_sql(b: str) -> str:
+    """Walks the chunks; the mode is 0 at first, 1 after the header, -1 after data."""
+    chunk = (f"named_struct('n', {_number_sql(b, '_s.at', 4)}, 'kind', hex(substring({b}, _s.at + 5, 4)))")
+    whole = f"_c.n IS NOT NULL AND _s.at + 12L + _c.n <= length({b})"
+    crc = f"crc32(substring({b}, _s.at + 5, cast(_c.n as int) + 4)) = {_number_sql(b, '_s.at + 8 + _c.n', 4)}"
+    header = (f"_c.kind = '{PNG_HEADER}' AND _c.n = 13 AND {_number_sql(b, '_s.at + 8', 4)} BETWEEN 1 AND 2147483647 "
+              f"AND {_number_sql(b, '_s.at + 12', 4)} BETWEEN 1 AND 2147483647 "
+              f"AND hex(substring({b}, _s.at + 17, 2)) IN {PNG_DEPTHS} AND hex(substring({b}, _s.at + 19, 3)) IN ('000000', '000001')")
+    after = f"CASE WHEN _c.kind = '{PNG_DATA}' THEN -1 WHEN _s.mode = 0 THEN 1 ELSE _s.mode END"
+    step = (f"get(transform(array({chunk}), _c -> CASE WHEN NOT ({whole}) THEN {_state_sql('_s.at', _CUT)} "
+            f"WHEN NOT ({crc}) THEN {_state_sql('_s.at', _BAD_CRC)} "
+            f"WHEN _s.mode = 0 AND NOT ({header}) THEN {_state_sql('_s.at', _BAD_HEADER)} "
+            f"WHEN _c.kind = '{PNG_END}' THEN {_state_sql('_s.at', f'IF(_s.mode = -1, {_FOUND}, {_NO_DATA})')} "
+            f"ELSE {_state_sql('_s.at + 12 + _c.n', after)} END), 0)")
+    return _flaw_sql(_walk_sql(b, "8", step))
+
+
+def _webp_flaw_sql(b: str) -> str:
+    """Walks the chunks of the stated size; the mode is 1 once image data is there."""
+    end = f"8 + {_number_sql(b, '4', 4, little=True)}"
+    chunk = (f"named_struct('n', coalesce({_number_sql(b, '_s.at + 4', 4, little=True)}, length({b})), "
+             f"'mode', IF(hex(substring({b}, _s.at + 1, 4)) IN {WEBP_IMAGES}, 1, _s.mode))")
+    # fewer than eight bytes after a chunk hold no other
+    step = (f"get(transform(array({chunk}), _c -> CASE WHEN _s.at + 8 + _c.n > _e THEN {_state_sql('_s.at', _CUT)} "
+            f"WHEN _s.at + 8 + _c.n + _c.n % 2 > _e - 8 THEN {_state_sql('_s.at', f'IF(_c.mode = 1, {_FOUND}, {_NO_DATA})')} "
+            f"ELSE {_state_sql('_s.at + 8 + _c.n + _c.n % 2', '_c.mode')} END), 0)")
+    walked = f"IF(coalesce(_e, 0) NOT BETWEEN 20 AND length({b}), 'truncated', {_flaw_sql(_walk_sql(b, '12', step))})"
+    return f"get(transform(array({end}), _e -> {walked}), 0)"
+
+
+def _bmp_flaw_sql(b: str) -> str:
+    def le(at: int, n: int) -> str:
+        return _number_sql(b, str(at), n, little=True)
+
+    def bound(name: str, value: str, then: str) -> str:
+        return f"get(transform(array({value}), {name} -> {then}), 0)"
+
+    fields = (f"IF(_n = 12, named_struct('w', {le(18, 2)}, 'h', {le(20, 2)}, 'bits', {le(24, 2)}, 'packed', 0L, 'size', 0L, 'from', {le(10, 4)}), "
+              f"named_struct('w', {le(18, 4)}, 'h', {le(22, 4)}, 'bits', {le(28, 2)}, 'packed', {le(30, 4)}, 'size', {le(34, 4)}, 'from', {le(10, 4)}))")
+    # rows of whole 32-bit units; a height beyond 2**31 counts downwards
+    rows = "ceil(cast(_f.w as decimal(20)) * _f.bits / 32) * 4 * IF(_f.h >= 2147483648, 4294967296 - _f.h, _f.h)"
+    flaw = (f"CASE WHEN _n NOT IN {BMP_HEADERS} THEN 'bad_header' WHEN _f.size IS NULL THEN 'truncated' "
+            f"WHEN _f.w = 0 OR _f.w >= 2147483648 OR _f.h = 0 OR _f.bits NOT IN (1, 2, 4, 8, 16, 24, 32) OR _f.from < 14 + _n THEN 'bad_header' "
+            f"WHEN _f.from + IF(_f.packed IN (0, 3, 6), {rows}, _f.size) > length({b}) THEN 'truncated' END")
+    return bound("_n", le(14, 4), f"IF(_n IS NULL, 'truncated', {bound('_f', fields, flaw)})")
 
 
 def _gif_end_sql(b: str) -> str:
@@ -93,13 +161,19 @@ def _jpeg_end_sql(b: str) -> str:
 
 
 def signature_sql(b: str) -> str:
-    """``struct<absent, nbytes, head, …_end>`` of bytes ``b``: the first 12 bytes as
-    hex, and whether a format's end marker is there (bytes after it do no harm).  Computing it once lets a lambda test the bytes through field reads
-    (lambdas get no common-subexpression elimination)."""
-    return (f"named_struct('absent', {b} IS NULL, 'nbytes', length({b}), 'head', hex(substring({b}, 1, 12)), "
-            f"'png_end', contains({b}, X'{PNG_TRAILER}'), "
-            f"'jpeg_end', IF(substring({b}, 1, 3) = X'{JPEG_MAGIC}', {_bound_sql(b, _jpeg_end_sql)}, false), "
-            f"'gif_end', IF(substring({b}, 1, 6) IN (X'{GIF87_MAGIC}', X'{GIF89_MAGIC}'), {_bound_sql(b, _gif_end_sql)}, false))")
+    """``struct<absent, nbytes, head, flaw>`` of bytes ``b``: the first 12 bytes
+    as hex, and what is wrong with a container of a known format.  Computing it
+    once lets a lambda test the bytes through field reads (lambdas get no
+    common-subexpression elimination)."""
+    def ends(sql) -> str:
+        return f"IF({_bound_sql(b, sql)}, NULL, 'truncated')"
+
+    return (f"named_struct('absent', {b} IS NULL, 'nbytes', length({b}), 'head', hex(substring({b}, 1, 12)), 'flaw', "
+            f"CASE WHEN substring({b}, 1, 8) = X'{PNG_MAGIC}' THEN {_bound_sql(b, _png_flaw_sql)} "
+            f"WHEN substring({b}, 1, 3) = X'{JPEG_MAGIC}' THEN {ends(_jpeg_end_sql)} "
+            f"WHEN substring({b}, 1, 6) IN (X'{GIF87_MAGIC}', X'{GIF89_MAGIC}') THEN {ends(_gif_end_sql)} "
+            f"WHEN substring({b}, 1, 4) = X'{RIFF_MAGIC}' THEN {_bound_sql(b, _webp_flaw_sql)} "
+            f"WHEN substring({b}, 1, 2) = X'{BMP_MAGIC}' THEN {_bound_sql(b, _bmp_flaw_sql)} END)")
 
 
 def format_sql(sig: str) -> str:
@@ -115,16 +189,9 @@ def format_sql(sig: str) -> str:
 
 
 def problem_sql(sig: str) -> str:
-    """Null when the signature passes the level-1 check, else a reason."""
-    head = f"{sig}.head"
-    return (
-        f"CASE WHEN {sig}.absent THEN 'missing' WHEN {sig}.nbytes = 0 THEN 'empty' "
-        f"WHEN ({format_sql(sig)}) IS NULL THEN 'unknown_format' "
-        f"WHEN startswith({head}, '{PNG_MAGIC}') AND NOT {sig}.png_end THEN 'truncated' "
-        f"WHEN startswith({head}, '{JPEG_MAGIC}') AND NOT {sig}.jpeg_end THEN 'truncated' "
-        f"WHEN (startswith({head}, '{GIF87_MAGIC}') OR startswith({head}, '{GIF89_MAGIC}')) "
-        f"AND NOT {sig}.gif_end THEN 'truncated' END"
-    )
+    """Null when the signature passes the check, else a reason."""
+    return (f"CASE WHEN {sig}.absent THEN 'missing' WHEN {sig}.nbytes = 0 THEN 'empty' "
+            f"WHEN ({format_sql(sig)}) IS NULL THEN 'unknown_format' ELSE {sig}.flaw END")
 
 
 def image_signature(content: Column | str) -> Column:
@@ -136,42 +203,5 @@ def image_format(content: Column | str) -> Column:
 
 
 def image_problem(content: Column | str) -> Column:
-    """Null when the bytes pass the level-1 check, else a reason string."""
+    """Null when the bytes pass the check, else a reason string."""
     return F.expr(problem_sql(signature_sql(sql_of(content))))
-
-
-def png_problem(data: bytes | None) -> str | None:
-    """Strict PNG structure check: signature, IHDR first, every chunk CRC, IEND last."""
-    if data is None:
-        return "missing"
-    sig = bytes.fromhex(PNG_MAGIC)
-    if not data.startswith(sig):
-        return "not_png"
-    pos, first = len(sig), True
-    while True:
-        if pos + 12 > len(data):
-            return "truncated"
-        (length,) = _struct.unpack(">I", data[pos : pos + 4])
-        ctype = data[pos + 4 : pos + 8]
-        end = pos + 12 + length
-        if end > len(data):
-            return "truncated"
-        body = data[pos + 4 : pos + 8 + length]
-        (crc,) = _struct.unpack(">I", data[pos + 8 + length : end])
-        if zlib.crc32(body) & 0xFFFFFFFF != crc:
-            return "bad_crc"
-        if first and ctype != b"IHDR":
-            return "no_ihdr"
-        first = False
-        pos = end
-        if ctype == b"IEND":
-            return None if pos == len(data) else "trailing_bytes"
-
-
-STRICT_SCHEMA = StructType([StructField("valid", BooleanType()), StructField("reason", StringType())])
-
-
-@F.pandas_udf(STRICT_SCHEMA)
-def png_strict_check(content: pd.Series) -> pd.DataFrame:
-    reasons = [png_problem(None if b is None else bytes(b)) for b in content]
-    return pd.DataFrame({"valid": [r is None for r in reasons], "reason": reasons})

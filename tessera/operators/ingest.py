@@ -16,8 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.images import image_problem
-from .skew import SAMPLE_ROWS_PER_THRESHOLD, hot_key_rows, hot_keys, salted_join
+from ..functions.images import image_problem, problem_sql, signature_sql
+from ..functions.paths import canonical_path
+from ..sources.images import ImageFiles
+from .images import join_files
+from .skew import HotKeys, hot_key_rows, hot_keys, sample_share
 
 # The question prompt of layout B, verbatim.
 QUESTION_PROMPT = (
@@ -177,20 +180,22 @@ def image_refs_b(parsed: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- status
-def hot_image_paths(records: DataFrame, min_rows: int | None = None) -> dict:
-    """Image paths referenced by at least ``min_rows`` tags, counted once from
-    the raw text (tag payloads, map-side combined).  Shared by every path join
-    of a pipeline, so the detection pass runs once, not once per join."""
+def hot_image_paths(records: DataFrame, min_rows: int | None = None, images: DataFrame | None = None, min_bytes: int | None = None) -> HotKeys:
+    """Image files referenced by at least ``min_rows`` tags, counted once from
+    the raw text (tag payloads, added up before the shuffle).  Shared by every
+    path join of a pipeline, so the detection pass runs once, not once per join.
+    With ``images`` (``path, content``), files also count by the bytes that their
+    references will carry."""
     min_rows = min_rows if min_rows is not None else hot_key_rows(records)
-    fraction = min(1.0, SAMPLE_ROWS_PER_THRESHOLD / max(min_rows, 1))
     # sample records before the regex runs, so detection parses only the sample
-    src = records if fraction >= 1.0 else records.sample(fraction=fraction, seed=17)
-    paths = src.select(F.explode(T.image_paths(TEXT, dotall=True)).alias("_p")).select(T.py_strip("_p").alias("path"))
-    found = hot_keys(paths, "path", max(1, int(min_rows * fraction * 0.5)) if fraction < 1.0 else min_rows)
-    return {k: int(round(n / fraction)) for k, n in found.items()} if fraction < 1.0 else found
+    share = sample_share(min_rows) if images is None else 1.0
+    src = records if share >= 1.0 else records.sample(fraction=share, seed=17)
+    paths = src.select(F.explode(T.image_paths(TEXT, dotall=True)).alias("_p")).select(T.py_strip("_p").alias("_p")).select(canonical_path("_p").alias("_file"))
+    sizes = images.select(canonical_path("path").alias("_file"), F.length("content").cast("long").alias("bytes")) if images is not None else None
+    return hot_keys(paths, "_file", min_rows, sizes, min_bytes, share)
 
 
-def status_a(records: DataFrame, index: DataFrame, hot: dict | None = None) -> DataFrame:
+def status_a(records: DataFrame, index: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """F11 for layout A: ``mismatch`` → ``render_result`` → ``other`` → ``ok``.
 
     ``other`` also covers "no referenced image exists" (F4).  Adds
@@ -200,7 +205,7 @@ def status_a(records: DataFrame, index: DataFrame, hot: dict | None = None) -> D
     parsed = parse_layout_a(records.withColumn("_pre", text_status_a()))
     refs = kept_image_refs(records.filter(text_status_a().isNull()), dotall=False, key=RECORD)
     found = (
-        salted_join(refs.select(RECORD, "path"), index.select("path"), "path", "left_semi", hot=hot)
+        join_files(refs.select(RECORD, "path"), index.select("path"), "left_semi", hot)
         .select(RECORD)
         .distinct()
         .withColumn("_found", F.lit(True))
@@ -215,14 +220,14 @@ def status_a(records: DataFrame, index: DataFrame, hot: dict | None = None) -> D
     )
 
 
-def status_b(records: DataFrame, index: DataFrame, hot: dict | None = None) -> DataFrame:
+def status_b(records: DataFrame, index: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Layout B: ``no_image`` (F5) → ``image_error`` (F6: a referenced image is
     missing or fails the check) → ``ok``.  Adds parse columns and ``status``."""
     records = with_record_key(records)
     parsed = parse_layout_b(records)
     refs = kept_image_refs(records, dotall=True, key=RECORD)
     bad = (
-        salted_join(refs.select(RECORD, "path"), index.filter(F.col("valid")).select("path"), "path", "left_anti", hot=hot)
+        join_files(refs.select(RECORD, "path"), index.filter(F.col("valid")).select("path"), "left_anti", hot)
         .select(RECORD)
         .distinct()
         .withColumn("_bad", F.lit(True))
@@ -285,9 +290,17 @@ def missing_policy(df: DataFrame, mode: str) -> DataFrame:
 
 def _compact(entries: str, missing: str) -> Column:
     """Entries without the missing images, image indexes renumbered 0..k-1.
-    The missing positions ride along as a zipped argument."""
-    flagged = (f"zip_with({entries}, array_repeat({missing}, size({entries})), (_e, _m) -> named_struct("
-               f"'e', _e, 'gone', _e.type = 'image' AND array_contains(_m, _e.index)))")
+
+    Places of image entries and missing indexes are merged by one sort: an image
+    whose index is among the missing ones stands right after it there, so a long
+    list takes n log n steps."""
+    images = f"transform({entries}, (_e, _i) -> named_struct('x', IF(_e.type = 'image', _e.index, NULL), 'i', _i))"
+    gone = f"transform({missing}, _m -> named_struct('x', _m, 'i', -1))"
+    merged = f"sort_array(concat({images}, {gone}))"
+    # one pass over neighbours: the last missing index met is that of the entry, or not
+    places = (f"transform(filter(zip_with({merged}, slice(concat(array(named_struct('x', CAST(NULL AS BIGINT), 'i', 0)), {merged}), 1, size({merged})), "
+              "(_a, _b) -> named_struct('i', _a.i, 'gone', coalesce(_a.x = _b.x AND (_b.i = -1 OR _a.i = -1), false))), _y -> _y.i >= 0), _y -> _y)")
+    flagged = f"zip_with({entries}, sort_array({places}), (_e, _g) -> named_struct('e', _e, 'gone', _g.gone))"
     kept = f"transform(filter({flagged}, _y -> NOT _y.gone), _y -> named_struct('type', _y.e.type, 'content', _y.e.content))"
     return F.expr(T.entries_sql(kept))
 
@@ -344,20 +357,63 @@ def _split_images(df: DataFrame, q_count: str) -> DataFrame:
     return out.drop("_tagged", "_imgs")
 
 
-def layout_a_candidates(records: DataFrame, images: DataFrame, hot: dict | None = None) -> DataFrame:
+def layout_a_candidates(records: DataFrame, images: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """``ok`` layout-A records with parsed entries, per-section image bytes and
     the positions of missing images (``_miss_question`` / ``_miss_solution``),
     before any missing-image policy is applied."""
     if hot is None:
-        hot = hot_image_paths(records)
+        hot = hot_image_paths(records, images=images)
     pending = with_record_key(records).filter(text_status_a().isNull())
-    joined = salted_join(kept_image_refs(pending, dotall=False, key=RECORD), images.select("path", "content"), "path", "left", hot=hot)
+    joined = join_files(kept_image_refs(pending, dotall=False, key=RECORD), images.select("path", "content"), "left", hot)
     facts = task_images(joined).filter(F.col("_n_found") > 0)
     cand = parse_layout_a(pending).join(facts, RECORD).drop(RECORD)
-    return _split_images(cand, "size(filter(question_entries, _e -> _e.type = 'image'))")
+    return _split_images(cand, QUESTION_IMAGES_A)
+
+
+QUESTION_IMAGES_A = "size(filter(question_entries, _e -> _e.type = 'image'))"
+
+
+def with_files_a(records: DataFrame, files: ImageFiles) -> DataFrame:
+    """Layout A from image files: every record with its ``status`` and, if
+    pending, its images (``_found``), read where the record is (no shuffle of
+    bytes)."""
+    paths = F.when(text_status_a().isNull(), _stripped_paths(dotall=False))
+    return status_of_found(files.attach(records.withColumn("_paths", paths), "_paths", "_found").drop("_paths"), "a")
+
+
+def status_of_found(records: DataFrame, layout: str) -> DataFrame:
+    """Adds ``status`` to records with ``_found``, the bytes of their images in
+    text order (null for a missing file); a rejected record's bytes are let go."""
+    if layout == "a":
+        any_found = F.when(F.expr("exists(_found, _b -> _b IS NOT NULL)"), F.lit(STATUS_OK)).otherwise(F.lit(STATUS_OTHER))
+        status = F.coalesce(text_status_a(), any_found)
+    else:
+        bad = f"exists(transform(_found, _b -> {signature_sql('_b')}), _g -> ({problem_sql('_g')}) IS NOT NULL)"
+        status = F.when(F.coalesce(F.size("_found"), F.lit(0)) <= 0, F.lit(STATUS_NO_IMAGE)).when(F.expr(bad), F.lit(STATUS_IMAGE_ERROR)).otherwise(F.lit(STATUS_OK))
+    return records.withColumn("status", status).withColumn("_found", F.when(F.col("status") == STATUS_OK, F.col("_found")))
+
+
+def ok_layout_a(with_status: DataFrame, on_missing: str = "skip") -> DataFrame:
+    """The ``ok`` rows of :func:`with_files_a` as layout A."""
+    ok = parse_layout_a(with_status.filter(F.col("status") == STATUS_OK).withColumn("_imgs", F.expr(_ORDERED)))
+    return finish_layout_a(_split_images(ok, QUESTION_IMAGES_A), on_missing)
 
 
-def to_layout_a(records: DataFrame, images: DataFrame, on_missing: str = "skip", hot: dict | None = None) -> DataFrame:
+_ORDERED = "transform(_found, (_b, _i) -> named_struct('ord', CAST(_i AS BIGINT), 'b', _b))"
+
+
+def with_files_b(records: DataFrame, files: ImageFiles) -> DataFrame:
+    """Layout B from image files: every record with its ``status`` and images."""
+    return status_of_found(files.attach(records.withColumn("_paths", _stripped_paths(dotall=True)), "_paths", "_found").drop("_paths"), "b")
+
+
+def ok_layout_b(with_status: DataFrame, option_maps: DataFrame) -> DataFrame:
+    """The ``ok`` rows of :func:`with_files_b` as layout B."""
+    ok = parse_layout_b(with_status.filter(F.col("status") == STATUS_OK).withColumn("_imgs", F.expr(_ORDERED)))
+    return _finish_layout_b(_split_images(ok, "1"), option_maps)
+
+
+def to_layout_a(records: DataFrame, images: DataFrame, on_missing: str = "skip", hot: HotKeys | None = None) -> DataFrame:
     """Records → layout A rows (P4), for ``ok`` records only.
 
     ``id, answer, question_interleave (JSON), solution_interleave (JSON),
@@ -389,7 +445,7 @@ def _b_entry(content: Column, index: Column, typ: str) -> Column:
     return F.struct(content.cast("string").alias("content"), index.cast("long").alias("index"), F.lit(typ).alias("type"))
 
 
-def to_layout_b(records: DataFrame, images: DataFrame, option_maps: DataFrame, hot: dict | None = None) -> DataFrame:
+def to_layout_b(records: DataFrame, images: DataFrame, option_maps: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Records → layout B rows (P4), ``ok`` records only: at least one image,
     and every referenced image present and valid (F5, F6).
 
@@ -398,12 +454,16 @@ def to_layout_b(records: DataFrame, images: DataFrame, option_maps: DataFrame, h
     (array<struct<bytes binary>>)``.  Same one-join, one-group plan as layout A.
     """
     if hot is None:
-        hot = hot_image_paths(records)
+        hot = hot_image_paths(records, images=images)
     records = with_record_key(records)
-    joined = salted_join(kept_image_refs(records, dotall=True, key=RECORD), images.select("path", "content"), "path", "left", hot=hot)
+    joined = join_files(kept_image_refs(records, dotall=True, key=RECORD), images.select("path", "content"), "left", hot)
     facts = task_images(joined).filter(F.col("_n_bad") == 0)
     parsed = parse_layout_b(records).filter(F.col("question_path").isNotNull())
-    ok = join_options(_split_images(parsed.join(facts, RECORD), "1"), option_maps)
+    return _finish_layout_b(_split_images(parsed.join(facts, RECORD), "1"), option_maps)
+
+
+def _finish_layout_b(candidates: DataFrame, option_maps: DataFrame) -> DataFrame:
+    ok = join_options(candidates, option_maps)
     to_bytes = lambda arr: F.expr(f"transform({arr}, _b -> named_struct('bytes', _b))")
     question = F.array(
         _b_entry(question_prompt(F.col("options_text")), F.lit(None), "text"),

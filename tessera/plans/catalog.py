@@ -308,7 +308,7 @@ TOKEN_BUDGET = 512
 
 
 @X._per_session
-def hot_paths(spark, sf_dir) -> dict:
+def hot_paths(spark, sf_dir):
     """Hot image paths of the record view (one sampled detection pass)."""
     return I.hot_image_paths(records(spark, sf_dir))
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ingest as I
-from ..operators.skew import salted_join
 from ..sources import fixtures as X
 from .catalog import hot_paths, index_of, query
 
@@ -24,7 +23,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     records = I.with_record_key(X.cot_source(spark, sf_dir))
     facts = index_of(spark, sf_dir).select("path", "length", "valid")
-    refs = salted_join(I.kept_image_refs(records, dotall=True, key=I.RECORD), facts, "path", "left", hot=hot_paths(spark, sf_dir))
+    refs = I.join_files(I.kept_image_refs(records, dotall=True, key=I.RECORD), facts, "left", hot_paths(spark, sf_dir))
     per_task = refs.groupBy(I.RECORD).agg(
         F.sum(F.when(F.coalesce(F.col("valid"), F.lit(False)), 0).otherwise(1)).alias("_n_bad"),
         F.array_sort(F.collect_set(F.struct("ord", "length"))).alias("_lens"),

@@ -7,19 +7,21 @@
     python -m tessera.plans.jobs sequences --input out_a --output seq_a
     python -m tessera.plans.jobs token-batches --input out_b/split/split=train --output batches
 
-Each job is one lazy plan per write.  Where a plan's result feeds several
-passes (the shard writer samples, counts and writes), it is materialised with
-a reliable ``checkpoint()`` into the session's shared ``spark.checkpoint.dir``
-(never ``localCheckpoint``), so a lost executor costs a recompute of its own
-tasks only.
+Conversions read their records once: the images a record names are read where
+the record is (``ImageFiles``), its status is written with it, and the rows that
+are ``ok`` follow from there, so a rejected record's bytes go nowhere and the
+counts are those of the rows written.  What lies in between is parquet below the
+session's shared ``spark.checkpoint.dir`` (never ``localCheckpoint``), so a lost
+executor costs a recompute of its own tasks only; it is removed when the job is
+done.
 """
 
 from __future__ import annotations
 
 import argparse
-import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,50 +31,91 @@ from ..operators import sequence as S
 from ..operators import tokens as TK
 from ..operators.images import image_index
 from ..operators.order import shuffle_key, train_test_split
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, remove_folder
 from ..sinks import files as K
 from ..sinks import shards as SH
 from ..sources.footers import dataset_footers
-from ..sources.images import read_images
+from ..sources.filesystems import qualified
+from ..sources.images import ImageFiles, read_images
 from ..sources.records import read_cot, read_pairs, read_task_options
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as parquet below the shared checkpoint folder and read
-    it back.  Source records are parsed from JSON once; both branches of a
-    conversion plan (image references and output rows) then scan the columnar
-    copy with column pruning.  The written table also cuts the lineage."""
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-staging/{name}-{uuid.uuid4().hex}"
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder below the shared checkpoint folder, removed at the end."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-staging/{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        remove_folder(spark, folder)
+
+
+def staged(spark: SparkSession, df: DataFrame, folder: str) -> DataFrame:
+    """Write ``df`` once as parquet and read it back: what follows scans the
+    columnar copy with column pruning.  The written table also cuts the lineage."""
     df.write.mode("overwrite").parquet(folder)
-    return spark.read.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def parent(spark: SparkSession, path: str) -> str:
+    """The folder a file, folder or glob lies in, as a URI."""
+    return qualified(spark, path).rsplit("/", 1)[0]
+
+
+REPORT = "status string, n long"
+
+
+def _report(spark: SparkSession, with_status: DataFrame, statuses: list[str]) -> DataFrame:
+    """A1 / A2: rows by status, as a table that outlives what it was counted from
+    (a count for each status; no rows at all give zeros for those named)."""
+    counts = {r["status"]: r["n"] for r in I.ingest_report(with_status.select("status")).collect()}  # a handful of statuses
+    return spark.createDataFrame(list((dict.fromkeys(statuses, 0) | counts).items()), REPORT)
+
+
+def _rows_with_status(spark: SparkSession, input_path: str, root: str, folder: str, layout: str) -> DataFrame:
+    """Every record with its status and, as far as read, its images."""
+    records = read_cot(spark, input_path)
+    if ImageFiles.reaches(spark, root):
+        files = ImageFiles(spark, root)
+        with_status = I.with_files_a(records, files) if layout == "a" else I.with_files_b(records, files)
+        return staged(spark, with_status, f"{folder}/status")
+    # a store that only Spark's readers reach: every file is listed, and joined by path
+    records = staged(spark, records, f"{folder}/records")
+    images = read_images(spark, root)
+    keyed = I.with_record_key(records)
+    joined = I.join_files(I.kept_image_refs(keyed, dotall=layout == "b", key=I.RECORD), images.select("path", "content"), "left",
+                          I.hot_image_paths(records, images=images))
+    found = I.task_images(joined).select(I.RECORD, F.expr("transform(_imgs, _x -> _x.b)").alias("_found"))
+    return staged(spark, I.status_of_found(keyed.join(found, I.RECORD, "left").drop(I.RECORD), layout), f"{folder}/status")
 
 
 def convert_layout_a(spark: SparkSession, input_path: str, output: str, image_dir: str | None = None,
                      samples_per_file: int = 100, on_missing: str = "skip") -> tuple[DataFrame, DataFrame]:
     """Records → layout A shards of ``samples_per_file`` rows + manifest.
 
-    Returns (status counts, manifest).  Shards follow task order.
+    Returns (status counts, manifest).  Shards follow task order.  Without
+    ``image_dir``, paths are relative to the input's folder.  No ok record gives
+    no shard, counts of zero and an empty manifest.
     """
-    image_dir = image_dir or os.path.dirname(os.path.abspath(input_path))
-    records = staged(spark, read_cot(spark, input_path), "records")
-    images = read_images(spark, image_dir)
-    hot = I.hot_image_paths(records)
-    report = I.ingest_report(I.status_a(records, image_index(images), hot)).collect()
-    rows = I.to_layout_a(records, images, on_missing, hot)
-    # task order: the number inside ``id`` first, the id itself as tiebreak
-    order = [F.expr("try_cast(substring(id, 6) AS BIGINT)"), "id"]
-    manifest = SH.write_shards(rows, output, order, samples_per_file)  # checkpoints its input
-    return spark.createDataFrame(report), manifest
+    with scratch(spark) as folder:
+        with_status = _rows_with_status(spark, input_path, image_dir or parent(spark, input_path), folder, "a")
+        report = _report(spark, with_status, [I.STATUS_OK, I.STATUS_MISMATCH, I.STATUS_RENDER, I.STATUS_OTHER])
+        rows = I.ok_layout_a(with_status, on_missing)
+        # task order: the number inside ``id`` first, the id itself as tiebreak
+        order = [F.expr("try_cast(substring(id, 6) AS BIGINT)"), "id"]
+        manifest = SH.write_shards(staged(spark, rows, f"{folder}/rows"), output, order, samples_per_file, materialize=False)
+    return report, manifest
 
 
 def convert_layout_b(spark: SparkSession, input_path: str, image_root: str, output: str) -> DataFrame:
-    """Records → one layout-B dataset at ``output/train`` + ``output/train_info``."""
-    records = staged(spark, read_cot(spark, input_path), "records")
-    images = read_images(spark, image_root)
-    options = read_task_options(spark, image_root)
-    rows = I.to_layout_b(records, images, options)
-    K.write_pairs(rows, f"{output}/train")
-    info = K.dataset_info(read_pairs(spark, f"{output}/train"), f"{output}/train")
+    """Records → one layout-B dataset at ``output/train`` + ``output/train_info``
+    and the counts by status at ``output/train_status``."""
+    with scratch(spark) as folder:
+        with_status = _rows_with_status(spark, input_path, image_root, folder, "b")
+        K.write_json_doc(_report(spark, with_status, [I.STATUS_OK, I.STATUS_NO_IMAGE, I.STATUS_IMAGE_ERROR]), f"{output}/train_status")
+        rows = I.ok_layout_b(with_status, read_task_options(spark, image_root))
+        K.write_pairs(rows, f"{output}/train")
+    info = K.dataset_info(spark.read.schema(rows.schema).parquet(f"{output}/train"), f"{output}/train")
     K.write_json_doc(info, f"{output}/train_info")
     return info
 

@@ -9,6 +9,7 @@ class lists the ASCII whitespace explicitly; the fixtures hold no other kind.
 from __future__ import annotations
 
 from ..operators.ingest import OPTIONS_HEADER, QUESTION_PROMPT
+from ..sources import fixtures as X
 
 
 def lit(s: str) -> str:
@@ -21,12 +22,36 @@ def strip(x: str) -> str:
 
 NL = "chr(10)"
 
+
+def _crc32(hexes: str) -> str:
+    """SQL: crc32 of bytes given as hex digits, four bits at a time."""
+    table = []
+    for i in range(16):
+        for _ in range(4):
+            i = (i >> 1) ^ (0xEDB88320 * (i & 1))
+        table.append(i)
+    # the lower half of each byte comes first
+    halves = f"list_transform(range(length({hexes})), lambda i: instr('0123456789ABCDEF', substr({hexes}, (i + 2 - 2 * (i % 2))::INT, 1))::BIGINT - 1)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {halves}), lambda c, x: xor({table}[(xor(c, x) & 15) + 1], c >> 4)), 4294967295)"
+
+
+def _low_first(n: str) -> str:
+    return f"printf('%02X%02X%02X%02X', ({n}) % 256, ({n}) // 256 % 256, ({n}) // 65536 % 256, ({n}) // 16777216)"
+
+
+def file_of(path: str) -> str:
+    """SQL: the file a path of the fixtures names."""
+    return f"replace(replace(regexp_replace({path}, '^[.]/', ''), 'other/../', ''), '//', '/')"
+
+
+FOLDER = """concat(CASE conv_id % 23 WHEN 6 THEN './' WHEN 8 THEN 'other/../' ELSE '' END, 'task_', conv_id, CASE WHEN conv_id % 23 = 9 THEN '//' ELSE '/' END)"""
+
 FIXTURES = f"""
 cot_seg AS (
   SELECT conv_id, turn, concat(
-    CASE WHEN turn = 0 AND conv_id % 19 <> 4 THEN concat('<image>task_', conv_id, '/composite.png</image>', {NL}, {NL}) ELSE '' END,
+    CASE WHEN turn = 0 AND conv_id % 19 <> 4 THEN concat('<image>', {FOLDER}, 'composite.png</image>', {NL}, {NL}) ELSE '' END,
     text,
-    CASE WHEN turn % 2 = 1 AND conv_id % 19 <> 4 THEN concat({NL}, '<image>task_', conv_id, '/step_', turn, '.png</image>', {NL}) ELSE '' END,
+    CASE WHEN turn % 2 = 1 AND conv_id % 19 <> 4 THEN concat({NL}, '<image>', {FOLDER}, 'step_', turn, '.png</image>', {NL}) ELSE '' END,
     CASE WHEN conv_id % 13 = 5 AND turn = 1 THEN ' [render_result]' ELSE '' END) AS x
   FROM conversations),
 cot_source AS (
@@ -34,33 +59,34 @@ cot_source AS (
     CASE WHEN conv_id % 10 = 7 THEN chr((65 + (conv_id + 1) % 4)::INT) ELSE chr((65 + conv_id % 4)::INT) END AS pred,
     CASE WHEN conv_id % 17 = 3 THEN '' ELSE string_agg(x, {NL} ORDER BY turn) END AS cot_text
   FROM cot_seg GROUP BY conv_id),
+image_parts AS (
+  SELECT path, kind, body, octet_length(encode(text)) AS n, chunk, crc FROM (
+    SELECT *, {_crc32('chunk')} AS crc FROM (
+      SELECT concat('task_', conv_id, '/', CASE WHEN turn = 0 THEN 'composite' ELSE concat('step_', turn) END, '.png') AS path,
+        text, hex(encode(text)) AS body, '74455874436F6D6D656E7400' || hex(encode(text)) AS chunk, (conv_id * 5 + turn) % 29 AS kind
+      FROM conversations WHERE (turn = 0 OR turn % 2 = 1) AND (conv_id * 7 + turn) % 23 <> 0))),
+image_files AS (
+  SELECT path, kind, body, n,
+    '{X.PNG_HEAD_HEX}' || printf('%08X', n + 8) || chunk || printf('%08X', CASE WHEN kind = 7 THEN xor(crc, 1) ELSE crc END) || '{X.PNG_TAIL_HEX}' AS png,
+    '{X.JPEG_HEAD_HEX}' || body || '{X.JPEG_TAIL_HEX}' AS jpeg,
+    '52494646' || {_low_first('n + n % 2 + 12')} || '5745425056503820' || {_low_first('n')} || body || repeat('00', (n % 2)::INT) AS webp,
+    '424D' || {_low_first('(n + 3) // 4 * 4 + 54')} || '000000003600000028000000' || {_low_first('n')} || '0100000001000800' || repeat('00', 24)
+      || body || repeat('00', ((n + 3) // 4 * 4 - n)::INT) AS bmp FROM image_parts),
 image_blobs AS (
-  SELECT concat('task_', conv_id, '/', CASE WHEN turn = 0 THEN 'composite' ELSE concat('step_', turn) END, '.png') AS path,
-    CASE WHEN (conv_id * 5 + turn) % 29 = 3 THEN encode(text)
-         ELSE unhex('89504E470D0A1A0A') || encode(text) || unhex('0000000049454E44AE426082') END AS content
-  FROM conversations WHERE (turn = 0 OR turn % 2 = 1) AND (conv_id * 7 + turn) % 23 <> 0),
+  SELECT path, kind, unhex(CASE kind WHEN 3 THEN body WHEN 11 THEN left(png, -24) WHEN 13 THEN png || '0000FFD93B' WHEN 2 THEN jpeg WHEN 8 THEN left(jpeg, -4)
+    WHEN 17 THEN webp WHEN 19 THEN left(webp, -10) WHEN 5 THEN bmp WHEN 23 THEN left(bmp, -8) ELSE png END) AS content FROM image_files),
 task_options AS (
   SELECT c.task_id, chr((65 + c.o)::INT) AS k, p.p_name AS v
   FROM (SELECT conv_id AS task_id, unnest(range(0, 4)) AS o
         FROM (SELECT DISTINCT conv_id FROM conversations) WHERE conv_id % 11 <> 0) c
   JOIN part p ON p.p_partkey = (c.task_id * 4 + c.o) % 200 + 1),
-image_fmt AS (
-  SELECT path, content, left(hex(content), 24) AS head, right(hex(content), 24) AS tail FROM image_blobs),
 image_index AS (
-  SELECT path, length, format, problem, problem IS NULL AS valid, md5 FROM (
-    SELECT path, octet_length(content)::BIGINT AS length, md5(content) AS md5, format,
-      CASE WHEN content IS NULL THEN 'missing'
-           WHEN octet_length(content) = 0 THEN 'empty'
-           WHEN format IS NULL THEN 'unknown_format'
-           WHEN format = 'png' AND NOT ends_with(tail, '0000000049454E44AE426082') THEN 'truncated'
-           WHEN format = 'jpeg' AND NOT ends_with(tail, 'FFD9') THEN 'truncated'
-           WHEN format = 'gif' AND NOT ends_with(tail, '3B') THEN 'truncated' END AS problem
-    FROM (SELECT *, CASE WHEN starts_with(head, '89504E470D0A1A0A') THEN 'png'
-                         WHEN starts_with(head, 'FFD8FF') THEN 'jpeg'
-                         WHEN starts_with(head, '474946383761') OR starts_with(head, '474946383961') THEN 'gif'
-                         WHEN starts_with(head, '52494646') AND substr(head, 17, 8) = '57454250' THEN 'webp'
-                         WHEN starts_with(head, '424D') THEN 'bmp' END AS format
-          FROM image_fmt)))"""
+  SELECT *, problem IS NULL AS valid FROM (
+    SELECT path, octet_length(content)::BIGINT AS length, md5(content) AS md5,
+      CASE WHEN kind IN (2, 8) THEN 'jpeg' WHEN kind IN (17, 19) THEN 'webp' WHEN kind IN (5, 23) THEN 'bmp' WHEN kind <> 3 THEN 'png' END AS format,
+      CASE WHEN octet_length(content) = 0 THEN 'empty' WHEN kind = 3 THEN 'unknown_format' WHEN kind = 7 THEN 'bad_crc'
+           WHEN kind IN (8, 11, 19, 23) THEN 'truncated' END AS problem
+    FROM image_blobs))"""
 
 
 def _segs(flag: str) -> str:
@@ -113,13 +139,13 @@ status_a AS (
       CASE WHEN c.pred IS DISTINCT FROM c.gt THEN 'mismatch'
            WHEN contains(coalesce(c.cot_text, ''), '[render_result]') THEN 'render_result'
            WHEN coalesce(c.cot_text, '') = '' THEN 'other' END,
-      CASE WHEN EXISTS (SELECT 1 FROM a_refs r JOIN image_index i ON i.path = r.path WHERE r.task_id = c.task_id)
+      CASE WHEN EXISTS (SELECT 1 FROM a_refs r JOIN image_index i ON i.path = {file_of('r.path')} WHERE r.task_id = c.task_id)
            THEN 'ok' ELSE 'other' END) AS status
   FROM cot_source c),
 status_b AS (
   SELECT c.task_id,
       CASE WHEN NOT EXISTS (SELECT 1 FROM b_refs r WHERE r.task_id = c.task_id) THEN 'no_image'
-           WHEN EXISTS (SELECT 1 FROM b_refs r LEFT JOIN image_index i ON i.path = r.path
+           WHEN EXISTS (SELECT 1 FROM b_refs r LEFT JOIN image_index i ON i.path = {file_of('r.path')}
                         WHERE r.task_id = c.task_id AND coalesce(NOT i.valid, TRUE)) THEN 'image_error'
            ELSE 'ok' END AS status
   FROM cot_source c),
@@ -151,13 +177,13 @@ SQL["layout_a_entries"] = "SELECT task_id, section, pos, type, content, index FR
 SQL["layout_b_entries"] = "SELECT task_id, section, pos, type, content, index FROM b_entries"
 SQL["image_refs"] = "SELECT task_id, section, pos, path FROM a_refs"
 
-SQL["image_lookup"] = """
+SQL["image_lookup"] = f"""
 SELECT r.task_id, r.section, r.pos, r.path, i.length, i.valid, i.md5, i.path IS NOT NULL AS found
-FROM a_refs r LEFT JOIN image_index i ON i.path = r.path"""
+FROM a_refs r LEFT JOIN image_index i ON i.path = {file_of('r.path')}"""
 
-SQL["missing_images"] = """
+SQL["missing_images"] = f"""
 SELECT r.task_id, r.section, r.pos, r.path FROM a_refs r
-WHERE NOT EXISTS (SELECT 1 FROM image_blobs b WHERE b.path = r.path)"""
+WHERE NOT EXISTS (SELECT 1 FROM image_blobs b WHERE b.path = {file_of('r.path')})"""
 
 SQL["options_text"] = "SELECT task_id, options_text FROM option_text"
 
@@ -165,18 +191,18 @@ SQL["question_prompt"] = f"""
 SELECT c.task_id, {PROMPT_SQL} AS question_text
 FROM cot_source c LEFT JOIN option_text o ON o.task_id = c.task_id"""
 
-SQL["images_collected"] = """
+SQL["images_collected"] = f"""
 SELECT r.task_id,
   count(b.path) FILTER (WHERE r.section = 'question') AS n_question,
   count(b.path) FILTER (WHERE r.section = 'solution') AS n_solution,
   coalesce(string_agg(md5(b.content), ',' ORDER BY r.pos) FILTER (WHERE r.section = 'question' AND b.path IS NOT NULL), '') AS question_md5,
   coalesce(string_agg(md5(b.content), ',' ORDER BY r.pos) FILTER (WHERE r.section = 'solution' AND b.path IS NOT NULL), '') AS solution_md5
-FROM a_refs r LEFT JOIN image_blobs b ON b.path = r.path GROUP BY r.task_id"""
+FROM a_refs r LEFT JOIN image_blobs b ON b.path = {file_of('r.path')} GROUP BY r.task_id"""
 
-SQL["on_missing_modes"] = """
+SQL["on_missing_modes"] = f"""
 , ok_img AS (
   SELECT e.task_id, e.section, e.pos AS entry_pos, e.content, e.index,
-         EXISTS (SELECT 1 FROM image_blobs b WHERE b.path = e.content) AS found
+         EXISTS (SELECT 1 FROM image_blobs b WHERE b.path = {file_of('e.content')}) AS found
   FROM a_entries e JOIN status_a s USING (task_id) WHERE s.status = 'ok' AND e.type = 'image'),
 bad AS (SELECT DISTINCT task_id FROM ok_img WHERE NOT found)
 SELECT 'skip' AS mode, task_id, section, entry_pos, content, index FROM ok_img
@@ -193,10 +219,10 @@ FROM ok_img QUALIFY found"""
 SQL["image_validation"] = "SELECT path, length, format, problem, md5, valid FROM image_index"
 
 
-SQL["flagship"] = """
+SQL["flagship"] = f"""
 SELECT e.task_id, e.pos, e.type, e.content, e.index AS image_index,
        CASE WHEN e.type = 'image' THEN i.length END AS image_length
-FROM b_entries e JOIN status_b s USING (task_id) LEFT JOIN image_index i ON i.path = e.content
+FROM b_entries e JOIN status_b s USING (task_id) LEFT JOIN image_index i ON i.path = {file_of('e.content')}
 WHERE s.status = 'ok' AND e.section = 'solution'"""
 
 # ---------------------------------------------------------------- ordering (plain SQL on orders)
@@ -250,7 +276,7 @@ ROWS = f"""
 a_found AS (
   SELECT r.task_id, r.section, r.pos, i.valid, i.md5,
          row_number() OVER (PARTITION BY r.task_id, r.section ORDER BY r.pos) - 1 AS fpos
-  FROM a_refs r JOIN a_ok USING (task_id) JOIN image_index i ON i.path = r.path),
+  FROM a_refs r JOIN a_ok USING (task_id) JOIN image_index i ON i.path = {file_of('r.path')}),
 a_nimg AS (SELECT task_id, section, count(*) AS n FROM a_found GROUP BY task_id, section),
 a_ent_ok AS (SELECT e.* FROM a_entries e JOIN a_ok USING (task_id)),
 a_prob AS (
@@ -322,7 +348,7 @@ ROWS_SQL["reject_reasons"] = """
 SELECT 'a' AS layout, reason, count(*) AS n FROM a_reason GROUP BY reason
 UNION ALL SELECT 'b', reason, count(*) FROM b_reason GROUP BY reason"""
 
-ROWS_SQL["sequence_plan"] = """
+ROWS_SQL["sequence_plan"] = f"""
 , items AS (
   SELECT 'a' AS layout, concat('task_', e.task_id) AS key, e.section, e.pos AS epos, e.type,
          CASE WHEN e.type = 'text' THEN e.content END AS content,
@@ -353,7 +379,7 @@ ROWS_SQL["sequence_plan"] = """
                    WHEN lead(e.type) OVER w2 IS NULL THEN '<|endoftext|>' ELSE '<|im_start|>' END END
   FROM b_entries e JOIN b_reason r USING (task_id)
   LEFT JOIN b_refs br ON br.task_id = e.task_id AND br.section = e.section AND br.pos = e.index AND e.type = 'image'
-  LEFT JOIN image_index i ON i.path = br.path
+  LEFT JOIN image_index i ON i.path = {file_of('br.path')}
   WHERE r.reason = 'ok'
   WINDOW w2 AS (PARTITION BY e.task_id, e.section ORDER BY e.pos))
 SELECT layout, key,

@@ -29,8 +29,9 @@ def row_group_info(footers: DataFrame) -> DataFrame:
 
 
 def write_json_doc(doc: DataFrame, out: str) -> None:
-    """Write a small (one-row) info document as JSON."""
-    doc.coalesce(1).write.mode("overwrite").json(out)
+    """Write an info document as JSON.  The rows are brought together after they
+    are computed, so what computes them keeps its own tasks."""
+    doc.repartition(1).write.mode("overwrite").json(out)
 
 
 def row_counts(df: DataFrame, by: str = "file") -> DataFrame:

@@ -46,15 +46,17 @@ def cot_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Turn 0 gets a composite image in front, odd turns a step image after,
     some records a placeholder, some mismatching ``pred``, some empty text and
-    some no tags at all.
+    some no tags at all.  Some spell their paths as ``./x``, ``a/../x`` or ``x//y``.
     """
     conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     cid, turn = F.col("conv_id"), F.col("turn")
     tagged = cid % 19 != 4
+    folder = F.concat(F.when(cid % 23 == 6, F.lit("./")).when(cid % 23 == 8, F.lit("other/../")).otherwise(F.lit("")),
+                      F.lit("task_"), cid, F.when(cid % 23 == 9, F.lit("//")).otherwise(F.lit("/")))
     piece = F.concat(
-        F.when((turn == 0) & tagged, F.concat(F.lit("<image>task_"), cid, F.lit("/composite.png</image>\n\n"))).otherwise(F.lit("")),
+        F.when((turn == 0) & tagged, F.concat(F.lit("<image>"), folder, F.lit("composite.png</image>\n\n"))).otherwise(F.lit("")),
         F.col("text"),
-        F.when((turn % 2 == 1) & tagged, F.concat(F.lit("\n<image>task_"), cid, F.lit("/step_"), turn, F.lit(".png</image>\n"))).otherwise(F.lit("")),
+        F.when((turn % 2 == 1) & tagged, F.concat(F.lit("\n<image>"), folder, F.lit("step_"), turn, F.lit(".png</image>\n"))).otherwise(F.lit("")),
         F.when((cid % 13 == 5) & (turn == 1), F.lit(" [render_result]")).otherwise(F.lit("")),
     )
     # A conversation is one record: its turns are bounded, so the per-key list is small.
@@ -74,13 +76,50 @@ def cot_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-PNG_MAGIC_HEX = "89504E470D0A1A0A"
-PNG_IEND_HEX = "0000000049454E44AE426082"
+# Parts of a PNG of one gray pixel, as hex: signature and header, then pixel data
+# and end.  A text chunk goes between them.
+PNG_HEAD_HEX = "89504E470D0A1A0A" + "0000000D4948445200000001000000010800000000" + "3A7E9B55"
+PNG_TAIL_HEX = "0000000A4944415478DA6360000000020001" + "E527DEFC" + "0000000049454E44" + "AE426082"
+JPEG_HEAD_HEX = "FFD8FFE000047878" + "FFDA000801010000003F"
+JPEG_TAIL_HEX = "FFD9"
+
+
+def _little(n: str) -> str:
+    """SQL: a number as four bytes, the lowest first."""
+    return "unhex(concat(" + ", ".join(f"lpad(hex(({n} >> {k}) & 255), 2, '0')" for k in (0, 8, 16, 24)) + "))"
+
+
+def _big(n: str) -> str:
+    return f"unhex(lpad(hex({n}), 8, '0'))"
+
+
+def picture_sql(kind: str, body: str) -> str:
+    """SQL: an image file of a kind that carries the bytes ``body``."""
+    chunk = f"concat(X'74455874', encode('Comment', 'UTF-8'), X'00', {body})"
+    whole_png = f"concat(X'{PNG_HEAD_HEX}', {_big(f'length({chunk}) - 4')}, {chunk}, {_big(f'crc32({chunk})')}, X'{PNG_TAIL_HEX}')"
+    bad_png = f"concat(X'{PNG_HEAD_HEX}', {_big(f'length({chunk}) - 4')}, {chunk}, {_big(f'crc32({chunk}) ^ 1')}, X'{PNG_TAIL_HEX}')"
+    jpeg = f"concat(X'{JPEG_HEAD_HEX}', {body}, X'{JPEG_TAIL_HEX}')"
+    padded = f"concat({body}, IF(length({body}) % 2 = 1, X'00', X''))"
+    webp = f"concat(X'52494646', {_little(f'(length({padded}) + 12)')}, X'5745425056503820', {_little(f'length({body})')}, {padded})"
+    # one row of so many gray pixels
+    row = f"concat({body}, substring(X'000000', 1, pmod(-length({body}), 4)))"
+    bmp = (f"concat(X'424D', {_little(f'(length({row}) + 54)')}, X'00000000', X'36000000', X'28000000', {_little(f'length({body})')}, X'01000000', "
+           f"X'01000800', X'00000000', X'00000000', X'00000000', X'00000000', X'00000000', X'00000000', {row})")
+    return {
+        "text": body, "png": whole_png, "png_bad_crc": bad_png, "png_cut": f"substring({whole_png}, 1, length({whole_png}) - 12)",
+        "png_more": f"concat({whole_png}, X'0000FFD93B')", "jpeg": jpeg, "jpeg_cut": f"substring({jpeg}, 1, length({jpeg}) - 2)",
+        "webp": webp, "webp_cut": f"substring({webp}, 1, length({webp}) - 5)", "bmp": bmp, "bmp_cut": f"substring({bmp}, 1, length({bmp}) - 4)",
+    }[kind]
+
+
+#: Kind of an image by the remainder of its number; the others are whole PNG files.
+KINDS = {3: "text", 7: "png_bad_crc", 11: "png_cut", 13: "png_more", 2: "jpeg", 8: "jpeg_cut", 17: "webp", 19: "webp_cut", 5: "bmp", 23: "bmp_cut"}
 
 
 @_per_session
 def image_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Image files ``path string, content binary``: PNG-like, corrupt, or absent."""
+    """Image files ``path string, content binary``: whole, broken (cut, wrong
+    checksum, no image), or absent; of several formats whatever their names say."""
     conv = table(spark, sf_dir, "conversations")
     cid, turn = F.col("conv_id"), F.col("turn")
     path = F.concat(
@@ -88,10 +127,9 @@ def image_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(turn == 0, F.lit("composite")).otherwise(F.concat(F.lit("step_"), turn)),
         F.lit(".png"),
     )
-    body = F.encode(F.col("text"), "UTF-8")
-    content = F.when((cid * 5 + turn) % 29 == 3, body).otherwise(
-        F.concat(F.unhex(F.lit(PNG_MAGIC_HEX)), body, F.unhex(F.lit(PNG_IEND_HEX)))
-    )
+    body = "encode(text, 'UTF-8')"
+    kinds = " ".join(f"WHEN {k} THEN {picture_sql(kind, body)}" for k, kind in KINDS.items())
+    content = F.expr(f"CASE (conv_id * 5 + turn) % 29 {kinds} ELSE {picture_sql('png', body)} END")
     return conv.filter(((turn == 0) | (turn % 2 == 1)) & ((cid * 7 + turn) % 23 != 0)).select(
         path.alias("path"), content.alias("content")
     )

@@ -12,18 +12,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import FOOTER
+from .filesystems import opened
 
 
 def _footer_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
     for batch in batches:
         paths, groups, rows = [], [], []
         for uri in batch.column("path").to_pylist():
-            fs, p = pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
-            if uri.startswith("file:") and "://" not in uri:
-                fs, p = pafs.LocalFileSystem(), uri[len("file:"):]
+            fs, p = opened(uri)
             with fs.open_input_file(p) as f:
                 meta = pq.ParquetFile(f).metadata
             paths.append(uri)

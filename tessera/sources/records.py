@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import SOURCE, TASK_DATA
+from .filesystems import opened, qualified, reaches
 
 
 def read_cot(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
@@ -13,8 +17,8 @@ def read_cot(spark: SparkSession, path: str, multiline: bool | None = None) -> D
 
     A JSON *array* file needs ``multiLine`` and is one task per file; JSON
     Lines is splittable and is the path at scale.  Unless ``multiline`` says
-    which, one pass over the text finds the kind of each file (whatever the kind
-    of path: local, URI, folder, glob), and files of both kinds raise: with
+    which, the head of each file tells its kind (whatever the kind of path: local,
+    URI, folder, glob), and files of both kinds raise: with
     ``multiLine``, Spark would keep the first record of JSON Lines and say
     nothing.  Records that do not parse fail the job instead of becoming empty
     records.
@@ -28,13 +32,37 @@ def read_cot(spark: SparkSession, path: str, multiline: bool | None = None) -> D
 
 
 def file_kinds(spark: SparkSession, path: str) -> tuple[str | None, str | None]:
-    """A file whose first non-blank line opens a JSON array, and one whose does
-    not; null where there is none."""
-    text = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.regexp_extract("value", r"^\s*(\S)", 1).alias("first"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
-    files = text.filter("first <> ''").groupBy("file").agg((F.min_by("first", "at") == "[").alias("array"))
-    return tuple(files.agg(F.min(F.when(F.col("array"), F.col("file"))), F.min(F.when(~F.col("array"), F.col("file")))).first())
+    """A file whose first non-blank character opens a JSON array, and one whose
+    does not; null where there is none.  Tasks read the head of each file; the
+    whole text is read only on stores that nothing but Spark's readers reaches."""
+    files = spark.read.format("binaryFile").load(path).select("path")  # lists, and opens nothing
+    if reaches(qualified(spark, path)):
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        heads = files.repartition(n).mapInArrow(_heads, "file string, first string")
+    else:
+        text = spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("file"), F.regexp_extract("value", r"^\uFEFF?\s*(\S)", 1).alias("first"),
+            F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+        heads = text.filter("first <> ''").groupBy("file").agg(F.min_by("first", "at").alias("first"))
+    array = F.col("first") == "["
+    return tuple(heads.filter("first <> ''").agg(F.min(F.when(array, F.col("file"))), F.min(F.when(~array, F.col("file")))).first())
+
+
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first character of each file that is no white space."""
+    for batch in batches:
+        firsts = []
+        for uri in batch.column(0).to_pylist():
+            fs, where = opened(uri)
+            with fs.open_input_stream(where, compression="detect") as f:
+                head = f.read(HEAD_BYTES).removeprefix(b"\xef\xbb\xbf").lstrip()
+                while not head and (more := f.read(HEAD_BYTES)):
+                    head = more.lstrip()
+            firsts.append(head[:1].decode("ascii", "replace"))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(firsts, pa.string())], ["file", "first"])
+
+
+HEAD_BYTES = 1 << 14
 
 
 def read_task_options(spark: SparkSession, root: str) -> DataFrame:

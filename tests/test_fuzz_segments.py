@@ -1,6 +1,7 @@
 """Differential fuzz: segmentation, layout splits, strip and labels against
 small pure-Python oracles, on random tag soup with exotic whitespace."""
 
+import pictures
 import random
 
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ def test_special_labels(spark):
         lists.append([rnd.choice([("text", "t"), ("text", " "), ("image", None)]) for _ in range(rnd.randint(1, 6))])
     rows = [
         ("a", f"k{i}", "A", [("text", "q", None)],
-         [(t, c, 0 if t == "image" else None) for t, c in ents], [], [b"\x89PNG\r\n\x1a\n" + bytes.fromhex("0000000049454E44AE426082")],
+         [(t, c, 0 if t == "image" else None) for t, c in ents], [], [pictures.png()],
          True)
         for i, ents in enumerate(lists)
     ]

@@ -1,51 +1,69 @@
-"""Image checks: level 1 (built-ins) and level 2 (strict PNG chunk walk)."""
+"""Image checks: the walks over PNG, JPEG, GIF, WebP and BMP containers."""
 
+import random
 import struct
-import zlib
 
+import pictures as P
 from pyspark.sql import functions as F
 
-from tessera.functions.images import image_format, image_problem, png_problem, png_strict_check
+from tessera.functions.images import image_format, image_problem
 
 
-def _chunk(kind, data):
-    return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data) & 0xFFFFFFFF)
+def _checked(spark, files):
+    df = spark.createDataFrame([(i, None if b is None else bytearray(b)) for i, b in enumerate(files)], "id long, c binary")
+    return [(r.fmt, r.p) for r in df.select("id", image_format(F.col("c")).alias("fmt"), image_problem(F.col("c")).alias("p")).orderBy("id").collect()]
 
 
-def _png():
-    ihdr = struct.pack(">IIBBBBB", 1, 1, 8, 0, 0, 0, 0)
-    raw = zlib.compress(b"\x00\x00")
-    return b"\x89PNG\r\n\x1a\n" + _chunk(b"IHDR", ihdr) + _chunk(b"IDAT", raw) + _chunk(b"IEND", b"")
+def test_formats(spark):
+    files = [P.png(), P.png(b"note" * 99), b"\xff\xd8\xff\xe0xx\xff\xd9", b"GIF89a;", P.webp(), P.bmp(), b"", None, b"text", b"RIFFxxxxWAVEdata"]
+    assert _checked(spark, files) == [("png", None), ("png", None), ("jpeg", None), ("gif", None), ("webp", None), ("bmp", None),
+                                      (None, "empty"), (None, "missing"), (None, "unknown_format"), (None, "unknown_format")]
 
 
-def test_png_problem():
-    good = _png()
-    assert png_problem(good) is None
-    bad_crc = bytearray(good)
-    bad_crc[30] ^= 1
-    assert png_problem(bytes(bad_crc)) == "bad_crc"
-    assert png_problem(good[:-4]) == "truncated"
-    assert png_problem(b"GIF89a") == "not_png"
-    assert png_problem(good + b"x") == "trailing_bytes"
+def test_png_chunks(spark):
+    """Equal to a plain reader on cut, altered and reordered files."""
+    whole = P.png(b"some note \xff\x00" * 9, 5, 3)
+    rnd = random.Random(2)
+    files = [whole[:n] for n in range(8, len(whole) + 1)] + [whole + b"trailing"]
+    for _ in range(80):
+        changed = bytearray(whole)
+        changed[rnd.randrange(8, len(whole))] ^= 1 << rnd.randrange(8)
+        files.append(bytes(changed))
+    sig, ihdr, idat, iend = whole[:8], whole[8:33], P.chunk(b"IDAT", b"zz"), P.chunk(b"IEND", b"")
+    files += [sig + idat + ihdr + iend, sig + ihdr + iend, sig + ihdr + idat, sig + ihdr + idat + idat + iend + ihdr, sig + P.chunk(b"IHDR", b"short") + idat + iend]
+    assert [p for _, p in _checked(spark, files)] == [P.png_problem(b) for b in files]
+    odd = [struct.pack(">IIBBBBB", *f) for f in ((0, 1, 8, 0, 0, 0, 0), (1, 2**31, 8, 0, 0, 0, 0), (1, 1, 3, 0, 0, 0, 0), (1, 1, 4, 2, 0, 0, 0), (1, 1, 8, 0, 1, 0, 0), (1, 1, 8, 0, 0, 0, 2))]
+    assert {p for _, p in _checked(spark, [sig + P.chunk(b"IHDR", h) + idat + iend for h in odd])} == {"bad_header"}
 
 
-def test_levels_agree_on_real_png(spark):
-    good = _png()
-    rows = [(1, good), (2, good[:-3]), (3, b"\xff\xd8\xff\xe0xx\xff\xd9"), (4, b"GIF89a;"), (5, b""), (6, None)]
-    df = spark.createDataFrame(rows, "id long, c binary")
-    got = {r.id: (r.fmt, r.p1, r.strict.valid) for r in df.select(
-        "id", image_format(F.col("c")).alias("fmt"), image_problem(F.col("c")).alias("p1"),
-        png_strict_check(F.col("c")).alias("strict")).collect()}
-    assert got[1] == ("png", None, True)
-    assert got[2][1] == "truncated" and got[2][2] is False
-    assert got[3][:2] == ("jpeg", None)
-    assert got[4][:2] == ("gif", None)
-    assert got[5][1] == "empty" and got[6][1] == "missing"
+def test_webp_chunks(spark):
+    for n in (100, 101):
+        whole = P.webp(n)
+        assert _checked(spark, [whole, whole + b"more", whole[:-1] if n % 2 else whole]) == [("webp", None)] * 2 + [("webp", "truncated" if n % 2 else None)]
+        assert {p for _, p in _checked(spark, [whole[:k] for k in range(12, len(whole) - 1, 7)])} == {"truncated"}
+    assert _checked(spark, [P.webp(10, (b"VP8X", b"EXIF"))]) == [("webp", "no_image_data")]
+    assert _checked(spark, [P.webp(10, (k,)) for k in (b"VP8 ", b"VP8L", b"ANMF")]) == [("webp", None)] * 3
+    grown = bytearray(P.webp(50, (b"VP8L",)))
+    grown[16] += 9  # the chunk says more than the file
+    assert _checked(spark, [bytes(grown)]) == [("webp", "truncated")]
 
 
-def _gif(frames=3):
-    import random
+def test_bmp_sizes(spark):
+    whole = [P.bmp(w, h, bits, header) for w, h, bits, header in ((7, 5, 24, 40), (7, -5, 24, 40), (9, 3, 1, 40), (33, 2, 8, 12), (4, 4, 32, 124), (1, 1, 16, 108))]
+    assert {x for x in _checked(spark, whole)} == {("bmp", None)}
+    assert {p for _, p in _checked(spark, [b[:-1] for b in whole] + [whole[0][:n] for n in range(14, len(whole[0]), 9)])} == {"truncated"}
+    assert {p for _, p in _checked(spark, [P.bmp(0, 5), P.bmp(5, 0), P.bmp(bits=5), P.bmp(header=48)])} == {"bad_header"}
+    packed = bytearray(P.bmp())
+    packed[30] = 1  # run-length data of the stated size
+    assert _checked(spark, [bytes(packed), bytes(packed)[:-1]]) == [("bmp", None), ("bmp", "truncated")]
+
+
+def test_large_image(spark):
+    big = P.png(P.noise(3_000_000))
+    assert _checked(spark, [big, big[:-20]]) == [("png", None), ("png", "truncated")]
 
+
+def _gif(frames=3):
     rng = random.Random(7)
     out = b"GIF89a" + struct.pack("<HHBBB", 64, 64, 0x91, 0, 0) + rng.randbytes(12) + b"\x21\xff\x0bNETSCAPE2.0\x03\x01\x00\x00\x00"
     for k in range(frames):
@@ -58,8 +76,6 @@ def _gif(frames=3):
 
 
 def _jpeg(scans=2):
-    import random
-
     rng = random.Random(8)
     data = lambda n: rng.randbytes(n).replace(b"\xff", b"\xff\x00")
     segment = lambda marker, body: b"\xff" + bytes([marker]) + struct.pack(">H", len(body) + 2) + body
@@ -75,6 +91,4 @@ def test_cut_gif_and_jpeg_with_thumbnail(spark):
     for name, whole in (("gif", _gif()), ("jpeg", _jpeg())):
         rows += [(name, True, whole), (name, True, whole + b"\x00" * 5000), (name, True, whole + b"more \xff\xda;")]
         rows += [(name, False, whole[:n]) for n in range(20, len(whole) - 1, 37)] + [(name, False, whole[:-1])]
-    df = spark.createDataFrame([(i, bytearray(b)) for i, (_, _, b) in enumerate(rows)], "id long, c binary")
-    got = {r.id: (r.fmt, r.p) for r in df.select("id", image_format("c").alias("fmt"), image_problem("c").alias("p")).collect()}
-    assert got == {i: (name, None if ok else "truncated") for i, (name, ok, _) in enumerate(rows)}
+    assert _checked(spark, [b for _, _, b in rows]) == [(name, None if ok else "truncated") for name, ok, _ in rows]

@@ -1,5 +1,6 @@
 """Round trips of sources and sinks in a temporary folder."""
 
+import pictures
 import json
 import os
 
@@ -50,7 +51,7 @@ def test_read_images_and_options(spark, tmp_path):
     for task, opts in [(1, {"B": "two", "A": "one"}), (2, None)]:
         d = root / f"task_{task}"
         d.mkdir(parents=True)
-        (d / "composite.png").write_bytes(bytes.fromhex("89504E470D0A1A0A") + b"x" + bytes.fromhex("0000000049454E44AE426082"))
+        (d / "composite.png").write_bytes(pictures.png(b"x"))
         (d / "data.json").write_text(json.dumps({"options": opts} if opts else {"other": 1}))
     imgs = read_images(spark, str(root), "*.png")
     assert sorted(r.path for r in imgs.select("path").collect()) == ["task_1/composite.png", "task_2/composite.png"]

@@ -1,5 +1,6 @@
 """The small literal cases of FIXTURES.md, end to end through the operators."""
 
+import pictures
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -94,7 +95,7 @@ def test_labels(spark):
         "solution_interleave array<struct<type:string,content:string,index:long>>, question_images array<binary>, "
         "solution_images array<binary>, parse_ok boolean",
     )
-    png = bytes.fromhex("89504E470D0A1A0A") + b"x" + bytes.fromhex("0000000049454E44AE426082")
+    png = pictures.png(b"x")
     df = df.withColumn("solution_images", F.array(F.lit(png)))
     items = S.sequence_items(df).orderBy("pos").collect()
     assert [(i.section, i.type, i.special_token) for i in items] == [
@@ -120,7 +121,7 @@ def test_shift_and_pad(spark):
 def test_python_style_image_index(spark):
     """``images[index]``: missing index → 0, negative counts from the end,
     beyond either end → rejected."""
-    png = bytes.fromhex("89504E470D0A1A0A") + b"x" + bytes.fromhex("0000000049454E44AE426082")
+    png = pictures.png(b"x")
     schema = ("layout string, key string, answer string, question_interleave array<struct<type:string,content:string,index:long>>, "
               "solution_interleave array<struct<type:string,content:string,index:long>>, question_images array<binary>, "
               "solution_images array<binary>, parse_ok boolean")

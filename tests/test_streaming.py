@@ -1,5 +1,6 @@
 """Incremental ingest: arriving JSON Lines files become layout-A rows."""
 
+import pictures
 import json
 
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ def test_stream_ingest(spark, tmp_path):
         {"task_id": 3, "gt": "C", "pred": "C", "cot_text": "no images"},
     ]
     (src / "a.jsonl").write_text("\n".join(json.dumps(r) for r in recs))
-    png = bytes.fromhex("89504E470D0A1A0A") + b"z" + bytes.fromhex("0000000049454E44AE426082")
+    png = pictures.png(b"z")
     images = spark.createDataFrame([("p1", png), ("p2", png)], "path string, content binary")
     out = str(tmp_path / "out")
     q = start_layout_a_ingest(spark, str(src), images, out, checkpoint=str(tmp_path / "ckpt"), trigger_once=True)
@@ -30,7 +31,7 @@ def test_stream_ingest(spark, tmp_path):
 def test_stream_ingest_is_incremental(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
-    png = bytes.fromhex("89504E470D0A1A0A") + b"z" + bytes.fromhex("0000000049454E44AE426082")
+    png = pictures.png(b"z")
     images = spark.createDataFrame([("p1", png)], "path string, content binary")
     out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
 

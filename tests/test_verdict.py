@@ -1,5 +1,6 @@
 """Findings of the last review, each on the smallest input that shows it."""
 
+import pictures
 import json
 import math
 
@@ -116,9 +117,9 @@ def test_null_option_keeps_its_line(spark):
 
 
 def test_image_end_markers_and_bitmaps(spark):
-    png = bytes.fromhex("89504E470D0A1A0A") + b"body" + bytes.fromhex("0000000049454E44AE426082")
+    png = pictures.png(b"body")
     rows = [("png", png), ("png_more", png + b"\n"), ("jpeg_more", b"\xff\xd8\xff\xe0x\xff\xd9\x00\x00"), ("cut", png[:-6]),
-            ("bm_text", b"BM is a text of some length"), ("bmp", b"BM" + (30).to_bytes(4, "little") + bytes(24))]
+            ("bm_text", b"BM is a text of some length"), ("bmp", pictures.bmp())]
     df = spark.createDataFrame([(n, bytearray(b)) for n, b in rows], "n string, b binary")
     got = {r["n"]: r["p"] for r in df.select("n", image_problem("b").alias("p")).collect()}
     assert got == {"png": None, "png_more": None, "jpeg_more": None, "cut": "truncated", "bm_text": "unknown_format", "bmp": None}
@@ -132,8 +133,7 @@ def test_split_integrity_scans_once(spark):
 
 
 def _image_source(spark):
-    png = bytes.fromhex("89504E470D0A1A0A") + b"%s" + bytes.fromhex("0000000049454E44AE426082")
-    return spark.createDataFrame([(p, bytearray(png.replace(b"%s", p.encode()))) for p in ("a.png", "b.png", "c.png")], "path string, content binary")
+    return spark.createDataFrame([(p, bytearray(pictures.png(p.encode()))) for p in ("a.png", "b.png", "c.png")], "path string, content binary")
 
 
 DOUBLE = [(1, "x", "x", "q <image>a.png</image> s"), (1, "y", "y", "r <image>b.png</image> s"), (1, "y", "y", "r <image>b.png</image> s"),
@@ -144,7 +144,7 @@ def test_records_with_equal_or_missing_ids_keep_their_own_images(spark):
     records = spark.createDataFrame(DOUBLE, "task_id long, gt string, pred string, cot_text string")
     images = _image_source(spark)
     index = images.select("path", F.lit(True).alias("valid"))
-    got = sorted((r["id"], r["answer"], bytes(r["question_images"][0])[8:13]) for r in I.to_layout_a(records, images).collect())
+    got = sorted((r["id"], r["answer"], pictures.note(r["question_images"][0])) for r in I.to_layout_a(records, images).collect())
     assert got == [("task_1", "x", b"a.png"), ("task_1", "y", b"b.png"), ("task_1", "y", b"b.png"), ("task_None", "z", b"c.png")]
     assert all(len(r["question_images"]) + len(r["solution_images"]) == 1 for r in I.to_layout_a(records, images).collect())
     for status in (I.status_a, I.status_b):
@@ -152,7 +152,7 @@ def test_records_with_equal_or_missing_ids_keep_their_own_images(spark):
         assert counts["ok"] == 4 and sum(counts.values()) == 5
     options = spark.createDataFrame([], "task_id long, options map<string,string>")
     rows = I.to_layout_b(records, images, options).collect()
-    assert sorted((r["answer"], bytes(r["question_images"][0]["bytes"])[8:13]) for r in rows) == [
+    assert sorted((r["answer"], pictures.note(r["question_images"][0]["bytes"])) for r in rows) == [
         ("x", b"a.png"), ("y", b"b.png"), ("y", b"b.png"), ("z", b"c.png")]
 
 
@@ -194,7 +194,7 @@ MALFORMED = [
 
 
 def test_reasons_of_malformed_entries(spark):
-    png = bytearray(bytes.fromhex("89504E470D0A1A0A") + b"x" + bytes.fromhex("0000000049454E44AE426082"))
+    png = bytearray(pictures.png(b"x"))
     rows = [(n, "yes", s, '[{"type": "text", "content": "end"}]', [png], []) for n, s, _ in MALFORMED]
     a = spark.createDataFrame(rows, "id string, answer string, question_interleave string, solution_interleave string, "
                                     "question_images array<binary>, solution_images array<binary>")
