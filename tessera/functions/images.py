@@ -198,10 +198,15 @@ def image_signature(content: Column | str) -> Column:
     return F.expr(signature_sql(sql_of(content)))
 
 
+def _of_signature(content: Column | str, sql) -> Column:
+    """``sql`` of the signature, which is computed (and written) once."""
+    return F.expr(f"get(transform(array({signature_sql(sql_of(content))}), _g -> {sql('_g')}), 0)")
+
+
 def image_format(content: Column | str) -> Column:
-    return F.expr(format_sql(signature_sql(sql_of(content))))
+    return _of_signature(content, format_sql)
 
 
 def image_problem(content: Column | str) -> Column:
     """Null when the bytes pass the check, else a reason string."""
-    return F.expr(problem_sql(signature_sql(sql_of(content))))
+    return _of_signature(content, problem_sql)

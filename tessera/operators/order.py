@@ -54,8 +54,9 @@ def _offsets(counts: DataFrame, total_col: str | None) -> DataFrame:
 
 
 def hex_bucket(hex_col: Column, digits: int) -> Column:
-    """Bucket of an md5 hex key: its first ``digits`` hex digits (monotone in the key)."""
-    return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("long")
+    """Bucket of an md5 hex key: its first ``digits`` hex digits (monotone in the
+    key; an empty one is in the first)."""
+    return F.coalesce(F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("long"), F.lit(0).cast("long"))
 
 
 def _quantile_bucket(df: DataFrame, key: str, n_buckets: int):
@@ -169,7 +170,8 @@ def shuffle(df: DataFrame, key: str, seed: int | str = 42, epoch: int | None = N
     digits = 1
     while 16 ** digits < n * BUCKETS_PER_PARTITION and digits < 8:
         digits += 1
-    out = global_index(df.withColumn(h, shuffle_key(F.col(key), seed, epoch)), [h, key], col, total_col, num_ranges,
+    place = F.coalesce(shuffle_key(F.col(key), seed, epoch), F.lit(""))  # rows without a key come first
+    out = global_index(df.withColumn(h, place), [h, key], col, total_col, num_ranges,
                        bucket=hex_bucket(F.col(h), digits))
     return out.drop(h)
 
@@ -187,6 +189,63 @@ def train_test_split(df: DataFrame, key: str, ratio: float = 0.9, seed: int | st
     ).withColumnRenamed("_perm", "perm_idx").drop("_total")
 
 
+#: Rows of the last range of hashes that are put in order to find the cut.
+CUT_ROWS = 100_000
+_HEX_DIGITS = 4
+
+
+def split_cut(keys: DataFrame, key: str, ratio: float, seed: int | str) -> tuple[str | None, object, int, int]:
+    """Where the first ``int(n * ratio)`` rows of the seeded permutation end:
+    ``(hash, key, rows of that key that still are in front, rows of that key)``.
+
+    Selection, not a sort: rows are counted by the leading digits of their hash
+    (at most 16**4 counts a round), only the range that holds the cut is looked at
+    again, and once it is small its narrow rows are put in order."""
+    hashed = keys.select(F.coalesce(shuffle_key(F.col(key), seed), F.lit("")).alias("h"), F.col(key).alias("k"))
+    n = hashed.count()
+    left = math.floor(n * float(ratio))
+    if left <= 0 or n == 0:
+        return None, None, 0, 0
+    digits = 0
+    size = n
+    while size > CUT_ROWS and digits + _HEX_DIGITS <= 32:
+        digits += _HEX_DIGITS
+        counts = sorted((r["p"], r["n"]) for r in hashed.groupBy(F.substring("h", 1, digits).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+        for prefix, size in counts:
+            if left <= size:
+                break
+            left -= size
+        hashed = hashed.filter(F.substring("h", 1, digits) == prefix)
+    # equal keys stand together: the key at which the count is reached
+    order = Window.orderBy("h", "k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_key = hashed.groupBy("h", "k").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(order))
+    cut = by_key.filter(F.col("upto") >= left).orderBy("upto").first()
+    return cut["h"], cut["k"], left - (cut["upto"] - cut["n"]), cut["n"]
+
+
+def exact_split(df: DataFrame, key: str, ratio: float = 0.9, seed: int | str = 42) -> DataFrame:
+    """O3 without moving rows: adds ``split``, the sides of
+    :func:`train_test_split`, by comparing each row's hash with the cut.
+
+    Counts are exact.  Rows that share the key at the cut, if it falls among them,
+    are told apart by a hash of their content (and only those are shuffled).  Rows
+    with a null key stand first in the permutation, as nulls do in an order."""
+    h, k, front, same = split_cut(df.select(key), key, ratio, seed)
+    place = F.coalesce(shuffle_key(F.col(key), seed), F.lit(""))
+    if h is None:
+        return df.withColumn("split", F.lit("test"))
+    ahead = (place < h) | ((place == h) & (F.col(key) < F.lit(k)))
+    at = (place == h) & F.col(key).eqNullSafe(F.lit(k))
+    if front in (0, same):
+        is_train = F.coalesce(ahead | (at & F.lit(front > 0)), F.lit(False))
+        return df.withColumn("split", F.when(is_train, F.lit("train")).otherwise(F.lit("test")))
+    tied = F.coalesce(at, F.lit(False))
+    plain = df.filter(~tied).withColumn("split", F.when(F.coalesce(ahead, F.lit(False)), F.lit("train")).otherwise(F.lit("test")))
+    rows = df.filter(tied).withColumn("_tie", F.xxhash64(F.to_json(F.struct(*df.columns)))).withColumn("_row", F.monotonically_increasing_id())
+    ordered = global_index(rows, [F.col("_tie").asc(), F.col("_row").asc()], "_at")
+    return plain.unionByName(ordered.withColumn("split", F.when(F.col("_at") < front, F.lit("train")).otherwise(F.lit("test"))).drop("_tie", "_row", "_at"))
+
+
 def train_test_split_approx(df: DataFrame, key: str, ratio: float = 0.9, seed: int | str = 42) -> DataFrame:
     """O3 with ``exact=False``: map-only hash threshold, approximate counts."""
     u = F.conv(F.substring(shuffle_key(F.col(key), seed), 1, 8), 16, 10).cast("double") / F.lit(float(16**8))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import functools
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -52,6 +53,40 @@ def pandas_tokenizer(encode: Callable[[str], list[int]], max_length: int | None
     return _encode
 
 
+@functools.lru_cache(maxsize=2)
+def _loaded(path: str):
+    """The tokenizer of a file, loaded once a worker."""
+    if path.endswith(".model"):
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_file=path).encode
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def file_tokenizer(path: str, max_length: int | None = MAX_LENGTH, shipped: bool = False):
+    """The tokenizer in a vocabulary file (``tokenizers`` JSON, or a
+    ``sentencepiece`` model) as an Arrow-batched UDF, ``Column → array<int>``.
+
+    Each worker loads it once and encodes whole batches.  ``path`` must be there on
+    every executor; with ``shipped`` it is the name of a file that was sent along
+    (``spark-submit --files`` or ``SparkContext.addFile``).  Null text has no ids.
+    """
+
+    @F.pandas_udf(ArrayType(IntegerType()))
+    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from pyspark import SparkFiles
+
+        encode = _loaded(SparkFiles.get(path) if shipped else path)
+        for texts in batches:
+            ids = encode([t or "" for t in texts])
+            yield pd.Series([i[:max_length] if max_length else i for i in ids])
+
+    return _encode
+
+
 def next_token_pairs(tokens: Column) -> tuple[Column, Column]:
     """``input_ids = tokens[:-1]``, ``labels = tokens[1:]`` (empty-safe)."""
     n = F.greatest(F.size(tokens) - 1, F.lit(0))

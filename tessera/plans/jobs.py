@@ -30,7 +30,7 @@ from ..operators import ingest as I
 from ..operators import sequence as S
 from ..operators import tokens as TK
 from ..operators.images import image_index
-from ..operators.order import shuffle_key, train_test_split
+from ..operators.order import exact_split, shuffle_key, train_test_split
 from ..session import ensure_checkpoint_dir, remove_folder
 from ..sinks import files as K
 from ..sinks import shards as SH
@@ -121,15 +121,22 @@ def convert_layout_b(spark: SparkSession, input_path: str, image_root: str, outp
 
 
 def split_dataset(spark: SparkSession, input_path: str, output: str, ratio: float = 0.9, seed: int = 42,
-                  key: str | None = None) -> DataFrame:
+                  key: str | None = None, ordered: bool = False) -> DataFrame:
     """90:10 split of a prepared dataset, written once as ``split=train`` /
-    ``split=test`` folders (one pass), plus per-split info docs."""
+    ``split=test`` folders, plus per-split info docs.
+
+    Rows are not moved: the cut is found among the keys, and each task writes its
+    rows to their side.  With ``ordered`` the files hold the rows in the order of
+    the seeded permutation, which shuffles them (training reads them in an order of
+    its own for each epoch either way)."""
     df = read_pairs(spark, input_path)
     key = key or ("task_id" if "task_id" in df.columns else "id")
-    out = train_test_split(df, key, ratio, seed).drop("perm_idx")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    out.repartitionByRange(n, "split", "split_idx").sortWithinPartitions("split", "split_idx").write.mode(
-        "overwrite").partitionBy("split").parquet(output)  # many balanced files for each split
+    if ordered:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        out = train_test_split(df, key, ratio, seed).repartitionByRange(n, "split", "split_idx").sortWithinPartitions("split", "split_idx").drop("perm_idx", "split_idx")
+    else:
+        out = exact_split(df, key, ratio, seed)
+    out.write.mode("overwrite").partitionBy("split").parquet(output)
     written = read_pairs(spark, output)
     counts = written.groupBy("split").agg(F.count(F.lit(1)).alias("num_samples")).select(
         "split", "num_samples", F.concat(F.lit(f"{output}/split="), F.col("split")).alias("file_path"))
@@ -160,7 +167,8 @@ def write_token_batches(spark: SparkSession, input_path: str, output: str, batch
                         seed: int = 42) -> DataFrame:
     """Layout-B rows → shifted, padded next-token batches.
 
-    ``tokenize`` maps text to ids (``TK.pandas_tokenizer`` wraps any encoder, U3);
+    ``tokenize`` maps text to ids (``TK.file_tokenizer`` loads a vocabulary file,
+    ``TK.pandas_tokenizer`` wraps any encoder, U3);
     with ``epoch`` the rows are batched in that epoch's shuffled order (O2).
 
     Rows over ``max_tokens`` are written to ``output_over_budget`` instead of
@@ -212,6 +220,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--output", required=True)
     s.add_argument("--ratio", type=float, default=0.9)
     s.add_argument("--seed", type=int, default=42)
+    s.add_argument("--ordered", action="store_true")
     p = sub.add_parser("parquet-info")
     p.add_argument("--input", required=True)
     p.add_argument("--output")
@@ -225,6 +234,7 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("--max-length", type=int, default=TK.MAX_LENGTH)
     t.add_argument("--max-tokens", type=int)
     t.add_argument("--epoch", type=int)
+    t.add_argument("--tokenizer", help="vocabulary file on every executor: tokenizers JSON or sentencepiece model")
     args = ap.parse_args(argv)
     spark = SparkSession.getActiveSession() or SparkSession.builder.appName("tessera").getOrCreate()  # the submitted master
     if args.cmd == "convert-a":
@@ -235,12 +245,13 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "convert-b":
         convert_layout_b(spark, args.input, args.image_root, args.output).show(truncate=False)
     elif args.cmd == "split":
-        split_dataset(spark, args.input, args.output, args.ratio, args.seed).show(truncate=False)
+        split_dataset(spark, args.input, args.output, args.ratio, args.seed, ordered=args.ordered).show(truncate=False)
     elif args.cmd == "sequences":
         write_sequences(spark, args.input, args.output).show(truncate=False)
     elif args.cmd == "token-batches":
+        tokenize = TK.file_tokenizer(args.tokenizer, args.max_length) if args.tokenizer else None
         write_token_batches(spark, args.input, args.output, args.batch_size, args.max_length,
-                            args.max_tokens, epoch=args.epoch).show(truncate=False)
+                            args.max_tokens, tokenize, args.epoch).show(truncate=False)
     else:
         parquet_info(spark, args.input, args.output).show(truncate=False)
 

@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import SOURCE, TASK_DATA
+from .arrays import array_records
 from .filesystems import opened, qualified, reaches
 
 
 def read_cot(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
     """Source records with a fixed schema.
 
-    A JSON *array* file needs ``multiLine`` and is one task per file; JSON
-    Lines is splittable and is the path at scale.  Unless ``multiline`` says
+    JSON Lines are split by Spark's reader, JSON *arrays* by byte ranges
+    (``arrays.array_records``), so one large file of either kind is many tasks.
+    (On stores that only Spark's readers reach, an array file is one task, read
+    with ``multiLine``.)  Unless ``multiline`` says
     which, the head of each file tells its kind (whatever the kind of path: local,
     URI, folder, glob), and files of both kinds raise: with
     ``multiLine``, Spark would keep the first record of JSON Lines and say
@@ -28,6 +31,9 @@ def read_cot(spark: SparkSession, path: str, multiline: bool | None = None) -> D
         if arrays and lines:
             raise ValueError(f"{path} has JSON arrays (such as {arrays}) and JSON Lines (such as {lines}): read them apart")
         multiline = arrays is not None
+    if multiline and reaches(qualified(spark, path)):
+        parsed = F.from_json("record", SOURCE, {"mode": "FAILFAST"})
+        return array_records(spark, path).select(parsed.alias("r")).select("r.*")
     return spark.read.schema(SOURCE).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
 
 

@@ -1,0 +1,182 @@
+"""Readers and splits that move little: array ranges, files by path, cuts."""
+
+import json
+import os
+import random
+
+import pictures
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from tessera.operators import ingest as I
+from tessera.operators import order as O
+from tessera.operators import skew
+from tessera.operators import tokens as TK
+from tessera.plans import jobs
+from tessera.sources.arrays import array_records
+from tessera.sources.images import ImageFiles
+from tessera.sources.records import read_cot
+
+ODD_TEXT = ["", "[", "]}", '"', "\\", '\\"', 'a "quoted" [x] {y}', "\\\\", "é\n中\U0001f600", "{" * 9, "tab\t", '\\\\"', "x" * 300]
+
+
+def _array(n, seed, indent):
+    rnd = random.Random(seed)
+    rows = [{"task_id": i, "gt": rnd.choice(ODD_TEXT), "pred": rnd.choice(ODD_TEXT), "cot_text": "".join(rnd.choices(ODD_TEXT, k=3)), "more": {"a": [1, {"b": "]"}]}} for i in range(n)]
+    return rows, json.dumps(rows, indent=indent, ensure_ascii=seed % 2 == 0)
+
+
+@pytest.mark.parametrize("range_bytes", [7, 64, 1000, 1 << 20])
+def test_array_ranges_hold_every_record_once(spark, tmp_path, range_bytes):
+    want = []
+    n = 8 if range_bytes < 64 else 60
+    for k, indent in enumerate((None, 2)):
+        rows, text = _array(n, k, indent)
+        (tmp_path / f"{k}.json").write_text(("﻿" if k else " \n") + text + "\n ", encoding="utf-8")
+        want += [json.dumps(r, sort_keys=True) for r in rows]
+    got = [json.dumps(json.loads(r["record"]), sort_keys=True) for r in array_records(spark, str(tmp_path), range_bytes).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_read_cot_splits_arrays(spark, tmp_path):
+    rows, text = _array(40, 3, 1)
+    path = tmp_path / "a.json"
+    path.write_text(text, encoding="utf-8")
+    got = read_cot(spark, str(path)).collect()
+    assert sorted((r["task_id"], r["gt"], r["pred"], r["cot_text"]) for r in got) == [(r["task_id"], r["gt"], r["pred"], r["cot_text"]) for r in rows]
+    assert read_cot(spark, str(path)).rdd.getNumPartitions() > 1
+    (tmp_path / "none.json").write_text(" [ ]\n")
+    assert read_cot(spark, str(tmp_path / "none.json")).count() == 0
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1}', '[{"a": 1}] x', '[{"a": 1}, 5]', '["a"]', '[[1]]', '[{"a": "]}'])
+def test_broken_arrays_raise(spark, tmp_path, text):
+    (tmp_path / "b.json").write_text(text)
+    with pytest.raises(Exception, match="array|record"):
+        array_records(spark, str(tmp_path / "b.json")).collect()
+
+
+def test_only_referenced_files_are_opened(spark, tmp_path):
+    """Of 300 files three are named; a file that can't be opened is not."""
+    root = tmp_path / "my images"
+    for i in range(300):
+        (root / f"d{i % 7}").mkdir(parents=True, exist_ok=True)
+        (root / f"d{i % 7}" / f"{i}.png").write_bytes(pictures.png(str(i).encode()))
+    files = ImageFiles(spark, str(root))
+    paths = spark.createDataFrame([(p,) for p in ("d1/1.png", "./d2//2.png", "d3/x/../3.png", "d3/none.png", "d4", "d4/", "", None, str(root / "d5" / "5.png"))], "path string")
+    got = {r["path"]: (r["found"], r["length"]) for r in files.facts(paths).collect()}
+    size = len(pictures.png(b"1"))
+    assert got == {"d1/1.png": (True, size), "d2/2.png": (True, size), "d3/3.png": (True, size), "d3/none.png": (False, None), "d4": (False, None),
+                   "d4/": (False, None), "": (False, None), str(root / "d5" / "5.png"): (True, size)}
+    read = {r["path"]: pictures.note(r["content"]) for r in files.read(paths).collect()}
+    assert read == {"d1/1.png": b"1", "d2/2.png": b"2", "d3/3.png": b"3", str(root / "d5" / "5.png"): b"5"}
+    rows = spark.createDataFrame([(1, ["d1/1.png", None, "gone", "d1/1.png"]), (2, []), (3, None)], "id long, p array<string>")
+    out = {r["id"]: r["b"] and [x and pictures.note(x) for x in r["b"]] for r in files.attach(rows, "p", "b").collect()}
+    assert out == {1: [b"1", None, None, b"1"], 2: [], 3: None}
+    assert "Exchange" not in files.attach(rows, "p", "b")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_conversion_moves_no_image_bytes(spark, tmp_path):
+    records = spark.createDataFrame([(1, "A", "A", "q <image>a.png</image> s <image>b.png</image>")], "task_id long, gt string, pred string, cot_text string")
+    for build in (I.with_files_a, I.with_files_b):
+        plan = build(records, ImageFiles(spark, str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("MapInArrow") == 1
+
+
+@pytest.mark.parametrize("convert", ["a", "b"])
+def test_empty_input_gives_zero_counts(spark, tmp_path, convert):
+    (tmp_path / "none.jsonl").write_text("")
+    src, out = str(tmp_path / "none.jsonl"), str(tmp_path / "out")
+    if convert == "a":
+        report, manifest = jobs.convert_layout_a(spark, src, out)  # images in the input's folder
+        assert {r["status"]: r["n"] for r in report.collect()} == {"ok": 0, "mismatch": 0, "render_result": 0, "other": 0}
+        assert manifest.count() == 0
+    else:
+        (tmp_path / "task_1").mkdir()
+        (tmp_path / "task_1" / "data.json").write_text('{"options": {"A": "x"}}')
+        assert jobs.convert_layout_b(spark, src, str(tmp_path), out).first()["num_samples"] == 0
+
+
+def test_uri_input_without_image_folder_and_odd_paths(spark, tmp_path):
+    """A file URI, paths in several spellings, several layouts' statuses; nothing is left behind."""
+    for name in ("a.png", "b.png"):
+        (tmp_path / name).write_bytes(pictures.png(name.encode()))
+    (tmp_path / "cut.png").write_bytes(pictures.png(b"cut")[:-5])
+    texts = ["<image>./a.png</image> t <image>x/../b.png</image>", "<image>.//a.png</image> t <image>gone.png</image>", "<image>cut.png</image> t", "no image", ""]
+    (tmp_path / "r.jsonl").write_text("\n".join(json.dumps({"task_id": i, "gt": "A", "pred": "A" if i != 3 else "B", "cot_text": t}) for i, t in enumerate(texts)))
+    uri = f"file://{tmp_path}/r.jsonl"
+    staging = os.path.join(spark.sparkContext.getCheckpointDir().removeprefix("file:"), "tessera-staging")
+    report, manifest = jobs.convert_layout_a(spark, uri, str(tmp_path / "a"), samples_per_file=2)
+    assert {r["status"]: r["n"] for r in report.collect()} == {"ok": 3, "mismatch": 1, "render_result": 0, "other": 1}
+    rows = {r["id"]: [pictures.note(x) for x in [*r["question_images"], *r["solution_images"]][:2] if x.endswith(b"\x82")] for r in spark.read.parquet(str(tmp_path / "a")).collect()}
+    assert rows == {"task_0": [b"a.png", b"b.png"], "task_1": [b"a.png"], "task_2": []}
+    assert manifest.agg(F.sum("num_samples")).first()[0] == 3
+    for i in range(2):
+        os.makedirs(tmp_path / f"task_{i}", exist_ok=True)
+        (tmp_path / f"task_{i}" / "data.json").write_text('{"options": {"B": "y", "A": "x"}}')
+    assert jobs.convert_layout_b(spark, uri, f"file://{tmp_path}", str(tmp_path / "b")).first()["num_samples"] == 1
+    status = {r["status"]: r["n"] for r in spark.read.json(str(tmp_path / "b" / "train_status")).collect()}
+    assert status == {"ok": 1, "image_error": 2, "no_image": 2}
+    assert not os.path.isdir(staging) or not os.listdir(staging)
+
+
+def test_exact_split_equals_the_permutation(spark, monkeypatch):
+    monkeypatch.setattr(O, "CUT_ROWS", 50)
+    for n, ratio in ((3000, 0.9), (10, 0.55), (1, 0.9), (0, 0.9), (500, 0.0), (500, 1.0)):
+        df = spark.range(n).selectExpr("id", "repeat('x', 5) as payload")
+        got = {r["id"]: r["split"] for r in O.exact_split(df, "id", ratio).collect()}
+        want = {r["id"]: r["split"] for r in O.train_test_split(df, "id", ratio).collect()}
+        assert got == want and sum(s == "train" for s in got.values()) == int(n * ratio)
+
+
+def test_exact_split_of_repeated_and_null_keys(spark, monkeypatch):
+    monkeypatch.setattr(O, "CUT_ROWS", 5)
+    for keys in ("if(id < 900, 7, id)", "if(id % 2 = 0, null, id)", "cast(null as bigint)"):
+        df = spark.range(1000).selectExpr(f"{keys} as k", "id % 3 as other")
+        split = O.exact_split(df, "k", 0.9).groupBy("split").count().collect()
+        assert {r["split"]: r["count"] for r in split} == {"train": 900, "test": 100}
+        assert O.train_test_split(df, "k", 0.9).filter("split = 'train'").count() == 900
+
+
+def test_split_moves_only_keys(spark):
+    df = spark.range(5000).selectExpr("id", "cast(repeat('x', 100) as binary) as image")
+    plan = O.exact_split(df, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_many_hot_files_are_all_split(spark):
+    """5,000 keys over the limit by bytes: none is left whole, and no task gets a
+    large share of the bytes."""
+    refs = spark.range(200_000).selectExpr("id", "if(id % 4 = 0, 'all', concat('k', id % 5000)) as path")
+    images = spark.range(5001).selectExpr("if(id = 5000, 'all', concat('k', id)) as path", "repeat('b', 400) as content")
+    sizes = images.select("path", F.length("content").cast("long").alias("bytes"))
+    hot = skew.hot_keys(refs, "path", 10**9, sizes, min_bytes=8_000)
+    assert hot.n > 3700 and hot.salts()["all"] == 5000
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(old, ("false", "-1", "64")):
+            spark.conf.set(k, v)
+        joined = skew.salted_join(refs, images, "path", "left", hot=hot).select("id", F.length("content").alias("n"), F.spark_partition_id().alias("p")).cache()
+        assert joined.count() == 200_000 and joined.filter("n = 400").count() == 200_000 * 1
+        loads = [r["b"] for r in joined.groupBy("p").agg(F.sum("n").alias("b")).collect()]
+        assert len(loads) == 64 and max(loads) < 2 * sum(loads) / 64
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_tokenizer_of_a_file(spark, tmp_path):
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = str(P.path("byte_bpe_50k.json"))
+    df = spark.createDataFrame([(1, "Some text, some more."), (2, ""), (3, None), (4, "x " * 50)], "id long, t string")
+    plain = Tokenizer.from_file(path)
+    got = {r["id"]: r["ids"] for r in df.select("id", TK.file_tokenizer(path, 20)("t").alias("ids")).collect()}
+    assert got == {r["id"]: plain.encode(r["t"] or "", add_special_tokens=False).ids[:20] for r in df.collect()}
+    from tessera.plans import catalog as C
+
+    C.layout_b_rows(spark, SF_SMALL).write.parquet(str(tmp_path / "b"))
+    jobs.main(["token-batches", "--input", str(tmp_path / "b"), "--output", str(tmp_path / "out"), "--tokenizer", path, "--max-length", "50"])
+    assert spark.read.parquet(str(tmp_path / "out")).agg(F.max(F.size("input_ids"))).first()[0] == 49
