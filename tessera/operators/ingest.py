@@ -305,6 +305,19 @@ def _compact(entries: str, missing: str) -> Column:
     return F.expr(T.entries_sql(kept))
 
 
+def missing_variants(df: DataFrame, modes: tuple[str, ...] = ("skip", "drop_row", "compact")) -> DataFrame:
+    """J4 under several policies in one pass: adds ``mode``, one row for each policy
+    that keeps the record, with that policy's entries."""
+    none = "coalesce(size(_miss_question), 0) + coalesce(size(_miss_solution), 0) = 0"
+    compacted = df.withColumns({f"_c_{s}": _compact(f"{s}_entries", f"coalesce(_miss_{s}, CAST(array() AS ARRAY<BIGINT>))") for s in SECTIONS})
+    as_is = "question_entries, solution_entries"
+    of_mode = {"skip": f"struct('skip' AS mode, {as_is})", "drop_row": f"IF({none}, struct('drop_row' AS mode, {as_is}), NULL)",
+               "compact": "struct('compact' AS mode, _c_question AS question_entries, _c_solution AS solution_entries)"}
+    rows = f"filter(array({', '.join(of_mode[m] for m in modes)}), _m -> _m IS NOT NULL)"
+    rest = [c for c in df.columns if c not in ("question_entries", "solution_entries")]
+    return compacted.select(*rest, F.explode(F.expr(rows)).alias("_m")).select(*rest, "_m.*")
+
+
 def apply_missing_policy(parsed: DataFrame, refs_found: DataFrame, mode: str) -> DataFrame:
     """J4 on layout-A entries.
 

@@ -35,27 +35,28 @@ def parse_interleave(c: Column | str) -> Column:
     the first of two elements, so text after its end shows), ``content`` a
     string or null, and ``index`` an integer or null; otherwise the result is null.
     """
-    name = sql_of(c)
-    root = f"try_variant_get(try_parse_json(concat('[', {name}, ', null]')), '$', 'array<variant>')"
-    rows = f"try_variant_get(get({root}, 0), '$', 'array<variant>')"
+    root = f"try_variant_get(try_parse_json(concat('[', {sql_of(c)}, ', null]')), '$', 'array<variant>')"
+    rows = "try_variant_get(get(_r, 0), '$', 'array<variant>')"
     kind = lambda f: f"coalesce(schema_of_variant(try_variant_get(_v, '$.{f}', 'variant')), 'VOID')"
-    wrong = f"exists({rows}, _v -> {kind('content')} NOT IN ('STRING', 'VOID') OR {kind('index')} NOT IN ('BIGINT', 'VOID'))"
+    wrong = f"exists(_l, _v -> {kind('content')} NOT IN ('STRING', 'VOID') OR {kind('index')} NOT IN ('BIGINT', 'VOID'))"
     entry = ("named_struct('type', try_variant_get(_v, '$.type', 'string'), 'content', try_variant_get(_v, '$.content', 'string'), "
              "'index', try_variant_get(_v, '$.index', 'bigint'))")
-    return F.expr(f"CASE WHEN size({root}) = 2 AND NOT {wrong} THEN transform({rows}, _v -> {entry}) END")
+    # the parsed root and its rows are bound to a name each, so the text is parsed once
+    checked = f"get(transform(array({rows}), _l -> IF({wrong}, NULL, transform(_l, _v -> {entry}))), 0)"
+    return F.expr(f"get(transform(array({root}), _r -> IF(size(_r) = 2, {checked}, NULL)), 0)")
 
 
 def unify_layout_a(df: DataFrame) -> DataFrame:
     """U1 for layout A rows: parse JSON; ``parse_ok`` is false when a non-null
     string does not parse."""
-    q, s = parse_interleave("question_interleave"), parse_interleave("solution_interleave")
-    ok = (F.col("question_interleave").isNull() | q.isNotNull()) & (F.col("solution_interleave").isNull() | s.isNotNull())
-    return df.select(
+    parsed = df.select("*", parse_interleave("question_interleave").alias("_q"), parse_interleave("solution_interleave").alias("_s"))
+    ok = (F.col("question_interleave").isNull() | F.col("_q").isNotNull()) & (F.col("solution_interleave").isNull() | F.col("_s").isNotNull())
+    return parsed.select(
         F.lit("a").alias("layout"),
         F.col("id").alias("key"),
         "answer",
-        q.alias("question_interleave"),
-        s.alias("solution_interleave"),
+        F.col("_q").alias("question_interleave"),
+        F.col("_s").alias("solution_interleave"),
         "question_images",
         "solution_images",
         ok.alias("parse_ok"),

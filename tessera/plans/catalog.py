@@ -23,8 +23,9 @@ from ..session import ensure_checkpoint_dir
 from ..sinks import files as K
 from ..sinks import shards as SH
 from ..sources import fixtures as X
-from ..sources.footers import parquet_footers
-from ..sources.records import read_cot, read_pairs
+from ..sources.footers import dataset_footers, parquet_footers
+from ..sources.images import ImageFiles
+from ..sources.records import read_cot, read_pairs, read_task_options
 from ..sources.registry import Registry, load_mixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,15 +171,13 @@ def images_collected(spark, sf_dir):
 @query("on_missing_modes")
 def on_missing_modes(spark, sf_dir):
     """Image entries of ``ok`` layout-A records under skip / drop_row / compact."""
-    ok = a_candidates(spark, sf_dir)
-    out = None
-    for mode in ("skip", "drop_row", "compact"):
-        ents = _explode_entries(I.missing_policy(ok, mode), "question", "solution")
-        ents = ents.filter(F.col("type") == "image").select(
-            F.lit(mode).alias("mode"), "task_id", "section", F.col("pos").alias("entry_pos"), "content", "index"
-        )
-        out = ents if out is None else out.unionByName(ents)
-    return out
+    # which files exist is all that matters here: the scan leaves their bytes out
+    there = X.image_blobs(spark, sf_dir).select("path", F.lit(b"+").alias("content"))
+    ok = I.layout_a_candidates(records(spark, sf_dir), there, hot_paths(spark, sf_dir))
+    ents = I.missing_variants(ok.select("task_id", "question_entries", "solution_entries", "_miss_question", "_miss_solution"))
+    parts = ", ".join(_section_items(f"{s}_entries", s) for s in ("question", "solution"))
+    return ents.select("mode", "task_id", F.inline(F.expr(f"concat({parts})"))).filter(F.col("type") == "image").select(
+        "mode", "task_id", "section", F.col("pos").alias("entry_pos"), "content", "index")
 
 
 @query("image_validation")
@@ -301,6 +300,62 @@ def shards_roundtrip(spark, sf_dir):
     return read_pairs(spark, folder).select("o_orderkey", "gi", F.col("shard_id").cast("long").alias("shard_id"))
 
 
+@query("shard_groups")
+def shard_groups(spark, sf_dir):
+    """K1, K2, K5: shards as row groups of a few files, their offset table, and
+    what the files' footers say."""
+    folder = _scratch(spark, "groups")
+    table = SH.write_shard_groups(orders(spark, sf_dir).select("o_orderkey", "o_orderpriority"), folder, ["o_orderkey"], 1_000, num_files=4)
+    footers = K.row_group_info(dataset_footers(spark, folder)).withColumn("path", F.element_at(F.split("path", "/"), -1))
+    groups = table.groupBy("path").agg(F.count(F.lit(1)).alias("shards"), F.sum("num_samples").alias("rows"))
+    same = groups.join(footers, "path").withColumn("agree", (F.col("shards") == F.col("num_row_groups")) & (F.col("rows") == F.col("num_rows")))
+    return table.join(same.select("path", "agree"), "path").select("shard_id", "num_samples", "start_idx", "end_idx", "agree")
+
+
+@query("split_by_cut")
+def split_by_cut(spark, sf_dir):
+    """O3: the same split as ``train_test_split``, found by selection."""
+    return O.exact_split(orders(spark, sf_dir).select("o_orderkey"), "o_orderkey", SPLIT_RATIO, SPLIT_SEED)
+
+
+@query("array_roundtrip")
+def array_roundtrip(spark, sf_dir):
+    """Records written as JSON arrays, read by byte ranges."""
+    folder = _scratch(spark, "arrays")
+    rows = records(spark, sf_dir).select("task_id", "gt", "pred", "cot_text")
+    X.write_files(rows.select(F.concat(F.lit("records-"), F.pmod("task_id", F.lit(3)), F.lit(".json")).alias("path"), F.to_json(F.struct("*")).alias("text")), folder, "[\n", ",\n", "\n]")
+    return I.with_defaults(read_cot(spark, folder))
+
+
+@query("images_by_path")
+def images_by_path(spark, sf_dir):
+    """The referenced files, and no others, opened by path."""
+    folder = _scratch(spark, "images")
+    X.write_files(X.image_blobs(spark, sf_dir).select("path", F.col("content").alias("text")), folder)
+    files = ImageFiles(spark, folder)
+    refs = refs_a(spark, sf_dir).select("path")
+    read = files.read(refs).select("path", F.md5("content").alias("md5"))
+    return files.facts(refs).join(read, "path", "left").select("path", "found", "length", "md5")
+
+
+@query("options_files")
+def options_files(spark, sf_dir):
+    """S3: option files of tasks, read back."""
+    folder = _scratch(spark, "options")
+    maps = X.task_option_maps(spark, sf_dir)
+    doc = F.to_json(F.struct("options", F.lit("other").alias("name")))
+    X.write_files(maps.select(F.concat(F.lit("task_"), "task_id", F.lit("/data.json")).alias("path"), doc.alias("text")), folder)
+    return read_task_options(spark, folder).select("task_id", I.options_text(F.col("options")).alias("options_text"))
+
+
+@query("malformed_interleave")
+def malformed_interleave(spark, sf_dir):
+    """Stored rows whose JSON is no list, has text after it, or has fields
+    of the wrong type, and their reasons."""
+    rows = S.with_reject_reason(S.unify_layout_a(X.stored_rows(spark, sf_dir)))
+    return rows.select("key", "reason", F.coalesce(F.size("question_interleave"), F.lit(-1)).cast("long").alias("n_question"))
+
+
 # ---------------------------------------------------------------- step 5: training input
 
 BATCH_SIZE = 4
@@ -382,6 +437,16 @@ def _text_rows(spark, sf_dir) -> DataFrame:
     return b.select("task_id", TK.training_text(F.col("question_interleave"), F.col("solution_interleave")).alias("text"))
 
 
+@query("sequence_rows")
+def sequence_rows(spark, sf_dir):
+    """U4: the row-to-sequence handler of the registered type, one row a record."""
+    reg = Registry()
+    reg.register(DATASET_TYPE, DATASET_NAME, handler=S.sequence_plan, data_dir="train", parquet_info_path="train/_manifest")
+    rows = reg.get_dataset_class(DATASET_TYPE)(unified(spark, sf_dir))
+    told = F.expr("array_join(transform(sequence, _i -> concat(_i.section, ':', _i.type, ':', coalesce(_i.special_token, ''))), ',')")
+    return rows.select("layout", "key", F.size("sequence").cast("long").alias("n_items"), told.alias("items"))
+
+
 @query("training_text")
 def training_text_q(spark, sf_dir):
     """One training string per layout-B row."""

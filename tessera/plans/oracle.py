@@ -429,6 +429,34 @@ SELECT count(*) AS rows, min(n_solution) AS min_solution, max(n_solution) AS max
        sum(n_solution)::BIGINT AS sum_solution, sum(n_solution_images)::BIGINT AS sum_solution_images FROM lens"""
 
 
+# ---------------------------------------------------------------- written and read back, by other ways
+PLAIN["shard_groups"] = """
+SELECT gi // 1000 AS shard_id, count(*)::BIGINT AS num_samples, min(gi) AS start_idx, max(gi) + 1 AS end_idx, TRUE AS agree
+FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS gi FROM orders) GROUP BY 1"""
+
+PLAIN["split_by_cut"] = """
+SELECT o_orderkey, CASE WHEN place < floor(n * 0.9::DOUBLE) THEN 'train' ELSE 'test' END AS split
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY md5(concat('42:', o_orderkey)), o_orderkey) - 1 AS place, count(*) OVER () AS n FROM orders)"""
+
+SQL["array_roundtrip"] = SQL["cot_normalised"]
+
+SQL["options_files"] = SQL["options_text"]
+
+PLAIN["malformed_interleave"] = f"""
+SELECT concat('task_', conv_id) AS key, CASE conv_id % 10 {" ".join(f"WHEN {k} THEN '{v}'" for k, v in X.STORED.items())} END AS reason,
+  CASE WHEN conv_id % 10 BETWEEN 1 AND 5 THEN -1 WHEN conv_id % 10 = 6 THEN 0 WHEN conv_id % 10 = 7 THEN 1 ELSE 2 END::BIGINT AS n_question
+FROM conversations WHERE turn = 0"""
+
+SQL["images_by_path"] = f"""
+SELECT p AS path, b.path IS NOT NULL AS found, octet_length(content)::BIGINT AS length, md5(content) AS md5
+FROM (SELECT DISTINCT {file_of('path')} AS p FROM a_refs) LEFT JOIN image_blobs b ON b.path = p"""
+
+_ITEMS, _LAST = ROWS_SQL["sequence_plan"].rsplit("SELECT layout, key,", 1)
+ROWS_SQL["sequence_rows"] = _ITEMS.rstrip() + ", told AS (SELECT layout, key," + _LAST + """)
+SELECT layout, key, count(*) AS n_items, string_agg(concat(section, ':', type, ':', coalesce(special_token, '')), ',' ORDER BY pos) AS items
+FROM told GROUP BY layout, key"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, body in SQL.items():

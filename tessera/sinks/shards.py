@@ -8,7 +8,7 @@ size; it cannot make shards addressable by row index.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.order import chunk, global_index
@@ -75,4 +75,53 @@ def write_shards(df: DataFrame, out: str, order: list[str | Column], samples_per
     return df.sparkSession.read.schema(MANIFEST).json(f"{out}_manifest/files")
 
 
+GROUPS = "shard_id long, path string, row_group int, num_samples long, start_idx long, end_idx long"
+
+
+def write_shard_groups(df: DataFrame, out: str, order: list[str | Column], samples_per_file: int = 100, num_files: int | None = None,
+                       mode: str = "overwrite", materialize: bool = True) -> DataFrame:
+    """K1 for many shards: ``out/part-*.parquet`` files of consecutive shards, each
+    shard one row group, and ``out_manifest/groups``, an offset table of ``shard_id,
+    path, row_group, num_samples, start_idx, end_idx`` (``path`` is the file's name).
+
+    A million shards are as many rows of the table but only ``num_files`` files
+    (the session's shuffle partitions, unless given).  The writer closes a row group
+    after ``samples_per_file`` rows, and files hold whole shards, so row group ``k``
+    of a file is its ``k``-th shard.  :func:`read_shard` reads one of them.  An empty
+    input gives an empty table.  Returns the table.
+    """
+    spark = df.sparkSession
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        df = df.checkpoint()
+    sharded = assign_shards(df, order, samples_per_file)
+    n_files = num_files or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    (
+        sharded.repartitionByRange(n_files, "shard_id")
+        .sortWithinPartitions("gi")
+        .write.mode(mode)
+        .option("parquet.block.row.count.limit", samples_per_file)
+        .option("parquet.block.size", (1 << 31) - 1)  # rows alone close a group
+        .parquet(out)
+    )
+    written = spark.read.schema(sharded.schema).parquet(out)
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    found = written.select("shard_id", "gi", name.alias("path")).groupBy("path", "shard_id").agg(
+        F.count(F.lit(1)).alias("num_samples"), F.min("gi").alias("start_idx"), (F.max("gi") + 1).alias("end_idx"))
+    first = found.groupBy("path").agg(F.min("shard_id").alias("_first"))
+    table = found.join(first, "path").select("shard_id", "path", (F.col("shard_id") - F.col("_first")).cast("int").alias("row_group"), "num_samples", "start_idx", "end_idx")
+    table.write.mode("overwrite").parquet(f"{out}_manifest/groups")
+    return spark.read.schema(GROUPS).parquet(f"{out}_manifest/groups")
+
+
+def read_shard(spark: SparkSession, out: str, shard_id: int) -> DataFrame:
+    """The rows of one shard of :func:`write_shard_groups`: one file is opened, and
+    of it one row group is read (the others' ranges of ``gi`` exclude them)."""
+    place = spark.read.schema(GROUPS).parquet(f"{out}_manifest/groups").filter(F.col("shard_id") == shard_id).first()
+    if place is None:
+        raise ValueError(f"no shard {shard_id} in {out}")
+    rows = spark.read.parquet(f"{out}/{place['path']}")
+    return rows.filter((F.col("gi") >= place["start_idx"]) & (F.col("gi") < place["end_idx"])).drop("shard_id")
+
+
 MANIFEST = "shard_id long, path string, num_samples long, start_idx long, end_idx long"

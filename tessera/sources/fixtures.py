@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import functools
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .filesystems import opened, qualified
+
 
 def _per_session(fn):
     """Build a view's plan once per (session, folder).  DataFrames are
@@ -135,6 +138,44 @@ def image_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_files(rows: DataFrame, folder: str, head: str = "", between: str = "", tail: str = "") -> None:
+    """Writes ``path, text`` rows (text or bytes) as files below ``folder``, rows of
+    one path into one file, by tasks."""
+    base = qualified(rows.sparkSession, folder)
+
+    def write(key, table):
+        fs, where = opened(f"{base}/{key[0].as_py()}")
+        fs.create_dir(where.rsplit("/", 1)[0], recursive=True)
+        parts = [t if isinstance(t, bytes) else t.encode() for t in table.column("text").to_pylist()]
+        with fs.open_output_stream(where) as f:
+            f.write(head.encode() + between.encode().join(parts) + tail.encode())
+        return pa.table({"n": pa.array([len(parts)], pa.int64())})
+
+    rows.groupBy("path").applyInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
+STORED = {0: "ok", 1: "bad_json", 2: "bad_json", 3: "bad_json", 4: "bad_json", 5: "bad_json", 6: "untrainable", 7: "entry_without_type", 8: "index_out_of_bounds", 9: "ok"}
+
+
+@_per_session
+def stored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layout-A rows as they may come from elsewhere: their JSON is whole, cut,
+    followed by text, no list, or has fields of other types."""
+    conv = table(spark, sf_dir, "conversations").filter("turn = 0")
+    said = "to_json(named_struct('type', 'text', 'content', text))"
+    image = '{"type":"image","index":%s}'
+    kinds = [
+        f"concat('[', {said}, ',{image % 0}]')", f"concat('[', {said})", f"concat('[', {said}, '] and more')", said,
+        f"concat('[', {said}, ',{image % '\"0\"'}]')", "concat('[{\"type\":\"text\",\"content\":', conv_id, '}]')", "'[]'",
+        "to_json(array(named_struct('content', text)))", f"concat('[', {said}, ',{image % 3}]')", f"concat('[', {said}, ',{image % -1}]')",
+    ]
+    question = "CASE conv_id % 10 " + " ".join(f"WHEN {k} THEN {sql}" for k, sql in enumerate(kinds)) + " END"
+    return conv.select(
+        F.concat(F.lit("task_"), "conv_id").alias("id"), F.lit("A").alias("answer"), F.expr(question).alias("question_interleave"),
+        F.lit('[{"type":"text","content":"end"}]').alias("solution_interleave"),
+        F.array(F.expr(picture_sql("png", "encode(text, 'UTF-8')"))).alias("question_images"), F.expr("CAST(array() AS ARRAY<BINARY>)").alias("solution_images"))
+
+
 @_per_session
 def task_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per option ``task_id long, k string, v string``.
