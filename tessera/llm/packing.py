@@ -21,7 +21,7 @@ Ids are bytes: unsigned 32 bits each, little-endian (``numpy.frombuffer(ids,
 "<u4")``).  :func:`sequences` puts the pieces together.
 
 Equal units of text (white space and the word after it) are tokenised once in
-a chunk, and short ones remembered between chunks: byte-level BPE never merges
+a group, and frequent short ones remembered between groups: byte-level BPE never merges
 across the start of white space.  Equal units are found by 64-bit hash.  A long
 text is tokenised in stretches; its ids are held whole by one task.
 
@@ -50,14 +50,16 @@ from tessera.session import ensure_checkpoint_dir
 
 MAX_TOKENS = 1024
 END_ID = 2
-#: Text that is tokenised together, ids sent back together, and pieces that one task ranks.
+#: Text that is hashed together, and tokenised together; ids sent back together, and pieces that one task ranks.
 CHUNK_BYTES = 1 << 20
+GROUP_BYTES = 4 << 20
+GATHERED_UNITS = 200_000
 IDS_BYTES = 4 << 20
 PIECES_PER_TASK = 200_000
 #: A plan of more rows than this is not broadcast.
 BROADCAST_ROWS = 100_000
 #: Units of at most so many bytes whose ids a worker remembers.
-CACHED_UNITS = 100_000
+CACHED_UNITS = 200_000
 CACHED_UNIT_BYTES = 64
 SPECIAL = "<|endoftext|>"
 
@@ -127,48 +129,72 @@ def _stretches(data: np.ndarray, limit: int) -> Iterator[np.ndarray]:
 
 
 def token_ids(texts: pa.Array | pa.ChunkedArray, path: str) -> Iterator[bytes]:
-    """The ids of each text, in order.  Some ``CHUNK_BYTES`` of text are worked
+    """The ids of each text, in order.  Some ``GROUP_BYTES`` of text are worked
     on at a time, in the middle of a long text too."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     for _, data, offs in wordhash.text_chunks(texts, CHUNK_BYTES):
+        if len(data) <= CHUNK_BYTES:
+            held.append((data, offs))
+        if held and (len(data) > CHUNK_BYTES or sum(len(d) for d, _ in held) >= GROUP_BYTES):
+            yield from _group_ids(held, path)
+            held = []
         if len(data) > CHUNK_BYTES:
-            yield b"".join(_chunk_ids(part, np.array([0, len(part)]), path)[0] for part in _stretches(data, CHUNK_BYTES))
-        else:
-            yield from _chunk_ids(data, offs, path)
+            parts = [(part, np.array([0, len(part)])) for part in _stretches(data, CHUNK_BYTES)]
+            step = max(1, GROUP_BYTES // CHUNK_BYTES)
+            yield b"".join(ids for i in range(0, len(parts), step) for ids in _group_ids(parts[i:i + step], path))
+    if held:
+        yield from _group_ids(held, path)
 
 
-def _chunk_ids(data: np.ndarray, offs: np.ndarray, path: str) -> list[bytes]:
+def _group_ids(chunks: list[tuple[np.ndarray, np.ndarray]], path: str) -> list[bytes]:
+    """The ids of each text of some chunks: equal units are looked up once."""
     encode, cache = byte_bpe(path), _unit_cache(path)
-    starts, ends, first = wordhash.word_spans(data, offs)
-    # a unit runs from the end of the word before it; the last of a text is its trailing white space
-    n_words = np.diff(first)
-    unit_end = np.insert(ends, first[1:], offs[1:])
-    unit_start = np.empty_like(unit_end)
-    unit_start[1:] = unit_end[:-1]
-    unit_start[first[:-1] + np.arange(len(n_words))] = offs[:-1]
-    keys, at, inverse = np.unique(wordhash.word_hashes(data, unit_start, unit_end), return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    if len(cache) > CACHED_UNITS:
-        cache.clear()
+    hashes, sizes, counts, odd, texts = [], [], [], [], 0
+    for data, offs in chunks:
+        starts, ends, first = wordhash.word_spans(data, offs)
+        # a unit runs from the end of the word before it; the last of a text is its trailing white space
+        n_words = np.diff(first)
+        unit_end = np.insert(ends, first[1:], offs[1:])
+        unit_start = np.empty_like(unit_end)
+        unit_start[1:] = unit_end[:-1]
+        unit_start[first[:-1] + np.arange(len(n_words))] = offs[:-1]
+        hashes.append(wordhash.word_hashes(data, unit_start, unit_end))
+        sizes.append(unit_end - unit_start)
+        counts.append(n_words + 1)
+        if len(ends):
+            for i in np.unique(np.searchsorted(first, np.flatnonzero(_odd_ends(data, ends)), "right") - 1).tolist():
+                odd.append((texts + i, data[offs[i]:offs[i + 1]].tobytes()))
+        texts += len(n_words)
+    keys, at, inverse, seen = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True, return_counts=True)
+    size = np.concatenate(sizes)
+    raw = b"".join(d.tobytes() for d, _ in chunks)  # units lie one after the other
+    begin = np.cumsum(size) - size
+    room = CACHED_UNITS - len(cache)
     ids = []
-    for key, a, z in zip(keys.tolist(), unit_start[at].tolist(), unit_end[at].tolist(), strict=True):
+    for key, a, n, often in zip(keys.tolist(), begin[at].tolist(), size[at].tolist(), seen.tolist(), strict=True):
         known = cache.get(key)
         if known is None:
-            known = encode(raw[a:z].decode())
-            if z - a <= CACHED_UNIT_BYTES:
+            known = encode(raw[a:a + n].decode())
+            if often > 1 and room > 0 and n <= CACHED_UNIT_BYTES:
                 cache[key] = known
+                room -= 1
         ids.append(known)
     per_unit = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     flat = np.frombuffer(b"".join(ids), dtype="<u4")
-    source = (np.cumsum(per_unit) - per_unit)[inverse]
-    n = per_unit[inverse]
-    total = np.cumsum(n)
-    gathered = flat[np.repeat(source - (total - n), n) + np.arange(total[-1])].tobytes()
-    borders = 4 * np.concatenate([[0], total])[np.concatenate([[0], np.cumsum(n_words + 1)])]
-    out = [gathered[a:z] for a, z in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)]
-    if len(ends):
-        odd = _odd_ends(data, ends)
-        for i in np.unique(np.searchsorted(first, np.flatnonzero(odd), "right") - 1).tolist():
-            out[i] = encode(raw[offs[i]:offs[i + 1]].decode())
+    source = np.cumsum(per_unit) - per_unit
+    last = np.cumsum(np.concatenate(counts))
+    out, row = [], 0
+    while row < texts:  # a few texts at a time keep the gathered places small
+        stop = max(row + 1, int(np.searchsorted(last, (last[row - 1] if row else 0) + GATHERED_UNITS, "right")))
+        units = inverse[last[row - 1] if row else 0:last[stop - 1]]
+        n = per_unit[units]
+        total = np.cumsum(n)
+        gathered = flat[np.repeat(source[units] - (total - n), n) + np.arange(total[-1])].tobytes()
+        borders = 4 * np.concatenate([[0], total])[last[row:stop] - (last[row - 1] if row else 0)]
+        out += [gathered[a:z] for a, z in zip([0, *borders[:-1].tolist()], borders.tolist(), strict=True)]
+        row = stop
+    for i, text in odd:
+        out[i] = encode(text.decode())
     return out
 
 
@@ -178,6 +204,18 @@ def cut_points(n: int, max_tokens: int) -> list[tuple[int, int]]:
     return [(0, first), *((s, max_tokens) for s in range(first, n, max_tokens))]
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches of about ``GROUP_BYTES`` of text together."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.column(1).nbytes for b in held) >= GROUP_BYTES:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def pieces(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
     """One row for each piece, with its ids."""
     sizing.bound_arrow(docs.sparkSession)
@@ -187,10 +225,11 @@ def pieces(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PIECE, strict=True)], schema=_PIECE)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for group in _groups(batches):
             out: list[tuple] = []
             size = 0
-            for doc_id, ids in zip(batch.column(0).to_pylist(), token_ids(batch.column(1), path), strict=True):
+            doc_ids = (i for b in group for i in b.column(0).to_pylist())
+            for doc_id, ids in zip(doc_ids, token_ids(pa.chunked_array([b.column(1) for b in group]), path), strict=True):
                 ids += end
                 for k, (start, length) in enumerate(cut_points(len(ids) // 4, max_tokens)):
                     out.append((doc_id, k, start, length, ids[4 * start:4 * (start + length)]))

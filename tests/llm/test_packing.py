@@ -150,6 +150,8 @@ def test_long_texts_come_in_stretches(tokenizer, monkeypatch):
     rnd = random.Random(3)
     texts = ["".join(rnd.choice(["ab", "é", " ", " ", "  ", "\n", "　", "12", "'s", "中", "<|endoftext|>", ".", "\t"]) for _ in range(rnd.randint(50, 400))) for _ in range(40)]
     monkeypatch.setattr(packing, "CHUNK_BYTES", 37)
+    monkeypatch.setattr(packing, "GROUP_BYTES", 80)
+    monkeypatch.setattr(packing, "GATHERED_UNITS", 5)
     got = [np.frombuffer(b, "<u4").tolist() for b in packing.token_ids(pa.array(texts), queries.tokenizer_path())]
     assert got == [_ids(tokenizer, x) for x in texts]
 
