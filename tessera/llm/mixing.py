@@ -145,15 +145,12 @@ class Mix:
             F.when(epoch < F.col("epochs"), F.col("source_size")).otherwise(F.col("last_words")).alias("tape_end"))
 
     def taken(self) -> DataFrame:
-        """``row, doc_id, source, size, sid, source_size, target, at, taken``
-        for each document."""
-        # a block is read once an epoch, to its end or to the tape's end of that epoch
-        reads = self.schedule.groupBy("sid", "block", "tape_end").agg(F.count("*").alias("reads"))
-        got = F.greatest(F.least(F.col("until"), F.col("tape_end")) - F.col("from"), F.lit(0)) * F.col("reads")
-        by_row = self.blocks.join(reads, ["sid", "block"]).groupBy("row").agg(F.sum(got).alias("taken"))
+        """``row, doc_id, source, size, sid, source_size, target, at, taken,
+        first_place`` for each document: what :meth:`placed` holds of it, and where
+        in the mix it first comes (null if nowhere)."""
+        by_row = self.placed().groupBy("row").agg(F.sum(F.col("until") - F.col("from")).alias("taken"), F.min("place").alias("first_place"))
         return self.tape.join(by_row, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 
-
     def placed(self) -> DataFrame:
         """``place, row, doc_id, source, from, until, at``: the mix in order of
         ``place``, then ``at`` (where on the tape): words ``from`` to ``until``
@@ -166,7 +163,7 @@ class Mix:
 
 def digest(taken: DataFrame) -> DataFrame:
     """The contract's columns of :meth:`Mix.taken`."""
-    return taken.select("doc_id", "size", "source_size", "target", "taken")
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "first_place")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

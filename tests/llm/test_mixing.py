@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+import pytest
+
 from conftest import SF_SMALL
 from llm_fixtures import no_docs, odd_docs, read_docs  # noqa: F401
 from tessera.llm import mixing, queries
@@ -101,3 +103,51 @@ def test_placed_words_are_the_taken_ones_in_even_shares(spark):
         stretch = order[k * step:(k + 1) * step]
         for source in set(order):
             assert abs(stretch.count(source) - step * order.count(source) / len(order)) <= 0.05 * step + 8
+
+
+def _plain_mix(mix):
+    """What the mix takes of each row, and its first place, place by place."""
+    rows = sorted((r["sid"], r["at"], r["size"], r["row"]) for r in mix.tape.collect())
+    sources = sorted((r["sid"], r["source_size"], int(r["target"])) for r in mix.sources.collect() if r["source_size"] > 0)
+    b = mix.block
+    runs = []
+    for sid, size, words in sources:
+        n = words // size * -(-size // b) + -(-(words % size) // b)
+        if n:
+            runs.append([sid, size, words, n])
+    total = sum(r[3] for r in runs)
+    bits = (2 * total - 1).bit_length() if total else 0
+    points, upto, taken, first = 1 << bits, 0, {}, {}
+    for r in runs:
+        r += [-(-upto * points // total), -(-(upto + r[3]) * points // total), 0]
+        upto += r[3]
+    for place in range(points if total else 0):
+        point = int(format(place, f"0{bits}b")[::-1], 2) if bits else 0
+        r = next((r for r in runs if r[4] <= point < r[5]), None)
+        if r is None:
+            continue
+        sid, size, words, n, _, _, rank = r
+        r[6] += 1
+        if rank >= n:
+            continue
+        blocks = -(-size // b)
+        begin = rank % blocks * b
+        end = min(begin + b, size if rank // blocks < words // size else words % size)
+        for s, at, length, row in rows:
+            got = min(end, at + length) - max(begin, at)
+            if s == sid and length and got > 0:
+                taken[row] = taken.get(row, 0) + got
+                first.setdefault(row, place)
+    return taken, first
+
+
+@pytest.mark.parametrize("block, seed", [(7, 1), (64, 2), (1000, 3)])
+def test_taken_and_places_equal_a_plain_mix(spark, tmp_path, block, seed):
+    path = str(tmp_path / "docs")
+    spark.range(60).selectExpr("id as doc_id", "if(id % 7 = 0, null, concat('s', id % 4)) as source",
+                               "repeat('word ', cast(pmod(xxhash64(id), 40) as int)) as text").repartition(3).write.parquet(path)
+    mix = mixing.Mix(spark.read.parquet(path), block=block, seed=seed)
+    taken, first = _plain_mix(mix)
+    got = mix.taken().collect()
+    assert len(got) == 60 and sum(taken.values()) > 0
+    assert {r["row"]: (r["taken"], r["first_place"]) for r in got} == {r["row"]: (taken.get(r["row"], 0), first.get(r["row"])) for r in got}
