@@ -76,7 +76,8 @@ def _level(name: str, source: str, mean: str) -> str:
 
 def url_reputation() -> str:
     pattern = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-    two = "array_to_string(string_split(host, '.')[-2:], '.')"
+    labels = "string_split(regexp_replace(host, ':[0-9]*$', ''), '.')"
+    two = f"array_to_string({labels}[-2:], '.')"
     double = f"{two} IN ({', '.join(repr(s) for s in U.TWO_LABEL_SUFFIXES)})"
     ranked = sorted(U.RULES, key=lambda r: (-len(r[1]), -len(r[2])))
     fits = [f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN" for _, h, p in ranked]
@@ -93,8 +94,8 @@ WITH o AS (
   FROM pages
 ), h AS (
   SELECT host, coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad,
-    CASE WHEN {double} THEN array_to_string(string_split(host, '.')[-3:], '.') ELSE {two} END AS domain,
-    CASE WHEN {double} THEN {two} ELSE string_split(host, '.')[-1] END AS suffix
+    CASE WHEN {double} THEN array_to_string({labels}[-3:], '.') ELSE {two} END AS domain,
+    CASE WHEN {double} THEN {two} ELSE {labels}[-1] END AS suffix
   FROM p LEFT JOIN o USING (page_id) GROUP BY host
 ), whole AS (
   SELECT (sum(bad) + 1) / (sum(n) + 2) AS m, sum(n) > 0 AS known FROM h

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Suffixes of two labels under which names are registered.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.in")
+MAX_SUFFIX_LABELS = 5
 BLOCK_SHARE, Z, K_RANGE = 0.5, 1.645, (2.0, 200.0)
 
 
@@ -44,14 +45,26 @@ def parsed(url: Column) -> Column:
     return F.struct(F.when(has, lower).otherwise("").alias("host"), F.when(has, F.regexp_extract(url, found, 2)).otherwise("").alias("path"))
 
 
-def domain_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+def without_port(host: Column) -> Column:
+    return F.regexp_replace(host, ":[0-9]*$", "")
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+def with_domains(hosts: DataFrame, suffixes: DataFrame | tuple[str, ...] = TWO_LABEL_SUFFIXES) -> DataFrame:
+    """Adds ``domain`` and ``suffix`` to rows with ``host`` (ports left out): the
+    longest of ``suffixes`` that the host ends in, else its last label, and that
+    with one label more.  ``suffixes`` is a table ``suffix`` of any length, such as
+    a public list, which is joined; or a few names of two labels."""
+    bare = without_port(F.col("host"))
+    if isinstance(suffixes, tuple):
+        two, known = F.substring_index(bare, ".", -2), F.substring_index(bare, ".", -2).isin(*suffixes)
+        return hosts.withColumns({"domain": F.when(known, F.substring_index(bare, ".", -3)).otherwise(two),
+                                  "suffix": F.when(known, two).otherwise(F.substring_index(bare, ".", -1))})
+    listed = suffixes.select(F.lower(F.trim("suffix")).alias("_end")).filter("_end <> ''").distinct()
+    ends = hosts.select("host", F.explode(F.expr(f"sequence(1, least(size(split(host, '[.]')), {MAX_SUFFIX_LABELS}))")).alias("_k"), bare.alias("_bare"))
+    longest = ends.withColumn("_end", F.expr("substring_index(_bare, '.', -_k)")).join(listed, "_end").groupBy("host").agg(F.max("_k").alias("_k"))
+    k = "coalesce(_k, 1)"
+    return hosts.join(longest, "host", "left").withColumn("_bare", bare).withColumns(
+        {"domain": F.expr(f"substring_index(_bare, '.', -({k}) - 1)"), "suffix": F.expr(f"substring_index(_bare, '.', -({k}))")}).drop("_k", "_bare")
 
 
 def rule_struct(host: Column, path: Column, rules=RULES) -> Column:
@@ -77,7 +90,7 @@ def _prior_weight(units: DataFrame) -> DataFrame:
     return s.select(F.coalesce(k, F.lit(K_RANGE[1])).alias("k"))
 
 
-def reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
+def reputation(pages: DataFrame, labels: DataFrame, suffixes: DataFrame | tuple[str, ...] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """``host, n, bad, mean, bound`` for each host of ``pages``."""
     outcome = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).select(
         F.col("doc_id").cast("long").alias("page_id"),
@@ -86,7 +99,8 @@ def reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
     seen = pages.select(F.col("page_id").cast("long").alias("page_id"), parsed(F.col("url")).host.alias("host"))
     hosts = seen.join(outcome, "page_id", "left").groupBy("host").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"),
-    ).withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    )
+    hosts = with_domains(hosts, suffixes)
 
     whole = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).select(
         F.coalesce((F.col("bad") + 1) / (F.col("n") + 2), F.lit(0.5)).alias("m"), (F.col("n") > 0).alias("any"))
@@ -109,10 +123,11 @@ def reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
         "host", "n", "bad", "mean", F.when(F.col("any"), F.col("mean") - F.lit(Z) * sd).otherwise(F.lit(0.0)).alias("bound"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules=RULES, block_share: float = BLOCK_SHARE) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules=RULES, block_share: float = BLOCK_SHARE,
+          suffixes: DataFrame | tuple[str, ...] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """``page_id, host, path, rule, verdict, bound`` for each row of ``pages``."""
     known = pages.select("page_id", parsed(F.col("url")).alias("u")).select("page_id", "u.host", "u.path")
     ruled = known.withColumn("r", rule_struct(F.col("host"), F.col("path"), rules))
-    scored = ruled.join(reputation(pages, labels).select("host", "bound"), "host", "left")
+    scored = ruled.join(reputation(pages, labels, suffixes).select("host", "bound"), "host", "left")
     verdict = F.coalesce(F.col("r.action"), F.when(F.col("bound") >= block_share, "block").otherwise("allow"))
     return scored.select("page_id", "host", "path", F.col("r.rule").alias("rule"), verdict.alias("verdict"), "bound")

@@ -97,3 +97,24 @@ def test_reputation_matches_plain_version(spark):
 def test_query_matches_sql(spark):
     ok, _, _, detail = compare(spark, "op9", queries.op9_url_reputation, queries.oracle_sql()["op9_url_reputation"], SF_SMALL)
     assert ok, detail
+
+
+def test_suffixes_from_a_table(spark):
+    listed = spark.createDataFrame([("com",), ("co.uk",), ("uk",), ("gov.uk",), (" City.Kawasaki.JP ",), ("",), (None,)], "suffix string")
+    hosts = spark.createDataFrame([(h,) for h in ("a.b.co.uk", "co.uk", "x.gov.uk:8080", "www.x.com:80", "q.z.city.kawasaki.jp", "odd", "", "a.b.nowhere")], "host string")
+    got = {r["host"]: (r["domain"], r["suffix"]) for r in U.with_domains(hosts, listed).collect()}
+    assert got == {
+        "a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.gov.uk:8080": ("x.gov.uk", "gov.uk"), "www.x.com:80": ("x.com", "com"),
+        "q.z.city.kawasaki.jp": ("z.city.kawasaki.jp", "city.kawasaki.jp"), "odd": ("odd", "odd"), "": ("", ""), "a.b.nowhere": ("b.nowhere", "nowhere")}
+    short = {r["host"]: (r["domain"], r["suffix"]) for r in U.with_domains(hosts).collect()}
+    assert short["a.b.co.uk"] == ("b.co.uk", "co.uk") and short["www.x.com:80"] == ("x.com", "com")
+
+
+def test_unlisted_neighbours_share_no_reputation(spark):
+    """Pages of one site under a listed suffix are bad; another site there stays."""
+    pages = spark.createDataFrame([(i, f"http://bad.gov.uk/{i}") for i in range(40)] + [(100, "http://good.gov.uk/"), (101, "http://other.net2/")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0, 0) for i in range(40)] + [(101, 1, 0)], "doc_id long, quality int, toxic int")
+    listed = spark.createDataFrame([("gov.uk",), ("net2",)], "suffix string")
+    bound = {r["page_id"]: r["bound"] for r in U.judge(pages, labels, (), suffixes=listed).collect()}
+    merged = {r["page_id"]: r["bound"] for r in U.judge(pages, labels, ()).collect()}
+    assert bound[100] < merged[100] and bound[0] > 0.5
