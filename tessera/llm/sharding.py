@@ -85,9 +85,13 @@ def place(docs: DataFrame, shards: list[str] | None = None, size: int = TABLE_SI
 
 def write(docs: DataFrame, path: str, shards: list[str] | None = None, size: int = TABLE_SIZE, files: int = 1) -> None:
     """``docs`` as Parquet below ``path``, one folder ``shard=<name>`` for each
-    shard with rows, of about ``files`` files."""
+    shard with rows, of about ``files`` files.  Where ``docs`` has a column
+    ``shard`` of its own, the folders are named ``shard_=<name>`` (and so on)."""
+    name, taken = "shard", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
     table = table_frame(docs.sparkSession, shards or names(), size)
     slot = F.when(F.col("doc_id").isNotNull(), slot_of(F.col("doc_id").cast("long"), size)).otherwise(slot_of(F.col("text"), size))
     whole = docs.select(F.struct("*").alias("_doc"), slot.alias("slot"), F.pmod(F.xxhash64(F.lit("file"), "doc_id", "text"), F.lit(files)).alias("_file"))
-    placed = whole.join(F.broadcast(table), "slot").repartition("shard", "_file").select("_doc.*", "shard")
-    placed.write.partitionBy("shard").parquet(path)
+    placed = whole.join(F.broadcast(table), "slot").repartition("shard", "_file").select("_doc.*", F.col("shard").alias(name))
+    placed.write.partitionBy(name).parquet(path)

@@ -83,3 +83,12 @@ def test_shards_are_even(spark):
     counts = queries.op3_shard_lookup(spark, "/root/testdata/sf0.1").groupBy("shard").count().collect()
     mean = 10_000 / sharding.SHARDS
     assert len(counts) == sharding.SHARDS and max(r["count"] for r in counts) < mean + 6 * mean**0.5
+
+
+def test_write_keeps_a_column_named_shard(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"t{i}", f"own{i}") for i in range(20)], "doc_id long, text string, shard string")
+    sharding.write(df, str(tmp_path / "out"), ["x", "y"], 17)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(got.columns) == ["doc_id", "shard", "shard_", "text"]
+    assert {(r["doc_id"], r["shard"]) for r in got.collect()} == {(i, f"own{i}") for i in range(20)}
+    assert {r["shard_"] for r in got.collect()} == {"x", "y"}
