@@ -49,8 +49,29 @@ def bits_of(packed: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8)
 
 
-def test_bits(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether the bit of each hash (its leading bits) is set in a bitmap of a
-    power of two of bits."""
-    at = hashes >> np.uint64(64 - (8 * len(bitmap)).bit_length() + 1)
-    return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+def interleaved(*bitmaps: np.ndarray) -> np.ndarray:
+    """Up to four bitmaps of one size as an array of 32-bit numbers, a byte of each:
+    one look tells what all of them say of a hash."""
+    out = np.zeros(len(bitmaps[0]), np.uint32)
+    for k, bitmap in enumerate(bitmaps):
+        out |= bitmap.astype(np.uint32) << np.uint32(8 * k)
+    return out
+
+
+def look_up(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """For each hash a number whose bits 0, 8, 16 and 24 say whether its bit (of its
+    leading bits) is set in the first to fourth bitmap."""
+    at = (hashes >> np.uint64(64 - (8 * len(marks)).bit_length() + 1)).astype(np.uint32)
+    return marks[at >> np.uint32(3)] >> (at & np.uint32(7))
+
+
+def merged(ordered: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes of some sorted runs, and the sums of their counts (a
+    stable sort finds the runs and merges them)."""
+    hashes, count = np.concatenate(ordered), np.concatenate(counts)
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    heads = np.flatnonzero(new)
+    return hashes[heads], np.add.reduceat(count[order], heads) if len(heads) else count

@@ -29,33 +29,25 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import sizing, wordhash
+from tessera.llm.blocks import pack, unpack
 
 WIDTH = 13
-GROUP_CHARS = 4 << 20
+#: Text of a group: at least the first, and an even share for ``GROUPS`` groups up to
+#: the second, so that blocks (groups times buckets) do not become tiny as texts grow.
+GROUP_CHARS, MOST_GROUP_CHARS = 4 << 20, 32 << 20
+GROUPS = 20_000
 BUCKET_CHARS = 8 << 20
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Byte planes of 8-byte values, compressed: sorted hashes share their
-    leading bytes and ids their upper ones."""
-    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8).T).tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
-
-
-def _unpack(block: bytes, n_arrays: int) -> list[np.ndarray]:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), dtype=np.uint8)
-    return [np.ascontiguousarray(p.T).view(np.uint64).ravel() for p in raw.reshape(n_arrays, 8, -1)]
-
-
 def _group_windows(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, row and first word (in its row) of each window of a group, for
     rows that have an id."""
@@ -87,10 +79,16 @@ def _smallest(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return ordered[heads], np.minimum.reduceat(ids[order], heads) if len(heads) else ids[:0], place
 
 
+@functools.lru_cache(maxsize=2)
+def _cuts(n_buckets: int) -> np.ndarray:
+    """The least hash of every bucket (equal ranges of hash values) but the first,
+    found once a worker."""
+    return np.array([((b << 64) + n_buckets - 1) // n_buckets for b in range(1, n_buckets)], dtype=np.uint64)
+
+
 def _bucket_edges(distinct: np.ndarray, n_buckets: int) -> np.ndarray:
-    """Borders of the buckets (equal ranges of hash values) in sorted hashes."""
-    cuts = np.array([((b << 64) + n_buckets - 1) // n_buckets for b in range(1, n_buckets)], dtype=np.uint64)
-    return np.concatenate([[0], np.searchsorted(distinct, cuts, "left"), [len(distinct)]])
+    """Borders of the buckets in sorted hashes."""
+    return np.concatenate([[0], np.searchsorted(distinct, _cuts(n_buckets), "left"), [len(distinct)]])
 
 
 def _ids(table: pa.Table) -> np.ndarray:
@@ -106,14 +104,14 @@ def _in_groups(docs: DataFrame, n_groups: int) -> DataFrame:
     )
 
 
-def dedup_passages(docs: DataFrame, width: int = WIDTH, group_chars: int = GROUP_CHARS, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
+def dedup_passages(docs: DataFrame, width: int = WIDTH, group_chars: int | None = None, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text, removed`` for each row of
     ``docs``: the kept words joined by one space, and the removal intervals
     ``[start, end)`` in words, in order and not touching each other."""
     spark = docs.sparkSession
     sizing.bound_arrow(spark)
     chars = sizing.total_chars(docs)
-    n_groups = max(1, -(-chars // group_chars))
+    n_groups = max(1, -(-chars // (group_chars or max(GROUP_CHARS, min(MOST_GROUP_CHARS, chars // GROUPS)))))
     n_buckets = max(sizing.shuffle_partitions(spark), -(-chars // bucket_chars))
     grouped = _in_groups(docs, n_groups).repartition("grp")
 
@@ -125,11 +123,11 @@ def dedup_passages(docs: DataFrame, width: int = WIDTH, group_chars: int = GROUP
         return pa.table({
             "grp": pa.array([key[0].as_py()] * len(full), pa.int32()),
             "bucket": pa.array(full, pa.int32()),
-            "block": pa.array([_pack(distinct[edges[b]:edges[b + 1]], least[edges[b]:edges[b + 1]]) for b in full], pa.binary()),
+            "block": pa.array([pack(distinct[edges[b]:edges[b + 1]], least[edges[b]:edges[b + 1]]) for b in full], pa.binary()),
         })
 
     def verdicts(key, table):
-        parts = [_unpack(b, 2) for b in table.column("block").to_pylist()]
+        parts = [unpack(b, 2) for b in table.column("block").to_pylist()]
         hashes = np.concatenate([p[0] for p in parts])
         ids = np.concatenate([p[1] for p in parts]).view(np.int64)
         _, least, place = _smallest(hashes, ids)
