@@ -90,18 +90,6 @@ def is_nonempty() -> Column:
     return F.coalesce(F.col("cot_text"), F.lit("")) != ""
 
 
-def filter_correct(df: DataFrame) -> DataFrame:
-    return df.filter(is_correct())
-
-
-def filter_placeholder(df: DataFrame, token: str = T.RENDER_PLACEHOLDER) -> DataFrame:
-    return df.filter(~has_placeholder(token))
-
-
-def filter_nonempty(df: DataFrame) -> DataFrame:
-    return df.filter(is_nonempty())
-
-
 def text_status_a() -> Column:
     """F11 up to the image check: first failing check wins; null = go on."""
     return (
@@ -171,14 +159,6 @@ def kept_image_refs(records: DataFrame, dotall: bool, key: str = "task_id") -> D
     )
 
 
-def image_refs_b(parsed: DataFrame) -> DataFrame:
-    """T6 for layout B: the first image is question image 0."""
-    q = F.array(F.struct(F.lit("question").alias("section"), F.lit(0).cast("long").alias("pos"), F.col("question_path").alias("path")))
-    return parsed.filter(F.col("question_path").isNotNull()).select(
-        "task_id", F.inline(F.concat(q, F.expr(_image_items("solution_entries", "solution"))))
-    )
-
-
 # ---------------------------------------------------------------- status
 def hot_image_paths(records: DataFrame, min_rows: int | None = None, images: DataFrame | None = None, min_bytes: int | None = None) -> HotKeys:
     """Image files referenced by at least ``min_rows`` tags, counted once from

@@ -246,12 +246,6 @@ def exact_split(df: DataFrame, key: str, ratio: float = 0.9, seed: int | str = 4
     return plain.unionByName(ordered.withColumn("split", F.when(F.col("_at") < front, F.lit("train")).otherwise(F.lit("test"))).drop("_tie", "_row", "_at"))
 
 
-def train_test_split_approx(df: DataFrame, key: str, ratio: float = 0.9, seed: int | str = 42) -> DataFrame:
-    """O3 with ``exact=False``: map-only hash threshold, approximate counts."""
-    u = F.conv(F.substring(shuffle_key(F.col(key), seed), 1, 8), 16, 10).cast("double") / F.lit(float(16**8))
-    return df.withColumn("split", F.when(u < ratio, F.lit("train")).otherwise(F.lit("test")))
-
-
 def chunk(df: DataFrame, size: int, index_col: str = "gi", col: str = "shard_id") -> DataFrame:
     """Consecutive slices of ``size`` rows."""
     return df.withColumn(col, F.floor(F.col(index_col) / F.lit(size)).cast("long"))

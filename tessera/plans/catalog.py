@@ -26,7 +26,7 @@ from ..sources import fixtures as X
 from ..sources.footers import dataset_footers, parquet_footers
 from ..sources.images import ImageFiles
 from ..sources.records import read_cot, read_pairs, read_task_options
-from ..sources.registry import Registry, load_mixture
+from ..sources.registry import Registry, load_mixture, lookup
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -507,15 +507,25 @@ def registry_lookup(spark, sf_dir):
         "num_files", F.ceil(F.col("num_total_samples") / F.lit(SAMPLES_PER_FILE)).cast("long")
     )
     reg = Registry()
-    reg.register(DATASET_TYPE, DATASET_NAME, handler=S.sequence_plan, data_dir="train",
-                 parquet_info_path="train/_manifest")
-    info = reg.get_dataset_info(DATASET_TYPE, DATASET_NAME)
+    reg.register(DATASET_TYPE, DATASET_NAME, handler=S.sequence_plan, data_dir="train", parquet_info_path="train/_manifest")
+    reg.register(DATASET_TYPE, "another", data_dir="elsewhere")
     assert reg.get_dataset_class(DATASET_TYPE) is S.sequence_plan  # U4: type → row-to-sequence handler
-    return stats.select(
-        F.lit(DATASET_TYPE).alias("type"), F.lit(DATASET_NAME).alias("name"),
-        F.lit(info["data_dir"]).alias("data_dir"), F.lit(info["parquet_info_path"]).alias("parquet_info_path"),
-        "num_total_samples", "num_files",
-    )
+    entry = lookup(reg.to_df(spark), DATASET_TYPE, DATASET_NAME).drop("num_total_samples", "num_files")
+    counted = stats.withColumns({"type": F.lit(DATASET_TYPE), "name": F.lit(DATASET_NAME)})
+    return entry.join(counted, ["type", "name"]).select("type", "name", "data_dir", "parquet_info_path", "num_total_samples", "num_files")
+
+
+@query("mixture_files")
+def mixture_files(spark, sf_dir):
+    """The first two of a dataset's files, in the order of the numbers in their
+    paths, and all of another's."""
+    folder = _scratch(spark, "mixture")
+    SH.write_shards(orders(spark, sf_dir).select("o_orderkey", "o_orderpriority"), folder, ["o_orderkey"], 100)
+    reg = Registry()
+    reg.register("tables", "firsts", data_dir=folder)
+    reg.register("tables", "whole", data_dir=f"{sf_dir}/customer.parquet")
+    mix = load_mixture(spark, reg, {"tables": {"dataset_names": ["firsts", "whole"], "num_used_data": [2, None], "weight": 2}})
+    return mix.groupBy("dataset", "weight").agg(F.count(F.lit(1)).alias("num_rows"), F.min("gi").alias("first_gi"), F.max("gi").alias("last_gi"))
 
 
 @query("mixture")

@@ -438,6 +438,11 @@ PLAIN["split_by_cut"] = """
 SELECT o_orderkey, CASE WHEN place < floor(n * 0.9::DOUBLE) THEN 'train' ELSE 'test' END AS split
 FROM (SELECT o_orderkey, row_number() OVER (ORDER BY md5(concat('42:', o_orderkey)), o_orderkey) - 1 AS place, count(*) OVER () AS n FROM orders)"""
 
+PLAIN["mixture_files"] = """
+SELECT 'firsts' AS dataset, 2.0::DOUBLE AS weight, count(*) AS num_rows, min(gi)::BIGINT AS first_gi, max(gi)::BIGINT AS last_gi
+FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS gi FROM orders) WHERE gi < 200
+UNION ALL SELECT 'whole', 2.0, count(*), NULL, NULL FROM customer"""
+
 SQL["array_roundtrip"] = SQL["cot_normalised"]
 
 SQL["options_files"] = SQL["options_text"]

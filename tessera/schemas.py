@@ -1,8 +1,7 @@
 """Schemas of the data the pipeline reads and writes."""
 
 from pyspark.sql.types import (
-    ArrayType, BinaryType, BooleanType, FloatType, IntegerType, LongType, MapType, StringType, StructField,
-    StructType,
+    ArrayType, BinaryType, IntegerType, LongType, MapType, StringType, StructField, StructType,
 )
 
 # A source record (JSON): {task_id, gt, pred, cot_text}.
@@ -24,15 +23,6 @@ ENTRY_A = StructType([
 ])
 ENTRIES_A = ArrayType(ENTRY_A)
 
-LAYOUT_A = StructType([
-    StructField("id", StringType()),
-    StructField("answer", StringType()),
-    StructField("question_interleave", StringType()),
-    StructField("solution_interleave", StringType()),
-    StructField("question_images", ArrayType(BinaryType())),
-    StructField("solution_images", ArrayType(BinaryType())),
-])
-
 # Layout B entry: fields sorted by name, as pandas/Arrow inference writes them.
 ENTRY_B = StructType([
     StructField("content", StringType()),
@@ -41,46 +31,6 @@ ENTRY_B = StructType([
 ])
 IMAGE_B = StructType([StructField("bytes", BinaryType())])
 
-LAYOUT_B = StructType([
-    StructField("task_id", LongType()),
-    StructField("answer", StringType()),
-    StructField("question_interleave", ArrayType(ENTRY_B)),
-    StructField("solution_interleave", ArrayType(ENTRY_B)),
-    StructField("question_images", ArrayType(IMAGE_B)),
-    StructField("solution_images", ArrayType(IMAGE_B)),
-])
-
-# Normalised training row (U1): one shape for both layouts.
-UNIFIED = StructType([
-    StructField("layout", StringType()),
-    StructField("key", StringType()),
-    StructField("answer", StringType()),
-    StructField("question_interleave", ArrayType(ENTRY_A)),
-    StructField("solution_interleave", ArrayType(ENTRY_A)),
-    StructField("question_images", ArrayType(BinaryType())),
-    StructField("solution_images", ArrayType(BinaryType())),
-    StructField("parse_ok", BooleanType()),
-])
-
-SEQUENCE_ITEM = StructType([
-    StructField("pos", IntegerType()),
-    StructField("section", StringType()),
-    StructField("type", StringType()),
-    StructField("content", StringType()),
-    StructField("image_index", LongType()),
-    StructField("need_loss", BooleanType()),
-    StructField("need_vae", BooleanType()),
-    StructField("need_vit", BooleanType()),
-    StructField("enable_cfg", BooleanType()),
-    StructField("special_token", StringType()),
-])
-
-TOKEN_BATCH = StructType([
-    StructField("input_ids", ArrayType(IntegerType())),
-    StructField("labels", ArrayType(IntegerType())),
-    StructField("attention_mask", ArrayType(FloatType())),
-])
-
 FOOTER = StructType([
     StructField("path", StringType()),
     StructField("num_row_groups", IntegerType()),

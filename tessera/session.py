@@ -57,6 +57,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote, wherever Spark's file systems reach."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

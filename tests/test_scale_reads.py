@@ -180,3 +180,72 @@ def test_tokenizer_of_a_file(spark, tmp_path):
     C.layout_b_rows(spark, SF_SMALL).write.parquet(str(tmp_path / "b"))
     jobs.main(["token-batches", "--input", str(tmp_path / "b"), "--output", str(tmp_path / "out"), "--tokenizer", path, "--max-length", "50"])
     assert spark.read.parquet(str(tmp_path / "out")).agg(F.max(F.size("input_ids"))).first()[0] == 49
+
+
+def test_profiles_merge_without_rereading(spark, tmp_path):
+    """Quartiles of appended parts, from stored sketches, within 1 % of rank."""
+    from tessera.sinks import files as K
+
+    rows = spark.range(30_000).selectExpr("id % 3 as part", "cast(pow(id % 997, 2) as int) as a", "if(id % 5 = 0, null, id % 7) as b")
+    for part in range(3):
+        K.length_sketches(rows.filter(f"part = {part}"), ["a", "b"], "part").write.mode("append").parquet(str(tmp_path / "sketches"))
+    got = {r["column"]: r for r in K.merged_profile(spark.read.parquet(str(tmp_path / "sketches"))).collect()}
+    plain = {r["column"]: r for r in K.length_profile(rows, ["a", "b"]).collect()}
+    for c in ("a", "b"):
+        values = sorted(r[0] for r in rows.select(c).filter(f"{c} is not null").collect())
+        assert [got[c][k] for k in ("rows", "min", "max")] == [len(values), values[0], values[-1]] == [plain[c][k] for k in ("rows", "min", "max")]
+        assert abs(got[c]["avg"] - sum(values) / len(values)) < 1e-9
+        for q, p in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+            lo, hi = values[int((q - 0.01) * len(values))], values[int((q + 0.01) * len(values))]
+            assert lo <= got[c][p] <= hi and lo <= plain[c][p] <= hi
+
+
+def test_shards_as_row_groups(spark, tmp_path):
+    """A thousand shards in four files; one of them is one row group of one file."""
+    from tessera.sinks import files as K
+    from tessera.sinks import shards as SH
+    from tessera.sources.footers import dataset_footers
+
+    out = str(tmp_path / "g")
+    rows = spark.range(9_995).selectExpr("id", "cast(repeat('x', 30) as binary) as image")
+    table = SH.write_shard_groups(rows, out, [F.col("id").desc()], 10, num_files=4)
+    assert table.count() == 1000 and table.select("path").distinct().count() == 4
+    assert sum(r["num_row_groups"] for r in K.row_group_info(dataset_footers(spark, out)).collect()) == 1000
+    for shard in (0, 1, 517, 999):
+        want = list(range(9994 - 10 * shard, max(-1, 9984 - 10 * shard), -1))
+        assert [r["id"] for r in SH.read_shard(spark, out, shard).orderBy("gi").collect()] == want
+    import pyarrow.parquet as pq
+
+    place = table.filter("shard_id = 517").first()
+    group = pq.ParquetFile(f"{out}/{place['path']}").read_row_group(place["row_group"])
+    assert group.column("gi").to_pylist() == list(range(5170, 5180))
+    with pytest.raises(ValueError, match="no shard"):
+        SH.read_shard(spark, out, 1000)
+    assert SH.write_shard_groups(rows.limit(0), str(tmp_path / "none"), ["id"], 10).count() == 0
+
+
+def test_stores_that_only_spark_reaches(spark, tmp_path, monkeypatch):
+    """Conversions by listing and joining give the rows and counts of those that
+    open files by path."""
+    from tessera.sources import records as R
+
+    for name in ("a.png", "b.png"):
+        (tmp_path / name).write_bytes(pictures.png(name.encode()))
+    texts = ["<image>./a.png</image> t <image>b.png</image>", "<image>a.png</image> <image>gone.png</image>", "", "none", "<image>gone.png</image>"]
+    rows = [{"task_id": i % 4, "gt": "A", "pred": "A", "cot_text": t} for i, t in enumerate(texts)]
+    (tmp_path / "r.json").write_text(json.dumps(rows))
+    (tmp_path / "task_0").mkdir()
+    (tmp_path / "task_0" / "data.json").write_text('{"options": {"B": "y", "A": "x"}}')
+
+    def converted(k):
+        report, _ = jobs.convert_layout_a(spark, str(tmp_path / "r.json"), str(tmp_path / f"a{k}"))
+        jobs.convert_layout_b(spark, str(tmp_path / "r.json"), str(tmp_path), str(tmp_path / f"b{k}"))
+        a, b = spark.read.parquet(str(tmp_path / f"a{k}")).drop("gi", "shard_id"), spark.read.parquet(str(tmp_path / f"b{k}" / "train"))
+        status = spark.read.json(str(tmp_path / f"b{k}" / "train_status"))
+        return [sorted(map(str, df.collect())) for df in (report, a, b, status)]
+
+    by_path = converted(1)
+    monkeypatch.setattr(ImageFiles, "reaches", staticmethod(lambda *_: False))
+    monkeypatch.setattr(R, "reaches", lambda *_: False)
+    assert converted(2) == by_path
+    assert len(by_path[1]) == 2 and len(by_path[2]) == 1

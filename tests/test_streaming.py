@@ -1,11 +1,11 @@
 """Incremental ingest: arriving JSON Lines files become layout-A rows."""
 
-import pictures
 import json
 
+import pictures
 from pyspark.sql import functions as F
 
-from tessera.streaming.ingest import start_layout_a_ingest
+from tessera.streaming.ingest import finish_waiting, start_layout_a_ingest
 
 
 def test_stream_ingest(spark, tmp_path):
@@ -46,3 +46,31 @@ def test_stream_ingest_is_incremental(spark, tmp_path):
     rows = spark.read.parquet(f"{out}/rows")
     assert sorted(r.id for r in rows.collect()) == ["task_1", "task_2", "task_3"]
     assert rows.select("batch_id").distinct().count() == 2
+
+
+def test_records_wait_for_late_images(spark, tmp_path):
+    """Images that come two batches later, too late, and never."""
+    src, imgs = tmp_path / "in", tmp_path / "imgs"
+    src.mkdir()
+    imgs.mkdir()
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+
+    def batch(k, name, image):
+        (src / f"{k}.jsonl").write_text(json.dumps({"task_id": k, "gt": "A", "pred": "A", "cot_text": f"<image>{name}</image> step" if name else "no image"}))
+        if image:
+            (imgs / image).write_bytes(pictures.png(image.encode()))
+        start_layout_a_ingest(spark, str(src), str(imgs), out, checkpoint=ckpt, trigger_once=True, wait_batches=2).awaitTermination(120)
+
+    batch(0, "late.png", None)
+    batch(1, "too_late.png", None)
+    batch(2, "never.png", "late.png")
+    batch(3, "", None)
+    batch(4, "last.png", "too_late.png")
+    (imgs / "last.png").write_bytes(pictures.png(b"last"))
+    finish_waiting(spark, str(imgs), out, 4)
+    rows = {r["id"]: r["batch_id"] for r in spark.read.parquet(f"{out}/rows").select("id", "batch_id").collect()}
+    assert rows == {"task_0": 2, "task_4": 5}
+    status = {(r["batch_id"], r["status"]): r["n"] for r in spark.read.parquet(f"{out}/_status").collect()}
+    assert status == {(0, "waiting"): 1, (1, "waiting"): 2, (2, "ok"): 1, (2, "waiting"): 2, (3, "other"): 2, (3, "waiting"): 1,
+                      (4, "other"): 1, (4, "waiting"): 1, (5, "ok"): 1}
+    assert sum(n for (_, s), n in status.items() if s != "waiting") == 5
