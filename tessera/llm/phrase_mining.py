@@ -26,11 +26,14 @@ the bucket's state, written once for each scan.  The bitmaps have a fixed size,
 that need not be.  A phrase that is met again in a shard it has been through is
 not counted twice.
 
-A last pass reads the words of the frequent phrases and counts them by their
-text; what it finds below ``min_count`` goes, so equal hashes of different
-phrases alter nothing (within one task's texts, where phrases are told apart by
-hash alone, an accident takes about n * n / 2**65, 1e-6 for 8 million words).
-Scores and the choice of phrases are joins and windows over this table.
+The scans also spell the phrases: a third bitmap marks what has reached the
+count and has no text yet, tasks emit the first occurrence they meet of each, and
+the bucket keeps one.  Scans go on until every such phrase is spelled (one more,
+as a rule).  Scores and the choice of phrases are joins and windows over the
+table of spelled phrases.
+
+Phrases are told apart by 64-bit hash: among F frequent of n different runs,
+about F * n / 2**64 accidents (3e-6 for half a million among 10**8).
 
 Words are runs without space or tab in the pieces between ``[.,;:!?]`` and line
 ends; A-Z are lower-cased.  Everything is by ``lang``.
@@ -48,11 +51,14 @@ folder holds the table of frequent phrases until the caller removes it.
 from __future__ import annotations
 
 import hashlib
+import json
+import pickle
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,10 +72,10 @@ TOP = 2000
 COVERED_PERCENT = 80
 SCALE = 2_000_000
 FILTER_BITS = 25
-#: Text of one hash bucket, hashes and named phrases a task holds before it emits them.
+#: Text of one hash bucket, and hashes and spelled phrases a task holds before it emits them.
 BUCKET_CHARS = 16 << 20
 HELD_HASHES = 3_000_000
-HELD_PHRASES = 100_000
+HELD_PHRASES = 300_000
 STRETCH_BYTES = 1 << 20
 
 _NEVER = np.uint64(255)
@@ -131,8 +137,39 @@ class Words:
             inside = inside[:-1] & ~self.begins[n - 1:]
             yield n, hashes, inside
 
-    def text(self, at: int, n: int) -> str:
-        return b" ".join(self.data[self.starts[i]:self.ends[i]].tobytes() for i in range(at, at + n)).decode()
+    def spelled(self, at: np.ndarray, n: int) -> list[str]:
+        """The runs of ``n`` words from the given words on, joined by one space."""
+        raw = self.data.tobytes()
+        out = []
+        for i, start, end in zip(at.tolist(), self.starts[at].tolist(), self.ends[at + n - 1].tolist(), strict=True):
+            text = raw[start:end]
+            if b"  " in text or b"\t" in text:
+                text = b" ".join(raw[a:z] for a, z in zip(self.starts[i:i + n].tolist(), self.ends[i:i + n].tolist(), strict=True))
+            out.append(text.decode())
+        return out
+
+
+class Names:
+    """Texts of phrases, with their language, by hash."""
+
+    def __init__(self) -> None:
+        self.of: dict[int, tuple[str, str]] = {}
+
+    def add(self, hashes: list[int], langs: list[str], texts: list[str]) -> None:
+        for h, lang, text in zip(hashes, langs, texts, strict=True):
+            self.of.setdefault(h, (lang, text))
+
+    def pack(self) -> bytes:
+        """No text holds a line end, so they are one string."""
+        hashes = sorted(self.of)
+        langs = sorted({self.of[h][0] for h in hashes})
+        at = {lang: i for i, lang in enumerate(langs)}
+        told = (np.array(hashes, np.uint64).tobytes(), langs, np.array([at[self.of[h][0]] for h in hashes], np.uint32).tobytes(), "\n".join(self.of[h][1] for h in hashes))
+        return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(told))
+
+    def read(self, packed: bytes) -> None:
+        hashes, langs, at, texts = pickle.loads(zstandard.ZstdDecompressor().decompress(packed))
+        self.add(np.frombuffer(hashes, np.uint64).tolist(), [langs[i] for i in np.frombuffer(at, np.uint32)], texts.split("\n"))
 
 
 def _seed(lang: str) -> int:
@@ -152,144 +189,180 @@ def _words_of(batch: pa.RecordBatch, keep: int) -> Iterator[tuple[Words, list[st
             yield Words(data, offs, seeds[row:], 0), langs, row
 
 
-BLOCK = "bucket int, words int, block binary"
-_BLOCK = pa.schema([("bucket", pa.int32()), ("words", pa.int32()), ("block", pa.binary())])
+#: A task's or a bucket's counts (for ``words`` 0: all words of languages, as JSON), and texts.
+BLOCK = "bucket int, words int, block binary, names binary"
+_BLOCK = pa.schema([("bucket", pa.int32()), ("words", pa.int32()), ("block", pa.binary()), ("names", pa.binary())])
+NONE = np.zeros(0, np.uint64)
 
 
-def _scan(shard: DataFrame, lengths: list[int], reached: np.ndarray, late: np.ndarray, bits: int, max_words: int) -> DataFrame:
-    """Counts of a shard: all words if 1 is among ``lengths``, and runs of the
-    other lengths whose parts have reached the count, one of them lately."""
+class Marks:
+    """Three bitmaps over hashes: phrases that have reached the count, those that
+    did so lately, and those that have no text yet."""
+
+    def __init__(self, filter_bits: int):
+        self.reached, self.late, self.unnamed = (np.zeros((1 << filter_bits) // 8, np.uint8) for _ in range(3))
+
+    def packed(self) -> list[bytes]:
+        """As sent to tasks: mostly empty bitmaps take a fraction of their size."""
+        return [zstandard.ZstdCompressor(level=3).compress(b.tobytes()) for b in (self.reached, self.late, self.unnamed)]
 
-    def emit(held: dict[int, list[np.ndarray]]) -> pa.RecordBatch:
-        out: tuple[list, list, list] = [], [], []
-        for n, parts in held.items():
-            distinct, count = np.unique(np.concatenate(parts), return_counts=True)
+
+def _scan(shard: DataFrame, lengths: list[int], marks: Marks, bits: int, max_words: int) -> DataFrame:
+    """Counts of a shard: all words if 1 is among ``lengths``, and runs of the
+    other lengths whose parts have reached the count, one of them lately; and the
+    texts of runs that lack one."""
+    top = max_words if marks.unnamed.any() else max(lengths)
+    sent = marks.packed()
+
+    def emit(held: dict[int, list[np.ndarray]], named: dict[int, Names], total: dict[str, int]) -> pa.RecordBatch:
+        out: list[tuple] = []
+        for n in held.keys() | named.keys():
+            parts = held.get(n)
+            distinct, count = np.unique(np.concatenate(parts), return_counts=True) if parts else (NONE, NONE)
             at = blocks.edges(distinct, bits)
-            for b in np.flatnonzero(np.diff(at)).tolist():
-                lo, hi = at[b], at[b + 1]
-                for column, value in zip(out, (b, n, blocks.pack(distinct[lo:hi], count[lo:hi].astype(np.uint64))), strict=True):
-                    column.append(value)
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _BLOCK, strict=True)], schema=_BLOCK)
+            texts: dict[int, Names] = {}
+            for h, name in (named[n].of if n in named else {}).items():
+                texts.setdefault(h >> (64 - bits), Names()).of[h] = name
+            for b in set(np.flatnonzero(np.diff(at)).tolist()) | texts.keys():
+                here = slice(at[b], at[b + 1])
+                out.append((b, n, blocks.pack(distinct[here], count[here].astype(np.uint64)), texts[b].pack() if b in texts else None))
+        by_bucket: dict[int, dict[str, int]] = {}
+        for lang, n in total.items():
+            by_bucket.setdefault(_seed(lang) >> (64 - bits), {})[lang] = n
+        out += [(b, 0, json.dumps(n).encode(), None) for b, n in by_bucket.items()]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _BLOCK, strict=True)], schema=_BLOCK)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = blocks.interleaved(*map(blocks.bits_of, sent))
         held: dict[int, list[np.ndarray]] = {}
-        size = 0
+        named: dict[int, Names] = {}
+        total: dict[str, int] = {}
+        size = texts = 0
         for batch in batches:
-            for words, _, _ in _words_of(batch, max_words - 1):
+            for words, langs, first in _words_of(batch, max_words - 1):
+                if 1 in lengths:
+                    of_row = np.bincount(words.row[words.new])
+                    for row in np.flatnonzero(of_row).tolist():
+                        total[langs[first + row]] = total.get(langs[first + row], 0) + int(of_row[row])
                 ready = recent = None
-                for n, hashes, inside in words.runs(max(lengths)):
+                for n, hashes, inside in words.runs(top):
+                    here = inside & words.new[n - 1:]
                     if n in lengths:
-                        take = inside & words.new[n - 1:]
-                        if n > 1:
-                            take &= ready[:-1] & ready[1:] & (recent[:-1] | recent[1:])
+                        take = here if n == 1 else here & ready[:-1] & ready[1:] & (recent[:-1] | recent[1:])
                         if take.any():
                             held.setdefault(n, []).append(hashes[take])
                             size += int(take.sum())
-                    if n < max(lengths):
-                        ready, recent = blocks.test_bits(reached, hashes), blocks.test_bits(late, hashes)
-                if size >= HELD_HASHES:
-                    yield emit(held)
-                    held, size = {}, 0
-        if held:
-            yield emit(held)
+                    told = blocks.look_up(marks, hashes)
+                    at = np.flatnonzero(here & (told >> np.uint32(16) & np.uint32(1) == 1))
+                    if len(at):
+                        distinct, where = np.unique(hashes[at], return_index=True)
+                        names = named.setdefault(n, Names())
+                        fresh = np.array([h not in names.of for h in distinct.tolist()])
+                        at = at[where[fresh]]
+                        names.add(distinct[fresh].tolist(), [langs[first + r] for r in words.row[at].tolist()], words.spelled(at, n))
+                        texts += len(at)
+                    if n < max(lengths, default=0):
+                        ready, recent = told & np.uint32(1) == 1, told >> np.uint32(8) & np.uint32(1) == 1
+                if size >= HELD_HASHES or texts >= HELD_PHRASES:
+                    yield emit(held, named, total)
+                    held, named, total, size, texts = {}, {}, {}, 0, 0
+        if held or named or total:
+            yield emit(held, named, total)
 
     return shard.select("lang", "text").mapInArrow(scan, BLOCK)
 
 
-STATE = f"{BLOCK}, reached binary, late binary"
+STATE = f"{BLOCK}, reached binary, late binary, unnamed binary"
 
 
 def _add(step: int, shards: int, min_count: int, bits: int, filter_bits: int):
     """Adds a scan's blocks to the state of a bucket and a length: hash, count,
     shards it has been through (one bit each), and the scan at which the count
-    reached ``min_count``."""
+    reached ``min_count``; and the texts of those that did."""
     per_bucket = 1 << (filter_bits - bits)
     seen = np.uint64(1 << (step % shards))
 
-    def lookup(hashes: np.ndarray, bucket: int) -> bytes:
-        return blocks.bits_at((hashes >> np.uint64(64 - filter_bits)).astype(np.int64) - bucket * per_bucket, per_bucket)
+    def row(bucket: int, n: int, block: bytes, names: bytes | None, *marked: np.ndarray):
+        bitmaps = [blocks.bits_at((h >> np.uint64(64 - filter_bits)).astype(np.int64) - bucket * per_bucket, per_bucket) for h in marked]
+        told = [bucket, n, block, names, *bitmaps]
+        types = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+        return pa.table([pa.array([x], t) for x, t in zip(told, types, strict=True)], ["bucket", "words", "block", "names", "reached", "late", "unnamed"])
 
     def add(key, table):
         bucket, n = key[0].as_py(), key[1].as_py()
-        old = [np.zeros(0, np.uint64)] * 4
-        parts = []
-        for block, is_state in zip(table.column("block").to_pylist(), table.column("is_state").to_pylist(), strict=True):
+        given = list(zip(table.column("block").to_pylist(), table.column("names").to_pylist(), table.column("is_state").to_pylist(), strict=True))
+        if n == 0:
+            total: dict[str, int] = {}
+            for block, _, _ in given:
+                for lang, k in json.loads(block).items():
+                    total[lang] = total.get(lang, 0) + k
+            return row(bucket, 0, json.dumps(total).encode(), None, NONE, NONE, NONE)
+        old = [NONE] * 4
+        parts, names = [], Names()
+        for block, texts, is_state in given:
+            if texts is not None:
+                names.read(texts)
             if is_state:
                 old = blocks.unpack(block, 4)
             else:
                 parts.append(blocks.unpack(block, 2))
-        hashes = np.unique(np.concatenate([old[0], *(p[0] for p in parts)]))
+        # the state's own hashes are a run that adds nothing; the rest is this scan's count
+        hashes, scanned = blocks.merged([old[0], *(p[0] for p in parts)], [np.zeros(len(old[0]), np.uint64), *(p[1] for p in parts)])
         count, through, reach = np.zeros(len(hashes), np.uint64), np.zeros(len(hashes), np.uint64), np.full(len(hashes), _NEVER)
         at = np.searchsorted(hashes, old[0])
         count[at], through[at], reach[at] = old[1:]
-        fresh = through & seen == 0
-        for h, c in parts:
-            at = np.searchsorted(hashes, h)
-            count[at] += np.where(fresh[at], c, np.uint64(0))
-            through[at] |= seen
+        count += np.where(through & seen == 0, scanned, np.uint64(0))
+        through[scanned > 0] |= seen
         reach[(reach == _NEVER) & (count >= min_count)] = step
         if step >= n * shards - 1:  # all cycles of this length are over
             kept = count >= min_count
             hashes, count, through, reach = hashes[kept], count[kept], through[kept], reach[kept]
         there = reach != _NEVER
         lately = there & (reach.astype(np.int64) >= step + 1 - shards)
-        return pa.table({
-            "bucket": pa.array([bucket], pa.int32()), "words": pa.array([n], pa.int32()),
-            "block": pa.array([blocks.pack(hashes, count, through, reach)], pa.binary()),
-            "reached": pa.array([lookup(hashes[there], bucket)], pa.binary()), "late": pa.array([lookup(hashes[lately], bucket)], pa.binary()),
-        })
+        known = set(hashes[there].tolist())
+        names.of = {h: name for h, name in names.of.items() if h in known}  # others only share a bit
+        lacking = np.array([h for h in known if h not in names.of], np.uint64)
+        return row(bucket, n, blocks.pack(hashes, count, through, reach), names.pack() if names.of else None, hashes[there], hashes[lately], lacking)
 
     return add
 
 
-def _bitmaps(state: DataFrame, bits: int, filter_bits: int, max_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two bitmaps, put together on the driver from each bucket's part."""
-    reached, late = (np.zeros((1 << filter_bits) // 8, np.uint8) for _ in range(2))
+def _marks(state: DataFrame, bits: int, filter_bits: int, max_words: int) -> Marks:
+    """The bitmaps, put together on the driver from each bucket's part."""
+    out = Marks(filter_bits)
     size = (1 << (filter_bits - bits)) // 8
-    for r in state.select("bucket", "words", "reached", "late").toLocalIterator():
+    for r in state.filter("words > 0").select("bucket", "words", "reached", "late", "unnamed").toLocalIterator():
         here = slice(r["bucket"] * size, (r["bucket"] + 1) * size)
-        reached[here] |= blocks.bits_of(r["reached"])
+        out.reached[here] |= blocks.bits_of(r["reached"])
+        out.unnamed[here] |= blocks.bits_of(r["unnamed"])
         if r["words"] < max_words:
-            late[here] |= blocks.bits_of(r["late"])
-    return reached, late
+            out.late[here] |= blocks.bits_of(r["late"])
+    return out
 
 
-def _names(texts: DataFrame, frequent: np.ndarray, max_words: int) -> DataFrame:
-    """``lang, words, phrase, n`` of the runs whose hash is in the bitmap, added
-    up in tasks; with ``words`` 0, all words of a language."""
-    schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+FOUND = "lang string, words int, phrase string, n long"
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name_of: dict[int, tuple[str, int, str]] = {}
-        count: dict[int, int] = {}
-        total: dict[str, int] = {}
 
-        def emit() -> pa.RecordBatch:
-            rows = [(*name_of[h], n) for h, n in count.items()] + [(lang, 0, "", n) for lang, n in total.items()]
-            for held in (name_of, count, total):
-                held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)], schema=schema)
+def _told(state: DataFrame, min_count: int) -> DataFrame:
+    """The state as rows: texts and counts of the phrases that reached the count."""
+    schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for words, langs, first in _words_of(batch, max_words - 1):
-                of_row = np.bincount(words.row[words.new])
-                for row in np.flatnonzero(of_row).tolist():
-                    total[langs[first + row]] = total.get(langs[first + row], 0) + int(of_row[row])
-                for n, hashes, inside in words.runs(max_words):
-                    at = np.flatnonzero(inside & words.new[n - 1:] & blocks.test_bits(frequent, hashes))
-                    distinct, where, often = np.unique(hashes[at], return_index=True, return_counts=True)
-                    for h, i, c in zip(distinct.tolist(), at[where].tolist(), often.tolist(), strict=True):
-                        if h not in name_of:
-                            name_of[h] = (langs[first + int(words.row[i])], n, words.text(i, n))
-                            count[h] = 0
-                        count[h] += c
-                if len(count) >= HELD_PHRASES:
-                    yield emit()
-        if total:
-            yield emit()
-
-    named = texts.select("lang", "text").mapInArrow(scan, "lang string, words int, phrase string, n long")
-    return named.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+            for n, block, texts in zip(*(batch.column(c).to_pylist() for c in ("words", "block", "names")), strict=True):
+                if n == 0:
+                    rows = [(lang, 0, "", k) for lang, k in json.loads(block).items()]
+                else:
+                    names = Names()
+                    if texts is not None:
+                        names.read(texts)
+                    hashes, count, _, _ = blocks.unpack(block, 4)
+                    kept = count >= min_count
+                    rows = [(names.of[h][0], n, names.of[h][1], k) for h, k in zip(hashes[kept].tolist(), count[kept].tolist(), strict=True)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)], schema=schema)
+
+    return state.select("words", "block", "names").mapInArrow(tell, FOUND)
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, shards: int = SHARDS, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -307,23 +380,23 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     n_buckets = max(sizing.shuffle_partitions(spark), -(-sizing.total_chars(texts) // BUCKET_CHARS))
     bits = min(blocks.bucket_bits(n_buckets), filter_bits - 3)
 
-    reached, late = (np.zeros((1 << filter_bits) // 8, np.uint8) for _ in range(2))
-    step, state = 0, None
-    while step < shards or late.any():
-        lengths = [n for n in range(1, max_words + 1) if n - 1 <= step < n * shards]
-        found = _scan(texts.filter(F.col("shard") == step % shards), lengths, reached, late, bits, max_words).withColumn("is_state", F.lit(False))
+    marks, step, state = Marks(filter_bits), 0, None
+    while step < shards or marks.late.any() or marks.unnamed.any():
+        counting = step < shards or marks.late.any()
+        lengths = [n for n in range(1, max_words + 1) if counting and n - 1 <= step < n * shards]
+        found = _scan(texts.filter(F.col("shard") == step % shards), lengths, marks, bits, max_words).withColumn("is_state", F.lit(False))
         if state is not None:
-            found = found.unionByName(state.select("bucket", "words", "block", F.lit(True).alias("is_state")))
+            found = found.unionByName(state.select("bucket", "words", "block", "names", F.lit(True).alias("is_state")))
         found.groupBy("bucket", "words").applyInArrow(_add(step, shards, min_count, bits, filter_bits), STATE).write.parquet(f"{folder}/state-{step}")
         state = spark.read.schema(STATE).parquet(f"{folder}/state-{step}")
         if step:
             remove_folder(spark, f"{folder}/state-{step - 1}")
-        reached, late = _bitmaps(state, bits, filter_bits, max_words)
+        marks = _marks(state, bits, filter_bits, max_words)
         step += 1
-    _names(texts, reached, max_words).filter((F.col("n") >= min_count) | (F.col("words") == 0)).write.parquet(f"{folder}/found")
+    _told(state, min_count).write.parquet(f"{folder}/found")
     for part in ("texts", f"state-{step - 1}"):
         remove_folder(spark, f"{folder}/{part}")
-    return spark.read.schema("lang string, words int, phrase string, n long").parquet(f"{folder}/found")
+    return spark.read.schema(FOUND).parquet(f"{folder}/found")
 
 
 def _exact(column: str) -> str:

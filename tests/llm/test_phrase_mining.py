@@ -88,8 +88,7 @@ def test_stretches_lose_and_repeat_nothing(texts, limit):
         batch = pa.record_batch([pa.array(["en"] * len(texts)), pa.array(texts)], ["lang", "text"])
         for words, _, _ in P._words_of(batch, 3):
             for n, hashes, inside in words.runs(4):
-                for i in (inside & words.new[n - 1:]).nonzero()[0].tolist():
-                    found[words.text(i, n)] += 1
+                found.update(words.spelled((inside & words.new[n - 1:]).nonzero()[0], n))
         assert found == Counter({" ".join(p): c for (_, p), c in _counts([("en", t) for t in texts], 4)[0].items()})
     finally:
         P.STRETCH_BYTES = before
@@ -104,10 +103,21 @@ def test_bitmaps_and_buckets():
     some = h[::7]
     at = (some >> np.uint64(48)).astype(np.int64)
     bitmap |= blocks.bits_of(blocks.bits_at(at, 1 << 16))
-    assert blocks.test_bits(bitmap, some).all() and blocks.test_bits(bitmap, h).sum() < 100
+    told = blocks.look_up(blocks.interleaved(np.zeros_like(bitmap), bitmap), h)
+    assert set((told & 1).tolist()) == {0}
+    assert (told[::7] >> 8 & 1).all() and (told >> 8 & 1).sum() < 100
+    distinct, sums = blocks.merged([h[::2], h[:0], h[::3]], [np.ones(250, np.uint64), h[:0], np.full(167, 5, np.uint64)])
+    assert dict(zip(distinct.tolist(), sums.tolist())) == {x: (i % 2 == 0) + 5 * (i % 3 == 0) for i, x in enumerate(h.tolist()) if i % 2 == 0 or i % 3 == 0}
     assert [x.tolist() for x in blocks.unpack(blocks.pack(h, h[::-1].copy()), 2)] == [h.tolist(), h[::-1].tolist()]
 
 
+def test_names_read_back():
+    a, b = P.Names(), P.Names()
+    a.add([2**64 - 1, 5, 7], ["en", "x\ny", ""], ["a b", "é", "w\x00"])
+    b.read(a.pack())
+    assert b.of == {2**64 - 1: ("en", "a b"), 5: ("x\ny", "é"), 7: ("", "w\x00")}
+
+
 def test_large_counts_are_exact(spark):
     big = 4 * 10**18
     found = spark.createDataFrame([("en", 1, "a", big), ("en", 1, "b", big + 1), ("en", 2, "a b", big - 7), ("en", 3, "a b c", 40), ("en", 1, "c", 41), ("en", 2, "b c", 60)],
