@@ -50,11 +50,12 @@ def _byte_sql(b: str, at: str) -> str:
     return f"cast(conv(hex(substring({b}, {at} + 1, 1)), 16, 10) as int)"
 
 
-def _walk_sql(b: str, at: str, step: str) -> str:
+def _walk_sql(b: str, at: str, step: str, least: int = 1) -> str:
     """The last ``struct<at, mode>`` of a walk over the bytes: ``step`` gives the
     state after ``_s``; modes from ``_OVER`` on end the walk.  Two nested loops of
-    sqrt(bytes) turns, for there may be as many steps as bytes but are few."""
-    turns = f"sequence(1, greatest(1, cast(ceil(sqrt(length({b}))) as int)))"
+    sqrt(steps) turns, for there may be as many steps as bytes (of ``least`` bytes
+    each) but are few."""
+    turns = f"sequence(1, 1 + cast(ceil(sqrt(length({b}) / {least})) as int))"
     step = f"CASE WHEN _s.mode >= {_OVER} THEN _s WHEN _s.at >= length({b}) THEN {_state_sql('_s.at', _CUT)} ELSE {step} END"
     inner = f"aggregate({turns}, _t, (_s, _j) -> {step})"
     return f"aggregate({turns}, {_state_sql(at, 0)}, (_t, _i) -> IF(_t.mode >= {_OVER}, _t, {inner}))"
@@ -98,7 +99,7 @@ def _png_flaw_sql(b: str) -> str:
             f"WHEN _s.mode = 0 AND NOT ({header}) THEN {_state_sql('_s.at', _BAD_HEADER)} "
             f"WHEN _c.kind = '{PNG_END}' THEN {_state_sql('_s.at', f'IF(_s.mode = -1, {_FOUND}, {_NO_DATA})')} "
             f"ELSE {_state_sql('_s.at + 12 + _c.n', after)} END), 0)")
-    return _flaw_sql(_walk_sql(b, "8", step))
+    return _flaw_sql(_walk_sql(b, "8", step, 12))
 
 
 def _webp_flaw_sql(b: str) -> str:
@@ -110,7 +111,7 @@ def _webp_flaw_sql(b: str) -> str:
     step = (f"get(transform(array({chunk}), _c -> CASE WHEN _s.at + 8 + _c.n > _e THEN {_state_sql('_s.at', _CUT)} "
             f"WHEN _s.at + 8 + _c.n + _c.n % 2 > _e - 8 THEN {_state_sql('_s.at', f'IF(_c.mode = 1, {_FOUND}, {_NO_DATA})')} "
             f"ELSE {_state_sql('_s.at + 8 + _c.n + _c.n % 2', '_c.mode')} END), 0)")
-    walked = f"IF(coalesce(_e, 0) NOT BETWEEN 20 AND length({b}), 'truncated', {_flaw_sql(_walk_sql(b, '12', step))})"
+    walked = f"IF(coalesce(_e, 0) NOT BETWEEN 20 AND length({b}), 'truncated', {_flaw_sql(_walk_sql(b, '12', step, 8))})"
     return f"get(transform(array({end}), _e -> {walked}), 0)"
 
 
