@@ -180,8 +180,10 @@ def test_split_job_writes_many_files(spark, tmp_path):
     from tessera.plans import jobs
 
     spark.range(4000).withColumnRenamed("id", "task_id").write.parquet(str(tmp_path / "in"))
-    got = {r["split"]: r["num_samples"] for r in jobs.split_dataset(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()}
+    got = {r["split"]: r["num_samples"] for r in jobs.split_dataset(spark, str(tmp_path / "in"), str(tmp_path / "out"), ordered=True).collect()}
     assert got == {"train": 3600, "test": 400}
+    in_place = {r["split"]: r["num_samples"] for r in jobs.split_dataset(spark, str(tmp_path / "in"), str(tmp_path / "cut")).collect()}
+    assert in_place == got  # each task writes its own rows
     n = len([f for f in os.listdir(tmp_path / "out" / "split=train") if f.endswith(".parquet")])
     assert n >= int(spark.conf.get("spark.sql.shuffle.partitions")) - 2
 
