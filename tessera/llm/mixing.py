@@ -146,9 +146,13 @@ class Mix:
 
     def taken(self) -> DataFrame:
         """``row, doc_id, source, size, sid, source_size, target, at, taken,
-        first_place`` for each document: what :meth:`placed` holds of it, and where
-        in the mix it first comes (null if nowhere)."""
-        by_row = self.placed().groupBy("row").agg(F.sum(F.col("until") - F.col("from")).alias("taken"), F.min("place").alias("first_place"))
+        first_place`` for each document: how many of the words of :meth:`placed` are
+        its own, and the first of their places (null if none)."""
+        # a block is read once an epoch, to its end or to the tape's end of that epoch
+        reads = self.schedule.groupBy("sid", "block", "tape_end").agg(F.count("*").alias("reads"), F.min("place").alias("place"))
+        got = F.greatest(F.least(F.col("until"), F.col("tape_end")) - F.col("from"), F.lit(0))
+        by_row = self.blocks.join(reads, ["sid", "block"]).groupBy("row").agg(
+            F.sum(got * F.col("reads")).alias("taken"), F.min(F.when(got > 0, F.col("place"))).alias("first_place"))
         return self.tape.join(by_row, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 
     def placed(self) -> DataFrame:
