@@ -502,17 +502,14 @@ DATASET_NAME = "cot_train"
 @query("registry_lookup")
 def registry_lookup(spark, sf_dir):
     """Registry entry of the prepared dataset, with counts taken from the data."""
-    a = layout_a_rows(spark, sf_dir)
-    stats = a.agg(F.count(F.lit(1)).alias("num_total_samples")).withColumn(
-        "num_files", F.ceil(F.col("num_total_samples") / F.lit(SAMPLES_PER_FILE)).cast("long")
-    )
+    n = layout_a_rows(spark, sf_dir).count()
     reg = Registry()
-    reg.register(DATASET_TYPE, DATASET_NAME, handler=S.sequence_plan, data_dir="train", parquet_info_path="train/_manifest")
+    reg.register(DATASET_TYPE, DATASET_NAME, handler=S.sequence_plan, data_dir="train", parquet_info_path="train/_manifest",
+                 num_total_samples=n, num_files=-(-n // SAMPLES_PER_FILE))
     reg.register(DATASET_TYPE, "another", data_dir="elsewhere")
     assert reg.get_dataset_class(DATASET_TYPE) is S.sequence_plan  # U4: type → row-to-sequence handler
-    entry = lookup(reg.to_df(spark), DATASET_TYPE, DATASET_NAME).drop("num_total_samples", "num_files")
-    counted = stats.withColumns({"type": F.lit(DATASET_TYPE), "name": F.lit(DATASET_NAME)})
-    return entry.join(counted, ["type", "name"]).select("type", "name", "data_dir", "parquet_info_path", "num_total_samples", "num_files")
+    return lookup(reg.to_df(spark), DATASET_TYPE, DATASET_NAME).select(
+        "type", "name", "data_dir", "parquet_info_path", "num_total_samples", "num_files")
 
 
 @query("mixture_files")
