@@ -52,7 +52,7 @@ MAX_TOKENS = 1024
 END_ID = 2
 #: Text that is hashed together, and tokenised together; ids sent back together, and pieces that one task ranks.
 CHUNK_BYTES = 1 << 20
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 GATHERED_UNITS = 200_000
 IDS_BYTES = 4 << 20
 PIECES_PER_TASK = 200_000
