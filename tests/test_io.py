@@ -142,3 +142,30 @@ def test_read_images_relative_and_uri_roots(spark, tmp_path, monkeypatch):
     assert [r.path for r in read_images(spark, "data").select("path").collect()] == ["task_1/a.png"]
     uri = f"file://{tmp_path}/data/x/data"
     assert [r.path for r in read_images(spark, uri).select("path").collect()] == ["task_1/a.png"]
+
+
+@pytest.mark.parametrize("store", ["local", "viewfs"])
+def test_footers_of_tables_that_are_folders(spark, tmp_path, store):
+    """A table may be one file or a folder of files, below a store that tasks open
+    themselves or one that only Spark's readers reach."""
+    folder = tmp_path / "some tables.parquet"
+    for k, name in enumerate(C.TABLE_NAMES):
+        rows = spark.range(10 + k).withColumn("x", F.repeat(F.lit("x"), 50))
+        if k % 3 == 0:  # one file
+            rows.toPandas().to_parquet(_made(folder) / f"{name}.parquet")
+        else:
+            rows.repartition(k % 3 + 2).write.option("parquet.block.row.count.limit", 4).parquet(str(folder / f"{name}.parquet"))
+    root = str(folder)
+    if store == "viewfs":
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        conf.set("fs.viewfs.mounttable.footers.link./in", f"file://{tmp_path}")
+        root = "viewfs://footers/in/some tables.parquet"
+    got = {r["table_name"]: r["num_rows"] for r in C.footer_info(spark, root).collect()}
+    assert got == {name: 10 + k for k, name in enumerate(C.TABLE_NAMES)}
+    files = dataset_footers(spark, f"{root}/nation.parquet").collect()
+    assert sum(r.num_rows for r in files) == 11 and all(r.num_row_groups == -(-r.num_rows // 4) for r in files)
+
+
+def _made(folder):
+    folder.mkdir(exist_ok=True)
+    return folder
