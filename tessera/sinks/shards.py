@@ -4,15 +4,25 @@ Shard ``s`` holds rows ``[s*N, (s+1)*N)`` of the dataset order.  Rows are
 range-partitioned on ``shard_id`` so a shard never straddles two tasks, which
 gives one file per shard directory.  ``maxRecordsPerFile`` would only cap file
 size; it cannot make shards addressable by row index.
+
+A shard is a small file, so a large table has very many, and what a file costs to
+open and commit counts more than its rows.  Plain rows below a store that tasks
+reach are written by the tasks through Arrow; other rows, and other stores, by
+Spark's writer.  Folders, columns and rows are the same.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.order import chunk, global_index
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, folder_exists, remove_folder
+from ..sources.filesystems import opened, qualified, reaches
 
 
 def shard_path(shard_id: Column) -> Column:
@@ -42,6 +52,71 @@ def manifest_totals(manifest: DataFrame) -> DataFrame:
     )
 
 
+#: Types and compressions that Arrow and Spark write alike.
+PLAIN = frozenset({"bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "string"})
+CODECS = frozenset({"snappy", "gzip", "zstd"})
+#: Bytes of one shard a task holds before it closes a row group.
+GROUP_BYTES = 64 << 20
+
+
+def _plain(df: DataFrame, out: str) -> bool:
+    alike = all(f.dataType.simpleString() in PLAIN and not f.metadata for f in df.schema.fields)
+    return alike and reaches(out) and df.sparkSession.conf.get("spark.sql.parquet.compression.codec") in CODECS
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The stretches of equal ``shard_id`` of each batch, without that column."""
+    for batch in batches:
+        ids = batch.column("shard_id").to_numpy()
+        cuts = [0, *((ids[1:] != ids[:-1]).nonzero()[0] + 1).tolist(), len(ids)]
+        rows = batch.drop_columns(["shard_id"])
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if hi > lo:
+                yield int(ids[lo]), rows.slice(lo, hi - lo)
+
+
+def _write_plain(sharded: DataFrame, out: str) -> None:
+    """Each shard's rows, which follow one another in one task, into one file.  It
+    gets its name when it is whole, and a task that runs again writes the same."""
+    codec = sharded.sparkSession.conf.get("spark.sql.parquet.compression.codec")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import itertools
+
+        import pyarrow.parquet as pq
+
+        fs, root = opened(out)
+        shards = 0
+        for shard, runs in itertools.groupby(_runs(batches), key=lambda r: r[0]):
+            folder = f"{root}/shard_id={shard}"
+            part, held, size = f"{folder}/.part-{uuid.uuid4().hex}", [], 0
+            fs.create_dir(folder, recursive=True)
+            writer = None
+            for _, rows in runs:
+                writer = writer or pq.ParquetWriter(part, rows.schema, filesystem=fs, compression=codec)
+                held.append(rows)
+                size += rows.nbytes
+                if size >= GROUP_BYTES:
+                    writer.write_table(pa.Table.from_batches(held))
+                    held, size = [], 0
+            if held:
+                writer.write_table(pa.Table.from_batches(held))
+            writer.close()
+            fs.move(part, f"{folder}/part-00000.{codec}.parquet")
+            shards += 1
+        yield pa.RecordBatch.from_arrays([pa.array([shards], pa.int64())], names=["n"])
+
+    fs, root = opened(out)
+    fs.create_dir(root, recursive=True)
+    try:
+        sharded.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    except BaseException:
+        remove_folder(sharded.sparkSession, out)
+        raise
+    with fs.open_output_stream(f"{root}/_SUCCESS"):
+        pass
+
+
 def write_shards(df: DataFrame, out: str, order: list[str | Column], samples_per_file: int = 100,
                  num_ranges: int | None = None, mode: str = "overwrite", materialize: bool = True) -> DataFrame:
     """K1: write ``out/shard_id=<s>/part-*.parquet`` and ``out_manifest`` (JSON).
@@ -56,15 +131,14 @@ def write_shards(df: DataFrame, out: str, order: list[str | Column], samples_per
     if materialize:
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint()
-    sharded = assign_shards(df, order, samples_per_file, num_ranges)
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    (
-        sharded.repartitionByRange(n_parts, "shard_id")
-        .sortWithinPartitions("shard_id", "gi")
-        .write.mode(mode)
-        .partitionBy("shard_id")
-        .parquet(out)
-    )
+    spark = df.sparkSession
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    sharded = assign_shards(df, order, samples_per_file, num_ranges).repartitionByRange(n_parts, "shard_id").sortWithinPartitions("shard_id", "gi")
+    base = qualified(spark, out)
+    if _plain(sharded, base) and not folder_exists(spark, base):
+        _write_plain(sharded, base)
+    else:
+        sharded.write.mode(mode).partitionBy("shard_id").parquet(out)
     total = df.count()
     begin, n = F.col("shard_id") * samples_per_file, F.lit(samples_per_file).cast("long")
     manifest = df.sparkSession.range(-(-total // samples_per_file)).withColumnRenamed("id", "shard_id").select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -9,6 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .filesystems import opened, qualified, reaches
+
 REGISTRY_SCHEMA = "type string, name string, data_dir string, num_files long, parquet_info_path string, num_total_samples long"
 
 
@@ -64,6 +67,42 @@ def _natural(path: str) -> list:
     return [(0, int(part), "") if part.isdigit() else (1, 0, part) for part in re.split(r"(\d+)", path)]
 
 
+def first_files(spark: SparkSession, path: str, n: int) -> list[str]:
+    """The first ``n`` data files of a dataset, by path with the numbers in it by
+    value.
+
+    Folders are opened in that order, and only as far as it takes; a dataset of
+    very many folders is not listed whole.  (A folder's key, with its slash, comes
+    before those of all files in it.)  Globs, and stores that only Spark's readers
+    reach, are listed by Spark."""
+    import pyarrow.fs as pafs
+
+    base = qualified(spark, path)
+    if n < 0 or not reaches(base) or re.search(r"[][{}*?\\]", base):
+        return sorted(spark.read.parquet(path).inputFiles(), key=_natural)[:n]
+    fs, root = opened(base)
+
+    def entry(info) -> tuple[list, str, bool]:
+        folder = info.type == pafs.FileType.Directory
+        return _natural(info.path + "/" * folder), info.path, folder
+
+    ahead, files = [entry(fs.get_file_info(root))], []
+    while ahead and len(files) < n:
+        _, at, folder = heapq.heappop(ahead)
+        if not folder:
+            files.append(base + at[len(root):])
+            continue
+        below = [i for i in fs.get_file_info(pafs.FileSelector(at)) if not _hidden(i.base_name)]
+        for e in map(entry, below):
+            heapq.heappush(ahead, e)
+    return files
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's readers pass over."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
 def load_mixture(spark: SparkSession, registry: Registry, config: dict) -> DataFrame:
     """For each dataset type in ``config`` (``dataset_names``, ``num_used_data``,
     ``weight``), read the first N parquet files of each named dataset (by path,
@@ -80,9 +119,7 @@ def load_mixture(spark: SparkSession, registry: Registry, config: dict) -> DataF
         weight = float(cfg.get("weight", 1.0))
         for name, n_files in zip(names, used, strict=True):
             info = registry.get_dataset_info(dataset_type, name)
-            files = sorted(spark.read.parquet(info["data_dir"]).inputFiles(), key=_natural)
-            if n_files is not None:
-                files = files[: int(n_files)]
+            files = [info["data_dir"]] if n_files is None else first_files(spark, info["data_dir"], int(n_files))
             reader = spark.read
             if len(files) != 1 or not files[0].rstrip("/").endswith(info["data_dir"].rstrip("/")):
                 reader = reader.option("basePath", info["data_dir"])  # keep partition columns of a folder

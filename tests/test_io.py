@@ -169,3 +169,57 @@ def test_footers_of_tables_that_are_folders(spark, tmp_path, store):
 def _made(folder):
     folder.mkdir(exist_ok=True)
     return folder
+
+
+def test_shards_of_plain_rows_are_those_of_sparks_writer(spark, tmp_path, monkeypatch):
+    """Tasks write plain rows themselves: same folders, columns, types and rows, nulls included."""
+    rows = spark.range(1_003).selectExpr(
+        "id", "cast(id % 7 as int) as i", "if(id % 5 = 0, null, concat('é', id)) as s", "id / 3 as d", "id % 2 = 0 as b",
+        "date_add(date'2020-01-31', cast(id as int)) as day", "cast(id % 100 as tinyint) as t")
+    SH.write_shards(rows, str(tmp_path / "tasks"), [F.col("id").desc()], 10)
+    assert SH._plain(rows, f"file:{tmp_path}/x") and not SH._plain(rows, "viewfs://x/y")
+    assert not SH._plain(rows.withColumn("image", F.lit(b"x")), f"file:{tmp_path}/x")
+    monkeypatch.setattr(SH, "_plain", lambda *_: False)
+    SH.write_shards(rows, str(tmp_path / "spark"), [F.col("id").desc()], 10)
+    got, want = (read_pairs(spark, str(tmp_path / k)) for k in ("tasks", "spark"))
+    assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    of = lambda k: sorted(d for d in os.listdir(tmp_path / k) if not d.startswith("."))
+    assert of("tasks") == of("spark") and len(of("tasks")) == 102  # with _SUCCESS
+    for shard in (0, 57, 100):
+        names = [f for f in os.listdir(tmp_path / f"tasks/shard_id={shard}")]
+        assert len(names) == 1 and names[0].endswith(".parquet")
+        first = read_pairs(spark, str(tmp_path / f"tasks/shard_id={shard}")).collect()
+        assert [r.gi for r in first] == list(range(shard * 10, min(1_003, shard * 10 + 10)))
+    # a folder that exists is written over by Spark's writer, as before
+    monkeypatch.undo()
+    SH.write_shards(rows.limit(25), str(tmp_path / "tasks"), ["id"], 10)
+    assert of("tasks") == ["_SUCCESS", "shard_id=0", "shard_id=1", "shard_id=2"]
+
+
+def test_first_files_of_many_folders_are_not_listed_by_a_task_each(spark, tmp_path):
+    """The first files come from the folders that hold them, in the order of whole paths."""
+    from tessera.sources.registry import _natural, first_files
+
+    out = str(tmp_path / "many")
+    SH.write_shards(spark.range(3_000), out, ["id"], 10)
+    os.makedirs(f"{out}/_temporary/0")
+    files = sorted(spark.read.parquet(out).inputFiles(), key=_natural)
+    plain = lambda uris: [u.split(":", 1)[1].replace("///", "/") for u in uris]
+    for n in (0, 1, 2, 11, 300, 400):
+        assert plain(first_files(spark, out, n)) == plain(files[:n])
+    one = files[0].replace("file://", "")
+    assert plain(first_files(spark, one, 1)) == [one]
+    reg = Registry()
+    reg.register("t", "d", data_dir=out)
+    sc = spark.sparkContext
+    sc.setJobGroup("first-files", "")
+    try:
+        mix = load_mixture(spark, reg, {"t": {"dataset_names": ["d"], "num_used_data": [12]}})
+        tracker = sc.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("first-files") for s in tracker.getJobInfo(j).stageIds]
+        tasks = sum(tracker.getStageInfo(s).numTasks for s in stages)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert tasks < 30
+    assert sorted(r["id"] for r in mix.collect()) == list(range(120))
+    assert "shard_id" in mix.columns
