@@ -245,52 +245,66 @@ def classes(docs: DataFrame) -> DataFrame:
     worded = F.size("bands") > 0
     signed = signed.withColumns({"k1": F.when(worded, F.col("k1")).otherwise(F.col("node")), "k2": F.when(worded, F.col("k2"))})
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
-    texts = signed.select("node", "doc_id", "k1", F.coalesce("k2", F.lit(0)).alias("k2"), worded.alias("w")).groupBy("k1", "k2", "w").agg(
-        lead.alias("lead"), F.count("*").alias("n")).select("k1", "k2", "w", F.col("lead.node").alias("rep"), "lead", "n").checkpoint()
+    # steps over short rows take tasks by rows (parts); texts are signed, verified and compared in all partitions
+    n_rows = signed.count()
+    text_parts = sizing.parts(spark, n_rows)
+    # equal texts have equal signatures: any stands for all
+    texts = signed.select("*", worded.alias("w")).groupBy("k1", F.coalesce("k2", F.lit(0)).alias("k2"), "w").agg(
+        lead.alias("lead"), F.count("*").alias("n"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
+    texts = texts.select("k1", "k2", "w", F.col("lead.node").alias("rep"), "lead", "n", "bands", "sig").coalesce(text_parts).checkpoint()
 
     # one row a distinct text that shares a bucket with another
-    chosen = signed.join(texts.filter("w").select(F.col("rep").alias("node")), "node")
-    banded = chosen.select("node", F.explode("bands").alias("bucket"))
+    banded = texts.filter("w").select(F.col("rep").alias("node"), F.explode("bands").alias("bucket"))
     # checkpointed, so that the joins by bucket are of two shuffled sides and a hot bucket's side is split
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").checkpoint()
-    members = banded.join(shared, "bucket").checkpoint()
-    meets = members.groupBy("node").agg(F.sum("n").alias("met")).checkpoint()
-    held = numbered.select("node", "text").join(signed.select("node", "bands", "sig").join(meets.select("node"), "node"), "node").checkpoint()
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").coalesce(sizing.parts(spark, n_rows * BANDS // 4)).checkpoint()
+    n_members = shared.agg(F.sum("n")).first()[0] or 0
+    member_parts = sizing.parts(spark, n_members)
+    shared = shared.coalesce(member_parts)
+    members = banded.join(shared, "bucket").select("bucket", "node", "n").coalesce(member_parts).checkpoint()
+    meets = members.groupBy("node").agg(F.sum("n").alias("met")).coalesce(member_parts).checkpoint()
+    signs = texts.select(F.col("rep").alias("node"), "bands", "sig")
+    held = numbered.select("node", "text").join(signs.join(meets.select("node"), "node"), "node").checkpoint()
 
     # stars: the member that meets most others is the likeliest origin of its group
-    centers = members.join(meets, "node").groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("center")).checkpoint()
+    centers = members.join(meets, "node").coalesce(member_parts).groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("center")).coalesce(member_parts).checkpoint()
     spokes = members.join(centers, "bucket").filter("node <> center")
-    stars = spokes.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
+    stars = spokes.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).coalesce(member_parts).distinct().coalesce(member_parts)
     x, y = ([held.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("text").alias(f"text_{c}")) for c in "ab"])
-    near = stars.join(x.drop("text_a"), "a").join(y.drop("text_b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(_close, "a long, b long")
+    near = stars.join(x.drop("text_a"), "a").coalesce(member_parts).join(y.drop("text_b"), "b").select("a", "b", "sig_a", "sig_b").coalesce(member_parts).mapInArrow(_close, "a long, b long")
     links = near.join(x.drop("sig_a"), "a").join(y.drop("sig_b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long").checkpoint()
     first = components(links)
 
-    rest = _between_components(members.filter("n > 2").select("bucket", "node"), held, first).checkpoint()
-    found = components(links.union(rest)) if rest.limit(1).count() else first
+    rest = _between_components(members.filter("n > 2").select("bucket", "node"), held, first, member_parts)
+    if rest is None:
+        found = first
+    else:  # what is known of the first components is one edge a node
+        found = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest))
 
-    named = texts.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class_key", F.coalesce("component", "rep"))
-    named = named.select("rep", "k1", "k2", "w", "lead", "n", "class_key").checkpoint()
+    named = texts.select("rep", "k1", "k2", "w", "lead", "n").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class_key", F.coalesce("component", "rep"))
+    named = named.select("rep", "k1", "k2", "w", "lead", "n", "class_key").coalesce(text_parts).checkpoint()
     whole = named.groupBy("class_key").agg(F.min("lead").alias("lead"), F.sum("n").alias("class_size"))
-    told = named.select("k1", "k2", "w", "class_key").join(whole, "class_key")
+    told = named.select("k1", "k2", "w", "class_key").join(whole, "class_key").coalesce(text_parts)
     rows = signed.select("node", "doc_id", "k1", F.coalesce("k2", F.lit(0)).alias("k2"), worded.alias("w"))
     return rows.join(told, ["k1", "k2", "w"]).select(
         "node", "doc_id", F.col("lead.doc_id").alias("class_id"), "class_key", "class_size", (F.col("node") == F.col("lead.node")).alias("first"))
 
 
-def _between_components(members: DataFrame, held: DataFrame, found: DataFrame) -> DataFrame:
-    """Links ``a, b`` between different components that share a bucket.
+def _between_components(members: DataFrame, held: DataFrame, found: DataFrame, n_parts: int) -> DataFrame | None:
+    """Links ``a, b`` between different components that share a bucket, or None
+    if no bucket holds several components.
 
     In a bucket the largest component is one side; all others are compared with
     it and with each other, in blocks of about ``BLOCK_CHARS``."""
     sized = held.select("node", F.length("text").cast("long").alias("chars"))
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(sized, "node")
-    counted = placed.groupBy("bucket", "component").agg(F.sum("chars").alias("chars"))
+    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(sized, "node").coalesce(n_parts).checkpoint()
+    counted = placed.groupBy("bucket", "component").agg(F.sum("chars").alias("chars")).coalesce(n_parts)
     mixed = counted.groupBy("bucket").agg(
         F.count("*").alias("several"), F.sum("chars").alias("all"), F.max(F.struct("chars", "component")).alias("big")).filter("several > 1")
     mixed = mixed.select(
         "bucket", F.col("big.component").alias("big"), F.expr(f"cast(big.chars div {BLOCK_CHARS} + 1 as int)").alias("big_blocks"),
-        F.expr(f"cast((all - big.chars) div {BLOCK_CHARS} + 1 as int)").alias("blocks")).checkpoint()
+        F.expr(f"cast((all - big.chars) div {BLOCK_CHARS} + 1 as int)").alias("blocks")).coalesce(n_parts).checkpoint()
+    if mixed.isEmpty():
+        return None
     split = placed.join(mixed, "bucket").withColumn("is_big", F.col("component") == F.col("big")).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.when(F.col("is_big"), F.col("big_blocks")).otherwise(F.col("blocks"))))
     big = "transform(sequence(0, blocks - 1), i -> struct(i as i, cast(block as int) as j, true as with_big, 'right' as side))"
@@ -299,7 +313,7 @@ def _between_components(members: DataFrame, held: DataFrame, found: DataFrame) -
              " case when block = k then 'both' when block < k then 'left' else 'right' end as side)))")
     dealt = split.select("bucket", "node", "component", F.explode(F.expr(f"if(is_big, {big}, {small})")).alias("p")).select(
         "bucket", "node", "component", "p.*").join(held, "node")
-    return dealt.groupBy("bucket", "i", "j", "with_big").applyInArrow(_link_blocks, "a long, b long").distinct()
+    return dealt.groupBy("bucket", "i", "j", "with_big").applyInArrow(_link_blocks, "a long, b long").checkpoint()
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -97,3 +97,40 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 150), 100), 70: 70, 71: 70}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def _tasks(spark, group, job):
+    """Tasks of all stages that ``job`` runs."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        result = job()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    return result, sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i)
+
+
+def test_tasks_follow_the_rows_and_not_the_shuffle_partitions(spark, tmp_path):
+    """Where no setting of the session joins small partitions, a round over few
+    edges still takes few tasks."""
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)]
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(80)]
+    rows = [(i, _edited(rng, base, rng.choice([1, 2, 3]))) for i in range(30)]
+    docs = _write(spark, tmp_path / "d", rows)
+    graph = spark.createDataFrame(edges, "a long, b long")
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got, of_components = _tasks(spark, "few edges", lambda: {r["node"]: r["component"] for r in components(graph).collect()})
+        found, of_classes = _tasks(spark, "few documents", lambda: {r["doc_id"]: r["class_id"] for r in N.classes(docs).collect()})
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 150), 100)}
+    assert found == N.brute_force(rows)
+    assert of_components < 60 * 12 and of_classes < 60 * 40
